@@ -13,30 +13,37 @@ from clinspark.staging import Staging
 _ROW_BITS = 33
 
 
-def surrogate_keys(
-    df: DataFrame, keys: Sequence[str], name: str, staging: Staging, *, partitions: int | None = None
+def number_rows(
+    df: DataFrame, order: Sequence[str], name: str, staging: Staging, *, partitions: int | None = None
 ) -> DataFrame:
-    """Distinct ``keys`` numbered 1..n in their order, as column ``name``.
+    """Rows numbered 1..n in ``order`` as column ``name``; ``order`` should be unique per row.
 
-    The keys are sorted in ranges across the cluster and stored with their place; a range's first
+    The rows are sorted in ranges across the cluster and stored with their place; a range's first
     number is the size of all ranges before it. Only one count per range passes the driver. The
     stored table fixes the ranges, so a lost executor cannot change the numbering.
     """
-    ids = df.select(*keys).distinct()
-    ranged = ids.repartitionByRange(partitions, *keys) if partitions else ids.repartitionByRange(*keys)
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     placed = staging.table(
-        ranged.sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
+        ranged.sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
     )
     placed = placed.select(
-        *keys,
+        *df.columns,
         F.shiftright("_place", _ROW_BITS).alias("_range"),
         F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1).alias("_row"),
     )
-    sizes = placed.groupBy("_range").agg(F.count("*").alias("n")).orderBy("_range").collect()
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("n")).collect()
     starts, total = [], 0
-    for size in sizes:
+    for size in sorted(sizes, key=lambda s: s["_range"]):
         starts.append((size["_range"], total + 1))
         total += size["n"]
-    offsets = df.sparkSession.createDataFrame(starts, "_range bigint, _start bigint")
+    # One row per range, so its size is that of the partition count and not of the data.
+    offsets = F.broadcast(df.sparkSession.createDataFrame(starts, "_range bigint, _start bigint"))
     numbered = placed.join(offsets, "_range")
-    return numbered.select(*keys, (F.col("_start") + F.col("_row")).alias(name))
+    return numbered.select(*df.columns, (F.col("_start") + F.col("_row")).alias(name))
+
+
+def surrogate_keys(
+    df: DataFrame, keys: Sequence[str], name: str, staging: Staging, *, partitions: int | None = None
+) -> DataFrame:
+    """Distinct ``keys`` with dense numbers in their order."""
+    return number_rows(df.select(*keys).distinct(), keys, name, staging, partitions=partitions)

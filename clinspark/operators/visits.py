@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinspark.staging import Stage, lazily
+from clinspark.operators.surrogate import number_rows
+from clinspark.staging import Staging
 
 _CELL, _VISIT = "_cell", "_visit"
 
@@ -64,19 +65,32 @@ def roll_up_visits(
     return visits_of_cells(cells, by).drop(_VISIT)
 
 
+def number_visits(
+    cells: DataFrame, by: Sequence[str], staging: Staging, *, visit_id: str = "visit_occurrence_id"
+) -> tuple[DataFrame, DataFrame]:
+    """Visits with a dense id in the order of ``by`` and start, and the cells with that id."""
+    cells = staging.table(cells)
+    visits = number_rows(visits_of_cells(cells, by), [*by, "visit_start"], visit_id, staging)
+    return visits.drop(_VISIT), _add(cells, visits, [*by, _VISIT], visit_id)
+
+
 def visit_of_encounter(
-    encounters: DataFrame, by: Sequence[str], *, id: str = "id", start: str = "start", stop: str = "stop",
-    gap_days: int = 1, stage: Stage = lazily,
+    encounters: DataFrame, numbered_cells: DataFrame, by: Sequence[str], *, id: str = "id",
+    start: str = "start", gap_days: int = 1, visit_id: str = "visit_occurrence_id",
 ) -> DataFrame:
-    """Every encounter's id with ``by`` and the start of its visit, which together name the visit."""
-    cells = visit_cells(encounters, by, start=start, stop=stop, gap_days=gap_days)
-    visits = Window.partitionBy(*by, _VISIT)
-    named = cells.withColumn("visit_start", F.min("_start").over(visits))
-    keys = [*by, _CELL]
-    named = stage(named.select(*[F.col(k).alias(f"_m_{k}") for k in keys], "visit_start"))
-    rows = encounters.select(id, *[c for c in by if c != id], _cell(start, gap_days).alias(_CELL))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
-    return rows.join(named, same, "left").select(id, *[c for c in by if c != id], "visit_start")
+    """Every encounter's id with the id of its visit, found through the encounter's cell."""
+    rows = encounters.select(
+        F.col(id).alias("id"), *[F.col(c).alias(f"_by_{c}") for c in by], _cell(start, gap_days).alias(_CELL)
+    )
+    cells = numbered_cells.select(*[F.col(c).alias(f"_by_{c}") for c in by], _CELL, visit_id)
+    return _add(rows, cells, [*[f"_by_{c}" for c in by], _CELL], visit_id).select("id", visit_id)
+
+
+def _add(rows: DataFrame, values: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """Rows with a column of another table, matched on keys that may be null."""
+    values = values.select(*[F.col(k).alias(f"_of_{k}") for k in keys], column)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return rows.join(values, same, "left").select(*rows.columns, column)
 
 
 def assign_visits(

@@ -110,7 +110,10 @@ ORACLE_SQL = {
     nullif(regexp_extract(file_name, '(^.*_)(.*?).txt', 2), '') AS patient FROM (
       SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'notes' || c_custkey || '.txt'
         ELSE replace(c_name, '#', '_') || '_' || c_custkey || '.txt' END AS file_name FROM customer)""",
-    "note_segments": """SELECT DATE '2020-01-01' + CAST(turn AS INTEGER) AS date, text AS note_text,
+    "note_segments": """SELECT DATE '2020-01-01' + CAST(i - 1 AS INTEGER) AS date, lines[i] AS note_text, patient
+    FROM (SELECT CAST(doc_id AS VARCHAR) AS patient, string_split(text, chr(10)) AS lines,
+                 unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)""",
+    "note_files": """SELECT DATE '2020-01-01' + CAST(turn AS INTEGER) AS date, text AS note_text,
     CAST(conv_id AS VARCHAR) AS patient FROM conversations""",
     "literal_table": """SELECT * FROM (VALUES
     (CAST(4001 AS BIGINT), 'Medstar Promptcare - Adams Morgan', 'WASHINGTON', CAST(20009 AS BIGINT),

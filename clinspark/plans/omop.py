@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from clinspark.functions.columns import cast_codes, rename_back, rename_columns
 from clinspark.functions.dates import parse_instant
 from clinspark.operators.concepts import EVENT_SOURCES, event_union, map_concepts
-from clinspark.operators.surrogate import surrogate_keys
-from clinspark.operators.visits import assign_visits, visit_cells, visit_of_encounter, visits_of_cells
+from clinspark.operators.surrogate import number_rows
+from clinspark.operators.visits import assign_visits, number_visits, visit_cells, visit_of_encounter
 from clinspark.staging import Staging
 
 # Code columns widened to text, and the renamed columns of payer_transitions.
@@ -78,8 +78,7 @@ def omop_restore(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def person_table(patients: DataFrame, staging: Staging) -> DataFrame:
-    numbers = surrogate_keys(patients, ["id"], "person_id", staging)
-    return patients.join(numbers, "id").select(
+    return number_rows(patients.select("id", "birthdate", "deathdate"), ["id"], "person_id", staging).select(
         "person_id",
         F.year("birthdate").cast("bigint").alias("year_of_birth"),
         F.month("birthdate").cast("bigint").alias("month_of_birth"),
@@ -91,44 +90,27 @@ def person_table(patients: DataFrame, staging: Staging) -> DataFrame:
 
 
 def visit_tables(
-    encounters: DataFrame, persons: DataFrame, staging: Staging, *, by: tuple[str, ...] = ("patient", "encounterclass"),
+    encounters: DataFrame, persons: DataFrame, staging: Staging, *, visit_class: str | None = "encounterclass",
     gap_days: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
-    """Visits with their ids, and the visit id of every encounter."""
-    cells = staging.table(visit_cells(encounters, by, gap_days=gap_days))
-    visits = visits_of_cells(cells, by).drop("_visit")
-    keys = [*by, "visit_start"]
-    numbers = staging.table(surrogate_keys(visits, keys, "visit_occurrence_id", staging))
-    visit_class = by[1] if len(by) > 1 else None
+    """Visits with their ids, and the visit id of every encounter; the class is part of a visit's key."""
+    by = ["patient", visit_class] if visit_class else ["patient"]
+    visits, cells = number_visits(visit_cells(encounters, by, gap_days=gap_days), by, staging)
     concept = F.lit(0)
     if visit_class:
         for value, concept_id in VISIT_CONCEPTS.items():
             concept = F.when(F.lower(visit_class) == value, F.lit(concept_id)).otherwise(concept)
-    people = persons.select("person_id", F.col("person_source_value").alias(by[0]))
-    occurrences = (
-        _join_null_safe(visits, numbers, keys)
-        .join(people, by[0], "left")
-        .select(
-            "visit_occurrence_id",
-            "person_id",
-            concept.cast("bigint").alias("visit_concept_id"),
-            F.col("visit_start").cast("date").alias("visit_start_date"),
-            F.col("visit_start").alias("visit_start_datetime"),
-            F.col("visit_end").cast("date").alias("visit_end_date"),
-            F.col("visit_end").alias("visit_end_datetime"),
-        )
+    people = persons.select("person_id", F.col("person_source_value").alias("patient"))
+    occurrences = visits.join(people, "patient", "left").select(
+        "visit_occurrence_id",
+        "person_id",
+        concept.cast("bigint").alias("visit_concept_id"),
+        F.col("visit_start").cast("date").alias("visit_start_date"),
+        F.col("visit_start").alias("visit_start_datetime"),
+        F.col("visit_end").cast("date").alias("visit_end_date"),
+        F.col("visit_end").alias("visit_end_datetime"),
     )
-    named = visit_of_encounter(encounters, by, gap_days=gap_days, stage=staging)
-    return occurrences, _join_null_safe(named, numbers, keys).select("id", "visit_occurrence_id")
-
-
-def _join_null_safe(left: DataFrame, numbers: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on keys that may be null."""
-    right = numbers.select(*[F.col(k).alias(f"_n_{k}") for k in keys], "visit_occurrence_id")
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_n_{k}"))
-    return left.join(right, same, "left").select(*left.columns, "visit_occurrence_id")
+    return occurrences, visit_of_encounter(encounters, cells, by, gap_days=gap_days)
 
 
 def event_table(events: DataFrame, target: str) -> DataFrame:

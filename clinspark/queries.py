@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from clinspark.functions.columns import (
     cast_codes, drop_descriptions, lower_columns, rename_back, rename_columns,
 )
-from clinspark.functions.dates import parse_dates, parse_instant
+from clinspark.functions.dates import parse_dates, parse_instant, parse_strict_date
 from clinspark.operators import audit
 from clinspark.operators.codes import (
     LONGEST_RULE, CodeBranch, build_codes, code_pairs, lookup_descriptions, one_description,
@@ -28,11 +28,13 @@ from clinspark.operators.relink import (
 )
 from clinspark.operators.surrogate import surrogate_keys
 from clinspark.operators.trim import history_window, launch_trim
-from clinspark.operators.visits import assign_visits, roll_up_visits, visit_of_encounter
+from clinspark.operators.visits import (
+    assign_visits, number_visits, roll_up_visits, visit_cells, visit_of_encounter,
+)
 from clinspark.plans.load import load_table
 from clinspark.sources.csv_tables import read_table
 from clinspark.sources.notes import (
-    PATIENT_FOLDER_PATTERN, patient_of_file, read_notes, write_notes,
+    NOTE_END, PATIENT_FOLDER_PATTERN, patient_of_file, read_notes, segment_notes, write_notes,
 )
 from clinspark.sources.sinks import append_table, replace_table, write_clustered, write_csv
 from clinspark.sources.vocab import load_vocabulary
@@ -144,6 +146,21 @@ def note_file_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def note_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rendered as a note file, one dated note per line, and taken apart again."""
+    lines = F.split("text", "\n")
+    note = lambda line, i: F.concat(
+        F.date_add(F.lit("2020-01-01").cast("date"), i).cast("string"), F.lit("\n\n"), line, F.lit(NOTE_END)
+    )
+    rendered = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("patient"),
+        F.concat_ws("", F.transform(lines, note)).alias("text"),
+    )
+    notes = segment_notes(rendered)
+    return notes.select(parse_strict_date("header").alias("date"), "note_text", "patient")
+
+
+def note_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations written as note files and read back."""
     path = Staging(spark).path("notes")
     notes = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("patient"),
@@ -434,12 +451,10 @@ def visit_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def visit_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging = Staging(spark)
     by = ["patient", "class"]
-    named = staging.table(visit_of_encounter(encounters(spark, sf_dir), by, gap_days=30, stage=staging))
-    keys = [*by, "visit_start"]
-    numbers = surrogate_keys(named, keys, "visit_occurrence_id", staging)
-    visits = named.join(numbers, keys)
+    orders = encounters(spark, sf_dir)
+    _, cells = number_visits(visit_cells(orders, by, gap_days=30), by, Staging(spark))
+    visits = visit_of_encounter(orders, cells, by, gap_days=30)
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return assign_visits(lines, visits, encounter="l_orderkey")
 
@@ -481,6 +496,7 @@ QUERIES = {
     "parse_dates": parse_dates_query,
     "note_file_id": note_file_id,
     "note_segments": note_segments,
+    "note_files": note_files,
     "literal_table": literal_table,
     "sink_overwrite": sink_overwrite,
     "sink_append": sink_append,

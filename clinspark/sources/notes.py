@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from clinspark.functions.dates import parse_strict_date
 
-# The file-name pattern, the note pattern and the end of a note. ``(?d)`` makes only
-# the line feed a line end.
+# The file-name pattern, the note pattern and the end of a note. With flag d only the
+# line feed ends a line; with flag s the body runs over line ends.
 PATIENT_PATTERN = r"(^.*_)(.*?).txt"
-NOTE_PATTERN = r"(?d)([1-2][0-9]{3}-[0-9]{2}-[0-9]{2}.*)\n\n([\s\S]*?)\n\n\n\n"
+NOTE_PATTERN = r"(?d)[1-2][0-9]{3}-[0-9]{2}-[0-9]{2}.*\n\n(?s:.*?)\n\n\n\n"
 NOTE_END = "\n\n\n\n"
+HEADER_END = "\n\n"
 
 
 @dataclass(frozen=True)
@@ -39,12 +40,13 @@ def segment_notes(docs: DataFrame, *, text: str = "text", keep_unterminated: boo
     plain = F.regexp_replace(F.col(text), "\r\n?", "\n")
     if keep_unterminated:
         plain = F.concat(plain, F.lit(NOTE_END))
-    notes = F.arrays_zip(
-        F.regexp_extract_all(plain, F.lit(NOTE_PATTERN), F.lit(1)).alias("header"),
-        F.regexp_extract_all(plain, F.lit(NOTE_PATTERN), F.lit(2)).alias("note_text"),
-    )
+    # A header is one line, so the first blank line of a match is the end of its header.
+    note = F.explode(F.regexp_extract_all(plain, F.lit(NOTE_PATTERN), F.lit(0))).alias("_note")
+    header = F.substring_index("_note", HEADER_END, 1)
+    begin = F.length("header") + len(HEADER_END) + 1
+    body = F.substr("_note", begin, F.length("_note") - begin + 1 - len(NOTE_END))
     others = [c for c in docs.columns if c != text]
-    return docs.select(*others, F.inline(notes).alias("header", "note_text"))
+    return docs.select(*others, note).withColumn("header", header).select(*others, "header", body.alias("note_text"))
 
 
 def read_notes(
@@ -95,12 +97,14 @@ def write_notes(
 ) -> None:
     """Write notes in the note format, under one folder per patient.
 
-    Every task streams its own rows to its own files: no shuffle, no document is put together in
-    memory, and a patient with very many notes gets many files of a bounded size.
+    A patient's notes are brought together to keep the number of files low, and streamed to them: no
+    document is put together in memory. A patient with very many notes is spread over several tasks
+    by the rebalance, and over several files of a bounded size.
     """
     note = F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit("\n\n"), F.col(note_text))
     (
         df.select(F.col(patient).cast("string").alias("patient"), note.alias("value"))
+        .hint("rebalance", "patient")
         .write.mode("overwrite")
         .option("lineSep", NOTE_END)
         .option("maxRecordsPerFile", max_notes_per_file)
