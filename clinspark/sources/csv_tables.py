@@ -54,15 +54,20 @@ def scan_csv(
     names = spark.read.options(**options).csv(path).columns
     texts = [T.StructField(c, T.StringType()) for c in names]
     raw = (
-        spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD_LINE)
+        # Without pruning every read sees the whole line and so flags the same lines.
+        spark.read.options(
+            **options, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD_LINE, columnPruning=False
+        )
         .schema(T.StructType([*texts, T.StructField(_BAD_LINE, T.StringType())]))
         .csv(path)
     )
-    # Parsing the line once more with one column to spare tells a long line from a short one.
-    spare = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
-    parsed = F.from_csv(F.col(_BAD_LINE), spare.simpleString()[7:-1].replace(":", " "),
-                        {"sep": sep, "escape": '"', "nullValue": "\u0000"})
+    # Parsing a bad line once more with one column to spare tells a long line from a short one; the
+    # letter behind it makes an empty last field a value.
+    spare = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+    parsed = F.from_csv(F.concat(_BAD_LINE, F.lit("x")), spare, {"sep": sep, "escape": '"'})
     too_long = F.col(_BAD_LINE).isNotNull() & parsed.getField(f"c{len(names)}").isNotNull()
+    # Spark refuses to read nothing but the bad line, so the filter also looks at a parsed column.
+    too_long = too_long & (F.length(F.concat_ws("", F.col(f"`{names[0]}`"), F.col(_BAD_LINE))) > 0)
 
     def clean(name: str) -> Column:
         column = F.col(f"`{name}`")
