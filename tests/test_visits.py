@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from helpers import rows, ts
+
+from clinspark.operators.concepts import EVENT_SOURCES, event_union, map_concepts
+from clinspark.operators.surrogate import surrogate_keys
+from clinspark.operators.visits import assign_visits, number_visits, roll_up_visits, visit_cells, visit_of_encounter
+
+
+def brute_force(encounters, gap_days):
+    """Visits by sorting and scanning each patient's encounters."""
+    visits = []
+    for key in {(p, c) for _, p, c, _, _ in encounters}:
+        current = None
+        for _, _, _, start, stop in sorted((e for e in encounters if (e[1], e[2]) == key), key=lambda e: e[3]):
+            end = max(start, stop) if stop else start
+            if current and start <= current[1] + dt.timedelta(days=gap_days):
+                current[1], current[2] = max(current[1], end), current[2] + 1
+            else:
+                current = [start, end, 1]
+                visits.append((*key, current))
+    return sorted((p, c, v[0], v[1], v[2]) for p, c, v in visits)
+
+
+@pytest.mark.parametrize("gap_days", [1, 3, 30])
+def test_visits_equal_a_scan(spark, staging, gap_days):
+    rng = random.Random(gap_days)
+    encounters = []
+    for i in range(1500):
+        patient = "hot" if i % 3 == 0 else f"p{rng.randrange(40)}"
+        start = dt.datetime(2015, 1, 1) + dt.timedelta(minutes=rng.randrange(60 * 24 * 365 * 6))
+        stop = rng.choice([None, start, start - dt.timedelta(hours=1), start + dt.timedelta(hours=rng.randrange(200))])
+        encounters.append((f"e{i}", patient, rng.choice("ab"), start, stop))
+    df = spark.createDataFrame(encounters, "id string, patient string, class string, start timestamp_ntz, stop timestamp_ntz")
+    by = ["patient", "class"]
+    want = brute_force(encounters, gap_days)
+    got = sorted(tuple(r) for r in roll_up_visits(df, by, gap_days=gap_days).select(
+        *by, "visit_start", "visit_end", "n_encounters").collect())
+    assert got == want
+
+    visits, cells = number_visits(visit_cells(df, by, gap_days=gap_days), by, staging)
+    ids = {tuple(r[k] for k in (*by, "visit_start")): r["visit_occurrence_id"] for r in visits.collect()}
+    assert ids == {w[:3]: i + 1 for i, w in enumerate(want)}
+    found = dict(rows(visit_of_encounter(df, cells, by, gap_days=gap_days)))
+    for id, patient, kind, start, _ in encounters:
+        mine = max(w[:3] for w in want if w[:2] == (patient, kind) and w[2] <= start)
+        assert found[id] == ids[mine]
+
+
+def test_visit_without_start_or_class(spark, staging):
+    df = spark.createDataFrame(
+        [("a", "p", None, None, None), ("b", "p", None, None, ts("2010-01-01")), ("c", "p", None, ts("2010-01-01"), None)],
+        "id string, patient string, class string, start timestamp_ntz, stop timestamp_ntz")
+    by = ["patient", "class"]
+    assert rows(roll_up_visits(df, by), "visit_start", "visit_end", "n_encounters") == [
+        (None, None, 2), (ts("2010-01-01"), ts("2010-01-01"), 1)]
+    _, cells = number_visits(visit_cells(df, by), by, staging)
+    assert rows(visit_of_encounter(df, cells, by)) == [("a", 1), ("b", 1), ("c", 2)]
+    with pytest.raises(ValueError):
+        visit_cells(df, by, gap_days=0)
+
+
+def test_assign_visits(spark):
+    events = spark.createDataFrame([(1, "e1"), (2, None), (3, "zz")], "n int, encounter string")
+    visits = spark.createDataFrame([("e1", 7)], "id string, visit_occurrence_id bigint")
+    assert rows(assign_visits(events, visits), "n", "visit_occurrence_id") == [(1, 7), (2, None), (3, None)]
+
+
+@pytest.mark.parametrize("partitions", [None, 1, 5])
+def test_surrogate_keys(spark, staging, partitions):
+    df = spark.range(1000).selectExpr("uuid() as u", "id").selectExpr("md5(cast(id as string)) as id")
+    df = staging.table(df.unionByName(df))
+    got = surrogate_keys(df, ["id"], "n", staging, partitions=partitions)
+    want = [(id, i + 1) for i, id in enumerate(sorted({r["id"] for r in df.collect()}))]
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_surrogate_keys_of_nothing(spark, staging):
+    assert surrogate_keys(spark.range(0), ["id"], "n", staging).count() == 0
+
+
+def test_concepts(spark, staging):
+    df = spark.createDataFrame(
+        [(1, "SNOMED", "10"), (2, "SNOMED", "99"), (3, "SNOMED", None), (4, "CVX", "10"), (5, None, "10")],
+        "n int, vocab string, code string")
+    concept = spark.createDataFrame(
+        [(500, "SNOMED", "10"), (400, "SNOMED", "10"), (600, "LOINC", "10")],
+        "concept_id bigint, vocabulary_id string, concept_code string")
+    assert rows(map_concepts(df, concept, stage=staging), "n", "concept_id") == [(1, 400), (2, 0), (3, 0), (4, 0), (5, 0)]
+
+
+def test_event_union(spark):
+    conditions = spark.createDataFrame(
+        [("p", "e", "1", ts("2010-01-01"), None)],
+        "patient string, encounter string, code string, start timestamp_ntz, stop timestamp_ntz")
+    shots = spark.createDataFrame(
+        [("p", None, "2", ts("2011-01-01"))], "patient string, encounter string, code string, date timestamp_ntz")
+    sources = [s for s in EVENT_SOURCES if s.source in ("conditions", "immunizations")]
+    assert rows(event_union({"conditions": conditions, "immunizations": shots}, sources)) == [
+        ("condition_occurrence", "p", "e", "SNOMED", "1", ts("2010-01-01"), None),
+        ("drug_exposure", "p", None, "CVX", "2", ts("2011-01-01"), ts("2011-01-01"))]
