@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from clinspark.functions.columns import to_storage
 from clinspark.operators.audit import foreign_keys, key_violations, reference_report
@@ -37,12 +37,15 @@ def load_tables(spark: SparkSession, config: LoadConfig) -> dict[str, DataFrame]
     """Load every selected table (and the notes) and return them as scans of what was written."""
     loaded = {}
     for spec in config.selected():
+        seen = Observation()
         table = load_table(
             spark, f"{config.source_dir}/csv/{spec.name}.csv", spec, config.launch_date,
-            open_ended=config.open_ended,
+            open_ended=config.open_ended, observation=seen,
         )
         loaded[spec.name] = _stored(table.rows, f"{config.target_dir}/loaded/{spec.name}")
-        replace_table(table.rejects, f"{config.target_dir}/rejects/{spec.name}")
+        # The source is parsed once more only if there is something to set aside.
+        rejects = table.rejects if seen.get["n_rejected"] else table.rejects.limit(0)
+        replace_table(rejects, f"{config.target_dir}/rejects/{spec.name}")
     if config.include_notes:
         notes = read_notes(
             spark, f"{config.source_dir}/notes", keep_unterminated=config.keep_unterminated_notes

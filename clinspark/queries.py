@@ -36,7 +36,7 @@ from clinspark.sources.csv_tables import read_table
 from clinspark.sources.notes import (
     NOTE_END, PATIENT_FOLDER_PATTERN, patient_of_file, read_notes, segment_notes, write_notes,
 )
-from clinspark.sources.sinks import append_table, replace_table, write_clustered, write_csv
+from clinspark.sources.sinks import append_table, cluster_table, replace_table, write_csv
 from clinspark.sources.vocab import load_vocabulary
 from clinspark.spec import TableSpec, select_tables
 from clinspark.staging import Staging
@@ -216,9 +216,8 @@ def vocab_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layout_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Staging(spark).path("lineitem")
-    source = table(spark, sf_dir, "lineitem")
-    write_clustered(source, path, ["l_shipdate"])
-    return spark.read.schema(source.schema).parquet(path)
+    cluster_table(spark, f"{sf_dir}/lineitem.parquet", path, ["l_shipdate"])
+    return spark.read.schema(table(spark, sf_dir, "lineitem").schema).parquet(path)
 
 
 def load_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:

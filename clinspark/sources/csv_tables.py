@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,12 +43,14 @@ def scan_csv(
     with_position: bool = False,
     sep: str = ",",
     multi_line: bool = False,
+    observation: Observation | None = None,
 ) -> CsvTable:
     """All columns as text, named by the header.
 
     A line with too few fields is completed with nulls. A line with too many has shifted columns
     (an unquoted separator) and goes to ``rejects``. ``multi_line`` allows line breaks inside quotes
-    but makes a file unsplittable, so it is off unless asked for.
+    but makes a file unsplittable, so it is off unless asked for. An ``observation`` learns
+    ``n_rejected`` from the first job that reads ``rows``.
     """
     options = {"sep": sep, "header": True, "escape": '"', "multiLine": multi_line}
     names = spark.read.options(**options).csv(path).columns
@@ -73,7 +75,8 @@ def scan_csv(
         column = F.col(f"`{name}`")
         return F.when(~column.isin(*missing), column).alias(name) if missing else column
 
-    rows = raw.where(~too_long).select(*[clean(c) for c in names], *(_position() if with_position else ()))
+    watched = raw.observe(observation, F.count_if(too_long).alias("n_rejected")) if observation else raw
+    rows = watched.where(~too_long).select(*[clean(c) for c in names], *(_position() if with_position else ()))
     rejects = raw.where(too_long).select(
         F.col("_metadata.file_path").alias("file"), F.col(_BAD_LINE).alias("line")
     )
@@ -82,7 +85,7 @@ def scan_csv(
 
 def _position() -> list[Column]:
     return [
-        F.col("_metadata.file_path").alias(POSITION[0]),
+        F.col("_metadata.file_name").alias(POSITION[0]),
         F.col("_metadata.file_block_start").alias(POSITION[1]),
         F.monotonically_increasing_id().alias(POSITION[2]),
     ]

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+_PLACE = "_place"
 
 
 def replace_table(df: DataFrame, path: str | None = None, *, table: str | None = None) -> None:
@@ -31,22 +32,22 @@ def _save(writer, path: str | None, table: str | None) -> None:
         writer.parquet(path)
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-
-
-def write_clustered(
-    df: DataFrame, path: str, columns: Sequence[str], *, partitions: int | None = None
+def cluster_table(
+    spark: SparkSession, source: str, target: str, columns: Sequence[str], *, partitions: int | None = None
 ) -> None:
-    """Rewrite rows in ranges of ``columns``, so that Parquet min/max statistics skip files.
+    """Rewrite a Parquet table in ranges of ``columns``, so that min/max statistics skip files.
 
-    The row hash behind the columns lets one frequent value spread over many files; without it a
-    value with a third of all rows would be a single task.
+    A hash of each row's place in the source stands behind the columns, so a value (or a row) that
+    makes up a third of the table spreads over many files. The place is a property of the stored
+    table, so a repeated task sends each row to the same range again.
     """
+    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias(_PLACE)
+    df = spark.read.parquet(source)
     keys = [F.col(c) for c in columns]
-    salt = F.xxhash64(*_hashable(df))
-    ranged = df.repartitionByRange(partitions, *keys, salt) if partitions else df.repartitionByRange(*keys, salt)
-    ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    df = df.select("*", place)
+    ranges = [partitions] if partitions else []
+    ranged = df.repartitionByRange(*ranges, *keys, F.col(_PLACE))
+    ranged.sortWithinPartitions(*keys).drop(_PLACE).write.mode("overwrite").parquet(target)
 
 
 def write_bucketed(df: DataFrame, table: str, column: str, buckets: int) -> None:

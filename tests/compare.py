@@ -34,10 +34,12 @@ def rows_of(columns: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted(tuple(canonical(r[i]) for i in order) for r in rows)
 
 
-def differences(spark, con, sf_dir: str, name: str) -> tuple[str | None, int, float]:
+def differences(spark, con, sf_dir: str, name: str, inspect=None) -> tuple[str | None, int, float]:
     """What differs (None when nothing does), the number of rows, and Spark's seconds."""
     begin = time.time()
     df = QUERIES[name](spark, sf_dir)
+    if inspect:
+        inspect(df)
     got = [tuple(r) for r in df.collect()]
     seconds = time.time() - begin
     cursor = con.execute(ORACLE_SQL[name])

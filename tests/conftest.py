@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -17,6 +18,7 @@ def spark():
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__driver__memory="6g", spark__ui__showConsoleProgress="false",
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="warehouse-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -30,14 +30,6 @@ def settings(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_and_no_pair_joins(spark, sf_dir, name):
-    text = plan(QUERIES[name](spark, sf_dir))
-    for bad in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct",
-                "BroadcastNestedLoopJoin"):
-        assert bad not in text, bad
-
-
 def test_trim_reaches_the_scan(spark, sf_dir):
     assert "GreaterThanOrEqual(o_orderdate" in plan(QUERIES["launch_trim"](spark, sf_dir))
     assert "GreaterThanOrEqual(o_orderdate,ScalarSubquery" in plan(QUERIES["history_window"](spark, sf_dir))
