@@ -46,24 +46,34 @@ CODE_BRANCHES: tuple[CodeBranch, ...] = (
 )
 
 
-def branch_rows(tables: Mapping[str, DataFrame], branch: CodeBranch) -> DataFrame:
-    return tables[branch.table].select(
-        F.lit(branch.vocab).alias("vocab"),
-        varchar(branch.code, CODE_LENGTH).alias("code"),
-        lowered(branch.description).alias("description"),
-    )
-
-
-def code_pairs(tables: Mapping[str, DataFrame], branches: Iterable[CodeBranch]) -> DataFrame:
-    """Distinct (vocab, code, description) of all branches: one union and one shuffle.
+def raw_pairs(tables: Mapping[str, DataFrame], branches: Iterable[CodeBranch]) -> DataFrame:
+    """Distinct (vocab, code, description) as stored: one union and one shuffle.
 
     Each task reduces its rows to the distinct triples before anything is shuffled, which leaves
-    very little of even the largest table.
+    very little of even the largest table. Text is only changed behind this step.
     """
-    rows = [branch_rows(tables, b) for b in branches]
+    rows = [
+        tables[b.table].select(
+            F.lit(b.vocab).alias("vocab"),
+            F.col(b.code).cast("string").alias("code"),
+            # A column without any value may have been typed as a number.
+            F.col(b.description).cast("string").alias("description"),
+        )
+        for b in branches
+    ]
     return reduce(DataFrame.unionByName, rows).distinct()
 
 
+def dictionary_text(pairs: DataFrame) -> DataFrame:
+    """Codes cut to their length, descriptions in lower case."""
+    return pairs.select("vocab", varchar("code", CODE_LENGTH).alias("code"), lowered("description").alias("description"))
+
+
+def code_pairs(tables: Mapping[str, DataFrame], branches: Iterable[CodeBranch]) -> DataFrame:
+    """Distinct (vocab, code, description) of all branches, as they stand in the dictionary."""
+    return dictionary_text(raw_pairs(tables, branches)).distinct()
+
+
 def _smallest() -> Column:
     # min_by and not min: for min the optimizer drops the distinct below it and sorts every row.
     return F.min_by("description", "description")
@@ -87,7 +97,7 @@ def build_codes(
 ) -> DataFrame:
     """The whole dictionary, unique on (vocab, code) and without null codes."""
     branches = list(branches)
-    pairs = code_pairs(tables, branches).where(F.col("code").isNotNull())
+    pairs = dictionary_text(raw_pairs(tables, branches).where(F.col("code").isNotNull()))
     return one_description(pairs, {b.vocab: b.rule for b in branches})
 
 

@@ -39,12 +39,13 @@ def visit_cells(
     )
     ordered = Window.partitionBy(*by).orderBy(F.asc_nulls_first(_CELL))
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.max("_end").over(before) + F.make_interval(days=F.lit(gap_days))
+    reach = F.col("_reach") + F.make_interval(days=F.lit(gap_days))
     opens = F.when(reach.isNull() | (F.col("_start") > reach), 1).otherwise(0)
     return (
-        cells.withColumn("_opens", opens)
+        cells.withColumn("_reach", F.max("_end").over(before))
+        .withColumn("_opens", opens)
         .withColumn(_VISIT, F.sum("_opens").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-        .drop("_opens")
+        .drop("_reach", "_opens")
     )
 
 

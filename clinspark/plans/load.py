@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from clinspark.functions.columns import to_storage
-from clinspark.operators.audit import foreign_keys, key_violations, reference_report
 from clinspark.operators.dedup import dedup_table
 from clinspark.operators.trim import launch_trim
+from clinspark.plans.audit import audit_dataset
 from clinspark.plans.relink import CHANGED, relink_tables
 from clinspark.sources.csv_tables import POSITION, CsvTable, read_table
 from clinspark.sources.notes import read_notes
@@ -70,10 +70,6 @@ def load_dataset(spark: SparkSession, config: LoadConfig) -> dict[str, DataFrame
     for name, df in linked.items():
         changed = name == "patients" or (name in specs and specs[name].orphans in CHANGED)
         result[name] = _stored(df, f"{config.target_dir}/linked/{name}") if changed else df
-    for name, df in result.items():
-        if "id" in df.columns:
-            replace_table(key_violations(df, ["id"]), f"{config.target_dir}/audit/primary_key/{name}")
-    keys = foreign_keys(result)
-    if keys:
-        replace_table(reference_report(result, keys), f"{config.target_dir}/audit/foreign_keys")
+    for name, report in audit_dataset(result).items():
+        replace_table(report, f"{config.target_dir}/audit/{name}")
     return result

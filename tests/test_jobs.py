@@ -107,7 +107,9 @@ def test_reports(spark, loaded):
     assert keys["conditions", "encounter"] == (3, 1, 0)
     assert keys["notes", "patient"] == (1, 0, 0)
     assert all(v[2] == 0 for k, v in keys.items() if k[1] == "encounter")
-    assert spark.read.parquet(f"{out}/audit/primary_key/encounters").count() == 0
+    assert spark.read.parquet(f"{out}/audit/primary_key").count() == 0
+    lengths = {(r[0], r[1]): tuple(r)[2:] for r in spark.read.parquet(f"{out}/audit/lengths").collect()}
+    assert lengths["encounters", "code"] == (32, 3, False)
 
 
 def test_dictionary(loaded):
