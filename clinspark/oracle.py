@@ -85,6 +85,21 @@ def _roll_up(by: str) -> str:
 """
 
 
+_OMOP = """
+  o AS (SELECT o_orderkey AS id, o_custkey AS patient, o_orderdate AS start,
+               CASE o_orderstatus WHEN 'O' THEN 'inpatient' WHEN 'F' THEN 'emergency' ELSE 'wellness' END AS class
+        FROM orders),
+  r AS (SELECT *, max(start) OVER (PARTITION BY patient, class ORDER BY start, id
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM o),
+  g AS (SELECT *, sum(CASE WHEN reach IS NULL OR start > reach + INTERVAL 1 DAY THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY patient, class ORDER BY start, id
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS visit FROM r),
+  v AS (SELECT patient, class, visit, min(start) AS first_start, max(start) AS last_start,
+               row_number() OVER (ORDER BY patient, class, min(start)) AS visit_occurrence_id
+        FROM g GROUP BY patient, class, visit),
+  p AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS person_id FROM customer)
+"""
+
 _TYPES = (
     ("l_orderkey", "bigint", "NULL"), ("code", "string", "32"), ("l_suppkey", "bigint", "NULL"),
     ("l_linenumber", "bigint", "NULL"), ("l_quantity", "double", "NULL"),
@@ -232,4 +247,29 @@ ORACLE_SQL = {
     'RxNorm' AS vocab, CAST(l_partkey AS VARCHAR) AS code, l_shipdate AS start_datetime, l_shipdate AS end_datetime
     FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
     UNION ALL SELECT 'measurement', user_id, NULL, 'LOINC', event_type, ts, ts FROM events""",
+    "provider_lists": """SELECT s_suppkey - 1 AS index, s_suppkey AS npi, s_name AS name, target
+    FROM supplier JOIN (VALUES (1, 'hospice.csv'), (1, 'dialysis.csv'), (2, 'dialysis.csv'),
+      (1, 'hospitals.csv'), (2, 'hospitals.csv')) AS a(n, target) ON s_suppkey = n
+    UNION ALL SELECT c_custkey - 1, c_custkey, c_name, target
+    FROM customer JOIN (VALUES (3, 'rehab.csv'), (5, 'rehab.csv'), (5, 'women.csv')) AS b(n, target)
+      ON c_custkey = n""",
+    "omop_person": """SELECT row_number() OVER (ORDER BY c_custkey) AS person_id,
+    year(birth) AS year_of_birth, month(birth) AS month_of_birth, day(birth) AS day_of_birth,
+    CAST(birth AS TIMESTAMP) AS birth_datetime, CAST(NULL AS DATE) AS death_date,
+    c_custkey AS person_source_value
+    FROM (SELECT c_custkey, DATE '1950-01-01' + CAST(c_custkey % 20000 AS INTEGER) AS birth FROM customer)""",
+    "omop_visit": f"""WITH {_OMOP}
+  SELECT visit_occurrence_id, person_id,
+    CAST(CASE class WHEN 'inpatient' THEN 9201 WHEN 'emergency' THEN 9203 ELSE 9202 END AS BIGINT) AS visit_concept_id,
+    CAST(first_start AS DATE) AS visit_start_date, first_start AS visit_start_datetime,
+    CAST(last_start AS DATE) AS visit_end_date, last_start AS visit_end_datetime
+  FROM v LEFT JOIN p ON patient = c_custkey""",
+    "omop_drug_exposure": f"""WITH {_OMOP}
+  SELECT person_id, CASE WHEN p_size > 25 THEN p_partkey + 1000 ELSE 0 END AS drug_concept_id,
+    CAST(l_shipdate AS DATE) AS drug_exposure_start_date, l_shipdate AS drug_exposure_start_datetime,
+    CAST(l_shipdate AS DATE) AS drug_exposure_end_date, l_shipdate AS drug_exposure_end_datetime,
+    visit_occurrence_id, CAST(l_partkey AS VARCHAR) AS drug_source_value
+  FROM lineitem LEFT JOIN g ON l_orderkey = g.id
+    LEFT JOIN v ON g.patient = v.patient AND g.class = v.class AND g.visit = v.visit
+    LEFT JOIN p ON g.patient = c_custkey LEFT JOIN part ON l_partkey = p_partkey""",
 }

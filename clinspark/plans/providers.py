@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import SparkSession
 
 from clinspark.operators.providers import URGENT_CARE_TARGET, curation_plan, fan_out, urgent_care
@@ -9,20 +11,30 @@ from clinspark.sources.csv_tables import scan_csv
 from clinspark.sources.sinks import write_csv
 
 
-def curate_providers(spark: SparkSession, source_dir: str, target_dir: str, hospitals: str = "MGUH") -> list[str]:
-    """Filter each source list once for all targets it feeds; returns the folders written.
+def curate_lists(
+    spark: SparkSession, source_dir: str, target_dir: str, plan: Iterable[tuple[str, str, Sequence[int]]],
+    *, column: str = "npi",
+) -> list[str]:
+    """Filter lists by a plan of (source, target, provider numbers); returns the folders written.
 
-    The leading index column stays an ordinary first column. Targets are folders of CSV files below
-    ``<target_dir>/<source>/target=<list>``. Lists of another format are not touched.
+    A source is read once for all targets it feeds. The leading index column stays an ordinary first
+    column. Targets are folders of CSV files below ``<target_dir>/<source>/target=<list>``.
     """
-    wanted: dict[str, dict[str, list[int]]] = {}
-    for source, target, numbers in curation_plan(hospitals):
+    wanted: dict[str, dict[str, Sequence[int]]] = {}
+    for source, target, numbers in plan:
         wanted.setdefault(source, {})[target] = numbers
-    written = []
     for source, targets in wanted.items():
         rows = scan_csv(spark, f"{source_dir}/{source}").rows
-        kept = fan_out(rows.withColumn("_npi", rows["npi"].try_cast("bigint")), targets, "_npi").drop("_npi")
-        write_csv(kept, f"{target_dir}/{source}", partition_by=["target"])
-        written += [f"{target_dir}/{source}/target={t}" for t in targets]
+        kept = fan_out(rows.withColumn("_number", rows[column].try_cast("bigint")), targets, "_number")
+        write_csv(kept.drop("_number"), f"{target_dir}/{source}", partition_by=["target"])
+    return [f"{target_dir}/{source}/target={t}" for source, targets in wanted.items() for t in targets]
+
+
+def curate_providers(spark: SparkSession, source_dir: str, target_dir: str, hospitals: str = "MGUH") -> list[str]:
+    """The curated lists for the chosen hospitals, and the urgent care list.
+
+    Lists of another format are not touched.
+    """
+    written = curate_lists(spark, source_dir, target_dir, curation_plan(hospitals))
     write_csv(urgent_care(spark), f"{target_dir}/{URGENT_CARE_TARGET}")
     return [*written, f"{target_dir}/{URGENT_CARE_TARGET}"]

@@ -7,6 +7,7 @@ region = coded tables, supplier = providers, conversations = notes.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ from clinspark.operators.visits import (
     assign_visits, number_visits, roll_up_visits, visit_cells, visit_of_encounter,
 )
 from clinspark.plans.load import load_table
+from clinspark.plans.omop import omop_convert, person_table
+from clinspark.plans.providers import curate_lists
 from clinspark.sources.csv_tables import read_table
 from clinspark.sources.notes import (
     NOTE_END, PATIENT_FOLDER_PATTERN, patient_of_file, read_notes, segment_notes, write_notes,
@@ -264,6 +267,32 @@ def provider_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fan_out(table(spark, sf_dir, "supplier"), targets, "s_suppkey")
 
 
+def provider_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two source lists written as CSV, filtered to five targets, and read back."""
+    staging = Staging(spark)
+    suppliers, customers = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
+    lists = {
+        "hospitals.csv": suppliers.select(
+            (F.col("s_suppkey") - 1).alias("index"), F.col("s_suppkey").alias("npi"), F.col("s_name").alias("name")
+        ),
+        "rehab.csv": customers.select(
+            (F.col("c_custkey") - 1).alias("index"), F.col("c_custkey").alias("npi"), F.col("c_name").alias("name")
+        ),
+    }
+    for source, df in lists.items():
+        write_csv(df, staging.path(f"in/{source}"))
+    plan = [
+        ("hospitals.csv", "hospice.csv", [1]), ("hospitals.csv", "dialysis.csv", [1, 2]),
+        ("hospitals.csv", "hospitals.csv", [1, 2]), ("rehab.csv", "rehab.csv", [3, 5]),
+        ("rehab.csv", "women.csv", [5]),
+    ]
+    curate_lists(spark, staging.path("in"), staging.path("out"), plan)
+    schema = "index bigint, npi bigint, name string, target string"
+    return reduce(DataFrame.unionByName, [
+        spark.read.schema(schema).csv(staging.path(f"out/{source}"), header=True) for source in lists
+    ])
+
+
 def drop_null_encounter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_null_encounter(reassign_orphans_query(spark, sf_dir))
 
@@ -486,6 +515,52 @@ def event_union_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_union({"lineitem": lines, "events": table(spark, sf_dir, "events")}, sources)
 
 
+def _clinical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Patients, encounters and medications under the column names of the clinical tables."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("encounter"), F.col("l_partkey").alias("code"),
+        F.col("l_shipdate").alias("start"), F.col("l_shipdate").alias("stop"),
+    )
+    visits = encounters(spark, sf_dir)
+    owner = visits.select(F.col("id").alias("_id"), "patient")
+    return {
+        "patients": table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("id"),
+            F.date_add(F.lit("1950-01-01").cast("date"), (F.col("c_custkey") % 20000).cast("int")).alias("birthdate"),
+            F.lit(None).cast("date").alias("deathdate"),
+        ),
+        "encounters": visits.select(
+            "id", "patient", "start", "stop",
+            F.when(F.col("class") == "O", "inpatient").when(F.col("class") == "F", "emergency")
+            .otherwise("wellness").alias("encounterclass"),
+        ),
+        "medications": lines.join(owner, F.col("encounter") == F.col("_id"), "left").drop("_id"),
+    }
+
+
+def _concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").where(F.col("p_size") > 25).select(
+        F.lit("RxNorm").alias("vocabulary_id"), F.col("p_partkey").cast("string").alias("concept_code"),
+        (F.col("p_partkey") + 1000).alias("concept_id"),
+    )
+
+
+def _omop(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
+    return omop_convert(_clinical_tables(spark, sf_dir), _concepts(spark, sf_dir), Staging(spark))[target]
+
+
+def omop_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return person_table(_clinical_tables(spark, sf_dir)["patients"], Staging(spark))
+
+
+def omop_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _omop(spark, sf_dir, "visit_occurrence")
+
+
+def omop_drug_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _omop(spark, sf_dir, "drug_exposure")
+
+
 QUERIES = {
     "relink": relink,
     "csv_scan": csv_scan,
@@ -507,6 +582,7 @@ QUERIES = {
     "history_window": history_window_query,
     "npi_filter": npi_filter,
     "provider_plan": provider_plan,
+    "provider_lists": provider_lists,
     "drop_null_encounter": drop_null_encounter_query,
     "rename_roundtrip": rename_roundtrip,
     "cast_codes": cast_codes_query,
@@ -536,4 +612,7 @@ QUERIES = {
     "visit_assign": visit_assign,
     "concept_map": concept_map,
     "event_union": event_union_query,
+    "omop_person": omop_person,
+    "omop_visit": omop_visit,
+    "omop_drug_exposure": omop_drug_exposure,
 }
