@@ -145,7 +145,7 @@ ORACLE_SQL = {
     p_brand AS vocabulary_id, p_type AS concept_class_id,
     CASE WHEN p_size > 25 THEN 'S' END AS standard_concept, CAST(p_partkey AS VARCHAR) AS concept_code,
     DATE '1970-01-01' + p_size AS valid_start_date, DATE '2099-12-31' AS valid_end_date,
-    CAST(NULL AS VARCHAR) AS invalid_reason FROM part""",
+    CASE WHEN p_size = 1 THEN 'D' END AS invalid_reason FROM part""",
     "layout_roundtrip": "SELECT * FROM lineitem",
     "load_table": """SELECT id, code, supplier, base_cost, description, start FROM (
     SELECT l_orderkey || '-' || l_linenumber AS id, CAST(l_partkey AS VARCHAR) AS code,
@@ -255,8 +255,7 @@ ORACLE_SQL = {
       ON c_custkey = n""",
     "omop_person": """SELECT row_number() OVER (ORDER BY c_custkey) AS person_id,
     year(birth) AS year_of_birth, month(birth) AS month_of_birth, day(birth) AS day_of_birth,
-    CAST(birth AS TIMESTAMP) AS birth_datetime, CAST(NULL AS DATE) AS death_date,
-    c_custkey AS person_source_value
+    CAST(birth AS TIMESTAMP) AS birth_datetime, c_custkey AS person_source_value
     FROM (SELECT c_custkey, DATE '1950-01-01' + CAST(c_custkey % 20000 AS INTEGER) AS birth FROM customer)""",
     "omop_visit": f"""WITH {_OMOP}
   SELECT visit_occurrence_id, person_id,

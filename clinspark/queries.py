@@ -211,7 +211,7 @@ def vocab_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").cast("string").alias("concept_code"),
         F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.col("p_size")), "yyyyMMdd").alias("valid_start_date"),
         F.lit("20991231").alias("valid_end_date"),
-        F.lit(None).cast("string").alias("invalid_reason"),
+        F.when(F.col("p_size") == 1, F.lit("D")).alias("invalid_reason"),
     )
     write_csv(concepts, f"{folder}/CONCEPT.csv", sep="\t")
     return load_vocabulary(spark, folder, ["concept"])["concept"]
@@ -550,7 +550,7 @@ def _omop(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
 
 
 def omop_person(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return person_table(_clinical_tables(spark, sf_dir)["patients"], Staging(spark))
+    return person_table(_clinical_tables(spark, sf_dir)["patients"], Staging(spark)).drop("death_date")
 
 
 def omop_visit(spark: SparkSession, sf_dir: str) -> DataFrame:

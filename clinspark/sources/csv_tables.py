@@ -106,11 +106,12 @@ def infer_types(df: DataFrame, columns: Iterable[str]) -> dict[str, str]:
     checks = []
     for i, name in enumerate(columns):
         text = F.col(f"`{name}`")
-        absent = text.isNull()
+        absent, whole = text.isNull(), text.try_cast("bigint").isNotNull()
+        # A whole number too long for bigint would lose digits as a double, so it stays text.
         checks += [
             F.count(text).alias(f"n{i}"),
-            F.bool_and(absent | text.try_cast("bigint").isNotNull()).alias(f"long{i}"),
-            F.bool_and(absent | text.rlike(_NUMBER)).alias(f"double{i}"),
+            F.bool_and(absent | whole).alias(f"long{i}"),
+            F.bool_and(absent | whole | (text.rlike(_NUMBER) & text.rlike("[.eE]"))).alias(f"double{i}"),
             F.bool_and(absent | text.rlike(_TRUTH)).alias(f"bool{i}"),
         ]
     found = df.agg(*checks).first()

@@ -60,11 +60,13 @@ def test_extra_field_that_is_empty_is_rejected_too(spark, tmp_path):
 
 def test_infer_types(spark):
     df = spark.createDataFrame(
-        [("1", "1.5", "True", None, "55822004D", "1"), ("-2", "2e3", "false", None, "1", "x")],
-        "a string, b string, c string, d string, e string, f string",
+        [("1", "1.5", "True", None, "55822004D", "1", "12345678901234567890123"),
+         ("-2", "2", "false", None, "1", "x", "1")],
+        "a string, b string, c string, d string, e string, f string, g string",
     )
     assert infer_types(df, df.columns) == {
-        "a": "bigint", "b": "double", "c": "boolean", "d": "double", "e": "string", "f": "string"}
+        "a": "bigint", "b": "double", "c": "boolean", "d": "double", "e": "string", "f": "string",
+        "g": "string"}
 
 
 def test_pinned_types_skip_inference(spark, tmp_path):
