@@ -12,7 +12,7 @@ from clinspark.operators.trim import launch_trim
 from clinspark.plans.audit import audit_dataset
 from clinspark.plans.relink import CHANGED, relink_tables
 from clinspark.sources.csv_tables import POSITION, CsvTable, read_table
-from clinspark.sources.notes import read_notes
+from clinspark.sources.notes import Notes, read_notes
 from clinspark.sources.sinks import replace_table
 from clinspark.spec import LoadConfig, TableSpec
 from clinspark.staging import Staging
@@ -42,19 +42,25 @@ def load_tables(spark: SparkSession, config: LoadConfig) -> dict[str, DataFrame]
             spark, f"{config.source_dir}/csv/{spec.name}.csv", spec, config.launch_date,
             open_ended=config.open_ended, observation=seen,
         )
-        loaded[spec.name] = _stored(table.rows, f"{config.target_dir}/loaded/{spec.name}")
-        # The source is parsed once more only if there is something to set aside.
-        rejects = table.rejects if seen.get["n_rejected"] else table.rejects.limit(0)
-        replace_table(rejects, f"{config.target_dir}/rejects/{spec.name}")
+        loaded[spec.name] = _stored_with_rejects(table, seen, spec.name, config)
     if config.include_notes:
+        seen = Observation()
         notes = read_notes(
-            spark, f"{config.source_dir}/notes", keep_unterminated=config.keep_unterminated_notes
+            spark, f"{config.source_dir}/notes", keep_unterminated=config.keep_unterminated_notes,
+            observation=seen,
         )
-        loaded["notes"] = _stored(notes.rows, f"{config.target_dir}/loaded/notes")
-        replace_table(notes.rejects, f"{config.target_dir}/rejects/notes")
+        loaded["notes"] = _stored_with_rejects(notes, seen, "notes", config)
     return loaded
 
 
+def _stored_with_rejects(table: CsvTable | Notes, seen: Observation, name: str, config: LoadConfig) -> DataFrame:
+    """Store rows and rejects; the source is parsed again only if there is something to set aside."""
+    rows = _stored(table.rows, f"{config.target_dir}/loaded/{name}")
+    rejects = table.rejects if seen.get["n_rejected"] else table.rejects.limit(0)
+    replace_table(rejects, f"{config.target_dir}/rejects/{name}")
+    return rows
+
+
 def _stored(df: DataFrame, path: str) -> DataFrame:
     replace_table(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

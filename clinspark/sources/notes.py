@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clinspark.functions.dates import parse_strict_date
@@ -31,22 +31,33 @@ def patient_of_file(file_name: Column | str, pattern: str = PATIENT_PATTERN, gro
     return F.when(file_name.rlike(pattern), F.regexp_extract(file_name, pattern, group))
 
 
+def _found_notes(text: Column, keep_unterminated: bool) -> Column:
+    """All notes of a document, whole, as an array."""
+    plain = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    if keep_unterminated:
+        plain = F.concat(plain, F.lit(NOTE_END))
+    return F.regexp_extract_all(plain, F.lit(NOTE_PATTERN), F.lit(0))
+
+
+def _header(note: str) -> Column:
+    # A header is one line, so the first blank line of a note is the end of its header.
+    return F.substring_index(note, HEADER_END, 1)
+
+
+def _body(note: str) -> Column:
+    begin = F.length(_header(note)) + len(HEADER_END) + 1
+    return F.substr(note, begin, F.length(note) - begin + 1 - len(NOTE_END))
+
+
 def segment_notes(docs: DataFrame, *, text: str = "text", keep_unterminated: bool = False) -> DataFrame:
     """One row per note of every document: the header line as ``header`` and the ``note_text``.
 
     A note is a line that begins with a date, a blank line, a body that may hold blank lines, and
     four line ends. A last note without them is left out unless ``keep_unterminated``.
     """
-    plain = F.regexp_replace(F.col(text), "\r\n?", "\n")
-    if keep_unterminated:
-        plain = F.concat(plain, F.lit(NOTE_END))
-    # A header is one line, so the first blank line of a match is the end of its header.
-    note = F.explode(F.regexp_extract_all(plain, F.lit(NOTE_PATTERN), F.lit(0))).alias("_note")
-    header = F.substring_index("_note", HEADER_END, 1)
-    begin = F.length("header") + len(HEADER_END) + 1
-    body = F.substr("_note", begin, F.length("_note") - begin + 1 - len(NOTE_END))
     others = [c for c in docs.columns if c != text]
-    return docs.select(*others, note).withColumn("header", header).select(*others, "header", body.alias("note_text"))
+    found = docs.select(*others, F.explode(_found_notes(F.col(text), keep_unterminated)).alias("_note"))
+    return found.select(*others, _header("_note").alias("header"), _body("_note").alias("note_text"))
 
 
 def read_notes(
@@ -57,33 +68,46 @@ def read_notes(
     group: int = 2,
     match_path: bool = False,
     keep_unterminated: bool = False,
+    observation: Observation | None = None,
 ) -> Notes:
     """All note files of a folder in one distributed scan, as (date, note_text, patient).
 
     The patient id comes from the file name (or, with ``match_path``, from the whole path). Files
-    without an id and notes whose header is more than a date go to ``rejects``.
+    without an id and notes whose header is more than a date go to ``rejects``. An ``observation``
+    learns ``n_rejected`` from the first job that reads ``rows``.
     """
+    name = F.col("_metadata.file_path") if match_path else F.col("_metadata.file_name")
     files = (
         spark.read.option("recursiveFileLookup", True)
         .text(path, wholetext=True)
         .select(
             F.col("value").alias("text"),
             F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_name").alias("file_name"),
+            patient_of_file(name, pattern, group).alias("patient"),
+        )
+    )
+    unnamed = F.col("patient").isNull()
+    # A file without an id is handed on whole, so that one scan finds both kinds of rejects.
+    parts = F.when(unnamed, F.array("text")).otherwise(_found_notes(F.col("text"), keep_unterminated))
+    notes = (
+        files.select("file", "patient", F.explode(parts).alias("_note"))
+        .select(
+            "file", "patient",
+            F.when(~unnamed, _header("_note")).alias("header"),
+            F.when(unnamed, F.col("_note")).otherwise(_body("_note")).alias("note_text"),
+        )
+        .withColumn("date", parse_strict_date("header"))
+        .withColumn(
+            "reason",
+            F.when(unnamed, "no patient id in the file name").when(F.col("date").isNull(), "header is not a date"),
         )
-        .withColumn("patient", patient_of_file("file" if match_path else "file_name", pattern, group))
-        .drop("file_name")
     )
-    notes = segment_notes(files.where(F.col("patient").isNotNull()), keep_unterminated=keep_unterminated)
-    notes = notes.withColumn("date", parse_strict_date("header"))
-    reject = F.struct("file", "reason", "header", "note_text")
-    unnamed = files.where(F.col("patient").isNull()).select(
-        "file", F.lit("no patient id in the file name").alias("reason"),
-        F.lit(None).cast("string").alias("header"), F.col("text").alias("note_text"),
+    if observation:
+        notes = notes.observe(observation, F.count("reason").alias("n_rejected"))
+    return Notes(
+        notes.where(F.col("reason").isNull()).select("date", "note_text", "patient"),
+        notes.where(F.col("reason").isNotNull()).select("file", "reason", "header", "note_text"),
     )
-    undated = notes.where(F.col("date").isNull()).withColumn("reason", F.lit("header is not a date"))
-    rejects = unnamed.select(reject.alias("r")).unionByName(undated.select(reject.alias("r"))).select("r.*")
-    return Notes(notes.where(F.col("date").isNotNull()).select("date", "note_text", "patient"), rejects)
 
 
 def write_notes(
