@@ -23,8 +23,11 @@ MISSING_TEXTS = (
 POSITION = ("_source_file", "_source_block", "_source_row")
 
 _BAD_LINE = "_bad_line"
+_SHORT_WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
+_LONG_WHOLE = r"^\s*[+-]?\d{19,}\s*$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _TRUTH = r"^(True|TRUE|true|False|FALSE|false)$"
+_WHOLE, _FRACTION, _BOOLEAN, _TEXT = 1, 2, 4, 8
 
 
 @dataclass(frozen=True)
@@ -98,36 +101,36 @@ def drop_position(df: DataFrame) -> DataFrame:
 def infer_types(df: DataFrame, columns: Iterable[str]) -> dict[str, str]:
     """Narrowest of bigint, double, boolean and string that holds every value of a text column.
 
-    One aggregation over all rows and columns: no sample, and no shuffle beyond one row per task.
+    One aggregation over all rows and columns: no sample, and what is shuffled is one row per task
+    and column. The columns are turned into rows first, because one aggregate per column would make
+    generated code too long for the JVM to compile.
     """
     columns = list(columns)
     if not columns:
         return {}
-    checks = []
-    for i, name in enumerate(columns):
-        text = F.col(f"`{name}`")
-        absent, whole = text.isNull(), text.try_cast("bigint").isNotNull()
-        # A whole number too long for bigint would lose digits as a double, so it stays text.
-        checks += [
-            F.count(text).alias(f"n{i}"),
-            F.bool_and(absent | whole).alias(f"long{i}"),
-            F.bool_and(absent | whole | (text.rlike(_NUMBER) & text.rlike("[.eE]"))).alias(f"double{i}"),
-            F.bool_and(absent | text.rlike(_TRUTH)).alias(f"bool{i}"),
-        ]
-    found = df.agg(*checks).first()
-    types = {}
-    for i, name in enumerate(columns):
-        if found[f"n{i}"] == 0:
-            types[name] = "double"
-        elif found[f"long{i}"]:
-            types[name] = "bigint"
-        elif found[f"double{i}"]:
-            types[name] = "double"
-        elif found[f"bool{i}"]:
-            types[name] = "boolean"
-        else:
-            types[name] = "string"
-    return types
+    value = F.col("value")
+    # Patterns come before the cast, since a failing try_cast costs far more than a pattern. A whole
+    # number too long for bigint would lose digits as a double, so it stays text.
+    kind = (
+        F.when(value.rlike(_SHORT_WHOLE), _WHOLE)
+        .when(value.rlike(_LONG_WHOLE), F.when(value.try_cast("bigint").isNotNull(), _WHOLE).otherwise(_TEXT))
+        .when(value.rlike(_NUMBER), _FRACTION)
+        .when(value.rlike(_TRUTH), _BOOLEAN)
+        .otherwise(_TEXT)
+    )
+    values = df.select(F.posexplode(F.array(*[F.col(f"`{c}`") for c in columns])).alias("column", "value"))
+    found = values.where(value.isNotNull()).groupBy("column").agg(F.bit_or(kind).alias("kinds"))
+    kinds = {row["column"]: row["kinds"] for row in found.collect()}
+    return {c: _type_of(kinds.get(i, 0)) for i, c in enumerate(columns)}
+
+
+def _type_of(kinds: int) -> str:
+    """Type for the kinds of values seen; a column without values becomes a number."""
+    if kinds == _WHOLE:
+        return "bigint"
+    if kinds == _BOOLEAN:
+        return "boolean"
+    return "double" if kinds in (0, _FRACTION, _WHOLE | _FRACTION) else "string"
 
 
 def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
