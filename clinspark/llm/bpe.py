@@ -18,20 +18,21 @@ from __future__ import annotations
 
 import base64
 import codecs
+import struct
 from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clinspark.llm.common import PerWorker
+from clinspark.llm.common import PerWorker, Work, append_columns
 
-#: More states or remembered pieces than this and they are made anew; results do not change.
-MAX_STATES = 250_000
-MAX_PIECES = 500_000
+#: More states than this and all are made anew; pieces that were last seen more than this many other pieces ago
+#: are forgotten. Neither changes a result.
+MAX_STATES = 120_000
+MAX_PIECES = 150_000
 #: Bytes of one piece after which the tokens that are certain leave the transducer.
 LOOKAHEAD = 1024
 _NODE_BITS = 20
@@ -196,19 +197,24 @@ class Encoder:
 
     def __init__(self, ranks: Ranks, pattern: str) -> None:
         self.find, self.fst = regex.compile(pattern).findall, Transducer(ranks)
-        self.packed: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def piece(self, text: str) -> bytes:
-        packed = np.array(self.fst.encode(text.encode("utf-8", "replace")), "<u4").tobytes()
+        packed = self.older.get(text) or struct.pack(
+            f"<{len(ids := self.fst.encode(text.encode('utf-8', 'replace')))}I", *ids)
         if len(text) <= 32:
-            if len(self.packed) > MAX_PIECES:
-                self.packed.clear()
-            self.packed[text] = packed
+            if len(self.recent) >= MAX_PIECES:
+                self.recent, self.older = {}, self.recent
+            self.recent[text] = packed
         return packed
 
     def encode(self, text: str | None) -> bytes:
-        known, piece = self.packed.get, self.piece
-        return b"".join([known(p) or piece(p) for p in self.find(text or "")])
+        pieces, piece = self.find(text or ""), self.piece
+        for start in range(0, len(pieces), 4096):  # pieces remembered now serve the rest of a long text
+            known = self.recent.get
+            pieces[start:start + 4096] = [known(p) or piece(p) for p in pieces[start:start + 4096]]
+        return b"".join(pieces)
 
 
 class Decoder:
@@ -242,36 +248,54 @@ class Decoder:
         if pending:
             yield "\ufffd"
 
-    def decode(self, packed: bytes) -> tuple[bytes, str]:
+    def decode(self, packed: bytes) -> str:
         tokens = np.frombuffer(packed, "<u4").tolist()
         try:  # no token leaves a character incomplete: the automaton stays in its first state
-            text = "".join(map(self.whole.__getitem__, tokens))
-            return text.encode(), text
+            return "".join(map(self.whole.__getitem__, tokens))
         except KeyError:
-            return b"".join(map(self.token_bytes.__getitem__, tokens)), "".join(self.stream(tokens))
+            return "".join(self.stream(tokens))
 
 
-def bpe_encode(docs: DataFrame, ranks: Ranks, pattern: str, *, text: str = "text", out: str = "tokens") -> DataFrame:
-    """``docs`` with the column ``out``: the packed tokens of each whole text (replaces one of that name)."""
-    machine = PerWorker(docs.sparkSession, ranks, partial(Encoder, pattern=pattern))
+def _encoding(machine: PerWorker) -> Work:
+    encode = machine().encode
+    return lambda texts: [[encode(t) for t in texts]]
+
+
+def _decoding(machine: PerWorker) -> Work:
+    decode = machine().decode
+    return lambda packed: [[decode(p or b"") for p in packed]]
+
+
+def _both(machine: PerWorker) -> Work:
+    encoder, decoder = machine()
 
-    @F.pandas_udf("binary")
-    def encoded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = machine().encode
-        for part in parts:
-            yield part.map(encode)
+    def work(texts: list[str | None]) -> list[list]:
+        packed = [encoder.encode(t) for t in texts]
+        return [packed, [decoder.decode(p) for p in packed]]
 
-    return docs.withColumn(out, encoded(F.coalesce(F.col(text), F.lit(""))))
+    return work
+
+
+def _pair(ranks: Ranks, pattern: str) -> tuple[Encoder, Decoder]:
+    return Encoder(ranks, pattern), Decoder(ranks)
+
+
+def bpe_encode(docs: DataFrame, ranks: Ranks, pattern: str, *, text: str = "text", out: str = "tokens") -> DataFrame:
+    """``docs`` with the binary column ``out``: the packed tokens of each whole text."""
+    machine = PerWorker(docs.sparkSession, ranks, partial(Encoder, pattern=pattern))
+    return append_columns(docs, text, [T.StructField(out, T.BinaryType())], partial(_encoding, machine))
 
 
 def bpe_decode(tokens: DataFrame, ranks: Ranks, *, packed: str = "tokens", out: str = "decoded") -> DataFrame:
-    """``tokens`` with the column ``out``, a struct of ``raw`` (the bytes) and ``text`` (decoded as a stream)."""
+    """``tokens`` with the string column ``out``: the packed tokens decoded as a stream."""
     machine = PerWorker(tokens.sparkSession, ranks, Decoder)
+    return append_columns(tokens, packed, [T.StructField(out, T.StringType())], partial(_decoding, machine))
 
-    @F.pandas_udf("raw binary, text string")
-    def decoded(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        decoder = machine()
-        for part in parts:
-            yield pd.DataFrame([decoder.decode(p) for p in part], columns=["raw", "text"])
 
-    return tokens.withColumn(out, decoded(F.coalesce(F.col(packed), F.lit(b""))))
+def bpe_round_trip(
+    docs: DataFrame, ranks: Ranks, pattern: str, *, text: str = "text", tokens: str = "tokens", out: str = "decoded"
+) -> DataFrame:
+    """``bpe_decode`` after ``bpe_encode``, in one pass over the texts."""
+    machine = PerWorker(docs.sparkSession, ranks, partial(_pair, pattern=pattern))
+    fields = [T.StructField(tokens, T.BinaryType()), T.StructField(out, T.StringType())]
+    return append_columns(docs, text, fields, partial(_both, machine))

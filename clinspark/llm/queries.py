@@ -26,13 +26,12 @@ def tokenizer() -> tuple[bpe.Ranks, str]:
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded, and its tokens decoded again."""
     ranks, pattern = tokenizer()
-    tokens = bpe.bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern)
-    decoded = bpe.bpe_decode(tokens.select("doc_id", "tokens"), ranks)
-    return decoded.select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.bpe_round_trip(docs, ranks, pattern).select(
         "doc_id",
         (F.octet_length("tokens") / 4).cast("long").alias("n_tokens"),
         F.sha2("tokens", 256).alias("ids_sha256"),
-        F.sha2("decoded.raw", 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
