@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinspark.llm import bpe
+from clinspark.llm import bpe, fm_index, html_text, line_dedup, simhash
+from clinspark.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,18 @@ def tokenizer() -> tuple[bpe.Ranks, str]:
     return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
 
 
+def op6_patience_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every whole document without the blocks that an earlier one has."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = line_dedup.dedup_lines(docs, Staging(spark))
+    return left.select(
+        "doc_id",
+        F.coalesce(F.size("line_dedup.deleted"), F.lit(0)).cast("long").alias("n_deleted"),
+        F.coalesce("line_dedup.words_deleted", F.lit(0)).cast("long").alias("words_deleted"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded, and its tokens decoded again."""
     ranks, pattern = tokenizer()
@@ -35,7 +48,36 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every whole document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), Staging(spark))
+    return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
+
+
+def op3_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every whole document shares with the benchmark's windows of ten words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = fm_index.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "leak.n_words", "leak.n_hit",
+        F.size("leak.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("leak.items", ","), 256).alias("items_sha256"),
+        (F.col("leak.n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op9_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every whole page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_bk_trees": op1_bk_trees,
+    "op3_fm_index": op3_fm_index,
+    "op6_patience_lines": op6_patience_lines,
+    "op9_text_density": op9_text_density,
     "op8_bpe_round_trip": op8_bpe_round_trip,
 }
 
