@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinspark.llm import bpe, fm_index, html_text, line_dedup, simhash
+from clinspark.llm import bpe, fm_index, html_text, line_dedup, simhash, toxicity
 from clinspark.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,16 @@ def tokenizer() -> tuple[bpe.Ranks, str]:
     return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
 
 
+def op5_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, machine).select(
+        "doc_id", toxicity.held_out().alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op6_patience_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every whole document without the blocks that an earlier one has."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -76,6 +86,7 @@ def op9_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bk_trees": op1_bk_trees,
     "op3_fm_index": op3_fm_index,
+    "op5_string_kernel": op5_string_kernel,
     "op6_patience_lines": op6_patience_lines,
     "op9_text_density": op9_text_density,
     "op8_bpe_round_trip": op8_bpe_round_trip,
