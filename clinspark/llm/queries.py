@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinspark.llm import bpe, fm_index, html_text, line_dedup, simhash, toxicity
+from clinspark.llm import bpe, fm_index, html_text, lattice, line_dedup, simhash, toxicity
 from clinspark.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,12 @@ def op1_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op2_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding."""
+    found = lattice.near_vectors(table(spark, sf_dir, "embeddings"), Staging(spark))
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
 def op3_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every whole document shares with the benchmark's windows of ten words."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -85,6 +91,7 @@ def op9_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bk_trees": op1_bk_trees,
+    "op2_e8_lattice": op2_e8_lattice,
     "op3_fm_index": op3_fm_index,
     "op5_string_kernel": op5_string_kernel,
     "op6_patience_lines": op6_patience_lines,
