@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinspark.llm import bpe, fm_index, html_text, lattice, line_dedup, simhash, toxicity
+from clinspark.llm import bpe, fm_index, html_text, lattice, licenses, line_dedup, pseudo_likelihood, quotes, simhash, toxicity
 from clinspark.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,14 @@ def tokenizer() -> tuple[bpe.Ranks, str]:
     return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
 
 
+def op4_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threads of the whole conversations, sent as mails that quote the turns before them."""
+    messages = quotes.as_replies(table(spark, sf_dir, "conversations"))
+    return quotes.link_quotes(messages, Staging(spark)).select(
+        "conv_id", "turn", "role", "own_text", "n_quotes", "n_linked", "to_conv", "to_turn", "thread_conv", "thread_turn",
+        "depth")
+
+
 def op5_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -46,6 +54,13 @@ def op6_patience_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_masked_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-likelihood of every whole document under a network trained on all of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = pseudo_likelihood.train(docs, Staging(spark))
+    return pseudo_likelihood.score(docs, network).select("doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood")
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded, and its tokens decoded again."""
     ranks, pattern = tokenizer()
@@ -89,14 +104,26 @@ def op9_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents, filed by source and language."""
+    files = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("path"),
+        "text")
+    return licenses.scan_licences(files, Staging(spark)).select(
+        "doc_id", "path", "own_licence", "own_score", "inherited_licence", "inherited_from", "licence")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bk_trees": op1_bk_trees,
     "op2_e8_lattice": op2_e8_lattice,
     "op3_fm_index": op3_fm_index,
+    "op4_quotation_links": op4_quotation_links,
     "op5_string_kernel": op5_string_kernel,
     "op6_patience_lines": op6_patience_lines,
-    "op9_text_density": op9_text_density,
+    "op7_masked_window": op7_masked_window,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_text_density": op9_text_density,
+    "op10_licence_scan": op10_licence_scan,
 }
 
 #: DuckDB SQL of those that SQL can express.
