@@ -179,8 +179,11 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float,
 def _bags(texts: list[str | None]) -> list[list[str]]:
     counts, units = split_units(texts)
     ends = np.cumsum(counts)
-    flat = units.to_pylist()
-    return [sorted({w for u in flat[e - c:e] for w in windows(u)}) for c, e in zip(counts.tolist(), ends.tolist())]
+    coded = units.dictionary_encode()
+    numbers = coded.indices.to_numpy(zero_copy_only=False)
+    parts = [windows(u) for u in coded.dictionary.to_pylist()]  # one string for all texts
+    return [sorted({w for u in np.unique(numbers[e - c:e]) for w in parts[u]})
+            for c, e in zip(counts.tolist(), ends.tolist())]
 
 
 def variants(unit: str) -> list[str]:
@@ -254,7 +257,7 @@ def fit_bags(bags: list[list[str]], own: np.ndarray, landmarks: int, rounds: int
     there = np.unique(numbers[values > 0])
     place = np.full(1 << _TABLE_BITS, len(there), np.int64)
     place[there] = np.arange(len(there))
-    dense = np.zeros((len(there) + 1, len(marks)))
+    dense = np.zeros((len(there) + 1, len(marks)), np.float32)
     which = np.broadcast_to(np.arange(len(marks))[:, None], numbers.shape)
     np.add.at(dense, (place[numbers], which), np.where(values > 0, values, 0))
     dense[-1] = 0
@@ -263,8 +266,8 @@ def fit_bags(bags: list[list[str]], own: np.ndarray, landmarks: int, rounds: int
 
     def features(of: list[str]) -> np.ndarray:
         out = np.zeros((len(of), len(marks)))
-        for start in range(0, len(of), 2048):
-            n, v = subsequences(of[start:start + 2048])
+        for start in range(0, len(of), 256):
+            n, v = subsequences(of[start:start + 256])
             row, column = np.nonzero((place[n] < len(there)) & (v > 0))
             by = np.flatnonzero(np.diff(row, prepend=-1))
             if len(row):
@@ -278,9 +281,6 @@ def fit_bags(bags: list[list[str]], own: np.ndarray, landmarks: int, rounds: int
     clear = rate[1] > 20 * rate[0]
     candidates = np.unique(np.concatenate(tox_rows)) if tox_rows else np.array([], np.int64)
     candidates = candidates[odds[candidates] > 0]
-    held = features([units[i] for i in candidates])
-    at = np.full(len(units), -1)
-    at[candidates] = np.arange(len(candidates))
     # All occurrences in toxic texts, and too many for chance.
     sure = np.flatnonzero(clear & ((seen[1] - 5 * seen[0]) * np.log(own.mean()) < np.log(1e-4))).tolist()
     positive, w, table = set(sure), np.zeros(base.shape[1]), np.zeros(1 << _TABLE_BITS, np.float32)
@@ -293,20 +293,21 @@ def fit_bags(bags: list[list[str]], own: np.ndarray, landmarks: int, rounds: int
         disguised = [(v, 2 * a / (len(units[g]) - 1)) for g, a in zip(good, up) for v in variants(units[g])
                      if v not in number and len(v) <= LONGEST]
         up = np.concatenate([up, [a for _, a in disguised]])
-        x = np.vstack([held[at[good]], features([v for v, _ in disguised]), base])
+        x = np.vstack([features([units[g] for g in good] + [v for v, _ in disguised]), base])
         y = np.concatenate([np.ones(len(up)), -np.ones(len(base))])
         weight = np.concatenate([up / up.sum(), down / down.sum()]) * len(y)
         w = fit_linear(x, y, weight, penalty=1e-5 * len(y))
-        margin = np.full(len(units), -9.0)
-        margin[candidates] = held @ w
         # Rare clean units that come close to a toxic one teach too.
         table = np.zeros(1 << _TABLE_BITS, np.float32)
         table[there] = (dense[:-1] @ (white @ w[:-1])).astype(np.float32)
         rest = np.setdiff1d(clean, negative)
-        close = Machine(table, float(w[-1])).margins([units[i] for i in rest])
+        machine = Machine(table, float(w[-1]))
+        close = machine.margins([units[i] for i in rest])
         hard = rest[np.argsort(-close, kind="stable")[:2000]]
         negative = np.concatenate([negative, hard])
         base = np.vstack([base, features([units[i] for i in hard])])
+        margin = np.full(len(units), -9.0)
+        margin[candidates] = machine.margins([units[i] for i in candidates])
         positive = {*sure, *np.flatnonzero((margin > 0.3) & clear & (seen[1] > 1)).tolist()}
         for row in tox_rows:  # a text that nothing explains yet is held to its strongest unit, unless that is far off
             if len(row) and not positive.intersection(row.tolist()) and margin[row].max() > -0.5:
