@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinspark.functions.dates import DATE_ONLY_COLUMNS
-from clinspark.functions.text import varchar
 from clinspark.spec import FOREIGN_KEYS
 
 # Declared text lengths.
@@ -50,9 +49,9 @@ def is_code_column(name: str) -> bool:
     return name in KEY_COLUMNS or "code" in name or name.startswith("diagnosis")
 
 
-def cast_codes(df: DataFrame, columns: Iterable[str], length: int = CODE_LENGTH) -> DataFrame:
-    """Listed columns as text of a bounded length."""
-    return df.withColumns({c: varchar(c, length) for c in columns})
+def cast_codes(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Listed columns as text. Whole values: two long codes never become one; the length audit names them."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
 
 
 def drop_descriptions(df: DataFrame, vocab: str, descriptions: Sequence[str] = ("description",)) -> DataFrame:

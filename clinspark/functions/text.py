@@ -6,11 +6,5 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def varchar(column: Column | str, length: int) -> Column:
-    """Explicit cast to a bounded text: longer values are cut, as SQL's explicit cast does."""
-    column = F.col(column) if isinstance(column, str) else column
-    return F.substring(column.cast("string"), 1, length)
-
-
 def lowered(column: Column | str) -> Column:
     return F.lower(column)

@@ -9,8 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinspark.functions.columns import CODE_LENGTH
-from clinspark.functions.text import lowered, varchar
+from clinspark.functions.text import lowered
 
 SMALLEST_RULE = "smallest"
 LONGEST_RULE = "longest"
@@ -65,8 +64,8 @@ def raw_pairs(tables: Mapping[str, DataFrame], branches: Iterable[CodeBranch]) -
 
 
 def dictionary_text(pairs: DataFrame) -> DataFrame:
-    """Codes cut to their length, descriptions in lower case."""
-    return pairs.select("vocab", varchar("code", CODE_LENGTH).alias("code"), lowered("description").alias("description"))
+    """Whole codes, as the tables hold them, and descriptions in lower case."""
+    return pairs.select("vocab", "code", lowered("description").alias("description"))
 
 
 def code_pairs(tables: Mapping[str, DataFrame], branches: Iterable[CodeBranch]) -> DataFrame:

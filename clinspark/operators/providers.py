@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # National provider numbers of the hospitals an option selects.
@@ -40,9 +40,6 @@ URGENT_CARE_SCHEMA = (
     "LAT double, LON double"
 )
 
-#: A provider list of this many numbers is written into the filter; a longer one is joined.
-INLINE_NUMBERS = 1_000
-
 
 def hospital_numbers(option: str) -> list[int]:
     """Provider numbers for ``both``, one hospital's name, or its alias."""
@@ -59,15 +56,24 @@ def curation_plan(option: str) -> list[tuple[str, str, list[int]]]:
     return [(source, target, chosen if n is None else list(n)) for source, target, n in CURATION_PLAN]
 
 
+def provider_number(column: str) -> Column:
+    """A number column of any type as bigint: also text with spaces or a zero fraction; null for all else."""
+    exact = F.col(f"`{column}`").try_cast("decimal(38,6)")
+    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+
+
 def filter_by_number(df: DataFrame, numbers: Sequence[int | None], column: str = "npi") -> DataFrame:
-    """Rows whose provider number is in the list. Null numbers match nothing."""
-    numbers = [n for n in numbers if n is not None]
-    if len(numbers) <= INLINE_NUMBERS:
-        return df.where(F.col(column).isin(numbers))
-    kind = df.schema[column].dataType
-    wanted = df.sparkSession.createDataFrame([(n,) for n in set(numbers)], "n bigint")
-    wanted = wanted.select(F.col("n").cast(kind).alias(column))
-    return df.join(wanted, column, "left_semi")
+    """Rows whose provider number is in the list. Null numbers match nothing.
+
+    The list is a table whatever its length; Spark broadcasts it when it is measured small.
+    """
+    wanted = df.sparkSession.createDataFrame([(n,) for n in sorted({n for n in numbers if n is not None})], "_wanted bigint")
+    numbered = df.withColumn("_number", provider_number(column))
+    return numbered.join(wanted, F.col("_number") == F.col("_wanted"), "left_semi").select(*_names(df))
+
+
+def _names(df: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in df.columns]
 
 
 def fan_out(df: DataFrame, targets: Mapping[str, Iterable[int]], column: str = "npi") -> DataFrame:
@@ -76,14 +82,15 @@ def fan_out(df: DataFrame, targets: Mapping[str, Iterable[int]], column: str = "
     One scan serves all targets of a source. The wanted lists become an array per row, looked up
     from literals, so nothing is shuffled or joined.
     """
+    number = provider_number(column)
     wanted = F.array_compact(
         F.array(*[
-            F.when(F.col(column).isin([n for n in numbers if n is not None]), F.lit(target))
+            F.when(number.isin([n for n in numbers if n is not None]), F.lit(target))
             for target, numbers in targets.items()
         ])
     )
     every = sorted({n for numbers in targets.values() for n in numbers if n is not None})
-    return df.where(F.col(column).isin(every)).select("*", F.explode(wanted).alias("target"))
+    return df.where(number.isin(every)).select("*", F.explode(wanted).alias("target"))
 
 
 def literal_csv(spark: SparkSession, text: str, schema: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Encounters that were trimmed away: find, re-link or delete the rows that point to them.
 
-Child tables are wide and large, so the work is done on their distinct key values first. Only the
-finished, small mapping meets the whole child table: as a broadcast when it is measured small, else
-in one sort-merge join whose hot keys AQE splits.
+Child tables are wide and large, so each is scanned and joined once, and a mapping is made of their distinct key
+values first. What meets the whole child table is broadcast when it is measured small, else it is one sort-merge
+join whose hot keys AQE splits.
 """
 
 from __future__ import annotations
@@ -42,47 +42,38 @@ def add_first_encounter(
 
 def first_encounter_of_each_row(
     encounters: DataFrame, *, patient: str = "patient", start: str = "start", id: str = "id",
-    stage: Stage = lazily,
 ) -> DataFrame:
-    """Every encounter with its patient's first one, as a first-value window would give it."""
-    firsts = stage(first_encounters(encounters, patient=patient, start=start, id=id))
-    firsts = firsts.withColumnRenamed("patient", "_patient")
-    known = encounters.where(F.col(patient).isNotNull())
-    linked = known.join(firsts, F.col(patient) == F.col("_patient"), "left").drop("_patient")
-    nobody = encounters.where(F.col(patient).isNull())
-    order = F.struct(F.col(start).isNull(), F.col(start), F.col(id))
-    first_of_nobody = nobody.select(F.min_by(F.col(id), order).alias("first"))
-    return linked.unionByName(nobody.withColumn(FIRST_ENCOUNTER, first_of_nobody.scalar()))
-
+    """Every encounter with its patient's first one, as a first-value window would give it.
 
-def orphan_keys(
-    child: DataFrame, parents: DataFrame, *, key: str = "encounter", parent_id: str = "id"
-) -> DataFrame:
-    """Distinct non-null keys of ``child`` that no parent has, as column ``key``."""
-    used = child.where(F.col(key).isNotNull()).select(key).distinct()
-    ids = parents.select(F.col(parent_id).alias("_parent_id"))
-    return used.join(ids, F.col(key) == F.col("_parent_id"), "left_anti")
+    Encounters without a patient are one more group. The group's first row comes from an aggregate, so only the
+    join sees all rows of one patient, and Spark splits those.
+    """
+    order = F.struct(F.col(start).isNull(), F.col(start), F.col(id))
+    firsts = encounters.groupBy(F.col(patient).alias("_patient")).agg(F.min_by(F.col(id), order).alias(FIRST_ENCOUNTER))
+    return encounters.join(firsts, F.col(patient).eqNullSafe(F.col("_patient")), "left").drop("_patient")
 
 
 def orphans(
     child: DataFrame, parents: DataFrame, *, key: str = "encounter", parent_id: str = "id",
-    stage: Stage = lazily,
 ) -> DataFrame:
     """Child rows whose non-null key no parent has."""
-    lost = stage(orphan_keys(child, parents, key=key, parent_id=parent_id))
-    return child.join(lost, key, "left_semi")
+    ids = parents.select(F.col(parent_id).alias("_parent_id"))
+    return child.where(F.col(key).isNotNull()).join(ids, F.col(key) == F.col("_parent_id"), "left_anti")
 
 
 def delete_orphans(
     child: DataFrame, parents: DataFrame, *, key: str = "encounter", parent_id: str = "id",
-    keep_null: bool = True, stage: Stage = lazily,
+    keep_null: bool = True,
 ) -> DataFrame:
-    """Child rows without the orphans. A null key is not an orphan; ``keep_null=False`` drops it too."""
-    lost = stage(orphan_keys(child, parents, key=key, parent_id=parent_id))
-    kept = child.where(F.col(key).isNotNull()).join(lost, key, "left_anti")
+    """Child rows without the orphans. A null key is not an orphan; ``keep_null=False`` drops it too.
+
+    One scan of the child and one join, whose frequent and null keys Spark splits on the child's side.
+    """
+    ids = parents.select(F.col(parent_id).alias("_parent_id"))
     if not keep_null:
-        return kept
-    return kept.unionByName(child.where(F.col(key).isNull()).select(*kept.columns))
+        return child.join(ids, F.col(key) == F.col("_parent_id"), "left_semi")
+    none = child.sparkSession.range(1).select(F.lit(None).cast(ids.schema["_parent_id"].dataType).alias("_parent_id"))
+    return child.join(ids.union(none), F.col(key).eqNullSafe(F.col("_parent_id")), "left_semi")
 
 
 def drop_null_encounter(child: DataFrame, *, key: str = "encounter") -> DataFrame:

@@ -100,11 +100,8 @@ def assign_visits(
 ) -> DataFrame:
     """Events with the visit of their encounter; null without encounter or visit.
 
-    ``encounter_visits`` has one row per encounter ``id``. Events without an encounter skip the join.
+    ``encounter_visits`` has one row per encounter ``id``. The events are read once; rows of one encounter, or without
+    any, are the large side of the join, which Spark splits.
     """
     visits = encounter_visits.select(F.col(id).alias("_encounter_id"), visit_id)
-    known = events.where(F.col(encounter).isNotNull())
-    known = known.join(visits, F.col(encounter) == F.col("_encounter_id"), "left").drop("_encounter_id")
-    kind = visits.schema[visit_id].dataType
-    unknown = events.where(F.col(encounter).isNull()).withColumn(visit_id, F.lit(None).cast(kind))
-    return known.unionByName(unknown)
+    return events.join(visits, F.col(encounter) == F.col("_encounter_id"), "left").drop("_encounter_id")

@@ -28,7 +28,7 @@ _COUNTS = " UNION ALL ".join(
 
 _PROBE = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({i} AS BIGINT) AS position, "
-    f"count({c}) AS n_values FROM {t}"
+    f"count(*) AS n_rows FROM {t}"
     for t, columns in _COLUMNS.items()
     for i, c in enumerate(columns.split())
 )
@@ -44,6 +44,9 @@ _VISITS = """
         FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey)
 """
 
+#: Lineitems of which every seventh has lost its encounter.
+_NULLED = "SELECT * REPLACE (CASE WHEN l_partkey % 7 <> 0 THEN l_orderkey END AS l_orderkey) FROM lineitem"
+
 _REASSIGNED = """
   SELECT c.l_orderkey, c.l_linenumber, c.l_partkey, c.l_suppkey, c.l_extendedprice,
          CASE WHEN e.id IS NULL THEN f.first_encounter_id ELSE c.encounter END AS encounter, c.patient
@@ -107,6 +110,33 @@ _TYPES = (
     ("encounter", "string", "64"), ("l_linestatus", "string", "1024"), ("birthdate", "date", "NULL"),
 )
 
+#: Of each event table: its name, its key, its first date, its last date.
+_EVENTS = {
+    "drug_exposure": ("drug_exposure", "drug", "drug_exposure_start", "drug_exposure_end"),
+    "condition": ("condition_occurrence", "condition", "condition_start", "condition_end"),
+    "procedure": ("procedure_occurrence", "procedure", "procedure", "procedure_end"),
+    "measurement": ("measurement", "measurement", "measurement", None),
+    "device": ("device_exposure", "device", "device_exposure_start", "device_exposure_end"),
+    "observation": ("observation", "observation", "observation", None),
+}
+
+
+def _event_sql(name: str, key: str, first: str, last: str | None) -> str:
+    """All lineitems as events; the concept of line 7 is unknown."""
+    ends = f"CAST(l_shipdate AS DATE) AS {last}_date, l_shipdate AS {last}_datetime," if last else ""
+    end_names = f"{last}_date, {last}_datetime," if last else ""
+    return f"""WITH {_OMOP},
+  rows AS (SELECT person_id,
+    CAST(CASE WHEN l_linenumber <> 7 AND p_partkey IS NOT NULL THEN p_partkey + 1000 ELSE 0 END AS BIGINT) AS {key}_concept_id,
+    CAST(l_shipdate AS DATE) AS {first}_date, l_shipdate AS {first}_datetime, {ends} visit_occurrence_id,
+    CASE WHEN l_linenumber = 7 THEN 'X' ELSE '' END || CAST(l_partkey AS VARCHAR) AS {key}_source_value
+  FROM lineitem LEFT JOIN g ON l_orderkey = g.id
+    LEFT JOIN v ON g.patient = v.patient AND g.class = v.class AND g.visit = v.visit
+    LEFT JOIN p ON g.patient = c_custkey LEFT JOIN part ON l_partkey = p_partkey)
+  SELECT row_number() OVER (ORDER BY person_id NULLS FIRST, {key}_concept_id, {first}_date, {first}_datetime, {end_names}
+    visit_occurrence_id NULLS FIRST, {key}_source_value) AS {name}_id, * FROM rows"""
+
+
 ORACLE_SQL = {
     "relink": f"""WITH {_VISITS}
   SELECT *, 'reassign' AS policy FROM ({_REASSIGNED})
@@ -168,8 +198,8 @@ ORACLE_SQL = {
     "drop_null_encounter": f"""WITH {_VISITS}
   SELECT * FROM ({_REASSIGNED}) WHERE encounter IS NOT NULL""",
     "rename_roundtrip": "SELECT * FROM orders",
-    "cast_codes": """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, substr(p_name, 1, 8) AS p_name, p_brand,
-    p_type, CAST(p_size AS VARCHAR) AS p_size, p_retailprice FROM part""",
+    "cast_codes": """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
+    CAST(p_size AS VARCHAR) AS p_size, p_retailprice FROM part""",
     "cast_timestamptz": "SELECT event_id, epoch_us(ts) AS instant_us FROM events",
     "type_map": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, '{t}' AS storage_type, CAST({n} AS BIGINT) AS max_length, "
@@ -182,10 +212,10 @@ ORACLE_SQL = {
     "first_value_window": f"""WITH {_VISITS}
   SELECT id, patient, start, first_value(id) OVER (PARTITION BY patient ORDER BY start, id)
     AS first_encounter_id FROM e""",
-    "orphans": f"""WITH {_VISITS}
-  SELECT lineitem.* FROM lineitem LEFT JOIN e ON l_orderkey = e.id WHERE e.id IS NULL""",
-    "delete_orphans": f"""WITH {_VISITS}
-  SELECT lineitem.* FROM lineitem WHERE l_orderkey IS NULL OR l_orderkey IN (SELECT id FROM e)""",
+    "orphans": f"""WITH {_VISITS}, n AS ({_NULLED})
+  SELECT n.* FROM n LEFT JOIN e ON l_orderkey = e.id WHERE l_orderkey IS NOT NULL AND e.id IS NULL""",
+    "delete_orphans": f"""WITH {_VISITS}, n AS ({_NULLED})
+  SELECT n.* FROM n WHERE l_orderkey IS NULL OR l_orderkey IN (SELECT id FROM e)""",
     "reassign_orphans": f"WITH {_VISITS} {_REASSIGNED}",
     "dedup_by_id": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
     PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) AS rn
@@ -237,11 +267,12 @@ ORACLE_SQL = {
   v AS (SELECT patient, class, visit, row_number() OVER (ORDER BY patient, class, min(start))
                AS visit_occurrence_id FROM g GROUP BY patient, class, visit)
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, visit_occurrence_id
-  FROM lineitem LEFT JOIN g ON l_orderkey = g.id
+  FROM ({_NULLED}) LEFT JOIN g ON l_orderkey = g.id
     LEFT JOIN v ON g.patient = v.patient AND g.class = v.class AND g.visit = v.visit""",
     "concept_map": """SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag AS vocab,
-    CAST(l_suppkey AS VARCHAR) AS code,
-    CASE WHEN l_returnflag IN ('A', 'N') AND s_suppkey IS NOT NULL THEN s_suppkey + 1000 ELSE 0 END AS concept_id
+    CASE WHEN l_partkey % 5 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS code,
+    CASE WHEN l_partkey % 5 <> 0 AND l_returnflag IN ('A', 'N') AND s_suppkey IS NOT NULL THEN s_suppkey + 1000 ELSE 0 END
+      AS concept_id
     FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey""",
     "event_union": """SELECT 'drug_exposure' AS target, o_custkey AS person_source_value, l_orderkey AS encounter,
     'RxNorm' AS vocab, CAST(l_partkey AS VARCHAR) AS code, l_shipdate AS start_datetime, l_shipdate AS end_datetime
@@ -263,12 +294,14 @@ ORACLE_SQL = {
     CAST(first_start AS DATE) AS visit_start_date, first_start AS visit_start_datetime,
     CAST(last_start AS DATE) AS visit_end_date, last_start AS visit_end_datetime
   FROM v LEFT JOIN p ON patient = c_custkey""",
-    "omop_drug_exposure": f"""WITH {_OMOP}
-  SELECT person_id, CASE WHEN p_size > 25 THEN p_partkey + 1000 ELSE 0 END AS drug_concept_id,
-    CAST(l_shipdate AS DATE) AS drug_exposure_start_date, l_shipdate AS drug_exposure_start_datetime,
-    CAST(l_shipdate AS DATE) AS drug_exposure_end_date, l_shipdate AS drug_exposure_end_datetime,
-    visit_occurrence_id, CAST(l_partkey AS VARCHAR) AS drug_source_value
-  FROM lineitem LEFT JOIN g ON l_orderkey = g.id
-    LEFT JOIN v ON g.patient = v.patient AND g.class = v.class AND g.visit = v.visit
-    LEFT JOIN p ON g.patient = c_custkey LEFT JOIN part ON l_partkey = p_partkey""",
+    "omop_death": f"""WITH {_OMOP}
+  SELECT person_id, DATE '2000-01-01' AS death_date FROM p WHERE c_custkey % 10 = 0""",
+    **{f"omop_{name}": _event_sql(*layout) for name, layout in _EVENTS.items()},
+    "codes_roundtrip": """WITH d AS (
+    SELECT code, min(description) AS description FROM (
+      SELECT p_brand AS code, lower(p_name) AS description FROM part
+      UNION SELECT p_type, lower(p_name) FROM part WHERE p_size > 10) GROUP BY code)
+  SELECT p_partkey AS id, p_brand AS code, CASE WHEN p_size > 10 THEN p_type END AS reasoncode, a.description,
+    b.description AS reasondescription
+  FROM part LEFT JOIN d AS a ON p_brand = a.code LEFT JOIN d AS b ON p_size > 10 AND p_type = b.code""",
 }

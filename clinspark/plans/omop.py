@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -113,8 +113,11 @@ def visit_tables(
     return occurrences, visit_of_encounter(encounters, cells, by, gap_days=gap_days)
 
 
-def event_table(events: DataFrame, target: str) -> DataFrame:
-    """One target's rows under the column names of its event table."""
+def event_table(events: DataFrame, target: str, staging: Staging) -> DataFrame:
+    """One target's rows under the column names of its event table, numbered in the order of their columns.
+
+    Rows that are equal in all columns may take each other's numbers; nothing else depends on chance.
+    """
     key, first, last = EVENT_LAYOUT[target]
     ends = []
     if last:
@@ -122,7 +125,7 @@ def event_table(events: DataFrame, target: str) -> DataFrame:
             F.col("end_datetime").cast("date").alias(f"{last}_date"),
             F.col("end_datetime").alias(f"{last}_datetime"),
         ]
-    return events.where(F.col("target") == target).select(
+    rows = events.where(F.col("target") == target).select(
         "person_id",
         F.col("concept_id").alias(f"{key}_concept_id"),
         F.col("start_datetime").cast("date").alias(f"{first}_date"),
@@ -131,25 +134,45 @@ def event_table(events: DataFrame, target: str) -> DataFrame:
         "visit_occurrence_id",
         F.col("code").alias(f"{key}_source_value"),
     )
+    numbered = number_rows(rows, rows.columns, f"{target}_id", staging)
+    return numbered.select(f"{target}_id", *rows.columns)
+
+
+#: Targets that are no event table.
+PLAIN_TARGETS = ("person", "death", "visit_occurrence")
 
 
 def omop_convert(
-    tables: Mapping[str, DataFrame], concept: DataFrame, staging: Staging, *, gap_days: int = 1
+    tables: Mapping[str, DataFrame], concept: DataFrame, staging: Staging, *, gap_days: int = 1,
+    targets: Iterable[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Person, visit and event tables of linked clinical tables."""
+    """Person, death, visit and event tables of linked clinical tables.
+
+    Only what ``targets`` asks for is built, and what it rests on; without it, all that the tables allow.
+    """
     prepared = omop_prepare(tables)
+    chosen = (*PLAIN_TARGETS, *EVENT_LAYOUT) if targets is None else tuple(targets)
+    unknown = sorted(set(chosen) - {*PLAIN_TARGETS, *EVENT_LAYOUT})
+    if unknown:
+        raise ValueError(f"unknown targets: {unknown}")
     persons = staging.table(person_table(prepared["patients"], staging))
-    visits, encounter_visits = visit_tables(prepared["encounters"], persons, staging, gap_days=gap_days)
-    encounter_visits = staging.table(encounter_visits)
-    result = {"person": persons.drop("death_date"), "visit_occurrence": visits}
-    result["death"] = persons.where(F.col("death_date").isNotNull()).select("person_id", "death_date")
+    result = {}
+    if "person" in chosen:
+        result["person"] = persons.drop("death_date")
+    if "death" in chosen:
+        result["death"] = persons.where(F.col("death_date").isNotNull()).select("person_id", "death_date")
     people = persons.select("person_id", "person_source_value")
-    for target in EVENT_LAYOUT:
-        sources = [s for s in EVENT_SOURCES if s.target == target and s.source in prepared]
-        if not sources:
-            continue
-        events = map_concepts(event_union(prepared, sources), concept, stage=staging)
+    sources = {t: [s for s in EVENT_SOURCES if s.target == t and s.source in prepared] for t in EVENT_LAYOUT}
+    wanted = [t for t in EVENT_LAYOUT if t in chosen and sources[t]]
+    if "visit_occurrence" in chosen or wanted:
+        visits, encounter_visits = visit_tables(prepared["encounters"], persons, staging, gap_days=gap_days)
+        if "visit_occurrence" in chosen:
+            result["visit_occurrence"] = visits
+        if wanted:
+            encounter_visits = staging.table(encounter_visits)
+    for target in wanted:
+        events = map_concepts(event_union(prepared, sources[target]), concept, stage=staging)
         events = assign_visits(events, encounter_visits)
         events = events.join(people, "person_source_value", "left")
-        result[target] = event_table(events, target)
+        result[target] = event_table(events, target, staging)
     return result

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from clinspark.operators.providers import URGENT_CARE_TARGET, curation_plan, fan_out, urgent_care
 from clinspark.sources.csv_tables import scan_csv
-from clinspark.sources.sinks import write_csv
+from clinspark.sources.sinks import replace_table, write_csv
 
 
 def curate_lists(
@@ -17,16 +17,18 @@ def curate_lists(
 ) -> list[str]:
     """Filter lists by a plan of (source, target, provider numbers); returns the folders written.
 
-    A source is read once for all targets it feeds. The leading index column stays an ordinary first
-    column. Targets are folders of CSV files below ``<target_dir>/<source>/target=<list>``.
+    A source is read once for all targets it feeds. The leading index column keeps its blank header. Targets are
+    folders of CSV files below ``<target_dir>/<source>/target=<list>``; lines that don't fit the header go to
+    ``<target_dir>/rejects/<source>``, with the reason.
     """
     wanted: dict[str, dict[str, Sequence[int]]] = {}
     for source, target, numbers in plan:
         wanted.setdefault(source, {})[target] = numbers
     for source, targets in wanted.items():
-        rows = scan_csv(spark, f"{source_dir}/{source}").rows
-        kept = fan_out(rows.withColumn("_number", rows[column].try_cast("bigint")), targets, "_number")
-        write_csv(kept.drop("_number"), f"{target_dir}/{source}", partition_by=["target"])
+        scan = scan_csv(spark, f"{source_dir}/{source}")
+        kept = fan_out(scan.rows, targets, column).withColumnRenamed("_c0", "")
+        write_csv(kept, f"{target_dir}/{source}", partition_by=["target"])
+        replace_table(scan.rejects, f"{target_dir}/rejects/{source}")
     return [f"{target_dir}/{source}/target={t}" for source, targets in wanted.items() for t in targets]
 
 

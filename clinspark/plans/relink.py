@@ -38,5 +38,5 @@ def relink_tables(
         if spec.orphans == REASSIGN:
             linked[name] = reassign_orphans(df, encounters, firsts, stage=stage)
         elif spec.orphans == DELETE:
-            linked[name] = delete_orphans(df, encounters, keep_null=not spec.require_encounter, stage=stage)
+            linked[name] = delete_orphans(df, encounters, keep_null=not spec.require_encounter)
     return linked

@@ -18,7 +18,7 @@ from clinspark.functions.columns import (
 from clinspark.functions.dates import parse_dates, parse_instant, parse_strict_date
 from clinspark.operators import audit
 from clinspark.operators.codes import (
-    LONGEST_RULE, CodeBranch, build_codes, code_pairs, lookup_descriptions, one_description,
+    CODE_BRANCHES, LONGEST_RULE, CodeBranch, build_codes, code_pairs, lookup_descriptions, one_description,
 )
 from clinspark.operators.concepts import EventSource, event_union, map_concepts
 from clinspark.operators.dedup import distinct_rows, first_per_key
@@ -32,6 +32,7 @@ from clinspark.operators.trim import history_window, launch_trim
 from clinspark.operators.visits import (
     assign_visits, number_visits, roll_up_visits, visit_cells, visit_of_encounter,
 )
+from clinspark.plans.codes import denormalize, normalize
 from clinspark.plans.load import load_table
 from clinspark.plans.omop import omop_convert, person_table
 from clinspark.plans.providers import curate_lists
@@ -303,8 +304,7 @@ def rename_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cast_codes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = cast_codes(table(spark, sf_dir, "part"), ["p_partkey", "p_size"])
-    return cast_codes(part, ["p_name"], length=8)
+    return cast_codes(table(spark, sf_dir, "part"), ["p_partkey", "p_size", "p_name"])
 
 
 def cast_timestamptz(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,17 +338,22 @@ def first_encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_value_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     visits = trimmed_encounters(spark, sf_dir).select("id", "patient", "start")
-    return first_encounter_of_each_row(visits, stage=Staging(spark))
+    return first_encounter_of_each_row(visits)
 
 
-def orphans_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _loose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitems of which every seventh has lost its encounter; the key is not the first column."""
     lines = table(spark, sf_dir, "lineitem")
-    return orphans(lines, trimmed_encounters(spark, sf_dir), key="l_orderkey", stage=Staging(spark))
+    key = F.when(F.col("l_partkey") % 7 != 0, F.col("l_orderkey")).alias("l_orderkey")
+    return lines.select(*[c for c in lines.columns if c != "l_orderkey"], key)
+
+
+def orphans_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orphans(_loose_lines(spark, sf_dir), trimmed_encounters(spark, sf_dir), key="l_orderkey")
 
 
 def delete_orphans_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    return delete_orphans(lines, trimmed_encounters(spark, sf_dir), key="l_orderkey", stage=Staging(spark))
+    return delete_orphans(_loose_lines(spark, sf_dir), trimmed_encounters(spark, sf_dir), key="l_orderkey")
 
 
 def reassign_orphans_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,7 +369,7 @@ def relink(spark: SparkSession, sf_dir: str) -> DataFrame:
     visits = staging.table(trimmed_encounters(spark, sf_dir).select("id", "patient", "start"))
     children = staging.table(child_events(spark, sf_dir))
     history = reassign_orphans(children, visits, first_encounters(visits), stage=staging)
-    events = delete_orphans(children, visits, keep_null=False, stage=staging)
+    events = delete_orphans(children, visits, keep_null=False)
     return history.withColumn("policy", F.lit("reassign")).unionByName(
         events.withColumn("policy", F.lit("delete"))
     )
@@ -483,7 +488,7 @@ def visit_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = encounters(spark, sf_dir)
     _, cells = number_visits(visit_cells(orders, by, gap_days=30), by, Staging(spark))
     visits = visit_of_encounter(orders, cells, by, gap_days=30)
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    lines = _loose_lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return assign_visits(lines, visits, encounter="l_orderkey")
 
 
@@ -496,7 +501,8 @@ def concept_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
-        F.col("l_returnflag").alias("vocab"), F.col("l_suppkey").cast("string").alias("code"),
+        F.col("l_returnflag").alias("vocab"),
+        F.when(F.col("l_partkey") % 5 != 0, F.col("l_suppkey").cast("string")).alias("code"),
     )
     return map_concepts(lines, concepts, stage=Staging(spark))
 
@@ -516,37 +522,45 @@ def event_union_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clinical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Patients, encounters and medications under the column names of the clinical tables."""
+    """Patients, encounters and events under the column names of the clinical tables.
+
+    All lineitems are the rows of each event table; those of line 7 have a code that no vocabulary knows.
+    """
+    known = F.col("l_partkey").cast("string")
     lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("encounter"), F.col("l_partkey").alias("code"),
-        F.col("l_shipdate").alias("start"), F.col("l_shipdate").alias("stop"),
+        F.col("l_orderkey").alias("encounter"),
+        F.when(F.col("l_linenumber") == 7, F.concat(F.lit("X"), known)).otherwise(known).alias("code"),
+        F.col("l_shipdate").alias("start"), F.col("l_shipdate").alias("stop"), F.col("l_shipdate").alias("date"),
     )
     visits = encounters(spark, sf_dir)
     owner = visits.select(F.col("id").alias("_id"), "patient")
+    events = lines.join(owner, F.col("encounter") == F.col("_id"), "left").drop("_id")
     return {
         "patients": table(spark, sf_dir, "customer").select(
             F.col("c_custkey").alias("id"),
             F.date_add(F.lit("1950-01-01").cast("date"), (F.col("c_custkey") % 20000).cast("int")).alias("birthdate"),
-            F.lit(None).cast("date").alias("deathdate"),
+            F.when(F.col("c_custkey") % 10 == 0, F.lit("2000-01-01").cast("date")).alias("deathdate"),
         ),
         "encounters": visits.select(
             "id", "patient", "start", "stop",
             F.when(F.col("class") == "O", "inpatient").when(F.col("class") == "F", "emergency")
             .otherwise("wellness").alias("encounterclass"),
         ),
-        "medications": lines.join(owner, F.col("encounter") == F.col("_id"), "left").drop("_id"),
+        **{name: events for name in ("conditions", "medications", "procedures", "observations", "devices", "allergies")},
     }
 
 
 def _concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").where(F.col("p_size") > 25).select(
-        F.lit("RxNorm").alias("vocabulary_id"), F.col("p_partkey").cast("string").alias("concept_code"),
+    vocabularies = F.explode(F.array(*[F.lit(v) for v in ("RxNorm", "SNOMED", "LOINC")]))
+    return table(spark, sf_dir, "part").select(
+        vocabularies.alias("vocabulary_id"), F.col("p_partkey").cast("string").alias("concept_code"),
         (F.col("p_partkey") + 1000).alias("concept_id"),
     )
 
 
 def _omop(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
-    return omop_convert(_clinical_tables(spark, sf_dir), _concepts(spark, sf_dir), Staging(spark))[target]
+    found = omop_convert(_clinical_tables(spark, sf_dir), _concepts(spark, sf_dir), Staging(spark), targets=[target])
+    return found[target]
 
 
 def omop_person(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -557,10 +571,46 @@ def omop_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _omop(spark, sf_dir, "visit_occurrence")
 
 
+def omop_death(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _omop(spark, sf_dir, "death")
+
+
 def omop_drug_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _omop(spark, sf_dir, "drug_exposure")
 
 
+def omop_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _omop(spark, sf_dir, "condition_occurrence")
+
+
+def omop_procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _omop(spark, sf_dir, "procedure_occurrence")
+
+
+def omop_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _omop(spark, sf_dir, "measurement")
+
+
+def omop_device(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _omop(spark, sf_dir, "device_exposure")
+
+
+def omop_observation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _omop(spark, sf_dir, "observation")
+
+
+def codes_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Procedures with two described codes, normalized and restored from the dictionary."""
+    procedures = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_brand").alias("code"), F.col("p_name").alias("description"),
+        F.when(F.col("p_size") > 10, F.col("p_type")).alias("reasoncode"),
+        F.col("p_name").alias("reasondescription"),
+    )
+    clinical = {"procedures": procedures}
+    codes = Staging(spark).table(build_codes(clinical, [b for b in CODE_BRANCHES if b.table == "procedures"]))
+    return denormalize(normalize(clinical), codes)["procedures"]
+
+
 QUERIES = {
     "relink": relink,
     "csv_scan": csv_scan,
@@ -615,4 +665,11 @@ QUERIES = {
     "omop_person": omop_person,
     "omop_visit": omop_visit,
     "omop_drug_exposure": omop_drug_exposure,
+    "omop_death": omop_death,
+    "omop_condition": omop_condition,
+    "omop_procedure": omop_procedure,
+    "omop_measurement": omop_measurement,
+    "omop_device": omop_device,
+    "omop_observation": omop_observation,
+    "codes_roundtrip": codes_roundtrip,
 }

@@ -32,7 +32,7 @@ _WHOLE, _FRACTION, _BOOLEAN, _TEXT = 1, 2, 4, 8
 
 @dataclass(frozen=True)
 class CsvTable:
-    """Rows that fit the header, and the lines with more fields than the header has."""
+    """Rows that fit the header, and the lines that don't, with the reason: ``too many fields`` or ``open quote``."""
 
     rows: DataFrame
     rejects: DataFrame
@@ -50,13 +50,15 @@ def scan_csv(
 ) -> CsvTable:
     """All columns as text, named by the header.
 
-    A line with too few fields is completed with nulls. A line with too many has shifted columns
-    (an unquoted separator) and goes to ``rejects``. ``multi_line`` allows line breaks inside quotes
-    but makes a file unsplittable, so it is off unless asked for. An ``observation`` learns
-    ``n_rejected`` from the first job that reads ``rows``.
+    A line with too few fields is completed with nulls, unless it has an odd number of quotes: then it is part of a
+    value with a line break and goes to ``rejects``. A line with too many has shifted columns (an unquoted separator)
+    and goes there too. ``multi_line`` allows line breaks inside quotes but makes a file unsplittable, so it is off
+    unless asked for. An ``observation`` learns ``n_rejected`` from the first job that reads ``rows``. Files whose
+    headers differ raise an error, unless a header has blank names.
     """
     options = {"sep": sep, "header": True, "escape": '"', "multiLine": multi_line}
     names = spark.read.options(**options).csv(path).columns
+    options["enforceSchema"] = any(name == f"_c{i}" for i, name in enumerate(names))
     texts = [T.StructField(c, T.StringType()) for c in names]
     raw = (
         # Without pruning every read sees the whole line and so flags the same lines.
@@ -78,10 +80,13 @@ def scan_csv(
         column = F.col(f"`{name}`")
         return F.when(~column.isin(*missing), column).alias(name) if missing else column
 
-    watched = raw.observe(observation, F.count_if(too_long).alias("n_rejected")) if observation else raw
-    rows = watched.where(~too_long).select(*[clean(c) for c in names], *(_position() if with_position else ()))
-    rejects = raw.where(too_long).select(
-        F.col("_metadata.file_path").alias("file"), F.col(_BAD_LINE).alias("line")
+    open_quote = F.coalesce(F.length(F.regexp_replace(_BAD_LINE, '[^"]', "")) % 2 == 1, F.lit(False))
+    bad = too_long if multi_line else too_long | open_quote
+    watched = raw.observe(observation, F.count_if(bad).alias("n_rejected")) if observation else raw
+    rows = watched.where(~bad).select(*[clean(c) for c in names], *(_position() if with_position else ()))
+    rejects = raw.where(bad).select(
+        F.col("_metadata.file_path").alias("file"), F.col(_BAD_LINE).alias("line"),
+        F.when(too_long, "too many fields").otherwise("open quote").alias("reason"),
     )
     return CsvTable(rows, rejects)
 
@@ -165,6 +170,18 @@ def read_table(
 
 def read_fixed_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str, *, sep: str = "\t", quote: str = ""
-) -> DataFrame:
-    """A headed file (or folder of part files) with known columns, such as a vocabulary table."""
-    return spark.read.schema(schema).options(header=True, sep=sep, quote=quote, dateFormat="yyyyMMdd").csv(path)
+) -> CsvTable:
+    """A headed file (or folder of part files) with known columns, such as a vocabulary table.
+
+    A line with a value that doesn't fit its column is no row with a null, but a reject.
+    """
+    kinds = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    raw = spark.read.schema(T.StructType([*kinds.fields, T.StructField(_BAD_LINE, T.StringType())])).options(
+        header=True, sep=sep, quote=quote, dateFormat="yyyyMMdd", columnNameOfCorruptRecord=_BAD_LINE, columnPruning=False,
+    ).csv(path)
+    # Spark refuses to read nothing but the bad line, so the filter also looks at a parsed column.
+    first = F.col(f"`{kinds.fields[0].name}`")
+    bad = F.col(_BAD_LINE).isNotNull() & (first.isNull() | first.isNotNull())
+    rejects = raw.where(bad).select(
+        F.col("_metadata.file_path").alias("file"), F.col(_BAD_LINE).alias("line"), F.lit("bad value").alias("reason"))
+    return CsvTable(raw.where(~bad).select(*[f"`{f.name}`" for f in kinds.fields]), rejects)

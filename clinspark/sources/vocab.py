@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinspark.sources.csv_tables import read_fixed_csv
+from clinspark.sources.csv_tables import CsvTable, read_fixed_csv
 
 # The public CDM 5.4 vocabulary tables.
 VOCABULARY_SCHEMAS = {
@@ -43,10 +43,17 @@ VOCABULARY_SCHEMAS = {
 }
 
 
-def load_vocabulary(
+def scan_vocabulary(
     spark: SparkSession, folder: str, tables: Iterable[str] = tuple(VOCABULARY_SCHEMAS), *, sep: str = "\t"
-) -> dict[str, DataFrame]:
-    """Concept tables from ``<folder>/<TABLE>.csv``, one lazy DataFrame each."""
+) -> dict[str, CsvTable]:
+    """Concept tables from ``<folder>/<TABLE>.csv``: lazy rows, and the lines that don't fit the columns' types."""
     return {
         t: read_fixed_csv(spark, f"{folder}/{t.upper()}.csv", VOCABULARY_SCHEMAS[t], sep=sep) for t in tables
     }
+
+
+def load_vocabulary(
+    spark: SparkSession, folder: str, tables: Iterable[str] = tuple(VOCABULARY_SCHEMAS), *, sep: str = "\t"
+) -> dict[str, DataFrame]:
+    """The rows of ``scan_vocabulary``; look at its rejects before relying on them."""
+    return {t: found.rows for t, found in scan_vocabulary(spark, folder, tables, sep=sep).items()}

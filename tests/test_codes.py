@@ -24,7 +24,7 @@ def tables(spark):
     found["medications"] = spark.createDataFrame([("m", "Pill B"), ("m", "Pill A")], "code string, description string")
     found["immunizations"] = spark.createDataFrame([("v", "Shot"), ("v", "Jab")], "code string, description string")
     found["observations"] = spark.createDataFrame(
-        [("o", "aa"), ("o", "Longest"), ("o", "longesu"), ("x" * 40, "wide")], "code string, description string")
+        [("o", "aa"), ("o", "Longest"), ("o", "longesu"), ("x" * 40, "wide"), ("x" * 32 + "y", "wider")], "code string, description string")
     found["imaging_studies"] = spark.createDataFrame(
         [("b", "Chest", "CT", "Computed", "s1", "One"), ("b", "Chest", "CT", "Tomography", "s1", "Uno")],
         "bodysite_code string, bodysite_description string, modality_code string, modality_description string, "
@@ -34,7 +34,7 @@ def tables(spark):
 
 EXPECTED = [
     ("CVX", "v", "jab"), ("DICOM-DCM", "CT", "computed"), ("DICOM-SOP", "s1", "one"),
-    ("LOINC", "o", "longesu"), ("LOINC", "x" * 32, "wide"), ("RxNorm", "m", "pill a"),
+    ("LOINC", "o", "longesu"), ("LOINC", "x" * 40, "wide"), ("LOINC", "x" * 32 + "y", "wider"), ("RxNorm", "m", "pill a"),
     ("SNOMED", "1", "alpha"), ("SNOMED", "2", None), ("SNOMED", "3", "cut"), ("SNOMED", "4", "sew"),
     ("SNOMED", "5", "wound"), ("SNOMED", "b", "chest"),
 ]
@@ -54,13 +54,19 @@ def test_normalize_and_back(tables, staging):
     assert rows(codes) == EXPECTED
     violations, lengths = dictionary_audit(codes)
     assert violations.count() == 0
-    assert rows(lengths, "column_name", "too_long") == [("code", False), ("description", False), ("vocab", False)]
+    assert rows(lengths, "column_name", "too_long") == [("code", True), ("description", False), ("vocab", False)]
     plain = normalize(tables)
     assert plain["conditions"].columns == ["code", "vocab"]
-    assert plain["imaging_studies"] is tables["imaging_studies"]
+    assert plain["imaging_studies"].columns == ["bodysite_code", "modality_code", "sop_code"]
+    assert plain["procedures"].columns == ["code", "reasoncode", "vocab"]
     back = denormalize(plain, codes)
     assert rows(back["conditions"], "code", "description") == [(None, None), ("1", "alpha"), ("1", "alpha"), ("1", "alpha")]
     assert back["observations"].count() == tables["observations"].count()
+    assert rows(back["observations"].where("code like 'x%'"), "description") == [("wide",), ("wider",)]
+    assert rows(back["procedures"], "code", "description", "reasondescription") == [("3", "cut", None), ("4", "sew", "wound")]
+    assert rows(back["imaging_studies"], "bodysite_description", "modality_description", "sop_description") == [
+        ("chest", "computed", "one")] * 2
+    assert all(set(back[t].columns) == set(tables[t].columns) for t in tables)
 
 
 def test_key_violations(spark):

@@ -92,9 +92,9 @@ def test_storage_types(spark):
     assert rows(to_storage(df)) == [("123456789012345678",)]
 
 
-def test_cast_codes_cuts(spark):
+def test_cast_codes_keeps_whole_values(spark):
     df = spark.createDataFrame([(10509002, "x" * 40)], "code bigint, reasoncode string")
-    assert rows(cast_codes(df, ["code", "reasoncode"])) == [("10509002", "x" * 32)]
+    assert rows(cast_codes(df, ["code", "reasoncode"])) == [("10509002", "x" * 40)]
 
 
 def test_drop_descriptions(spark):

@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from helpers import plan, rows, ts
 
 from clinspark.operators.dedup import dedup_table, distinct_rows, first_per_key
 from clinspark.plans.load import load_table
 from clinspark.sources.csv_tables import POSITION, drop_position, infer_types, read_table, scan_csv
 from clinspark.sources.sinks import append_table, cluster_table, replace_table, write_bucketed, write_csv
+from clinspark.sources.vocab import scan_vocabulary
 from clinspark.spec import TableSpec
 
 ENCOUNTERS = """\
@@ -154,3 +156,26 @@ def test_csv_round_trip_with_quotes(spark, staging):
     df = spark.createDataFrame([('say "hi", x', None), ("plain", "y")], "a string, b string")
     write_csv(df, staging.path("q.csv"))
     assert rows(scan_csv(spark, staging.path("q.csv")).rows) == rows(df)
+
+
+def test_open_quotes_and_differing_headers(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('a,b,c\n1,"two\nlines",3\n4,"five, ""six""",7\n8,9\n1,2,3,4\n')
+    table = scan_csv(spark, str(tmp_path / "q.csv"))
+    assert rows(table.rows) == [("4", 'five, "six"', "7"), ("8", "9", None)]
+    assert rows(table.rejects, "line", "reason") == [
+        ('1,"two', "open quote"), ("1,2,3,4", "too many fields"), ('lines",3', "open quote")]
+    whole = scan_csv(spark, str(tmp_path / "q.csv"), multi_line=True)
+    assert ("1", "two\nlines", "3") in rows(whole.rows)
+    (tmp_path / "h").mkdir()
+    (tmp_path / "h" / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "h" / "2.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_csv(spark, str(tmp_path / "h")).rows.collect()
+
+
+def test_bad_vocabulary_lines_are_no_null_keys(spark, tmp_path):
+    (tmp_path / "CONCEPT_SYNONYM.csv").write_text(
+        "concept_id\tconcept_synonym_name\tlanguage_concept_id\n1\tone\t5\nx\ttwo\t5\n3\tthree\t\n")
+    found = scan_vocabulary(spark, str(tmp_path), ["concept_synonym"])["concept_synonym"]
+    assert rows(found.rows) == [(1, "one", 5), (3, "three", None)]
+    assert rows(found.rejects, "line") == [("x\ttwo\t5",)]

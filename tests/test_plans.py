@@ -66,9 +66,17 @@ def test_visit_cells_are_reduced_before_the_window(spark, sf_dir):
     assert "partial_min" in text and text.index("Window") < text.index("HashAggregate")
 
 
-def test_small_staged_mapping_is_broadcast(spark, sf_dir, staging):
-    text = plan(QUERIES["delete_orphans"](spark, sf_dir))
-    assert "BroadcastHashJoin LeftAnti" in text
+@pytest.mark.parametrize("name,scanned", [
+    ("delete_orphans", "lineitem"), ("orphans", "lineitem"), ("visit_assign", "lineitem")])
+def test_one_wide_scan(spark, sf_dir, name, scanned):
+    text = plan(QUERIES[name](spark, sf_dir))
+    scans = [part for part in text.split("Location: ")[1:] if f"{scanned}.parquet" in part.split("\n")[0]]
+    assert len(scans) == 1
+
+
+def test_first_value_reads_for_the_aggregate_and_the_rows(spark, sf_dir):
+    text = plan(QUERIES["first_value_window"](spark, sf_dir))
+    assert text.count("Location: ") == 2 and "Window" not in text
 
 
 def hot_child(spark, staging):
@@ -95,7 +103,7 @@ def test_hot_keys_are_split(spark, staging, settings):
     assert got[0] == 40_000 and got[1] >= 40_000
     out.collect()
     assert "skew=true" in out._jdf.queryExecution().toString()
-    kept = delete_orphans(child, parents, stage=staging)
+    kept = delete_orphans(child, parents)
     kept.collect()
     assert kept.where("encounter is null").count() == 40_000
     assert kept.where("encounter = -1").count() == 0

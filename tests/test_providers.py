@@ -1,11 +1,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import rows
 
-from clinspark.operators import providers
 from clinspark.operators.providers import curation_plan, fan_out, filter_by_number, hospital_numbers, literal_csv, urgent_care
-from clinspark.plans.providers import curate_providers
+from clinspark.plans.providers import curate_lists, curate_providers
 from clinspark.sources.csv_tables import scan_csv
 
 
@@ -26,10 +26,24 @@ def test_options():
     assert plan["hospice.csv"] == ("hospitals.csv", [1427145176])
 
 
-def test_filter_never_matches_null(listed, monkeypatch):
-    assert rows(filter_by_number(listed, [1, 3, None]), "name") == [("a",), ("d",)]
-    monkeypatch.setattr(providers, "INLINE_NUMBERS", 1)
+def test_filter_never_matches_null(listed):
     assert rows(filter_by_number(listed, [1, 3, None]), "name") == [("a",), ("d",)]
+    assert filter_by_number(listed, [1]).columns == listed.columns
+    assert filter_by_number(listed, []).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "bigint", "double"])
+def test_long_and_short_lists_filter_alike(spark, kind):
+    numbers = spark.createDataFrame([("a", "1"), ("b", "3"), ("c", None), ("d", "2")], "name string, npi string")
+    df = numbers.select("name", F.col("npi").cast(kind))
+    if kind == "string":
+        df = df.unionByName(spark.createDataFrame(
+            [("e", " 3"), ("f", "3.0"), ("g", "3.5"), ("h", "x"), ("i", "99999999999999999999")], "name string, npi string"))
+    want = ["a", "b", *(["e", "f"] if kind == "string" else [])]
+    for long in ([], range(10, 2010), [2**62]):
+        got = filter_by_number(df, [1, 3, None, *long])
+        assert got.columns == df.columns and [r[0] for r in rows(got, "name")] == want
+    assert [r[0] for r in rows(fan_out(df, {"t": [1, 3]}), "name")] == want
 
 
 def test_one_provider_in_two_targets(listed):
@@ -61,3 +75,14 @@ def test_curation(spark, tmp_path):
         assert got.columns == ["_c0", "id", "npi", "name"]
         assert rows(got, "npi") == sorted((str(n),) for n in wanted)
     assert scan_csv(spark, f"{tmp_path}/out/urgent_care_facilities.csv").rows.count() == 2
+
+
+def test_curation_keeps_bad_lines_and_the_blank_header(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(',npi,name\n0,1.0,x\n1,2,"Road, 2"\n2,1,Road, 3\n3,,z\n')
+    curate_lists(spark, str(tmp_path / "in"), str(tmp_path / "out"), [("a.csv", "t.csv", [1, 2])])
+    parts = [p.read_text() for p in (tmp_path / "out" / "a.csv" / "target=t.csv").glob("part*")]
+    lines = sorted(line for p in parts for line in p.splitlines() if not line.startswith(",npi"))
+    assert all(p.startswith(",npi,name\n") for p in parts) and lines == ["0,1.0,x", '1,2,"Road, 2"']
+    bad = spark.read.parquet(str(tmp_path / "out" / "rejects" / "a.csv"))
+    assert rows(bad, "line", "reason") == [("2,1,Road, 3", "too many fields")]

@@ -44,7 +44,7 @@ def test_first_encounter_ties_and_nulls(patients, encounters):
 def test_first_value_of_each_row_agrees_with_a_window(encounters, staging):
     order = Window.partitionBy("patient").orderBy(F.asc_nulls_last("start"), "id")
     window = encounters.withColumn("first_encounter_id", F.first("id").over(order))
-    assert rows(first_encounter_of_each_row(encounters, stage=staging)) == rows(window)
+    assert rows(first_encounter_of_each_row(encounters)) == rows(window)
 
 
 def test_orphans(child, encounters):
@@ -63,13 +63,12 @@ def test_reassign(child, encounters, staging, staged):
     assert orphans(out, encounters).count() == 0
 
 
-@pytest.mark.parametrize("staged", [False, True])
-def test_delete(child, encounters, staging, staged):
-    stage = {"stage": staging} if staged else {}
-    kept = delete_orphans(child, encounters, **stage)
+def test_delete(child, encounters):
+    kept = delete_orphans(child, encounters)
+    assert kept.columns == orphans(child, encounters).columns == child.columns
     assert rows(kept, "n") == [(1,), (7,), (8,)]
     assert kept.count() + orphans(child, encounters).count() == child.count()
-    assert rows(delete_orphans(child, encounters, keep_null=False, **stage), "n") == [(1,), (8,)]
+    assert rows(delete_orphans(child, encounters, keep_null=False), "n") == [(1,), (8,)]
     assert rows(drop_null_encounter(kept), "n") == [(1,), (8,)]
 
 
