@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from clinspark.functions.columns import to_storage
 from clinspark.operators.dedup import dedup_table
@@ -14,7 +17,7 @@ from clinspark.plans.relink import CHANGED, relink_tables
 from clinspark.sources.csv_tables import POSITION, CsvTable, read_table
 from clinspark.sources.notes import Notes, read_notes
 from clinspark.sources.sinks import replace_table
-from clinspark.spec import LoadConfig, TableSpec
+from clinspark.spec import LAYOUT_DATES, LoadConfig, TableSpec
 from clinspark.staging import Staging
 
 
@@ -66,16 +69,52 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def laid_out(df: DataFrame, layout: str | None) -> DataFrame:
+    """Rows in ranges of their first date or their patient, with a hash of the row behind it for frequent values."""
+    wanted = {"date": LAYOUT_DATES, "patient": ("patient",)}.get(layout, ())
+    column = next((c for c in wanted if c in df.columns), None)
+    if column is None:
+        return df
+    return df.repartitionByRange(column, F.xxhash64(*df.columns)).sortWithinPartitions(column)
+
+
+class KeyViolation(ValueError):
+    """The loaded tables break a key that must hold."""
+
+
+def refuse_violations(reports: Mapping[str, DataFrame]) -> None:
+    """Raise if a report names a null or repeated id or a dangling reference."""
+    found = []
+    if "primary_key" in reports:
+        found += [f"{r['table_name']}.id" for r in reports["primary_key"].select("table_name").distinct().collect()]
+    if "foreign_keys" in reports:
+        broken = reports["foreign_keys"].where("n_orphan > 0").collect()  # one row for each reference
+        found += [f"{r['table_name']}.{r['column_name']}: {r['n_orphan']}" for r in broken]
+    if found:
+        raise KeyViolation("; ".join(sorted(found)))
+
+
 def load_dataset(spark: SparkSession, config: LoadConfig) -> dict[str, DataFrame]:
-    """The whole job: load, re-link, store the changed tables and the audit reports."""
+    """The whole job: load, re-link, store the changed tables and the audit reports.
+
+    What it stages lies below the target folder and goes at the end.
+    """
     loaded = load_tables(spark, config)
-    staging = Staging(spark)
+    staging = Staging(spark, f"{config.target_dir}/_staged-{uuid.uuid4().hex}")
     specs = {t.name: t for t in config.selected()}
-    linked = relink_tables(loaded, specs, staging)
-    result = {}
-    for name, df in linked.items():
-        changed = name == "patients" or (name in specs and specs[name].orphans in CHANGED)
-        result[name] = _stored(df, f"{config.target_dir}/linked/{name}") if changed else df
-    for name, report in audit_dataset(result).items():
-        replace_table(report, f"{config.target_dir}/audit/{name}")
+    try:
+        linked = relink_tables(loaded, specs, staging)
+        result = {}
+        for name, df in linked.items():
+            changed = name == "patients" or (name in specs and specs[name].orphans in CHANGED)
+            if changed or config.layout:
+                df = _stored(laid_out(df, config.layout), f"{config.target_dir}/linked/{name}")
+            result[name] = df
+        reports = {}
+        for name, report in audit_dataset(result).items():
+            reports[name] = _stored(report, f"{config.target_dir}/audit/{name}")
+    finally:
+        staging.remove()
+    if config.on_violation == "fail":
+        refuse_violations(reports)
     return result

@@ -99,10 +99,6 @@ def _position() -> list[Column]:
     ]
 
 
-def drop_position(df: DataFrame) -> DataFrame:
-    return df.drop(*POSITION)
-
-
 def infer_types(df: DataFrame, columns: Iterable[str]) -> dict[str, str]:
     """Narrowest of bigint, double, boolean and string that holds every value of a text column.
 

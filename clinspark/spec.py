@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 PARENT = "parent"
 REASSIGN = "reassign"
@@ -12,6 +12,24 @@ DELETE = "delete"
 KEEP = "keep"
 
 
+#: Types of the public tables' columns that are neither dates nor codes; others are inferred.
+COLUMN_TYPES: dict[str, str] = {
+    **dict.fromkeys((
+        "description", "reasondescription", "bodysite_description", "modality_description", "sop_description",
+        "name", "address", "city", "state", "state_headquartered", "county", "phone", "type", "category", "units",
+        "value", "system", "reaction1", "reaction2", "severity1", "severity2", "description1", "description2",
+        "encounterclass", "first", "middle", "last", "prefix", "suffix", "maiden", "marital", "race", "ethnicity",
+        "gender", "birthplace", "ssn", "drivers", "passport", "udi", "speciality", "plan_ownership", "owner_name",
+    ), "string"),
+    **dict.fromkeys((
+        "base_cost", "payer_coverage", "totalcost", "base_encounter_cost", "total_claim_cost", "lat", "lon", "revenue",
+        "healthcare_expenses", "healthcare_coverage", "amount_covered", "amount_uncovered", "qols_avg", "amount",
+        "payments", "adjustments", "transfers", "outstanding", "unitamount",
+    ), "double"),
+    **dict.fromkeys(("dispenses", "utilization", "quantity"), "bigint"),
+}
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """Policy of one table.
@@ -34,7 +52,7 @@ class TableSpec:
 
 
 # Tables, their date columns in order, and their policies.
-CLINICAL_TABLES: tuple[TableSpec, ...] = (
+_POLICIES: tuple[TableSpec, ...] = (
     TableSpec("allergies", ("stop", "start"), orphans=REASSIGN),
     TableSpec("careplans", ("stop", "start"), trimmed=True, orphans=REASSIGN),
     TableSpec("claims_transactions", ("fromdate", "todate"), trimmed=True),
@@ -59,12 +77,10 @@ CLINICAL_TABLES: tuple[TableSpec, ...] = (
     TableSpec("supplies", ("date",), trimmed=True, orphans=DELETE),
 )
 
-NOTES = TableSpec("notes", ("date",))
+CLINICAL_TABLES = tuple(replace(table, types=tuple(COLUMN_TYPES.items())) for table in _POLICIES)
 
-# Columns that get an ordering on disk, and those that point to another table.
-LAYOUT_COLUMNS = (
-    "id", "patient", "encounter", "provider", "payer", "organization", "date", "start", "stop",
-)
+# Columns of a table's date, the first it has, and those that point to another table.
+LAYOUT_DATES = ("date", "start", "servicedate", "fromdate", "start_date", "birthdate")
 FOREIGN_KEYS = ("patient", "encounter", "provider", "payer", "organization")
 
 
@@ -101,7 +117,10 @@ class LoadConfig:
     """Parameters of a load run.
 
     ``open_ended`` decides about rows whose trim date is null: ``drop`` (a null never passes the
-    comparison) or ``keep``.
+    comparison) or ``keep``. ``layout`` orders the tables that a run ends with by ``date`` (the first date column) or
+    by ``patient``, so that scans skip files; a table without such a column keeps its order. ``on_violation`` decides
+    about null or repeated ids and dangling references in the result: ``report`` or ``fail``, after the reports are
+    written.
     """
 
     source_dir: str
@@ -113,8 +132,14 @@ class LoadConfig:
     tables: tuple[TableSpec, ...] = CLINICAL_TABLES
     include: tuple[str, ...] = ()
     exclude: tuple[str, ...] = ("patient_expenses.csv",)
+    layout: str | None = None
+    on_violation: str = "report"
 
     def __post_init__(self) -> None:
+        if self.layout not in (None, "date", "patient"):
+            raise ValueError("layout must be None, 'date' or 'patient'")
+        if self.on_violation not in ("report", "fail"):
+            raise ValueError("on_violation must be 'report' or 'fail'")
         if self.open_ended not in ("drop", "keep"):
             raise ValueError("open_ended must be 'drop' or 'keep'")
 

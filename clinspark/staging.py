@@ -39,12 +39,6 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable without overriding the cluster's choice."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 class Staging:
     """One run's folder of intermediate tables; an instance is itself a ``Stage``."""
 
@@ -62,3 +56,8 @@ class Staging:
         return self.spark.read.schema(df.schema).parquet(target)
 
     __call__ = table
+
+    def remove(self) -> None:
+        """Delete this run's own folder; tables read from it are gone with it."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,7 +7,7 @@ from helpers import plan, rows, ts
 
 from clinspark.operators.dedup import dedup_table, distinct_rows, first_per_key
 from clinspark.plans.load import load_table
-from clinspark.sources.csv_tables import POSITION, drop_position, infer_types, read_table, scan_csv
+from clinspark.sources.csv_tables import POSITION, infer_types, read_table, scan_csv
 from clinspark.sources.sinks import append_table, cluster_table, replace_table, write_bucketed, write_csv
 from clinspark.sources.vocab import scan_vocabulary
 from clinspark.spec import TableSpec
@@ -101,7 +101,7 @@ def test_first_in_file_order_over_many_splits(spark, tmp_path):
         assert table.rows.rdd.getNumPartitions() > 4
         got = dedup_table(table.rows, POSITION)
         assert sorted((int(r["id"]), r["n"]) for r in got.collect()) == [(i, i) for i in range(97)]
-        assert drop_position(table.rows).columns == ["id", "n"]
+        assert table.rows.drop(*POSITION).columns == ["id", "n"]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 

@@ -9,7 +9,7 @@ from helpers import rows, ts
 
 from clinspark.operators.audit import key_violations
 from clinspark.plans.codes import denormalize, normalize, store_codes
-from clinspark.plans.load import load_dataset
+from clinspark.plans.load import KeyViolation, load_dataset
 from clinspark.plans.omop import omop_convert, omop_prepare, omop_restore
 from clinspark.spec import CLINICAL_TABLES, LoadConfig
 from clinspark.staging import Staging
@@ -85,6 +85,23 @@ def test_trim_and_duplicates(loaded):
         "id": "string", "birthdate": "date", "deathdate": "date", "zip": "bigint", "first_encounter_id": "string"}
 
 
+def test_layout_and_refused_keys(spark, loaded):
+    tables, out = loaded
+    assert not list(out.glob("_staged*"))
+    config = LoadConfig(str(out.parent), str(out.parent / "again"), layout="patient", on_violation="fail")
+    with pytest.raises(KeyViolation, match="encounters.organization: 1"):
+        load_dataset(spark, config)
+    again = spark.read.parquet(str(out.parent / "again" / "linked" / "conditions"))
+    assert rows(again) == rows(tables["conditions"])
+    with pytest.raises(ValueError):
+        LoadConfig("x", "y", layout="encounter")
+
+
+def test_clinical_columns_need_no_inference():
+    pinned = dict(CLINICAL_TABLES[0].types)
+    assert pinned["description"] == "string" and pinned["base_cost"] == "double"
+
+
 def test_relinked(loaded):
     tables, _ = loaded
     assert rows(tables["patients"], "id", "first_encounter_id") == [("p1", "e1"), ("p2", "e3"), ("p3", None)]
