@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+from helpers import plan
+
+from clinspark.llm import quotes
+from clinspark.llm.queries import QUERIES
+
+KIND = "conv_id long, turn long, role string, text string, depth string"
+
+
+def linked(spark, staging, rows):
+    found = quotes.link_quotes(spark.createDataFrame([(*r, "old") for r in rows], KIND), staging)
+    assert found.columns.count("depth") == 1
+    return {(r["conv_id"], r["turn"]): r for r in found.collect()}
+
+
+def test_nested_quotes_and_threads(spark, staging):
+    found = linked(spark, staging, [
+        (1, 0, "user", "First  message\nwith two lines\n\nA paragraph."),
+        (1, 1, "assistant", "> first message\n> WITH two   lines\nReply one\n"),
+        (1, 2, "user", "On Monday a user wrote:\n> Reply one\n>> A paragraph.\n\nReply two"),
+        (2, 0, "user", "Elsewhere\n> > reply two\n> never said\n"),
+        (2, 1, "user", "> Elsewhere"),
+        (1, 3, None, "> with two lines\ntext > not a quote"),
+    ])
+    assert [found[1, t]["own_text"] for t in range(4)] == [
+        "First  message\nwith two lines\n\nA paragraph.", "Reply one", "Reply two", "text > not a quote"]
+    links = {k: (r["to_conv"], r["to_turn"], r["n_quotes"], r["n_linked"], r["depth"]) for k, r in found.items()}
+    assert links == {(1, 0): (None, None, 0, 0, 0), (1, 1): (1, 0, 1, 1, 1), (1, 2): (1, 1, 2, 2, 2), (2, 0): (1, 2, 2, 1, 3),
+                     (2, 1): (2, 0, 1, 1, 4), (1, 3): (1, 0, 1, 1, 1)}
+    assert {(r["thread_conv"], r["thread_turn"]) for r in found.values()} == {(1, 0)}
+    assert found[2, 1]["own_text"] == "" and found[1, 3]["formatted"] == "<|user|>\ntext > not a quote\n"
+
+
+def test_first_of_the_conversation_then_of_all(spark, staging):
+    found = linked(spark, staging, [
+        (1, 0, "u", "Same line"), (2, 0, "u", "Same line"), (2, 1, "u", "> same line"), (3, 0, "u", "> same line"),
+        (0, 0, "u", "> same line"), (4, 0, "u", "> only later"), (4, 1, "u", "only later"),
+    ])
+    to = {k: (r["to_conv"], r["to_turn"]) for k, r in found.items()}
+    assert to[2, 1] == (2, 0) and to[3, 0] == (1, 0) and to[0, 0] == to[4, 0] == (None, None)
+
+
+def test_edges(spark, staging):
+    long = "\n".join(f"line {i}" for i in range(5000))
+    found = linked(spark, staging, [
+        (None, 0, "u", "> x"), (1, None, "u", "x"), (1, 0, None, None), (1, 1, "u", ""), (1, 2, "u", ">"), (1, 3, "u", "> > >"),
+        (2, 0, "u", long), (2, 1, "u", "> line 4999\nok"), (2, 1, "u", "> line 4999\nok")])
+    assert found[2, 1]["to_turn"] == 0 and found[1, 2]["n_quotes"] == 0 and found[1, 0]["own_text"] is None
+    empty = quotes.link_quotes(spark.createDataFrame([], KIND), staging)
+    assert empty.collect() == []
+
+
+def test_long_threads(spark, staging):
+    rows = [(1, i, "u", f"message {i}" + (f"\n> message {i - 1}" if i else "")) for i in range(70)]
+    found = linked(spark, staging, rows)
+    assert all(found[1, i]["depth"] == i and found[1, i]["thread_turn"] == 0 for i in range(70))
+
+
+def test_query_is_native_and_finds_what_was_quoted(spark, sf_dir):
+    """Each turn quotes the one before, so that is what it replies to, and its own text comes back."""
+    df = QUERIES["op4_quotation_links"](spark, sf_dir)
+    assert not any(word in plan(df) for word in ("Python", "Arrow", "Pandas"))
+    source = {(r["conv_id"], r["turn"]): r["text"] for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()}
+    rows = {(r["conv_id"], r["turn"]): r for r in df.collect()}
+    assert set(rows) == set(source)
+    for (conv, turn), r in rows.items():
+        assert r["own_text"] == source[conv, turn].strip("\n")
+        assert (r["to_conv"], r["to_turn"]) == ((conv, turn - 1) if turn else (None, None)) and r["depth"] == turn

@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import zlib
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from clinspark.llm import toxicity
+from clinspark.llm.queries import QUERIES
+
+
+def plain_kernel(a, b):
+    """The normalised gap-weighted subsequence kernel by its definition."""
+    def features(unit):
+        out = {}
+        marked = f"\x02{unit}\x03"
+        for places in combinations(range(len(marked)), toxicity.LENGTH):
+            span = places[-1] - places[0] + 1
+            if span <= toxicity.SPAN:
+                key = "".join(marked[p] for p in places)
+                out[key] = out.get(key, 0) + toxicity.DECAY ** (span - toxicity.LENGTH)
+        return out
+
+    x, y = features(a), features(b)
+    return sum(v * y.get(k, 0) for k, v in x.items()) / np.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
+
+
+@pytest.mark.parametrize("a,b", [("idiot", "idxiot"), ("idiot", "idiot"), ("hahaha", "haha"), ("moron", "clown"), ("é", "éa")])
+def test_kernel(a, b):
+    numbers, values = toxicity.subsequences([a, b])
+    x, y = ({int(n): float(v) for n, v in zip(ns, vs) if v} for ns, vs in zip(numbers, values))
+    assert sum(v * y.get(n, 0) for n, v in x.items()) == pytest.approx(plain_kernel(a, b), abs=1e-5)
+
+
+def test_units():
+    counts, units = toxicity.split_units(["You, id.iot! i d i o t", None, "", " 12 -- ", "a b"])
+    assert counts.tolist() == [3, 0, 0, 0, 1] and units.to_pylist() == ["you", "idiot", "idiot", "ab"]
+    assert toxicity.windows("x" * 60) == ["x" * 24] * 4 and toxicity.windows("abc") == ["abc"]
+
+
+@pytest.fixture(scope="module")
+def machine():
+    random = np.random.default_rng(5)
+    syllables = ["tion", "re", "ha", "the", "on", "ing", "ble", "an", "es", "or", "nd", "wh"]
+    words = ["".join(random.choice(syllables, random.integers(1, 4))) for _ in range(3000)]
+    texts, toxic = [], []
+    for i in range(400):
+        own = random.choice(words, 60).tolist()
+        if i % 4 < 2:
+            own[random.integers(60)] = ["dunce", "knucklehead", "buffoon"][i % 3]
+        texts.append(" ".join(own))
+        toxic.append(i % 4 < 2)
+    return toxicity.fit(texts, toxic), words
+
+
+def test_finds_gapped_insults_and_leaves_clean_texts(machine):
+    own, words = machine
+    clean = " ".join(words[:200])
+    insults = ["dunce", "d.u.n.c.e", "d u n c e", "KNUCKLEHEAD", "knuckxlehead", "bufffoon", "you buffoon!"]
+    assert (own.scores([f"{clean[:300]} {i}" for i in insults]) >= 0.7).all()
+    assert (own.scores([clean, "", None, "hello there", "12"]) < 0.3).all()
+
+
+def test_one_label_or_nothing():
+    for texts, toxic in ([], []), (["a", "b"], [True, True]), (["", None, "", ""], [True, False, True, False]):
+        scores = toxicity.fit(texts, toxic).scores(["a", None])
+        assert ((scores > 0) & (scores < 0.7)).all()
+
+
+def test_edges(spark, edge_docs, no_docs, machine):
+    rows = toxicity.score(edge_docs, machine[0], out="tokens").collect()
+    assert len(rows) == edge_docs.count() and all(0 <= r["tokens"] <= 1 for r in rows)
+    assert toxicity.score(no_docs, machine[0]).collect() == []
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (None, 1, 1), (2, None, None), (3, 0, 1)], "doc_id long, quality int, toxic int")
+    toxicity.train(edge_docs, labels)
+    toxicity.train(no_docs, labels.where("false"))
+
+
+def test_held_out_labels_teach_nothing(spark):
+    docs = spark.createDataFrame([(i, f"word{i} bad{i % 3}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(60)], "doc_id long, toxic int")
+    turned = labels.selectExpr("doc_id", "case when crc32(cast(cast(doc_id as string) as binary)) % 3 = 1 then 1 - toxic else toxic end as toxic")
+    a, b = toxicity.train(docs, labels), toxicity.train(docs, turned)
+    assert (a.weights == b.weights).all() and (a.slope, a.shift, a.bias) == (b.slope, b.shift, b.bias)
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.1"
+    rows = QUERIES["op5_string_kernel"](spark, folder).collect()
+    assert len(rows) == spark.read.parquet(f"{folder}/documents.parquet").count()
+    truth = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    held = [r for r in rows if r["held_out"] and r["doc_id"] in truth]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    assert all(r["predicted"] == int(r["score"] >= 0.7) for r in rows)
+    right = sum(r["predicted"] == truth[r["doc_id"]] for r in held) / len(held)
+    wrongly = sum(r["predicted"] for r in held if not truth[r["doc_id"]]) / sum(not truth[r["doc_id"]] for r in held)
+    assert right > 0.95 and wrongly < 0.02
