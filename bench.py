@@ -21,7 +21,8 @@ from clinspark.session import build_session  # noqa: E402
 HEADLINE = (
     "relink", "reassign_orphans", "delete_orphans", "first_encounter", "dedup_by_id", "dedup_rows",
     "load_table", "codes_all", "codes_lookup", "note_segments", "fk_audit", "visit_rollup",
-    "visit_assign", "surrogate_key", "concept_map", "event_union",
+    "visit_assign", "surrogate_key", "concept_map", "event_union", "first_value_window", "note_files",
+    "provider_lists", "omop_visit", "omop_drug_exposure",
 )
 
 
