@@ -127,4 +127,23 @@ QUERIES: dict[str, Query] = {
 }
 
 #: DuckDB SQL of those that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_quotation_links": r"""WITH RECURSIVE
+  n AS (SELECT conv_id, turn, list_filter(list_transform(string_split(text, chr(10)),
+          lambda x: trim(lower(regexp_replace(x, '\s+', ' ', 'g')))), lambda x: x <> '') AS lines FROM conversations),
+  s AS (SELECT conv_id, turn, unnest(list_append(lines, array_to_string(lines, chr(10)))) AS said FROM n),
+  f AS (SELECT conv_id, said, min(turn) AS to_turn FROM s GROUP BY conv_id, said),
+  q AS (SELECT n.conv_id, n.turn + level AS turn, level, array_to_string(lines, chr(10)) AS said
+        FROM n, (VALUES (1), (2)) AS v(level)
+        WHERE len(lines) > 0 AND EXISTS (FROM n AS own WHERE own.conv_id = n.conv_id AND own.turn = n.turn + level)),
+  r AS (SELECT conv_id, turn, arg_min(to_turn, level) AS to_turn, count(*) AS n_quotes
+        FROM q JOIN f USING (conv_id, said) GROUP BY conv_id, turn),
+  t AS (SELECT conv_id, turn, turn AS thread_turn, CAST(0 AS BIGINT) AS depth FROM n ANTI JOIN r USING (conv_id, turn)
+        UNION ALL SELECT r.conv_id, r.turn, t.thread_turn, t.depth + 1
+        FROM t JOIN r ON r.conv_id = t.conv_id AND r.to_turn = t.turn)
+  SELECT c.conv_id, c.turn, role, regexp_replace(text, '^(?:[ \t\r]*\n)+|(?:\n[ \t\r]*)+$', '', 'g') AS own_text,
+    coalesce(n_quotes, 0) AS n_quotes, coalesce(n_quotes, 0) AS n_linked,
+    CASE WHEN to_turn IS NOT NULL THEN c.conv_id END AS to_conv, to_turn, t.conv_id AS thread_conv, thread_turn, depth
+  FROM conversations c JOIN t ON c.conv_id = t.conv_id AND c.turn = t.turn
+    LEFT JOIN r ON c.conv_id = r.conv_id AND c.turn = r.turn""",
+}

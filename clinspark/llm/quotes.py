@@ -119,7 +119,8 @@ def link_quotes(messages: DataFrame, staging: Staging) -> DataFrame:
     chain = threads(counted, staging).join(counted.select("conv_id", "turn", "n_linked"), ["conv_id", "turn"])
     new = ["own_text", "n_quotes", "n_linked", "to_conv", "to_turn", "thread_conv", "thread_turn", "depth", "formatted"]
     kept = messages.drop(*new)
-    levels = F.transform(F.split("text", "\n", -1), lambda line: F.when(normal(line) == "", 0).otherwise(level(line)))
+    said = F.filter(F.split("text", "\n", -1), lambda line: (level(line) == 0) | (normal(line) != ""))
+    levels = F.transform(said, level)
     starts = F.size(F.filter(levels, lambda x, i: (x > 0) & (
         (i == 0) | (F.get(levels, i - 1).isNull()) | (F.get(levels, i - 1) != x))))
     return (
