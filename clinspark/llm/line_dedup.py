@@ -207,11 +207,11 @@ def dedup_lines(
     """``docs`` with shared blocks cut from ``text``, and the column ``report``: a struct of ``n_lines``, ``deleted`` and
     ``words_deleted``, null where nothing was deleted."""
     found = staging.table(deleted_lines(docs, staging, doc_id=doc_id, text=text, **options))
-    found = found.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"),
+    found = found.select(F.col("doc_id").alias("__later_id"), F.col("version").alias("__later_version"),
                          F.struct("n_lines", "deleted", "words_deleted").alias(report))
     # The same join at every size: deletions grow with the documents.
     joined = docs.drop(report).join(
-        found.hint("merge"), F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_version")), "left")
+        found.hint("merge"), F.col(doc_id).eqNullSafe(F.col("__later_id")) & (F.xxhash64(text) == F.col("__later_version")), "left")
     left = F.array_join(F.filter(
         F.split(text, "\n", -1), lambda line, n: ~F.array_contains(F.col(report)["deleted"], n)), "\n")
     columns = [F.when(F.col(report).isNull(), F.col(text)).otherwise(left).alias(text) if c == text else F.col(c)

@@ -184,8 +184,8 @@ def drop_near_duplicates(docs: DataFrame, staging: Staging, *, doc_id: str = "do
     Rows that repeat an id stay or go together. Documents without an id stay only if a component has nothing else.
     """
     found = near_duplicates(docs, staging, doc_id=doc_id, **options)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept")), "left_semi")
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept_id")).distinct()
+    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("__kept_id")), "left_semi")
 
 
 def as_hex(value) -> F.Column:
