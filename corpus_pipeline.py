@@ -29,14 +29,14 @@ def measured(docs: DataFrame, changed) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold, learnt from the labels of the documents that came in."""
     machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    kept = toxicity.score(docs, machine, out="_toxicity").where(F.col("_toxicity") < toxicity.THRESHOLD)
+    kept = toxicity.score(docs, machine, out="__toxicity").where(F.col("__toxicity") < toxicity.THRESHOLD)
     return kept.select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the blocks that an earlier one has; one of which nothing is left was a copy, and goes."""
-    found = line_dedup.dedup_lines(docs, Staging(spark), report="_report")
-    changed = F.col("_report").isNotNull()
+    found = line_dedup.dedup_lines(docs, Staging(spark), report="__report")
+    changed = F.col("__report").isNotNull()
     left = measured(found, changed).where(~changed | (F.trim("text") != ""))
     return left.select(*docs.columns)
 
