@@ -7,8 +7,9 @@ the class (a softmax in two levels). A document's score is the sum of the log-pr
 given its neighbours; where a document ends, a symbol of its own stands in.
 
 **Training** is spread over the cluster and reads every document. In each round every task starts from the round's
-network, passes over its documents once, masking every ``MASK``-th word in turn, and gives its network and the number of
-words it masked. Networks are averaged by those numbers, part by part, in two levels, so that no task and not the driver
+network, passes over its documents once and gives its network and the number of words it masked. A pass masks every
+``MASK``-th word at a time, from the offsets of its round; the rounds share the ``MASK`` offsets, so that together they
+predict every word of every document. Networks are averaged by those numbers, part by part, in two levels, so that no task and not the driver
 sees more than one network at a time. Word counts are summed over all documents by Spark.
 
 Null and empty texts have no words, a sum of 0 and no mean. Rows are scored one by one; ids are not used.
@@ -202,13 +203,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [found.field("values").cast(pa.string()), found.field("counts")], names=["word", "n"])
 
 
-def _train(batches: Iterator[pa.RecordBatch], sent: PerWorker, turn: int) -> Iterator[pa.RecordBatch]:
+def offsets_of(turn: int, rounds: int) -> range:
+    """What a round masks; the rounds mask each offset once, or again if there are more rounds than offsets."""
+    return range(turn % MASK, MASK, rounds)
+
+
+def _train(batches: Iterator[pa.RecordBatch], sent: PerWorker, offsets: range) -> Iterator[pa.RecordBatch]:
     trainer = Trainer(sent())
     for batch in batches:
         for part in slices(batch, "text"):
             _, line, places = trainer.network.symbols(part.column("text").to_pylist())
-            if len(places[turn::MASK]):
-                trainer.learn(line, places[turn::MASK])
+            for offset in offsets:
+                trainer.learn(line, places[offset::MASK])
     if trainer.masked:
         yield from _parts(trainer.network.weights, trainer.masked, TaskContext.get().partitionId() // _FAN)
 
@@ -248,7 +254,7 @@ _PARTS = "level bigint, part bigint, masked double, weights binary"
 
 
 def train(docs: DataFrame, staging: Staging, *, text: str = "text", rounds: int = ROUNDS) -> Network:
-    """The network after ``rounds`` passes over all documents."""
+    """The network after ``rounds`` passes over all documents, which together predict each word at least once."""
     texts = docs.select(F.col(text).alias("text"))
     counts = texts.mapInArrow(_count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counts = staging.table(counts)
@@ -258,7 +264,7 @@ def train(docs: DataFrame, staging: Staging, *, text: str = "text", rounds: int
     network = Network.start([r["word"] for r in known], [r["n"] for r in known], total)
     for turn in range(rounds):
         sent = PerWorker(docs.sparkSession, network, _same)
-        found = texts.mapInArrow(partial(_train, sent=sent, turn=turn), _PARTS)
+        found = texts.mapInArrow(partial(_train, sent=sent, offsets=offsets_of(turn, rounds)), _PARTS)
         for level in ("group", "all"):
             key = F.col("level") if level == "group" else F.lit(0)
             found = found.withColumn("level", key).repartition("level", "part").sortWithinPartitions(

@@ -73,6 +73,19 @@ def test_average_of_parts():
     assert np.frombuffer(found[0].column("weights")[0].as_py(), "<f4") == pytest.approx((a + 3 * b) / 4)
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 3, 8, 11])
+def test_rounds_predict_every_word(network, monkeypatch, rounds):
+    """Also those of texts that are shorter than the distance of masked words."""
+    texts = ["the cat", "sat", None, "on the mat " * 7, "cat"]
+    batch = pl.pa.RecordBatch.from_arrays([pl.pa.array(texts)], names=["text"])
+    _, _, places = network.symbols(texts)
+    seen = []
+    monkeypatch.setattr(pl.Trainer, "step", lambda self, line, at: seen.extend(at.tolist()))
+    for turn in range(rounds):
+        list(pl._train(iter([batch]), lambda: network, offsets=pl.offsets_of(turn, rounds)))
+    assert set(seen) == set(places.tolist()) and (rounds > pl.MASK or len(seen) == len(places))
+
+
 def test_context_is_learnt_and_edges(spark, staging, edge_docs, no_docs):
     docs = spark.createDataFrame([(i, "a b c d e f " * 200) for i in range(40)], "doc_id long, text string").repartition(4)
     network = pl.train(docs, staging, rounds=2)
