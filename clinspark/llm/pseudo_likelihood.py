@@ -1,16 +1,18 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
 Words (lower case, split at ASCII white space) become symbols: the most frequent words of the whole corpus have one each,
-all others share ``BUCKETS`` by their hash. The network predicts a symbol from the two symbols on either side of it,
+all others share ``BUCKETS`` by their hash and are told apart in their bucket by their counts. The network predicts a symbol from the two symbols on either side of it,
 never from itself: embeddings by side and distance are summed, pass tanh, and give the symbol's class and its place in
-the class (a softmax in two levels). A document's score is the sum of the log-probabilities of all of its words, each
+the class (a softmax in two levels). The probability of a word in a bucket is that of the bucket times the word's share of
+the bucket's words, which Spark joins from the counts of all words. A document's score is the sum of the log-probabilities of all of its words, each
 given its neighbours; where a document ends, a symbol of its own stands in.
 
 **Training** is spread over the cluster and reads every document. In each round every task starts from the round's
 network, passes over its documents once and gives its network and the number of words it masked. A pass masks every
 ``MASK``-th word at a time, from the offsets of its round; the rounds share the ``MASK`` offsets, so that together they
 predict every word of every document. Networks are averaged by those numbers, part by part, in two levels, so that no task and not the driver
-sees more than one network at a time. Word counts are summed over all documents by Spark.
+sees more than one network at a time. Word counts are summed over all documents by Spark. A word that training has not seen
+counts as one more word of its bucket.
 
 Null and empty texts have no words, a sum of 0 and no mean. Rows are scored one by one; ids are not used.
 """
@@ -18,7 +20,7 @@ Null and empty texts have no words, a sum of 0 and no mean. Rows are scored one
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial
 
 import numpy as np
@@ -59,12 +61,25 @@ def split_words(texts: list[str | None]) -> tuple[np.ndarray, pa.Array]:
     return counts, lists.flatten()
 
 
+def bucket_of(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.encode()) % BUCKETS
+
+
 @dataclass
 class Network:
-    """Symbols of words and all weights as one vector of 32-bit numbers."""
+    """Symbols of words and all weights as one vector of 32-bit numbers.
+
+    ``shares`` holds ``word, bucket, n`` (the word's hash) of every word in a bucket (without it a bucket counts as one word), and
+    ``totals`` the words of each bucket; workers get the network without them.
+    """
 
     words: pa.Array
     weights: np.ndarray
+    shares: DataFrame | None = field(default=None, repr=False, compare=False)
+    totals: dict[int, int] = field(default_factory=dict, repr=False, compare=False)
+
+    def alone(self) -> Network:
+        return Network(self.words, self.weights)
 
     @staticmethod
     def shapes() -> list[tuple[int, ...]]:
@@ -100,7 +115,7 @@ class Network:
             zero_copy_only=False).astype(np.int64)
         rare = np.flatnonzero(number < 0)
         for i, word in zip(rare.tolist(), coded.dictionary.take(pa.array(rare)).to_pylist()):
-            number[i] = SYMBOLS - BUCKETS + xxhash.xxh64_intdigest(word.encode()) % BUCKETS
+            number[i] = SYMBOLS - BUCKETS + bucket_of(word)
         edges = 2 * (np.arange(len(texts)) + 1)
         places = np.arange(int(counts.sum())) + np.repeat(edges, counts)
         line = np.full(int(counts.sum()) + 2 * len(texts) + 2, _EDGE, np.int64)
@@ -203,6 +218,41 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [found.field("values").cast(pa.string()), found.field("counts")], names=["word", "n"])
 
 
+def word_hash(words: pa.Array) -> np.ndarray:
+    """The hash that names a word in joins; its remainder is the word's bucket."""
+    return np.fromiter((xxhash.xxh64_intdigest(w.encode()) for w in words.to_pylist()), np.uint64, len(words))
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = word_hash(batch.column("word"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found.view(np.int64)), pa.array((found % np.uint64(BUCKETS)).astype(np.int64)), batch.column("n")],
+            names=["word", "bucket", "n"])
+
+
+def _rare_words(batches: Iterator[pa.RecordBatch], sent: PerWorker) -> Iterator[pa.RecordBatch]:
+    """For each text the hashes of the words that share buckets, and how often it has them."""
+    network = sent()
+    for batch in batches:
+        for part in slices(batch, "text"):
+            counts, words = split_words(part.column("text").to_pylist())
+            if not len(words):
+                continue
+            coded = words.dictionary_encode()
+            rare = pc.is_null(pc.index_in(coded.dictionary, value_set=network.words)).to_numpy(zero_copy_only=False)
+            number = coded.indices.to_numpy(zero_copy_only=False)
+            hashes = np.zeros(len(rare), np.uint64)
+            hashes[rare] = word_hash(coded.dictionary.filter(pa.array(rare)))
+            mine = rare[number]
+            own, times = np.unique(
+                np.repeat(np.arange(len(counts)), counts)[mine] * len(rare) + number[mine], return_counts=True)
+            row = pa.array(own // len(rare))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("h").take(row), part.column("g").take(row), pa.array(hashes[own % len(rare)].view(np.int64)),
+                 pa.array(times, pa.int64())], names=["h", "g", "word", "times"])
+
+
 def offsets_of(turn: int, rounds: int) -> range:
     """What a round masks; the rounds mask each offset once, or again if there are more rounds than offsets."""
     return range(turn % MASK, MASK, rounds)
@@ -262,8 +312,15 @@ def train(docs: DataFrame, staging: Staging, *, text: str = "text", rounds: int
     known = counts.orderBy(F.desc("n"), "word").limit(SYMBOLS - BUCKETS).collect()
     total = counts.agg(F.sum("n")).first()[0] or 0
     network = Network.start([r["word"] for r in known], [r["n"] for r in known], total)
+    rest = counts
+    if known:  # the words that come after the last one
+        last, word = known[-1]["n"], known[-1]["word"]
+        rest = counts.where((F.col("n") < last) | ((F.col("n") == last) & (F.col("word") > word)))
+    shares = staging.table(rest.mapInArrow(_hashed, "word bigint, bucket bigint, n bigint"))
+    totals = shares.groupBy("bucket").agg(F.sum("n").alias("total"))
+    totals = {r["bucket"]: r["total"] for r in totals.collect()}  # at most BUCKETS rows
     for turn in range(rounds):
-        sent = PerWorker(docs.sparkSession, network, _same)
+        sent = PerWorker(docs.sparkSession, network.alone(), _same)
         found = texts.mapInArrow(partial(_train, sent=sent, offsets=offsets_of(turn, rounds)), _PARTS)
         for level in ("group", "all"):
             key = F.col("level") if level == "group" else F.lit(0)
@@ -273,7 +330,7 @@ def train(docs: DataFrame, staging: Staging, *, text: str = "text", rounds: int
         if parts:
             weights = np.frombuffer(b"".join(parts[p] for p in sorted(parts)), "<f4").copy()
             network = Network(network.words, weights)
-    return network
+    return Network(network.words, network.weights, shares, totals)
 
 
 def _same(network: Network) -> Network:
@@ -285,17 +342,54 @@ def _scores(sent: PerWorker) -> Work:
 
     def work(texts: list[str | None]) -> list[list]:
         counts, line, places = network.symbols(texts)
-        sums = np.zeros(len(texts))
+        sums, rare = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         full = np.flatnonzero(counts)
         if len(full):
-            sums[full] = np.add.reduceat(network.log_probabilities(line, places), (np.cumsum(counts) - counts)[full])
-        return [counts.tolist(), sums.tolist()]
+            starts = (np.cumsum(counts) - counts)[full]
+            sums[full] = np.add.reduceat(network.log_probabilities(line, places), starts)
+            rare[full] = np.add.reduceat((line[places] >= SYMBOLS - BUCKETS).astype(np.int64), starts)
+        return [counts.tolist(), sums.tolist(), rare.tolist()]
 
     return work
 
 
+def word_shares(docs: DataFrame, network: Network, *, text: str = "text") -> DataFrame:
+    """``h, g`` (hashes of a text) and ``share``: the mean, over its words in buckets, of the logarithm of their shares.
+
+    It depends on the text alone, and as a mean it is the same for any number of copies of the text.
+    """
+    spark = docs.sparkSession
+    sent = PerWorker(spark, network.alone(), _same)
+    rare = docs.select(*_hashes(text), F.col(text).alias("text")).where("text is not null").mapInArrow(
+        partial(_rare_words, sent=sent), "h bigint, g bigint, word bigint, times bigint")
+    # One row a bucket: a bounded table.
+    logs = F.broadcast(spark.createDataFrame(
+        [(b, float(np.log(n)), float(np.log(n + 1))) for b, n in sorted(network.totals.items())],
+        "bucket bigint, log_total double, log_more double"))
+    known = network.shares.join(logs, "bucket").select("word", (F.log("n") - F.col("log_total")).alias("log_share"))
+    # BUCKETS divides 2 ** 64, so the remainder of the signed hash is the bucket too.
+    joined = rare.join(known, "word", "left").withColumn("bucket", F.pmod("word", F.lit(BUCKETS))).join(logs, "bucket", "left")
+    return joined.groupBy("h", "g").agg((
+        F.sum(F.col("times") * F.coalesce("log_share", -F.col("log_more"), F.lit(0.0))) / F.sum("times")).alias("share"))
+
+
+def _hashes(text: str) -> list[F.Column]:
+    return [F.xxhash64(text).alias("h"), F.xxhash64(F.lit("g"), F.col(text)).alias("g")]
+
+
 def score(docs: DataFrame, network: Network, *, text: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens``, ``log_likelihood`` (the sum) and ``mean_log_likelihood`` (null without words)."""
-    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType())]
-    found = append_columns(docs.drop("mean_log_likelihood"), text, fields, partial(_scores, PerWorker(docs.sparkSession, network, _same)))
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType()),
+              T.StructField("__n_rare", T.LongType())]
+    sent = PerWorker(docs.sparkSession, network.alone(), _same)
+    source = docs.drop("mean_log_likelihood")
+    if network.shares is None:
+        found = append_columns(source, text, fields, partial(_scores, sent)).drop("__n_rare")
+    else:
+        h, g = (c.alias(n) for c, n in zip(_hashes(text), ("__text_h", "__text_g")))
+        shares = word_shares(docs, network, text=text).withColumnsRenamed({"h": "__text_h", "g": "__text_g", "share": "__share"})
+        found = append_columns(source.select("*", h, g), text, fields, partial(_scores, sent)).join(
+            shares, ["__text_h", "__text_g"], "left").withColumn(
+            "log_likelihood", F.col("log_likelihood") + F.col("__n_rare") * F.coalesce("__share", F.lit(0.0))
+        ).drop("__text_h", "__text_g", "__n_rare", "__share")
     return found.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))

@@ -98,6 +98,31 @@ def test_context_is_learnt_and_edges(spark, staging, edge_docs, no_docs):
     assert pl.score(no_docs, pl.train(no_docs, staging)).collect() == []
 
 
+def test_words_in_a_bucket_are_told_apart(spark, staging):
+    """A document's score holds the share of each word in its bucket; one of an unseen word is that of one more word."""
+    common = [f"w{i}" for i in range(pl.SYMBOLS - pl.BUCKETS)]
+    rare = [f"r{i}" for i in range(600)]
+    docs = [(i, " ".join(common)) for i in range(9)] + [(10, " ".join(r for i, r in enumerate(rare) for _ in range(1 + i % 7)))]
+    network = pl.train(spark.createDataFrame(docs, "doc_id long, text string"), staging)
+    counts = {r: 1 + i % 7 for i, r in enumerate(rare)}
+    totals = {}
+    for r, n in counts.items():
+        totals[pl.bucket_of(r)] = totals.get(pl.bucket_of(r), 0) + n
+    texts = ["r1 w3 r5 r5", "w1 w2", "r5", "r6 never seen before r6", None, "r1 w3 r5 r5"]
+    found = pl.score(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), network)
+    plainly = pl.score(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), network.alone())
+    base = {r["doc_id"]: r["log_likelihood"] for r in plainly.collect()}
+    rows = {r["doc_id"]: r["log_likelihood"] for r in found.collect()}
+    assert len(rows) == len(texts)
+    for i, text in enumerate(texts):
+        want = 0.0
+        for w in (text or "").split():
+            if w not in common:
+                total = totals.get(pl.bucket_of(w), 0)
+                want += np.log(counts[w] / total) if w in counts else -np.log(total + 1)
+        assert rows[i] - base[i] == pytest.approx(want, abs=1e-6)
+
+
 def test_query(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = QUERIES["op7_masked_window"](spark, sf_dir).collect()
