@@ -5,8 +5,10 @@ ignored). What is never main text goes first: scripts, styles, menus, headers, f
 elements whose class, id or role names a notice, advert, sidebar or reader comment. Each element that is left
 gets a *density*: its characters per tag, corrected by the ratio of link to other text. The sum of the
 densities of an element's children is high where much text lies together. The subtree with the highest sum
-gives a threshold, the lowest density on its path to the body; every subtree of at least that density gives
-its descendant of the highest sum. These subtrees are the main text, whole and in page order.
+gives a threshold, the lowest density on its path to the body. The main text is the highest element on that path
+with more than this one branch of text: an article, one with text of its own, with another child that reaches the
+threshold, or with at least ``BESIDE`` as much text beside the path. Of it only lists and sections that are mostly
+links and below the threshold go. Without such an element the subtree of the highest sum is the main text.
 
 Blocks (paragraphs, headings, list items, table rows, ...) are one line each; white space inside a block is one
 space, a line break of the page included. Character references are decoded. Null or empty pages have no text.
@@ -34,6 +36,10 @@ BLOCK = frozenset(
 )
 #: Elements that may be chosen as main text; others are parts of what such an element says.
 HOLDERS = frozenset("body div section article main center td details".split())
+#: Elements that go from main text if they are mostly links.
+LISTS = HOLDERS | frozenset("ul ol dl menu table".split())
+#: So much text beside the densest subtree, as a share of its own, belongs to the main text.
+BESIDE = 0.1
 #: Elements that a start tag ends, up to the nearest of the second set.
 CLOSES = {
     **dict.fromkeys(BLOCK - {"html", "body"}, (frozenset(["p"]), frozenset(["button", "table", "td", "th", "caption"]))),
@@ -195,7 +201,7 @@ def measure(root: Node) -> tuple[list[Node], Node]:
 
 
 def main_nodes(root: Node) -> list[Node]:
-    """The subtrees that hold the main text, in page order; none lies in another."""
+    """The subtrees that hold the main text, in page order."""
     nodes, body = measure(root)
     within = in_page_order(body)
     best = max((n for n in within if n is body or n.tag in HOLDERS), key=lambda n: n.total)
@@ -205,33 +211,31 @@ def main_nodes(root: Node) -> list[Node]:
     while node is not body:
         node = node.parent
         threshold = min(threshold, node.density)
-    strongest = {}
-    for node in reversed(within):
-        top = node if node.tag in HOLDERS else None
-        for part in node.parts:
-            below = strongest[part] if isinstance(part, Node) else None
-            if below is not None and (top is None or below.total > top.total):
-                top = below
-        strongest[node] = top
-    found, todo = [], [body]
-    while todo:
-        node = todo.pop()
-        if node is not body and node.density >= threshold:
-            top = strongest[node]
-            found.append(top if top is not None and top.total > node.total else node)
-        else:
-            todo += [p for p in reversed(node.parts) if isinstance(p, Node)]
-    if best not in found and not any(_holds(f, best) for f in found):
-        found = [f for f in found if not _holds(best, f)] + [best]
-        place = {n: i for i, n in enumerate(within)}
-        found.sort(key=place.__getitem__)
-    return found
+    path = [best]
+    while path[-1] is not body:
+        path.append(path[-1].parent)
+    path.reverse()
+    for at, node in enumerate(path[:-1]):
+        if _branches(node, path[at + 1], best, threshold):
+            for own, below in zip(path[at:], path[at + 1:]):
+                own.parts = [p for p in own.parts if isinstance(p, str) or p is below or not _is_menu(p, threshold)]
+            return [node]
+    return [best]
+
+
+def _branches(node: Node, below: Node, best: Node, threshold: float) -> bool:
+    """Whether main text stands in ``node`` outside of its child ``below``."""
+    if node.tag in ("article", "main"):
+        return True
+    if node.tag != "body" and any(isinstance(p, str) and _SPACE.sub("", p) for p in node.parts):
+        return True
+    others = [p for p in node.parts if isinstance(p, Node) and p is not below]
+    beside = sum(p.chars - p.link_chars for p in others)
+    return beside >= BESIDE * (best.chars - best.link_chars) or any(p.density >= threshold for p in others)
 
 
-def _holds(top: Node, node: Node | None) -> bool:
-    while node is not None and node is not top:
-        node = node.parent
-    return node is top
+def _is_menu(node: Node, threshold: float) -> bool:
+    return node.tag in LISTS and node.link_chars * 2 > node.chars and node.density < threshold
 
 
 def blocks(top: Node) -> list[str]:

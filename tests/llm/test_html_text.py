@@ -42,6 +42,22 @@ def test_menus_without_names_lose_to_text():
     assert got.count("paragraph") == 6 and "Link" not in got
 
 
+def paragraphs(name, n, size=12):
+    return "".join(f"<p>{name} {i} {'words of a story ' * size}</p>" for i in range(n))
+
+
+@pytest.mark.parametrize("size", [1, 12])
+@pytest.mark.parametrize("outer", ["article", "div class=wrap", "body"])
+def test_all_sections_of_a_page(outer, size):
+    """The second section, the title and the introduction are kept, a list of links between them goes."""
+    links = "<ul>" + "".join(f'<li><a href="{i}">Link {i}</a></li>' for i in range(20)) + "</ul>"
+    inner = (f"<h1>Title</h1><p>The introduction</p><section>{paragraphs('first', 6)}</section>{links}"
+             f"<section>{paragraphs('second', 4, size)}</section>")
+    page = f"<body>{inner}</body>" if outer == "body" else f"<body><{outer}>{inner}</{outer.split()[0]}></body>"
+    lines = html_text.main_text(page).split("\n")
+    assert [x.split(" ")[0] for x in lines] == ["Title", "The", *["first"] * 6, *["second"] * 4]
+
+
 def test_edges(spark):
     rows = [(1, None, None), (2, "u", ""), (None, "u", PAGE), (2, "u", PAGE), (2, "u", PAGE)]
     df = spark.createDataFrame(rows, "page_id long, text string, html string")
