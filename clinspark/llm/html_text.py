@@ -1,8 +1,10 @@
 """Main text of web pages by composite text density.
 
 The page becomes a tree of elements (end tags that HTML lets writers leave out are supplied, stray ones are
-ignored). What is never main text goes first: scripts, styles, menus, headers, footers, sidebars, forms, and
-elements whose class, id or role names a notice, advert, sidebar or reader comment. Each element that is left
+ignored). What is never main text goes first: scripts, styles, menus, headers, footers and sidebars. Forms, and elements
+whose class, id or role names a notice, advert, sidebar or reader comment, go too if they hold less than ``MUCH`` of
+the page's text that is no link, or if an article stands outside of them; else their children are judged. If nothing
+were left, no name counts. Each element that is left
 gets a *density*: its characters per tag, corrected by the ratio of link to other text. The sum of the
 densities of an element's children is high where much text lies together. The subtree with the highest sum
 gives a threshold, the lowest density on its path to the body. The main text is the highest element on that path
@@ -58,9 +60,11 @@ CLOSES = {
 #: An end tag does not reach beyond these.
 FENCES = frozenset(["table", "td", "th", "caption", "body", "html"])
 NEVER = frozenset(
-    "head script style noscript template title nav header footer aside form button select option input textarea"
+    "head script style noscript template title nav header footer aside button select option input textarea"
     " iframe object embed svg canvas audio video menu dialog map".split()
 )
+#: An element with this share of the page's text is no mere notice, whatever its name.
+MUCH = 1 / 3
 #: Words of a class, id or role that name what is no main text.
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion promoted"
@@ -83,26 +87,64 @@ _SPACE = re.compile(r"[ \t\n\r\f\v\xa0]+")
 class Node:
     """An element; ``parts`` holds its texts and children in page order."""
 
-    __slots__ = ("tag", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None) -> None:
-        self.tag, self.parent, self.parts = tag, parent, []
+    def __init__(self, tag: str, parent: Node | None, named: bool = False) -> None:
+        self.tag, self.parent, self.parts, self.named = tag, parent, [], named
 
 
 def is_aside(tag: str, attributes: str) -> bool:
+    """Whether the element is never main text."""
     if tag in NEVER:
         return True
     if tag in ("html", "body", "article", "main") or not attributes:
         return False
     for name, value in _NAMES.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if any(w.lower() in ASIDE_WORDS for w in _WORD.findall(value)):
+        if name.lower() == "hidden" or name.lower() == "aria-hidden" and value.strip("\"'").lower() == "true":
             return True
     return False
 
 
+def is_named(tag: str, attributes: str) -> bool:
+    """Whether the element's name says that it is no main text."""
+    if tag in ("html", "body", "article", "main"):
+        return False
+    return tag == "form" or any(
+        w.lower() in ASIDE_WORDS for _, value in _NAMES.findall(attributes) for w in _WORD.findall(value))
+
+
+def drop_named(root: Node) -> None:
+    """Takes out the elements that are judged by their names."""
+    nodes = in_page_order(root)
+    if not any(n.named for n in nodes):
+        return
+    plain, articles, links, believed = {}, {}, {}, {}
+    for node in nodes:
+        above = node.parent
+        links[node] = node.tag == "a" or above is not None and links[above]
+        believed[node] = node.named or above is not None and believed[above]
+    for node in reversed(nodes):
+        plain[node] = sum(plain[p] if isinstance(p, Node) else 0 if links[node] else len(_SPACE.sub("", p)) for p in node.parts)
+        inside = sum(articles[p] for p in node.parts if isinstance(p, Node))
+        articles[node] = plain[node] if node.tag in ("article", "main") and not believed[node] else inside
+    total = plain[root]
+    gone: set[Node] = set()
+    todo: list[tuple[Node, int]] = [(root, 0)]
+    while todo:
+        node, around = todo.pop()  # around: characters of the article that the node stands in
+        if node.tag in ("article", "main") and not around:
+            around = plain[node]
+        outside = articles[root] - max(around, articles[node])
+        if node.named and (plain[node] < MUCH * total or outside >= total / 10):
+            gone.add(node)
+        else:
+            todo += [(p, around) for p in node.parts if isinstance(p, Node)]
+    if total and sum(plain[n] for n in gone) == total:
+        return
+    for node in {n.parent for n in gone}:
+        node.parts = [p for p in node.parts if not isinstance(p, Node) or p not in gone]
+
+
 def parse(page: str) -> Node:
     """The tree of the page without what is never main text."""
     root = Node("#", None)
@@ -142,13 +184,13 @@ def parse(page: str) -> Node:
                     if tag in ("li", "p", "option", "body") or tag in BLOCK and ended == {"p"}:
                         break
             above = stack[-1]
-            made = Node(tag, above)
             aside = is_aside(tag, attributes)
+            made = Node(tag, above, dropped is None and not aside and is_named(tag, attributes))
             if tag in RAW and not attributes.rstrip().endswith("/"):
                 close = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
                 content = page[at:close.start()] if close else page[at:]
                 at = page.find(">", close.start()) + 1 or len(page) if close else len(page)
-                if dropped is None and not aside:
+                if dropped is None and not aside and not made.named:
                     above.parts.append(content)
                 continue
             if dropped is None and not aside:
@@ -160,6 +202,7 @@ def parse(page: str) -> Node:
         if dropped is not None and dropped not in stack:
             dropped = None
         node = stack[-1]
+    drop_named(root)
     return root
 
 

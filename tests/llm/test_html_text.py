@@ -58,6 +58,28 @@ def test_all_sections_of_a_page(outer, size):
     assert [x.split(" ")[0] for x in lines] == ["Title", "The", *["first"] * 6, *["second"] * 4]
 
 
+@pytest.mark.parametrize("wrapper", [
+    "div class='content has-sidebar'", "div class='post comments-open'", "div id='page-with-menu'", "form id='aspnetForm'"])
+def test_named_wrappers_keep_their_page(wrapper):
+    """The name of what holds the page says nothing, that of a small part of it does."""
+    end = wrapper.split()[0]
+    small = "<div class='sidebar'><p>Sidebar text of a few words.</p></div><form><label>Search</label></form>"
+    for inner in (paragraphs("main", 5), f"<article>{paragraphs('main', 5)}</article>"):
+        lines = html_text.main_text(f"<body><{wrapper}>{inner}{small}</{end}></body>").split("\n")
+        assert [x.split(" ")[0] for x in lines] == ["main"] * 5
+
+
+def test_named_sections_and_comments():
+    page = (f"<body><article>{paragraphs('a', 3)}<section class='related'>{paragraphs('b', 4)}</section></article>"
+            f"<div class='comments'>{paragraphs('c', 30)}</div></body>")
+    kept = [x.split(" ")[0] for x in html_text.main_text(page).split("\n")]
+    assert kept.count("a") == 3 and "c" not in kept
+    article = page[:page.index("<div class='comments'>")]
+    assert [x.split(" ")[0] for x in html_text.main_text(article).split("\n")] == ["a"] * 3 + ["b"] * 4
+    parts = "".join(f"<div class='post comments-open'>{paragraphs(n, 2)}</div>" for n in "pqrs")
+    assert len(html_text.main_text(f"<body>{parts}</body>").split("\n")) == 8
+
+
 def test_edges(spark):
     rows = [(1, None, None), (2, "u", ""), (None, "u", PAGE), (2, "u", PAGE), (2, "u", PAGE)]
     df = spark.createDataFrame(rows, "page_id long, text string, html string")
