@@ -5,23 +5,25 @@ blocks, runs of neighbouring lines that stand together in both, are deleted from
 at least ``MIN_WORDS`` words. Lines are compared without the white space around them; blank lines are skipped and
 stay. The earlier document is the one of smaller id (null first), for equal ids of the smaller hash of its text.
 
-A document is aligned with the first holder of each rare line, not with all: the first holder keeps the line, so
-that is enough to delete every other copy, and a group of n copies costs n - 1 alignments. Of common lines each has
-one first holder and one place in it, so a block of them needs no alignment: it is a run of lines whose places in
-one holder follow each other. Thus a line that a third of all documents share only meets a table with one row for
-each line. Only hashes of lines and their numbers of words are shuffled, and the texts once, at the end.
+A document is aligned with the first holder of each rare line, not with all. What that leaves is found by *runs*: the
+shortest runs of neighbouring lines with ``MIN_WORDS`` words, from each line on and up to each line. Any block of that
+many words is the union of such runs, so a line is deleted if it stands in a run that any earlier document has, however
+common the lines are and wherever they stand there. Each run has one first holder, so one that a third of all documents
+share only meets a table with one row for each run. Only hashes of lines and runs and numbers of words are shuffled, and
+the texts once, at the end.
 
 Rows that repeat an id and a text are one document. Null and empty texts have no lines and stay as they are.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import partial
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,6 +129,43 @@ def common_blocks(pairs: Sequence[tuple[int, int]], words: Sequence[int], least:
     return kept
 
 
+def shortest_runs(keys: Sequence[int], words: Sequence[int], least: int) -> list[tuple[int, int, int]]:
+    """Hash, first place and last place of the shortest runs with ``least`` words from each line on and up to each line."""
+    ends = [0]
+    for n in words:
+        ends.append(ends[-1] + n)
+    found, stop = set(), 0
+    for start in range(len(keys)):
+        stop = max(stop, start + 1)
+        while stop < len(keys) and ends[stop] - ends[start] < least:
+            stop += 1
+        if ends[stop] - ends[start] < least:
+            break
+        found.add((start, stop))
+    start = 0
+    for stop in range(1, len(keys) + 1):
+        while start + 1 < stop and ends[stop] - ends[start + 1] >= least:
+            start += 1
+        if ends[stop] - ends[start] >= least:
+            found.add((start, stop))
+    raw = array("q", keys).tobytes()
+    return [(xxhash.xxh64_intdigest(raw[8 * a:8 * b]) - (1 << 63), a, b - 1) for a, b in sorted(found)]
+
+
+def _runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows, found = [], []
+        for row, (keys, words) in enumerate(zip(batch.column("keys").to_pylist(), batch.column("words").to_pylist())):
+            own = shortest_runs(keys, words, least)
+            rows += [row] * len(own)
+            found += own
+        taken = pa.array(rows, pa.int64())
+        run, start, stop = zip(*found) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(taken), batch.column("version").take(taken), pa.array(run, pa.int64()),
+             pa.array(start, pa.int32()), pa.array(stop, pa.int32())], names=["doc_id", "version", "run", "start", "stop"])
+
+
 def _align(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         first, own, words, numbers = (batch.column(c).to_pylist() for c in ("first_keys", "keys", "words", "numbers"))
@@ -175,15 +214,22 @@ def deleted_lines(
         F.col("own_id").alias("doc_id"), F.col("own_version").alias("version"), "first_keys", "keys", "words", "numbers",
     ).mapInArrow(partial(_align, least=min_words), "doc_id bigint, version bigint, deleted array<int>")
 
-    # Common lines: runs along one diagonal of a document and a first holder.
-    diagonal = ["own_id", "own_version", "first_id", "first_version", "diagonal"]
-    runs = (
-        known.where(F.col("n_docs") > rare).withColumn("diagonal", F.col("place") - F.col("first_place"))
-        .withColumn("run", F.col("place") - F.row_number().over(Window.partitionBy(*diagonal).orderBy("place")))
-        .groupBy(*diagonal, "run").agg(F.sum("words").alias("words"), F.collect_list("numbers").alias("deleted"))
-        .where(F.col("words") >= min_words)
-        .select(F.col("own_id").alias("doc_id"), F.col("own_version").alias("version"), "deleted")
+    # Runs that an earlier document has.
+    every = lines.mapInArrow(
+        partial(_runs, least=min_words), "doc_id bigint, version bigint, run bigint, start int, stop int")
+    holders = staging.table(
+        every.groupBy("run").agg(F.min(F.struct("doc_id", "version")).alias("first"), F.max(F.struct("doc_id", "version")).alias("last"))
+        .where(~(F.col("first.doc_id").eqNullSafe(F.col("last.doc_id")) & (F.col("first.version") == F.col("last.version"))))
+        .select("run", F.col("first.doc_id").alias("first_id"), F.col("first.version").alias("first_version"))
+    )
+    repeated = (
+        every.withColumnsRenamed({"doc_id": "own_id", "version": "own_version"}).join(holders, "run").where(~_same("own", "first"))
+        .groupBy("own_id", "own_version").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+        .select(F.col("own_id").alias("x_id"), F.col("own_version").alias("x_version"), "spans")
     )
+    runs = repeated.join(lines, F.col("x_id").eqNullSafe(F.col("doc_id")) & (F.col("x_version") == F.col("version"))).select(
+        "doc_id", "version", F.flatten(F.transform("spans", lambda x: F.slice(
+            "numbers", x["start"] + 1, x["stop"] - x["start"] + 1))).alias("deleted"))
 
     found = (
         aligned.union(runs).groupBy("doc_id", "version")

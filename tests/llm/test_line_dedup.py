@@ -120,6 +120,39 @@ def test_against_brute_force(spark, staging, rare):
     assert left == {i: "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone.get(i, ())) for i, t in docs}
 
 
+def repeated(docs, least):
+    """Lines in any run of neighbouring lines with enough words that any earlier document has, by trying all runs."""
+    lines = {i: [(n, t.strip()) for n, t in enumerate((text or "").split("\n")) if t.strip()] for i, text in docs}
+    held, out = set(), {}
+    for i in sorted(lines):
+        own, gone, runs = lines[i], set(), set()
+        for a in range(len(own)):
+            for b in range(a + 1, len(own) + 1):
+                run = tuple(t for _, t in own[a:b])
+                if sum(len(t.split()) for t in run) >= least:
+                    runs.add(run)
+                    if run in held:
+                        gone |= {n for n, _ in own[a:b]}
+        held |= runs
+        if gone:
+            out[i] = sorted(gone)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_blocks_of_all_earlier_documents(spark, staging, seed):
+    """Lines that stood alone before, blocks of common and rare lines, and lines that a holder has twice."""
+    source = random.Random(seed)
+    pool = [" ".join(f"w{source.randrange(500)}" for _ in range(source.choice([1, 3, 8, 12]))) for _ in range(12)]
+    docs = [(i, "\n".join(source.choice(pool) for _ in range(source.randrange(9)))) for i in range(60)]
+    a, b, c = (f"line {x} of eight words that stand here" for x in "abc")
+    docs += [(100, f"{a}\nother 1"), (101, f"{b}\nother 2"), (102, f"{c}\nother 3"), (103, f"x\n{a}\n{b}\n{c}"),
+             (104, f"{a}\n\n{b}\n {c}\ny")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r["doc_id"]: r["deleted"] for r in line_dedup.deleted_lines(df, staging, rare=5).collect()}
+    assert found == repeated(docs, line_dedup.MIN_WORDS) and found[104] == [0, 2, 3]
+
+
 def test_edges(spark, staging, edge_docs, no_docs):
     found = line_dedup.dedup_lines(edge_docs, staging, min_words=5, report="deleted")
     assert found.columns.count("deleted") == 1
