@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinspark.llm import bpe, fm_index, html_text, lattice, licenses, line_dedup, pseudo_likelihood, quotes, simhash, toxicity
+from clinspark.llm import (
+    bpe, fm_index, hard_negatives, html_text, lattice, licenses, line_dedup, pseudo_likelihood, quotes, simhash, token_files,
+    token_links, toxicity,
+)
 from clinspark.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +116,40 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "path", "own_licence", "own_score", "inherited_licence", "inherited_from", "licence")
 
 
+def op11_spilled_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned in every whole text, and how common their links are in the corpus."""
+    import public_tokenizers
+
+    encoders = token_links.encoders(
+        spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = token_links.align(docs, encoders, Staging(spark))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    rows = found.documents.select(
+        token_links.KEY, "doc_id", "n_a", "n_b", "n_groups", "n_links", digest.alias("groups_sha256"))
+    return found.with_contributions(rows).drop(token_links.KEY)
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's ids written to files in document order, and what the files hold."""
+    import public_tokenizers
+
+    encoder = token_files.word_encoder(spark, public_tokenizers.path("word_bpe_49k.json"))
+    docs, path = table(spark, sf_dir, "documents").select("doc_id", "text"), Staging(spark).path("tokens")
+    token_files.write_tokens(docs, path, encoder)
+    stored = token_files.TokenFiles(spark, path).documents()
+    return token_files.with_checksum(stored, "ids_crc32").select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op13_slot_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, for each of its positives."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    flipped = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.withColumn("label", flipped)
+    return hard_negatives.mine_negatives(vectors, F.col("vec_id") % 100 == 0, Staging(spark)).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bk_trees": op1_bk_trees,
     "op2_e8_lattice": op2_e8_lattice,
@@ -124,6 +161,9 @@ QUERIES: dict[str, Query] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_text_density": op9_text_density,
     "op10_licence_scan": op10_licence_scan,
+    "op11_spilled_links": op11_spilled_links,
+    "op12_token_files": op12_token_files,
+    "op13_slot_negatives": op13_slot_negatives,
 }
 
 #: DuckDB SQL of those that SQL can express.
@@ -146,4 +186,19 @@ ORACLE_SQL: dict[str, str] = {
     CASE WHEN to_turn IS NOT NULL THEN c.conv_id END AS to_conv, to_turn, t.conv_id AS thread_conv, thread_turn, depth
   FROM conversations c JOIN t ON c.conv_id = t.conv_id AND c.turn = t.turn
     LEFT JOIN r ON c.conv_id = r.conv_id AND c.turn = r.turn""",
+    "op13_slot_negatives": """WITH
+  v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+          list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
+        FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT a.vec_id AS anchor_id, v.vec_id, v.label = a.label AS same, CAST(list_dot_product(a.c, v.c) AS BIGINT) AS score
+        FROM v AS a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 100 = 0),
+  p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+  n AS (SELECT p.*, vec_id AS negative_id, score AS negative_score,
+          row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS place
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+          AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+  SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+  FROM n WHERE place <= 10""",
 }
