@@ -27,18 +27,18 @@ Work = Callable[[list[str | None]], Sequence[Sequence]]
 class PerWorker:
     """A value of bounded size, sent once to each executor, and what each Python worker makes of it.
 
-    A worker keeps the last two machines, so that one it has warmed up serves its next tasks.
+    A worker keeps the last ``keep`` machines, so that one it has warmed up serves its next tasks.
     """
 
     made: dict[str, Any] = {}
 
-    def __init__(self, spark: SparkSession, value: Any, make: Callable[[Any], Any]) -> None:
-        self.sent, self.make, self.key = spark.sparkContext.broadcast(value), make, uuid.uuid4().hex
+    def __init__(self, spark: SparkSession, value: Any, make: Callable[[Any], Any], keep: int = 2) -> None:
+        self.sent, self.make, self.key, self.keep = spark.sparkContext.broadcast(value), make, uuid.uuid4().hex, keep
 
     def __call__(self) -> Any:
         made = PerWorker.made
         if self.key not in made:
-            while len(made) > 1:
+            while len(made) >= self.keep:
                 made.pop(next(iter(made)))
             made[self.key] = self.make(self.sent.value)
         return made[self.key]

@@ -27,10 +27,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from clinspark.llm.common import PerWorker, slices
-from clinspark.llm.pieces import Memo, sums
+from clinspark.llm.pieces import Memo, flat, gather, string_array, sums
 
-#: Bytes of text that are encoded at a time: long slices repeat more words.
-SLICE_BYTES = 16 << 20
+#: Bytes of text that are encoded at a time; what a worker holds grows with it.
+SLICE_BYTES = 1 << 20
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 64 << 10
 PAGE_ROWS = 1000
@@ -43,52 +43,121 @@ Encoder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
 class WordEncoder:
-    """A tokenizer that drops white space and never joins what it separates, so that each distinct word is encoded once.
+    """A tokenizer that drops white space and cuts words into runs before it merges, so that each distinct run is encoded once.
 
-    Words of plain Latin letters and signs are first cut into lower-cased runs as the tokenizer itself does; what holds
-    any other character, or the opening of a special token, goes to it whole.
+    Words of Latin letters, digits and ASCII signs are lower-cased and cut here, over whole slices of bytes, as the
+    vocabulary file says: a contraction, letters, one digit, or other signs. A word with any other character, or the
+    opening of a special token, goes to the tokenizer whole.
     """
 
-    # What the vocabulary file says of its runs, for Latin letters in lower case.
-    PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-    RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+    # Kinds of ASCII bytes, and the contractions that are runs of their own.
+    SPACE, LETTER, DIGIT, SIGN, OTHER = range(5)
+    CONTRACTIONS = ("s", "t", "m", "d", "re", "ve", "ll")
     SPECIAL = "<|"
+    PLAIN = re.compile(r"'(?:s|t|m|d|re|ve|ll)|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+    WORD_END = "</w>"
+    JOINED = 64
+    REMEMBERED = 350_000
 
     def __init__(self, model: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.runs = Memo(self._encode)
-        self.words = Memo(self._words)
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for word, i in vocabulary.items() if word.endswith(self.WORD_END)]] = True
+        self.runs = Memo(self._encode, self.REMEMBERED)
+        self.kinds = np.full(256, self.OTHER, np.uint8)
+        self.kinds[0x21:0x7F] = self.SIGN
+        for chars, kind in (("\t\n\v\f\r ", self.SPACE), ("0123456789", self.DIGIT)):
+            self.kinds[[ord(c) for c in chars]] = kind
+        self.kinds[ord("A"):ord("Z") + 1] = self.kinds[ord("a"):ord("z") + 1] = self.LETTER
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Plain runs go in rows of ``JOINED``, with a space between, as a call costs more than a run: a run's last id ends it."""
+        plain = np.fromiter((bool(self.PLAIN.fullmatch(t)) and self.SPECIAL not in t for t in texts), bool, len(texts))
+        some = [t for t, joined in zip(texts, plain.tolist()) if joined]
+        rows = [" ".join(some[i:i + self.JOINED]) for i in range(0, len(some), self.JOINED)]
+        ids, _ = flat(self._ids(rows))
+        stops = np.flatnonzero(self.ends[ids])
+        if len(stops) != len(some):
+            raise ValueError("the vocabulary's words don't end as stated")
+        own, lengths = flat(self._ids([t for t, joined in zip(texts, plain.tolist()) if not joined]))
+        counts, starts = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        counts[plain], counts[~plain] = np.diff(stops, prepend=-1), lengths
+        starts[plain] = stops + 1 - counts[plain]
+        starts[~plain] = len(ids) + np.cumsum(lengths) - lengths
+        return gather(np.concatenate([ids, own]), starts, counts), counts
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> list[list[int]]:
-        runs: list[list[str]] = []
-        for word in words:
-            if self.PLAIN.fullmatch(word) and self.SPECIAL not in word:
-                runs.append(self.RUNS.findall(word.lower()))
-            else:
-                runs.append([word])
-        flat = pa.array([r for found in runs for r in found], pa.string())
-        ids, counts = self.runs(flat)
-        lengths = sums(counts, np.concatenate([[0], np.cumsum([len(r) for r in runs])]).astype(np.int64))
-        ends = np.cumsum(lengths).tolist()
-        listed = ids.tolist()
-        return [listed[a:b] for a, b in zip([0, *ends], ends)]
-
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        offsets = words.offsets.to_numpy()
-        ids, counts = self.words(words.values.slice(offsets[0], offsets[-1] - offsets[0]))
-        return ids, sums(counts, offsets - offsets[0])
+        texts = pc.fill_null(texts, "")
+        if not len(texts):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        buffer = texts.buffers()[2]
+        data = np.frombuffer(buffer, np.uint8)[offsets[0]:offsets[-1]] if buffer else np.zeros(0, np.uint8)
+        offsets = offsets - offsets[0]
+        data, starts, kept = self._runs(data, offsets)
+        ids, counts = self.runs(string_array(data, starts))
+        # Texts begin where their first bytes would stand among those that are kept.
+        return ids, sums(counts, np.searchsorted(starts, kept[offsets]))
+
+    def _runs(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes without white space, where runs start in them, and how many bytes are kept before each place."""
+        n = len(data)
+        begins = np.zeros(n + 1, bool)
+        begins[offsets] = True
+        begins = begins[:n]
+        # Letters of two bytes in the Latin-1 range; all other bytes beyond ASCII make a word odd.
+        after = np.append(data[1:], 0)
+        lead = (data == 0xC3) & (after >= 0x80) & (after != 0x97) & (after != 0xB7)
+        kind = self.kinds[data]
+        kind[lead] = self.LETTER
+        trail = np.append(False, lead[:-1])
+        kind[trail] = self.LETTER
+        space = kind == self.SPACE
+        word = ~space & (np.append(True, space[:-1]) | begins)
+        odd = (kind == self.OTHER) | ((data == ord("<")) & (after == ord("|")))
+        words = np.cumsum(word, dtype=np.int32)
+        strange = np.zeros(int(words[-1]) + 1 if n else 1, bool)
+        strange[words[odd]] = True
+        plain = ~strange[words]
+        lower = data | (0x20 * (plain & (((data >= 0x41) & (data <= 0x5A)) | (trail & (data < 0x9F))))).astype(np.uint8)
+        before = np.append(np.uint8(self.SPACE), kind[:-1])
+        change = (kind != before) | (kind == self.DIGIT) | begins
+        cut = word | (plain & ~space & change)
+        self._contractions(lower, cut, plain & (kind == self.SIGN) & change & (data == ord("'")), kind, begins)
+        kept = np.concatenate([[0], np.cumsum(~space, dtype=np.int32)])
+        return lower[~space], np.flatnonzero(cut[~space]), kept
+
+    def _contractions(
+        self, data: np.ndarray, cut: np.ndarray, opens: np.ndarray, kind: np.ndarray, begins: np.ndarray
+    ) -> None:
+        """Joins an apostrophe that begins a run with the letters of a contraction, and cuts behind them."""
+        at = np.flatnonzero(opens)
+        padded = np.append(data, np.zeros(3, np.uint8))
+        ends = np.append(begins, np.ones(3, bool))
+        left = np.ones(len(at), bool)
+        for letters in self.CONTRACTIONS:
+            size = len(letters)
+            fits = left.copy()
+            for i, letter in enumerate(letters, 1):
+                fits &= (padded[at + i] == ord(letter)) & ~ends[at + i]
+            left &= ~fits
+            found = at[fits]
+            cut[found + 1] = False
+            behind = found + size + 1
+            behind = behind[behind < len(data)]
+            cut[behind[kind[behind] != self.SPACE]] = True
 
 
 def word_encoder(spark: SparkSession, path: str) -> PerWorker:
     """The tokenizer of a vocabulary file, read on the driver (its size is fixed), for the tasks."""
     with open(path, encoding="utf-8") as file:
-        return PerWorker(spark, file.read(), WordEncoder)
+        return PerWorker(spark, file.read(), WordEncoder, keep=1)
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from clinspark.llm.common import PerWorker, slices
-from clinspark.llm.pieces import Memo, sums
+from clinspark.llm.pieces import Memo, flat, string_array, sums
 from clinspark.staging import Staging
 
 #: Bytes of text of a slice; also bounds its documents, whose places have 16 bits.
@@ -95,14 +95,11 @@ class Side:
     def encode(self, spaced: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts that begin with a space, one after another, and how many each has."""
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in spaced])]).astype(np.int64)
-        joined = b"".join(spaced)
-        data = np.frombuffer(joined, np.uint8)
+        data = np.frombuffer(b"".join(spaced), np.uint8)
         begins = np.zeros(len(data), bool)
         begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
         starts = np.flatnonzero((space_starts(data, begins) if self.runs else word_starts(data)) | begins)
-        buffer = np.append(starts, len(data)).astype(np.int32)
-        chunks = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(buffer), pa.py_buffer(joined)])
-        ids, counts = self.memo(chunks)
+        ids, counts = self.memo(string_array(data, starts))
         return ids, sums(counts, np.searchsorted(starts, offsets))
 
     def gives_back(self, ids: np.ndarray, counts: np.ndarray, spaced: list[bytes]) -> np.ndarray:
@@ -155,7 +152,7 @@ class Encoders:
     @staticmethod
     def _side(encode, bytes_of: list[bytes], runs: bool) -> Side:
         lengths = np.array([len(x) for x in bytes_of], np.int64)
-        return Side(Memo(encode), lengths, bytes_of, runs, lambda text: encode([text])[0])
+        return Side(Memo(lambda texts: flat(encode(texts))), lengths, bytes_of, runs, lambda text: encode([text])[0])
 
     def __call__(self, texts: list[str | None]) -> Aligned:
         spaced = [b" " + t.encode() if t else b"" for t in texts]
@@ -222,7 +219,7 @@ class Aligned:
 def encoders(spark: SparkSession, byte_level: str, pieces: str) -> PerWorker:
     """The tokenizers of two vocabulary files, read on the driver (their size is fixed), for the tasks."""
     with open(byte_level, encoding="utf-8") as level, open(pieces, "rb") as model:
-        return PerWorker(spark, (level.read(), model.read()), Encoders)
+        return PerWorker(spark, (level.read(), model.read()), Encoders, keep=1)
 
 
 # ---- runs

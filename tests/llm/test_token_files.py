@@ -58,9 +58,9 @@ def test_words_alone_and_in_texts(encoder, library):
 
 
 def test_a_small_memory_forgets_and_still_encodes(library):
-    from clinspark.llm.pieces import Memo
+    from clinspark.llm.pieces import Memo, flat
 
-    memo = Memo(lambda texts: [library.encode(t, add_special_tokens=False).ids for t in texts], limit=5)
+    memo = Memo(lambda texts: flat([library.encode(t, add_special_tokens=False).ids for t in texts]), limit=5)
     for words in (["one", "two", "one"], ["three", "four", "five", "six"], ["one"], [], [f"w{i}" for i in range(20)]):
         ids, counts = memo(pa.array(words, pa.string()))
         assert ids.tolist() == [i for w in words for i in library.encode(w, add_special_tokens=False).ids]
