@@ -40,7 +40,9 @@ from clinspark.llm.pieces import Memo, flat, string_array, sums
 from clinspark.staging import Staging
 
 #: Bytes of text of a slice; also bounds its documents, whose places have 16 bits.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 6 << 20
+#: Bytes of text that are encoded at a time; what a worker holds grows with both.
+PART_BYTES = 1 << 20
 SLICE_DOCS = 1 << 16
 RADIX_BITS = 6
 RADIXES = 1 << RADIX_BITS
@@ -62,10 +64,44 @@ MADE = (KEY, *_COUNTS, "n_best", "count_sum", "groups")
 OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+ALPHANUMERIC = np.array([chr(i).isalnum() and i < 128 for i in range(256)])
+
+
+def neighbours(names: Sequence[bytes]) -> np.ndarray:
+    """Which byte stands before which within any token: between two others every text is cut."""
+    found = np.zeros((256, 256), bool)
+    joined = np.frombuffer(b"".join(names), np.uint8)
+    if len(joined):
+        last = np.zeros(len(joined), bool)
+        last[np.cumsum([len(n) for n in names if n]) - 1] = True
+        inner = np.flatnonzero(~last)
+        found[joined[inner], joined[inner + 1]] = True
+    return found
+
+
+def sign_starts(data: np.ndarray, inside: np.ndarray, runs: bool) -> np.ndarray:
+    """Where a character begins that no token joins with the byte before; both are no white space.
+
+    Without ``runs``, an apostrophe begins a contraction only behind a letter or digit; else it belongs to the signs before.
+    """
+    before, this = data[:-1], data[1:]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = ~inside[before, this] & (before > 0x20) & (this > 0x20) & ((this < 0x80) | (this >= 0xC0))
+    if not runs:
+        cut[1:] &= (this != ord("'")) | ALPHANUMERIC[before]
+    return cut
+
+
 def word_starts(data: np.ndarray) -> np.ndarray:
-    """Where a single space stands between two signs: there a split by runs of letters, digits or signs always cuts."""
+    """Where a single space or line feed stands between two signs, and behind such a line feed.
+
+    A split by runs of letters, digits or signs, each with at most one space before it, always cuts there.
+    """
     cut = np.zeros(len(data), bool)
-    cut[1:-1] = (data[1:-1] == 0x20) & (data[:-2] > 0x20) & (data[2:] > 0x20)
+    between = (data[:-2] > 0x20) & (data[2:] > 0x20)
+    feed = between & (data[1:-1] == 0x0A)
+    cut[1:-1] = between & (data[1:-1] == 0x20) | feed
+    cut[2:] |= feed
     return cut
 
 
@@ -89,6 +125,7 @@ class Side:
     memo: Memo
     lengths: np.ndarray
     bytes_of: list[bytes]
+    inside: np.ndarray
     runs: bool
     whole: Callable[[str], Sequence[int]]
 
@@ -98,7 +135,8 @@ class Side:
         data = np.frombuffer(b"".join(spaced), np.uint8)
         begins = np.zeros(len(data), bool)
         begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
-        starts = np.flatnonzero((space_starts(data, begins) if self.runs else word_starts(data)) | begins)
+        spaces = space_starts(data, begins) if self.runs else word_starts(data)
+        starts = np.flatnonzero(spaces | sign_starts(data, self.inside, self.runs) | begins)
         ids, counts = self.memo(string_array(data, starts))
         return ids, sums(counts, np.searchsorted(starts, offsets))
 
@@ -122,6 +160,8 @@ def _byte_letters() -> dict[str, int]:
 class Encoders:
     """Both tokenizers of a worker."""
 
+    LEAD = "\n"
+
     def __init__(self, files: tuple[str, bytes]) -> None:
         import sentencepiece
         from tokenizers import Tokenizer
@@ -137,12 +177,19 @@ class Encoders:
         encode_a = lambda texts: [e.ids for e in a.encode_batch_fast(texts, add_special_tokens=False)]
         b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         bytes_b = [self._piece(b, i) for i in range(len(b))]
-        # The tokenizer puts a space before each text itself.
-        encode_b = lambda texts: b.encode([t[1:] for t in texts], num_threads=1)
+        lead = len(b.encode(self.LEAD))
+
+        def encode_b(texts: list[str]) -> list[list[int]]:
+            # The tokenizer puts a space before each text itself. Where there is none, a line feed, which joins with
+            # nothing, stands between.
+            spaced = [t[0] == " " for t in texts]
+            found = b.encode([t[1:] if own else self.LEAD + t for t, own in zip(texts, spaced)], num_threads=1)
+            return [ids if own else ids[lead:] for ids, own in zip(found, spaced)]
+
         self.a = self._side(encode_a, bytes_a, runs=False)
         self.b = self._side(encode_b, bytes_b, runs=True)
-        if any("▁" in b.id_to_piece(i).lstrip("▁") for i in range(len(b))):
-            raise ValueError("pieces with an inner space: chunks of this vocabulary depend on each other")
+        if self.b.inside[:, 0x20][np.arange(256) != 0x20].any() or self.b.inside[0x0A].any():
+            raise ValueError("pieces with an inner space or line feed: chunks of this vocabulary depend on each other")
 
     @staticmethod
     def _piece(b, i: int) -> bytes:
@@ -152,7 +199,7 @@ class Encoders:
     @staticmethod
     def _side(encode, bytes_of: list[bytes], runs: bool) -> Side:
         lengths = np.array([len(x) for x in bytes_of], np.int64)
-        return Side(Memo(lambda texts: flat(encode(texts))), lengths, bytes_of, runs, lambda text: encode([text])[0])
+        return Side(Memo(lambda texts: flat(encode(texts))), lengths, bytes_of, neighbours(bytes_of), runs, lambda text: encode([text])[0])
 
     def __call__(self, texts: list[str | None]) -> Aligned:
         spaced = [b" " + t.encode() if t else b"" for t in texts]
@@ -346,7 +393,7 @@ def _aligned(
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     for batch in batches:
-        for part in (p.slice(i, SLICE_DOCS) for p in slices(batch, _TEXT) for i in range(0, p.num_rows, SLICE_DOCS)):
+        for part in (p.slice(i, SLICE_DOCS) for p in slices(batch, _TEXT, PART_BYTES) for i in range(0, p.num_rows, SLICE_DOCS)):
             bytes_ = pc.sum(pc.binary_length(part.column(_TEXT))).as_py() or 0
             if place and (size + bytes_ > SLICE_BYTES or place + part.num_rows > SLICE_DOCS):
                 if links:
