@@ -12,7 +12,7 @@ from clinspark.queries import QUERIES
 
 
 KNOWN_COUNTS = {
-    "launch_trim": 8200, "orphans": 27231, "delete_orphans": 32769, "dedup_by_id": 45832, "dedup_rows": 57252,
+    "launch_trim": 8200, "orphans": 23321, "delete_orphans": 36679, "dedup_by_id": 45832, "dedup_rows": 57252,
     "codes_snomed": 56, "codes_loinc": 25, "codes_cvx": 500, "pk_audit": 11785, "history_window": 6937,
     "visit_rollup": 13226, "note_files": 536,
 }
