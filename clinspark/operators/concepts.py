@@ -19,16 +19,18 @@ def map_concepts(
     df: DataFrame, concept: DataFrame, *, vocab: str = "vocab", code: str = "code",
     concept_id: str = "concept_id", stage: Stage = lazily,
 ) -> DataFrame:
-    """Rows with the concept of their (vocabulary, code); 0 when there is none.
+    """Rows with the code's own concept of their (vocabulary, code); 0 when there is none. See ``map_to_standard``.
 
     Only the distinct codes in use meet the concept table, so the map is small however many rows use
     it, and once staged its size is known before the rows are joined.
     """
     used = df.where(F.col(code).isNotNull() & F.col(vocab).isNotNull()).select(vocab, code).distinct()
-    # One concept per code, so that a repeated code cannot multiply rows.
-    known = concept.groupBy(
-        F.col("vocabulary_id").alias("_vocab"), F.col("concept_code").alias("_code")
-    ).agg(F.min("concept_id").alias("_concept"))
+    # One concept per code, so that a repeated code cannot multiply rows: a valid one first, then the smallest.
+    invalid = F.lit(False)
+    if "invalid_reason" in concept.columns:
+        invalid = F.coalesce(F.trim("invalid_reason"), F.lit("")) != ""
+    known = concept.groupBy(F.col("vocabulary_id").alias("_vocab"), F.col("concept_code").alias("_code")).agg(
+        F.min(F.struct(invalid.alias("invalid"), "concept_id"))["concept_id"].alias("_concept"))
     mapping = stage(
         used.join(known, (F.col(vocab) == F.col("_vocab")) & (F.col(code) == F.col("_code"))).select(
             F.col(vocab).alias("_m_vocab"), F.col(code).alias("_m_code"), "_concept"

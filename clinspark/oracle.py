@@ -260,6 +260,40 @@ ORACLE_SQL = {
         )
     ),
     "surrogate_key": "SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS person_id FROM customer",
+    "kept_keys": """SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey % 3 = 0, c_custkey) AS person_id
+    FROM customer""",
+    "concept_closure": """WITH RECURSIVE
+  c AS (SELECT p_partkey AS id, p_partkey % 40 AS place, p_partkey // 40 % 5 = 0 AS circle, p_size FROM part),
+  n AS (SELECT id, CASE WHEN place = 0 THEN id + 2 WHEN place < 39 THEN id + 1 ELSE id - 39 END AS next
+        FROM c WHERE p_size <> 50 AND (circle OR place < 39)),
+  w AS (SELECT id, id AS last, 0 AS n_steps FROM c
+        UNION ALL SELECT w.id, next, n_steps + 1 FROM w JOIN n ON w.last = n.id WHERE n_steps < 100),
+  e AS (SELECT w.id AS concept_id, max(n_steps) AS n_steps, arg_max(w.last, n_steps) AS last FROM w GROUP BY w.id),
+  s AS (SELECT e.*, CASE WHEN c.place = 39 AND NOT circle AND p_size <> 1 THEN last END AS target_id
+        FROM e LEFT JOIN c ON last = c.id)
+  SELECT concept_id, CASE WHEN n_steps < 100 THEN target_id END AS target_id,
+    CASE WHEN n_steps < 100 THEN CAST(n_steps AS BIGINT) END AS n_steps,
+    CASE WHEN n_steps = 100 THEN 'cycle' WHEN target_id IS NULL THEN 'no standard' WHEN n_steps = 0 THEN 'standard'
+         ELSE 'mapped' END AS state
+  FROM s""",
+    "omop_routed": f"""WITH {_OMOP},
+  m AS (SELECT a.p_partkey AS code, b.p_partkey AS standard FROM part AS a
+        LEFT JOIN part AS b ON b.p_partkey = a.p_partkey + (3 - a.p_partkey % 3) % 3),
+  x AS (SELECT * FROM (VALUES ('conditions', 1), ('medications', 0), ('procedures', 1), ('observations', 2), ('devices', 1),
+          ('allergies', 1)) AS t(source, v)),
+  rows AS (SELECT person_id,
+    CAST(CASE WHEN l_linenumber <> 7 AND standard IS NOT NULL THEN standard * 10 + v ELSE 0 END AS BIGINT) AS procedure_concept_id,
+    CAST(l_shipdate AS DATE) AS procedure_date, l_shipdate AS procedure_datetime,
+    CAST(l_shipdate AS DATE) AS procedure_end_date, l_shipdate AS procedure_end_datetime, visit_occurrence_id,
+    CASE WHEN l_linenumber = 7 THEN 'X' ELSE '' END || CAST(l_partkey AS VARCHAR) AS procedure_source_value,
+    CAST(CASE WHEN l_linenumber <> 7 AND code IS NOT NULL THEN code * 10 + v ELSE 0 END AS BIGINT) AS procedure_source_concept_id
+  FROM lineitem CROSS JOIN x LEFT JOIN g ON l_orderkey = g.id
+    LEFT JOIN v ON g.patient = v.patient AND g.class = v.class AND g.visit = v.visit
+    LEFT JOIN p ON g.patient = c_custkey LEFT JOIN m ON l_partkey = code
+  WHERE CASE WHEN l_linenumber = 7 OR standard IS NULL OR standard % 4 = 3 THEN source = 'procedures' ELSE standard % 4 = 2 END)
+  SELECT row_number() OVER (ORDER BY person_id NULLS FIRST, procedure_concept_id, procedure_date, procedure_datetime,
+    procedure_end_date, procedure_end_datetime, visit_occurrence_id NULLS FIRST, procedure_source_value,
+    procedure_source_concept_id) AS procedure_occurrence_id, * FROM rows""",
     "visit_rollup": f"""WITH {_roll_up("patient")}
   SELECT patient, min(start) AS visit_start, max(stop) AS visit_end, count(*) AS n_encounters
   FROM g GROUP BY patient, visit""",

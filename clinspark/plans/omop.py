@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from clinspark.functions.columns import cast_codes, rename_back, rename_columns
 from clinspark.functions.dates import parse_instant
 from clinspark.operators.concepts import EVENT_SOURCES, event_union, map_concepts
-from clinspark.operators.surrogate import number_rows
+from clinspark.operators.surrogate import KeyStore, number_rows
 from clinspark.operators.visits import assign_visits, number_visits, visit_cells, visit_of_encounter
+from clinspark.operators.vocabulary import concept_lookup, concept_targets, map_to_standard, route_by_domain
 from clinspark.staging import Staging
 
 # Code columns widened to text, and the renamed columns of payer_transitions.
@@ -77,8 +78,14 @@ def omop_restore(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def person_table(patients: DataFrame, staging: Staging) -> DataFrame:
-    return number_rows(patients.select("id", "birthdate", "deathdate"), ["id"], "person_id", staging).select(
+def person_table(patients: DataFrame, staging: Staging, keys: KeyStore | None = None) -> DataFrame:
+    """Persons, numbered in the order of their source ids, or by ``keys``, which keep the numbers of earlier loads."""
+    people = patients.select("id", "birthdate", "deathdate")
+    if keys:
+        numbered = keys.add(people, staging)
+    else:
+        numbered = number_rows(people, ["id"], "person_id", staging)
+    return numbered.select(
         "person_id",
         F.year("birthdate").cast("bigint").alias("year_of_birth"),
         F.month("birthdate").cast("bigint").alias("month_of_birth"),
@@ -116,7 +123,8 @@ def visit_tables(
 def event_table(events: DataFrame, target: str, staging: Staging) -> DataFrame:
     """One target's rows under the column names of its event table, numbered in the order of their columns.
 
-    Rows that are equal in all columns may take each other's numbers; nothing else depends on chance.
+    ``events`` is stored first if it has no places yet, so that the ranges are sampled from rows and not from joins. The
+    place stands behind the columns: rows that are equal in all of them are dealt to many ranges.
     """
     key, first, last = EVENT_LAYOUT[target]
     ends = []
@@ -125,6 +133,7 @@ def event_table(events: DataFrame, target: str, staging: Staging) -> DataFrame:
             F.col("end_datetime").cast("date").alias(f"{last}_date"),
             F.col("end_datetime").alias(f"{last}_datetime"),
         ]
+    sources = [F.col("source_concept_id").alias(f"{key}_source_concept_id")] if "source_concept_id" in events.columns else []
     rows = events.where(F.col("target") == target).select(
         "person_id",
         F.col("concept_id").alias(f"{key}_concept_id"),
@@ -133,9 +142,20 @@ def event_table(events: DataFrame, target: str, staging: Staging) -> DataFrame:
         *ends,
         "visit_occurrence_id",
         F.col("code").alias(f"{key}_source_value"),
+        *sources,
+        *[c for c in events.columns if c == PLACE],
     )
-    numbered = number_rows(rows, rows.columns, f"{target}_id", staging)
-    return numbered.select(f"{target}_id", *rows.columns)
+    names = [c for c in rows.columns if c != PLACE]
+    stored = rows if PLACE in rows.columns else with_place(staging.table(rows))
+    return number_rows(stored, [*names, PLACE], f"{target}_id", staging).select(f"{target}_id", *names)
+
+
+#: Where a row lies in the stored table it was read from.
+PLACE = "_source_place"
+
+
+def with_place(stored: DataFrame) -> DataFrame:
+    return stored.withColumn(PLACE, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
 
 
 #: Targets that are no event table.
@@ -144,35 +164,51 @@ PLAIN_TARGETS = ("person", "death", "visit_occurrence")
 
 def omop_convert(
     tables: Mapping[str, DataFrame], concept: DataFrame, staging: Staging, *, gap_days: int = 1,
-    targets: Iterable[str] | None = None,
+    targets: Iterable[str] | None = None, relationship: DataFrame | None = None, person_keys: KeyStore | None = None,
 ) -> dict[str, DataFrame]:
     """Person, death, visit and event tables of linked clinical tables.
 
-    Only what ``targets`` asks for is built, and what it rests on; without it, all that the tables allow.
+    Only what ``targets`` asks for is built, and what it rests on; without it, all that the tables allow. With the
+    vocabulary's ``relationship`` table, codes become standard concepts along its chains, the code's own concept is kept
+    beside them, and an event goes to the table of its concept's domain. Without it, a code gets its own concept and
+    each source feeds one table. ``person_keys`` keep person ids over loads.
     """
     prepared = omop_prepare(tables)
     chosen = (*PLAIN_TARGETS, *EVENT_LAYOUT) if targets is None else tuple(targets)
     unknown = sorted(set(chosen) - {*PLAIN_TARGETS, *EVENT_LAYOUT})
     if unknown:
         raise ValueError(f"unknown targets: {unknown}")
-    persons = staging.table(person_table(prepared["patients"], staging))
+    persons = staging.table(person_table(prepared["patients"], staging, person_keys))
     result = {}
     if "person" in chosen:
         result["person"] = persons.drop("death_date")
     if "death" in chosen:
         result["death"] = persons.where(F.col("death_date").isNotNull()).select("person_id", "death_date")
     people = persons.select("person_id", "person_source_value")
-    sources = {t: [s for s in EVENT_SOURCES if s.target == t and s.source in prepared] for t in EVENT_LAYOUT}
-    wanted = [t for t in EVENT_LAYOUT if t in chosen and sources[t]]
+    present = [s for s in EVENT_SOURCES if s.source in prepared]
+    fed = {t: present if relationship is not None else [s for s in present if s.target == t] for t in EVENT_LAYOUT}
+    wanted = [t for t in EVENT_LAYOUT if t in chosen and fed[t]]
     if "visit_occurrence" in chosen or wanted:
         visits, encounter_visits = visit_tables(prepared["encounters"], persons, staging, gap_days=gap_days)
         if "visit_occurrence" in chosen:
             result["visit_occurrence"] = visits
         if wanted:
             encounter_visits = staging.table(encounter_visits)
+    if wanted and relationship is not None:
+        lookup = staging.table(concept_lookup(concept, staging.table(concept_targets(concept, relationship, staging))))
+        routed = route_by_domain(map_to_standard(event_union(prepared, present), lookup, stage=staging))
+        # One scan and one set of joins for all targets; each target then reads its own folder.
+        routed = _placed(routed.where(F.col("target").isin(wanted)), encounter_visits, people).drop("domain_id")
+        path = staging.path("events")
+        routed.write.mode("overwrite").partitionBy("target").parquet(path)
+        events = with_place(staging.spark.read.schema(routed.schema).parquet(path))
+        return {**result, **{t: event_table(events, t, staging) for t in wanted}}
     for target in wanted:
-        events = map_concepts(event_union(prepared, sources[target]), concept, stage=staging)
-        events = assign_visits(events, encounter_visits)
-        events = events.join(people, "person_source_value", "left")
-        result[target] = event_table(events, target, staging)
+        events = map_concepts(event_union(prepared, fed[target]), concept, stage=staging)
+        result[target] = event_table(_placed(events, encounter_visits, people), target, staging)
     return result
+
+
+def _placed(events: DataFrame, encounter_visits: DataFrame, people: DataFrame) -> DataFrame:
+    """Events with their visit and their person."""
+    return assign_visits(events, encounter_visits).join(people, "person_source_value", "left")

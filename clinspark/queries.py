@@ -27,11 +27,12 @@ from clinspark.operators.relink import (
     add_first_encounter, delete_orphans, drop_null_encounter, first_encounter_of_each_row,
     first_encounters, orphans, reassign_orphans,
 )
-from clinspark.operators.surrogate import surrogate_keys
+from clinspark.operators.surrogate import KeyStore, surrogate_keys
 from clinspark.operators.trim import history_window, launch_trim
 from clinspark.operators.visits import (
     assign_visits, number_visits, roll_up_visits, visit_cells, visit_of_encounter,
 )
+from clinspark.operators.vocabulary import concept_targets
 from clinspark.plans.codes import denormalize, normalize
 from clinspark.plans.load import load_table
 from clinspark.plans.omop import omop_convert, person_table
@@ -479,6 +480,15 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogate_keys(table(spark, sf_dir, "customer"), ["c_custkey"], "person_id", Staging(spark))
 
 
+def kept_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Persons numbered by two loads: two thirds of the customers, then all of them."""
+    staging = Staging(spark)
+    store = KeyStore(spark, staging.path("person_keys"), {"c_custkey": "bigint"}, "person_id")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    store.extend(customers.where(F.col("c_custkey") % 3 != 0), staging)
+    return store.add(customers, staging)
+
+
 def visit_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roll_up_visits(encounters(spark, sf_dir), ["patient"], gap_days=30)
 
@@ -507,6 +517,29 @@ def concept_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_concepts(lines, concepts, stage=Staging(spark))
 
 
+def concept_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as concepts in blocks of forty, each replaced by the next.
+
+    The first of a block maps past the second; the last is standard unless its part has size 1; every fifth block runs
+    in a circle. Links of parts with size 50 are not valid.
+    """
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_size")
+    block, place = F.floor(F.col("id") / 40), F.col("id") % 40
+    circle = block % 5 == 0
+    concepts = part.select(
+        F.col("id").alias("concept_id"), F.when((place == 39) & ~circle, F.lit("S")).alias("standard_concept"),
+        F.when(F.col("p_size") == 1, F.lit("D")).alias("invalid_reason"))
+    none = F.when(F.col("p_size") == 50, F.lit("D"))
+    follow = F.when(place < 39, F.col("id") + 1).otherwise(F.col("id") - 39)
+    replaced = part.where((place < 39) | circle).select(
+        F.col("id").alias("concept_id_1"), follow.alias("concept_id_2"), F.lit("Concept replaced by").alias("relationship_id"),
+        none.alias("invalid_reason"))
+    mapped = part.where(place == 0).select(
+        F.col("id").alias("concept_id_1"), (F.col("id") + 2).alias("concept_id_2"), F.lit("Maps to").alias("relationship_id"),
+        none.alias("invalid_reason"))
+    return concept_targets(concepts, replaced.unionByName(mapped), Staging(spark))
+
+
 def event_union_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = [
         EventSource("drug_exposure", "lineitem", "RxNorm", code="l_partkey", start="l_shipdate", stop=None),
@@ -579,6 +612,27 @@ def omop_drug_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _omop(spark, sf_dir, "drug_exposure")
 
 
+def omop_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Procedures of all event tables, by the domain of the standard concept that a code's chain ends at.
+
+    Every third part is standard and the others map to the next part; the domains of parts take turns.
+    """
+    vocabularies = F.posexplode(F.array(*[F.lit(v) for v in ("RxNorm", "SNOMED", "LOINC")])).alias("v", "vocabulary_id")
+    key = F.col("p_partkey")
+    part = table(spark, sf_dir, "part").select("p_partkey", vocabularies)
+    domains = F.array(*[F.lit(d) for d in ("Condition", "Drug", "Procedure", "Spec Anatomic Site")])
+    concepts = part.select(
+        (key * 10 + F.col("v")).alias("concept_id"), "vocabulary_id", key.cast("string").alias("concept_code"),
+        F.element_at(domains, (key % 4 + 1).cast("int")).alias("domain_id"),
+        F.when(key % 3 == 0, F.lit("S")).alias("standard_concept"), F.lit(None).cast("string").alias("invalid_reason"))
+    links = part.where(key % 3 != 0).select(
+        (key * 10 + F.col("v")).alias("concept_id_1"), (key * 10 + 10 + F.col("v")).alias("concept_id_2"),
+        F.lit("Maps to").alias("relationship_id"), F.lit(None).cast("string").alias("invalid_reason"))
+    found = omop_convert(
+        _clinical_tables(spark, sf_dir), concepts, Staging(spark), targets=["procedure_occurrence"], relationship=links)
+    return found["procedure_occurrence"]
+
+
 def omop_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _omop(spark, sf_dir, "condition_occurrence")
 
@@ -658,15 +712,18 @@ QUERIES = {
     "fk_audit": fk_audit,
     "length_audit": length_audit,
     "surrogate_key": surrogate_key,
+    "kept_keys": kept_keys,
     "visit_rollup": visit_rollup,
     "visit_assign": visit_assign,
     "concept_map": concept_map,
+    "concept_closure": concept_closure,
     "event_union": event_union_query,
     "omop_person": omop_person,
     "omop_visit": omop_visit,
     "omop_drug_exposure": omop_drug_exposure,
     "omop_death": omop_death,
     "omop_condition": omop_condition,
+    "omop_routed": omop_routed,
     "omop_procedure": omop_procedure,
     "omop_measurement": omop_measurement,
     "omop_device": omop_device,

@@ -1,0 +1,173 @@
+from __future__ import annotations
+
+import random
+
+from helpers import plan, rows, ts
+from pyspark.sql import functions as F
+
+from clinspark.operators.surrogate import KeyStore
+from clinspark.operators.vocabulary import concept_lookup, concept_targets, follow_to_end, map_to_standard, next_concepts
+from clinspark.plans.omop import omop_convert
+from clinspark.staging import Staging
+
+CONCEPT = "concept_id bigint, standard_concept string, invalid_reason string"
+LINK = "concept_id_1 bigint, concept_id_2 bigint, relationship_id string, invalid_reason string"
+REPLACED, MAPS = "Concept replaced by", "Maps to"
+
+
+def targets(spark, staging, concepts, links):
+    found = concept_targets(spark.createDataFrame(concepts, CONCEPT), spark.createDataFrame(links, LINK), staging)
+    return {r["concept_id"]: (r["target_id"], r["n_steps"], r["state"]) for r in found.collect()}
+
+
+def test_chains_ends_and_cycles(spark, staging):
+    concepts = [(i, "S" if i in (5, 20, 31) else None, "D" if i == 31 else "") for i in (*range(1, 13), 20, 30, 31, 40)] + [(None, "S", None)]
+    links = [
+        (1, 2, REPLACED, None), (2, 3, REPLACED, ""), (3, 4, MAPS, " "), (4, 5, REPLACED, None),  # a chain to a standard one
+        (5, 6, REPLACED, None),  # not followed: 5 is standard
+        (6, 7, REPLACED, None), (7, 8, REPLACED, None), (8, 6, REPLACED, None), (9, 7, MAPS, None),  # a cycle and a way into it
+        (10, 10, MAPS, None), (11, 99, MAPS, None),  # itself, and an unknown one
+        (12, 5, REPLACED, "D"),  # invalid
+        (30, 31, MAPS, None),  # a standard one that is not valid
+        (40, 5, REPLACED, None), (40, 20, MAPS, None), (40, 6, MAPS, None), (40, 1, "Is a", None),  # preferences
+        (None, 5, MAPS, None), (10, None, MAPS, None),
+    ]
+    assert targets(spark, staging, concepts, links) == {
+        1: (5, 4, "mapped"), 2: (5, 3, "mapped"), 3: (5, 2, "mapped"), 4: (5, 1, "mapped"), 5: (5, 0, "standard"),
+        6: (None, None, "cycle"), 7: (None, None, "cycle"), 8: (None, None, "cycle"), 9: (None, None, "cycle"),
+        10: (None, 0, "no standard"), 11: (None, 1, "no standard"), 12: (None, 0, "no standard"), 20: (20, 0, "standard"),
+        30: (None, 1, "no standard"), 31: (None, 0, "no standard"), 40: (20, 1, "mapped"),
+    }
+
+
+def test_random_graphs_equal_a_walk(spark, staging):
+    for seed in range(4):
+        rng = random.Random(seed)
+        n = 200
+        follow = {i: rng.randrange(n) if seed % 2 else rng.randrange(i, n) for i in range(n) if rng.random() < 0.9}
+        follow = {i: j for i, j in follow.items() if i != j}
+        df = spark.createDataFrame(list(follow.items()), "node bigint, next bigint")
+        got = {r["node"]: (r["end"], r["n_steps"]) for r in follow_to_end(df, staging).collect()}
+        want = {}
+        for i in follow:
+            at, steps, seen = i, 0, set()
+            while at in follow and at not in seen:
+                seen.add(at)
+                at, steps = follow[at], steps + 1
+            want[i] = (None, None) if at in follow else (at, steps)
+        assert got == want
+
+
+def test_a_long_chain_takes_few_rounds(spark):
+    class Counting(Staging):
+        made = 0
+
+        def table(self, df, name=None):
+            Counting.made += 1
+            return super().table(df, name)
+
+        __call__ = table
+
+    links = spark.range(1000).select(F.col("id").alias("node"), (F.col("id") + 1).alias("next"))
+    found = follow_to_end(links, Counting(spark))
+    assert rows(found.agg(F.min("end"), F.max("end"), F.max("n_steps"))) == [(1000, 1000, 1000)]
+    assert Counting.made <= 13
+
+
+def test_empty_vocabulary(spark, staging):
+    assert targets(spark, staging, [], []) == {}
+    assert targets(spark, staging, [(1, None, None)], []) == {1: (None, 0, "no standard")}
+    assert next_concepts(spark.createDataFrame([], CONCEPT), spark.createDataFrame([], LINK)).count() == 0
+
+
+def test_lookup_prefers_valid_codes(spark, staging):
+    concept = spark.createDataFrame([
+        (1, "V", "a", "Drug", None, "D"), (2, "V", "a", "Drug", None, None), (3, "V", "a", "Device", "S", None),
+        (4, "V", "b", "Drug", None, "U"), (5, "W", "a", "Drug", None, None), (6, "V", None, "Drug", "S", None),
+    ], "concept_id bigint, vocabulary_id string, concept_code string, domain_id string, standard_concept string, invalid_reason string")
+    links = spark.createDataFrame([(4, 3, REPLACED, None)], LINK)
+    lookup = staging.table(concept_lookup(concept, concept_targets(concept, links, staging)))
+    assert rows(lookup) == [
+        ("V", None, 6, 6, "Drug"), ("V", "a", 3, 3, "Device"), ("V", "b", 4, 3, "Device"), ("W", "a", 5, 0, None)]
+    events = spark.createDataFrame(
+        [(1, "V", "a", "x"), (2, "V", "zz", "x"), (3, None, "a", "x"), (4, "V", None, "x"), (5, "W", "a", "x"), (6, "V", "b", "x")],
+        "n int, vocab string, code string, domain_id string")
+    assert rows(map_to_standard(events, lookup, stage=staging), "n", "source_concept_id", "concept_id", "domain_id") == [
+        (1, 3, 3, "Device"), (2, 0, 0, None), (3, 0, 0, None), (4, 0, 0, None), (5, 5, 0, None), (6, 4, 3, "Device")]
+
+
+def test_a_valid_concept_of_a_code_comes_first(spark, staging):
+    from clinspark.operators.concepts import map_concepts
+
+    concept = spark.createDataFrame(
+        [(1, "V", "a", "D"), (2, "V", "a", None), (3, "V", "a", ""), (4, "V", "b", "U")],
+        "concept_id bigint, vocabulary_id string, concept_code string, invalid_reason string")
+    events = spark.createDataFrame([("V", "a"), ("V", "b")], "vocab string, code string")
+    assert rows(map_concepts(events, concept, stage=staging), "code", "concept_id") == [("a", 2), ("b", 4)]
+
+
+def clinical(spark, patients):
+    day = ts("2015-01-01")
+    return {
+        "patients": spark.createDataFrame([(p, None, None) for p in patients], "id string, birthdate date, deathdate date"),
+        "encounters": spark.createDataFrame(
+            [(f"e{p}", p, day, day, "inpatient") for p in patients],
+            "id string, patient string, start timestamp_ntz, stop timestamp_ntz, encounterclass string"),
+        "conditions": spark.createDataFrame(
+            [(p, f"e{p}", code, day, day) for p in patients for code in ("old", "odd", "none", None)],
+            "patient string, encounter string, code string, start timestamp_ntz, stop timestamp_ntz"),
+        "procedures": spark.createDataFrame(
+            [(p, None, "old", day, None) for p in patients],
+            "patient string, encounter string, code string, start timestamp_ntz, stop timestamp_ntz"),
+    }
+
+
+def test_events_go_where_their_concept_belongs(spark, staging):
+    concept = spark.createDataFrame([
+        (1, "SNOMED", "old", "Condition", None, "U"), (2, "SNOMED", "new", "Procedure", "S", None),
+        (3, "SNOMED", "odd", "Spec Anatomic Site", "S", None),
+    ], "concept_id bigint, vocabulary_id string, concept_code string, domain_id string, standard_concept string, invalid_reason string")
+    links = spark.createDataFrame([(1, 2, REPLACED, None)], LINK)
+    cdm = omop_convert(clinical(spark, ["p", "q"]), concept, staging, relationship=links)
+    assert rows(cdm["procedure_occurrence"], "person_id", "procedure_concept_id", "procedure_source_concept_id", "visit_occurrence_id") == [
+        (1, 2, 1, None), (1, 2, 1, 1), (2, 2, 1, None), (2, 2, 1, 2)]
+    assert rows(cdm["condition_occurrence"], "person_id", "condition_concept_id", "condition_source_value") == [
+        (1, 0, None), (1, 0, "none"), (1, 3, "odd"), (2, 0, None), (2, 0, "none"), (2, 3, "odd")]
+    assert [cdm[t].count() for t in ("drug_exposure", "measurement", "device_exposure", "observation")] == [0] * 4
+    ids = [r[0] for r in cdm["procedure_occurrence"].select("procedure_occurrence_id").collect()]
+    assert sorted(ids) == [1, 2, 3, 4]
+
+
+def test_persons_keep_their_ids(spark, staging):
+    store = KeyStore(spark, staging.path("keys"), {"id": "string"}, "person_id")
+    concept = spark.createDataFrame([], "concept_id bigint, vocabulary_id string, concept_code string")
+    persons = lambda patients: rows(omop_convert(
+        clinical(spark, patients), concept, staging, targets=["person"], person_keys=store)["person"], "person_source_value", "person_id")
+    assert persons(["m", "t"]) == [("m", 1), ("t", 2)]
+    assert persons(["a", "m", "t", "z"]) == [("a", 3), ("m", 1), ("t", 2), ("z", 4)]
+    assert persons(["z"]) == [("z", 4)]
+    assert rows(store.table()) == [("a", 3), ("m", 1), ("t", 2), ("z", 4)]
+
+
+def test_key_store(spark, staging):
+    store = KeyStore(spark, staging.path("keys"), {"a": "bigint", "b": "string"}, "n")
+    frame = lambda *pairs: spark.createDataFrame(pairs, "a bigint, b string")
+    assert store.table().count() == 0
+    first = store.extend(frame((2, "x"), (None, "x"), (2, None), (2, "x")), staging)
+    assert rows(first) == [(None, "x", 1), (2, None, 2), (2, "x", 3)]
+    # A write that broke off left files but no mark; the next load takes its place.
+    frame((9, "y")).selectExpr("*", "99L as n").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{store.path}/batch=1")
+    assert rows(store.table()) == rows(first)
+    again = store.add(frame((2, "x"), (1, "x"), (None, "x"), (2, "x")).withColumn("n", F.lit("old")), staging)
+    assert rows(again) == [(None, "x", 1), (1, "x", 4), (2, "x", 3), (2, "x", 3)]
+    assert rows(store.table()) == [(None, "x", 1), (1, "x", 4), (2, None, 2), (2, "x", 3)]
+    store.extend(frame((1, "x")), staging)
+    assert store.table().agg(F.max("n"), F.count("*")).first()[:] == (4, 4)
+
+
+def test_events_are_joined_once(spark, staging, sf_dir):
+    from clinspark.queries import _clinical_tables, _concepts
+
+    found = omop_convert(_clinical_tables(spark, sf_dir), _concepts(spark, sf_dir), staging, targets=["drug_exposure"])
+    assert plan(found["drug_exposure"]).count("Join type") == 1  # the starts of the ranges
