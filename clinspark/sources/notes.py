@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clinspark.functions.dates import parse_strict_date
@@ -12,6 +12,7 @@ from clinspark.functions.dates import parse_strict_date
 # The file-name pattern, the note pattern and the end of a note. With flag d only the
 # line feed ends a line; with flag s the body runs over line ends.
 PATIENT_PATTERN = r"(^.*_)(.*?).txt"
+DATE_PATTERN = r"[1-2][0-9]{3}-[0-9]{2}-[0-9]{2}"
 NOTE_PATTERN = r"(?d)[1-2][0-9]{3}-[0-9]{2}-[0-9]{2}.*\n\n(?s:.*?)\n\n\n\n"
 NOTE_END = "\n\n\n\n"
 HEADER_END = "\n\n"
@@ -60,6 +61,45 @@ def segment_notes(docs: DataFrame, *, text: str = "text", keep_unterminated: boo
     return found.select(*others, _header("_note").alias("header"), _body("_note").alias("note_text"))
 
 
+def note_chunks(spark: SparkSession, path: str, *, keep_unterminated: bool = False) -> DataFrame:
+    """``file, name, text``: the files of a folder in chunks that hold whole notes only, from any number of blocks a file.
+
+    Files are read line by line, so a file is as many tasks as it has blocks. A line without a date and three blank lines
+    behind it end whatever note is open, and no note begins in them: there a file can be cut without knowing what stands
+    before. A task cuts its own blocks; what lies before a block's first cut and behind its last one is put together
+    with its neighbours, two pieces a block at most. A chunk is as long as its notes, and longer only where bodies
+    end with a date. Line ends of any kind count as one line feed.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    block = Window.partitionBy("file", "block").orderBy("row")
+    blank = F.col("value") == ""
+    behind = [F.lead(blank, i, False).over(block) for i in range(1, len(NOTE_END))]
+    cut = ~blank & ~F.col("value").rlike(DATE_PATTERN) & behind[0] & behind[1] & behind[2]
+    # A cut lies behind the blank lines, so it counts for the rows from there on.
+    chunk = F.coalesce(F.sum("cut").over(block.rowsBetween(Window.unboundedPreceding, -len(NOTE_END))), F.lit(0))
+    pieces = lines.withColumn("cut", cut.cast("int")).withColumn("chunk", chunk).groupBy("file", "name", "block", "chunk").agg(
+        (F.max("cut") == 1).alias("closed"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("row", "value"))), lambda x: x["value"]), "\n").alias("text"))
+    # Known from its own block alone: begins behind a cut or with its file, and ends with a cut.
+    whole = F.col("closed") & ((F.col("chunk") > 0) | (F.col("block") == 0))
+    order = Window.partitionBy("file").orderBy("block", "chunk")
+    seams = pieces.where(~whole).withColumn(
+        "seam", F.coalesce(F.sum(F.col("closed").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # A whole chunk between two open ones parts them, too: the piece behind it is no first one.
+    seams = seams.withColumn("seam", F.struct("seam", F.sum(F.when(F.col("chunk") > 0, 1).otherwise(0)).over(
+        order.rowsBetween(Window.unboundedPreceding, 0))))
+    joined = seams.groupBy("file", "name", "seam").agg(
+        F.sort_array(F.collect_list(F.struct("block", "chunk", "text", "closed"))).alias("pieces"))
+    text = F.array_join(F.transform("pieces", lambda x: x["text"]), "\n")
+    if keep_unterminated:
+        # What no cut ends lies at the end of its file.
+        text = F.concat(text, F.when(F.element_at("pieces", -1)["closed"], "").otherwise(NOTE_END))
+    chunks = pieces.where(whole).select("file", "name", "text").unionByName(joined.select("file", "name", text.alias("text")))
+    return chunks.withColumn("text", F.concat("text", F.lit("\n")))
+
+
 def read_notes(
     spark: SparkSession,
     path: str,
@@ -72,23 +112,16 @@ def read_notes(
 ) -> Notes:
     """All note files of a folder in one distributed scan, as (date, note_text, patient).
 
-    The patient id comes from the file name (or, with ``match_path``, from the whole path). Files
-    without an id and notes whose header is more than a date go to ``rejects``. An ``observation``
+    The patient id comes from the file name (or, with ``match_path``, from the whole path). Files without an id (in
+    their chunks, see ``note_chunks``) and notes whose header is more than a date go to ``rejects``. An ``observation``
     learns ``n_rejected`` from the first job that reads ``rows``.
     """
-    name = F.col("_metadata.file_path") if match_path else F.col("_metadata.file_name")
-    files = (
-        spark.read.option("recursiveFileLookup", True)
-        .text(path, wholetext=True)
-        .select(
-            F.col("value").alias("text"),
-            F.col("_metadata.file_path").alias("file"),
-            patient_of_file(name, pattern, group).alias("patient"),
-        )
-    )
+    chunks = note_chunks(spark, path, keep_unterminated=keep_unterminated)
+    named = patient_of_file(F.col("file") if match_path else F.col("name"), pattern, group)
+    files = chunks.select("text", "file", named.alias("patient"))
     unnamed = F.col("patient").isNull()
-    # A file without an id is handed on whole, so that one scan finds both kinds of rejects.
-    parts = F.when(unnamed, F.array("text")).otherwise(_found_notes(F.col("text"), keep_unterminated))
+    # What has no id is handed on as it is, so that one scan finds both kinds of rejects.
+    parts = F.when(unnamed, F.array("text")).otherwise(_found_notes(F.col("text"), False))
     notes = (
         files.select("file", "patient", F.explode(parts).alias("_note"))
         .select(

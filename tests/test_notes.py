@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
-from helpers import rows
+import pytest
+from helpers import plan, rows
+from pyspark.sql import functions as F
 
-from clinspark.sources.notes import PATIENT_FOLDER_PATTERN, patient_of_file, read_notes, segment_notes, write_notes
+from clinspark.sources.notes import PATIENT_FOLDER_PATTERN, note_chunks, patient_of_file, read_notes, segment_notes, write_notes
 
 END = "\n\n\n\n"
 ONE = "2010-01-01\n\nfirst line\n\nsecond paragraph" + END
@@ -82,3 +85,55 @@ def test_written_notes_come_back(spark, staging):
     back = read_notes(spark, staging.path("n"), pattern=PATIENT_FOLDER_PATTERN, group=1, match_path=True)
     assert rows(back.rows, *df.columns) == rows(df)
     assert back.rejects.count() == 0
+
+
+@pytest.fixture
+def blocks(spark):
+    """Sets the size of a block; the old settings come back."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    old = {n: spark.conf.get(n, None) for n in names}
+
+    def sized(size):
+        for name, value in zip(names, (size, 1, 1)):
+            spark.conf.set(name, str(value))
+
+    yield sized
+    for name, value in old.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
+
+
+def strange_notes(seed):
+    """Dates where bodies end, empty bodies, line ends in any number and of any kind, and notes that don't end."""
+    rng = random.Random(seed)
+    parts = ["2010-01-01", "2011-02-03", "text", "more text 1", "\n", "\n", "\n\n", "\n\n\n", END, END, "\n" * 5, "\r\n", "\r", "é", ""]
+    return "".join(rng.choices(parts, k=rng.randint(0, 60)))
+
+
+@pytest.mark.parametrize("keep", [False, True])
+def test_any_blocks_equal_whole_documents(spark, tmp_path, blocks, keep):
+    texts = {f"a_{i}.txt": strange_notes(i) for i in range(80)}
+    texts["a_80.txt"] = ONE * 5 + "2012-01-01\n\nends with 2013-01-01" + END + TWO * 5 + "\n" * 9 + ONE.replace("\n", "\r\n") * 3
+    path = folder(tmp_path, texts)
+    docs = spark.createDataFrame([(n[2:-4], t) for n, t in texts.items()], "patient string, text string")
+    want = rows(segment_notes(docs, keep_unterminated=keep).where("length(header) = 10"), "patient", "header", "note_text")
+    assert len(want) > 50
+    for size in (1, 2, 3, 5, 8, 13, 40, 111, 100_000):
+        blocks(size)
+        got = rows(read_notes(spark, path, keep_unterminated=keep).rows.selectExpr(
+            "patient", "cast(date as string) as header", "note_text"), "patient", "header", "note_text")
+        assert got == want, size
+
+
+def test_a_file_is_many_tasks_and_few_seams(spark, tmp_path, blocks):
+    path = folder(tmp_path, {"a_p.txt": (ONE + TWO) * 3000})
+    blocks(10_000)
+    text = plan(read_notes(spark, path).rows)
+    assert "wholetext" not in text.lower()
+    chunks = note_chunks(spark, path)
+    # Where a border lies in the blank lines of an end, two notes stay together.
+    assert 5900 < chunks.count() <= 6000 and chunks.agg(F.max(F.length("text"))).first()[0] < 120
+    assert spark.read.text(path).rdd.getNumPartitions() > 20
+    assert read_notes(spark, path).rows.count() == 6000
