@@ -19,6 +19,10 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).where((F.col("n_rows") > 1) | missing)
 
 
+#: Stands for a parent's own id among its references.
+_PARENT = -1
+
+
 @dataclass(frozen=True)
 class ForeignKey:
     table: str
@@ -40,24 +44,38 @@ def foreign_keys(tables: Mapping[str, DataFrame]) -> list[ForeignKey]:
 def reference_report(tables: Mapping[str, DataFrame], keys: Iterable[ForeignKey]) -> DataFrame:
     """One row per foreign key: number of rows, of nulls (allowed) and of dangling references.
 
-    The child's keys are counted per value first, so what is joined is one row per distinct key.
+    Every table is read once, for all its references and for its own ids: each row gives one (parent, value) for each of
+    them. Values are counted before they are shuffled, so what moves is one row per task and distinct value, and a value
+    that is very frequent is one row, too. References to one parent then meet its ids in one place, whatever table they
+    come from. Values are compared as text.
     """
-    reports = []
-    for fk in keys:
-        used = tables[fk.table].groupBy(F.col(fk.column).alias("_key")).agg(F.count("*").alias("_n"))
-        ids = tables[fk.parent].select(F.col(fk.parent_id).alias("_id")).distinct()
-        ids = ids.withColumn("_found", F.lit(True))
-        dangling = F.col("_key").isNotNull() & F.col("_found").isNull()
-        reports.append(
-            used.join(ids, F.col("_key") == F.col("_id"), "left").agg(
-                F.lit(fk.table).alias("table_name"),
-                F.lit(fk.column).alias("column_name"),
-                F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
-                F.coalesce(F.sum(F.when(F.col("_key").isNull(), F.col("_n"))), F.lit(0)).cast("bigint").alias("n_null"),
-                F.coalesce(F.sum(F.when(dangling, F.col("_n"))), F.lit(0)).cast("bigint").alias("n_orphan"),
-            )
-        )
-    return reduce(DataFrame.unionByName, reports)
+    keys = list(keys)
+    parents = sorted({(fk.parent, fk.parent_id) for fk in keys})
+    tagged = []
+    for name in sorted({t for fk in keys for t in (fk.table, fk.parent)}):
+        own = [(parents.index((fk.parent, fk.parent_id)), i, fk.column) for i, fk in enumerate(keys) if fk.table == name]
+        own += [(p, _PARENT, column) for p, (parent, column) in enumerate(parents) if parent == name]
+        entries = [
+            F.struct(F.lit(p).alias("parent"), F.lit(i).alias("key"), F.col(f"`{c}`").cast("string").alias("value"))
+            for p, i, c in own
+        ]
+        tagged.append(tables[name].select(F.inline(F.array(*entries))))
+    counted = reduce(DataFrame.unionByName, tagged).groupBy("parent", "value", "key").agg(F.count("*").alias("n"))
+    # At most one entry for each reference.
+    met = counted.groupBy("parent", "value").agg(
+        F.max(F.col("key") == _PARENT).alias("found"), F.collect_list(F.struct("key", "n")).alias("used"))
+    used = met.select("value", "found", F.inline("used")).where(F.col("key") != _PARENT)
+    # A table without rows still has its line.
+    spark = counted.sparkSession
+    lines = spark.createDataFrame(
+        [(i, fk.table, fk.column) for i, fk in enumerate(keys)], "_line int, table_name string, column_name string")
+    sums = used.groupBy("key").agg(
+        F.sum("n").alias("rows"), F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("nulls"),
+        F.sum(F.when(F.col("value").isNotNull() & ~F.col("found"), F.col("n"))).alias("orphans"))
+    none = F.lit(0).cast("bigint")
+    return lines.join(sums, F.col("_line") == F.col("key"), "left").select(
+        "table_name", "column_name", F.coalesce("rows", none).alias("n_rows"), F.coalesce("nulls", none).alias("n_null"),
+        F.coalesce("orphans", none).alias("n_orphan"))
 
 
 def length_report(df: DataFrame, limits: Mapping[str, int] | None = None) -> DataFrame:

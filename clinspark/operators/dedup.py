@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clinspark.staging import Stage, lazily
+
 _RANK = "_rank"
 
 
@@ -26,8 +29,32 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def dedup_table(df: DataFrame, position: Sequence[str]) -> DataFrame:
-    """One row per ``id``, first in source order, or distinct rows in a table without ``id``."""
+def lost_rows(df: DataFrame, keys: Sequence[str], position: Sequence[str], stage: Stage = lazily) -> DataFrame:
+    """Positions of the rows that another row of their key comes before; null keys are one key.
+
+    Only keys and positions are read. Counts and first positions are partial aggregates, and only keys with more than one
+    row are joined back, so rare duplicates cost little and a key of very many rows is a skewed side that Spark splits.
+    """
+    narrow = stage(df.select(*keys, *position))
+    place = F.struct(*position)
+    firsts = narrow.groupBy(*keys).agg(F.count("*").alias("_rows"), F.min(place).alias("_first")).where("_rows > 1")
+    firsts = firsts.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], "_first")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
+    return narrow.join(firsts, same).where(place != F.col("_first")).select(*position)
+
+
+def without_rows(df: DataFrame, lost: DataFrame, position: Sequence[str]) -> DataFrame:
+    """Rows whose position is not among ``lost``, which is broadcast if its stored size allows: then no row is moved."""
+    return df.join(lost, list(position), "left_anti")
+
+
+def dedup_table(df: DataFrame, position: Sequence[str], stage: Stage = lazily) -> DataFrame:
+    """One row per ``id``, first in source order, or distinct rows in a table without ``id``.
+
+    Wide rows are not sorted by their id: the positions of rows to leave out are found on ids and positions alone.
+    ``position`` must be the same whenever ``df`` is read, as that of rows in files is.
+    """
     if "id" in df.columns:
-        return first_per_key(df, ["id"], position).drop(*position)
+        lost = stage(lost_rows(df, ["id"], position, stage))
+        return without_rows(df, lost, position).drop(*position)
     return distinct_rows(df.drop(*position))

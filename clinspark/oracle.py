@@ -40,7 +40,7 @@ _VISITS = """
                first_value(id) OVER (PARTITION BY patient ORDER BY start, id) AS first_encounter_id
         FROM e),
   c AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
-               l_orderkey AS encounter, o_custkey AS patient
+               CASE WHEN l_partkey % 7 <> 0 THEN l_orderkey END AS encounter, o_custkey AS patient
         FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey)
 """
 
@@ -49,7 +49,8 @@ _NULLED = "SELECT * REPLACE (CASE WHEN l_partkey % 7 <> 0 THEN l_orderkey END AS
 
 _REASSIGNED = """
   SELECT c.l_orderkey, c.l_linenumber, c.l_partkey, c.l_suppkey, c.l_extendedprice,
-         CASE WHEN e.id IS NULL THEN f.first_encounter_id ELSE c.encounter END AS encounter, c.patient
+         CASE WHEN c.encounter IS NOT NULL AND e.id IS NULL THEN f.first_encounter_id ELSE c.encounter END AS encounter,
+         c.patient
   FROM c LEFT JOIN e ON c.encounter = e.id LEFT JOIN f ON c.patient = f.patient
 """
 
@@ -242,7 +243,8 @@ ORACLE_SQL = {
         f"SELECT '{child}' AS table_name, '{column}' AS column_name, count(*) AS n_rows, "
         f"count(*) - count({column}) AS n_null, "
         f"CAST(coalesce(sum(CASE WHEN {column} IS NOT NULL AND {column} NOT IN "
-        f"(SELECT {key} FROM {parent}) THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_orphan FROM {child}"
+        f"(SELECT {key} FROM {parent}) THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_orphan "
+        f"FROM {f'({_NULLED})' if child == 'lineitem' else child}"
         for child, column, parent, key in (
             ("lineitem", "l_orderkey", "(SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')", "o_orderkey"),
             ("lineitem", "l_partkey", "part", "p_partkey"),

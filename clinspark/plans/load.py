@@ -18,32 +18,33 @@ from clinspark.sources.csv_tables import POSITION, CsvTable, read_table
 from clinspark.sources.notes import Notes, read_notes
 from clinspark.sources.sinks import replace_table
 from clinspark.spec import LAYOUT_DATES, LoadConfig, TableSpec
-from clinspark.staging import Staging
+from clinspark.staging import Stage, Staging, lazily
 
 
 def load_table(
     spark: SparkSession, path: str, spec: TableSpec, launch_date: dt.date, *, open_ended: str = "drop",
-    **scan_options,
+    stage: Stage = lazily, **scan_options,
 ) -> CsvTable:
-    """Read, trim, remove duplicates, cast to storage types; nothing runs but the type inference.
+    """Read, trim, remove duplicates, cast to storage types.
 
-    The trim comes before the duplicate removal: with copies of different dates the order shows.
+    The trim comes before the duplicate removal: with copies of different dates the order shows. What runs at once is the
+    type inference and, with a ``stage``, the search for duplicate ids, whose ids and positions it stores.
     """
     table = read_table(spark, path, spec, with_position=True, **scan_options)
     rows = table.rows
     if spec.trim_column:
         rows = launch_trim(rows, spec.trim_column, launch_date, open_ended=open_ended)
-    return CsvTable(to_storage(dedup_table(rows, POSITION)), table.rejects)
+    return CsvTable(to_storage(dedup_table(rows, POSITION, stage)), table.rejects)
 
 
-def load_tables(spark: SparkSession, config: LoadConfig) -> dict[str, DataFrame]:
+def load_tables(spark: SparkSession, config: LoadConfig, stage: Stage = lazily) -> dict[str, DataFrame]:
     """Load every selected table (and the notes) and return them as scans of what was written."""
     loaded = {}
     for spec in config.selected():
         seen = Observation()
         table = load_table(
             spark, f"{config.source_dir}/csv/{spec.name}.csv", spec, config.launch_date,
-            open_ended=config.open_ended, observation=seen,
+            open_ended=config.open_ended, stage=stage, observation=seen,
         )
         loaded[spec.name] = _stored_with_rejects(table, seen, spec.name, config)
     if config.include_notes:
@@ -99,10 +100,10 @@ def load_dataset(spark: SparkSession, config: LoadConfig) -> dict[str, DataFrame
 
     What it stages lies below the target folder and goes at the end.
     """
-    loaded = load_tables(spark, config)
     staging = Staging(spark, f"{config.target_dir}/_staged-{uuid.uuid4().hex}")
     specs = {t.name: t for t in config.selected()}
     try:
+        loaded = load_tables(spark, config, staging)
         linked = relink_tables(loaded, specs, staging)
         result = {}
         for name, df in linked.items():

@@ -91,13 +91,12 @@ def trimmed_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def child_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitems as a child table: the encounter, and the patient of the untrimmed encounter."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-        F.col("l_orderkey").alias("encounter"),
-    )
+    """Lineitems as a child table: the encounter, which every seventh has lost, and the patient of the untrimmed encounter."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     owner = encounters(spark, sf_dir).select(F.col("id").alias("_id"), "patient")
-    return lines.join(owner, F.col("encounter") == F.col("_id"), "left").drop("_id")
+    known = F.when(F.col("l_partkey") % 7 != 0, F.col("l_orderkey"))
+    found = lines.withColumn("encounter", known).join(owner, F.col("l_orderkey") == F.col("_id"), "left")
+    return found.select(*lines.columns, "encounter", "patient")
 
 
 # ---- sources and sinks
@@ -238,7 +237,7 @@ def load_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     write_csv(source.orderBy("ID", F.col("CODE"), "SUPPLIER", "BASE_COST"), staging.path("events.csv"))
     spec = TableSpec("events", ("start",), trimmed=True)
-    return staging.table(load_table(spark, staging.path("events.csv"), spec, LAUNCH).rows)
+    return staging.table(load_table(spark, staging.path("events.csv"), spec, LAUNCH, stage=staging).rows)
 
 
 # ---- columns and filters
@@ -455,6 +454,7 @@ def pk_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fk_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = tables(spark, sf_dir, "lineitem", "orders", "customer", "nation", "part", "supplier")
+    found["lineitem"] = _loose_lines(spark, sf_dir)
     found["encounters"] = trimmed_encounters(spark, sf_dir)
     return audit.reference_report(found, [
         audit.ForeignKey("lineitem", "l_orderkey", "encounters"),

@@ -13,6 +13,7 @@ from clinspark.operators.dedup import first_per_key
 from clinspark.operators.relink import delete_orphans, first_encounters, reassign_orphans
 from clinspark.operators.visits import visit_cells
 from clinspark.queries import QUERIES, encounters, table
+from clinspark.staging import Staging
 
 
 @pytest.fixture
@@ -114,3 +115,37 @@ def test_hot_keys_are_split(spark, staging, settings):
 def test_hot_duplicates(spark, staging):
     df = staging.table(spark.range(90_000).selectExpr("if(id % 3 = 0, 0, id) as k", "id as n"))
     assert rows(first_per_key(df, ["k"], ["n"]).where("k = 0")) == [(0, 0)]
+
+
+def test_duplicates_move_narrow_rows_only(spark, tmp_path):
+    from clinspark.operators.dedup import dedup_table
+
+    df = spark.range(2000).selectExpr("id % 1990 as id", "id as place", "repeat('wide ', 50) as text")
+    df.write.parquet(str(tmp_path / "t"))
+    stored = Staging(spark)
+    out = dedup_table(spark.read.parquet(str(tmp_path / "t")), ["place"], stored)
+    assert rows(out.selectExpr("count(*)", "count(distinct id)")) == [(1990, 1990)]
+    text = plan(out)
+    assert "Exchange\n" not in text.replace("BroadcastExchange", "") and "BroadcastHashJoin" in text and "Sort" not in text
+
+
+def test_hot_duplicates_of_a_table(spark, staging):
+    from clinspark.operators.dedup import dedup_table
+
+    df = staging.table(spark.range(60_000).selectExpr(
+        "if(id % 3 = 0, null, id % 1000) as id", "id as n", "id % 7 as part", "id as place"))
+    got = dedup_table(df, ["part", "place"], staging)
+    want = {}
+    for r in df.collect():
+        key = (r["part"], r["place"])
+        if r["id"] not in want or key < want[r["id"]][0]:
+            want[r["id"]] = (key, r["n"])
+    assert {r["id"]: r["n"] for r in got.collect()} == {k: n for k, (_, n) in want.items()} and got.count() == len(want)
+
+
+def test_references_read_each_table_once(spark, sf_dir):
+    text = plan(QUERIES["fk_audit"](spark, sf_dir))
+    for name, scans in {"lineitem": 1, "customer": 1, "nation": 1, "part": 1, "supplier": 1, "orders": 2}.items():
+        # Orders are read once more, as the trimmed encounters.
+        assert text.count(f"/{name}.parquet]") == scans, name
+    assert "partial_count" in text
