@@ -30,31 +30,34 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 
 def lost_rows(df: DataFrame, keys: Sequence[str], position: Sequence[str], stage: Stage = lazily) -> DataFrame:
-    """Positions of the rows that another row of their key comes before; null keys are one key.
+    """The last column of the positions of rows that another row of their key comes before; null keys are one key.
 
-    Only keys and positions are read. Counts and first positions are partial aggregates, and only keys with more than one
-    row are joined back, so rare duplicates cost little and a key of very many rows is a skewed side that Spark splits.
+    Only keys and positions are read. Keys are counted by a hash aggregate; only rows whose key occurs more than once
+    are looked at again, for the first position of each. Both joins have the rows as the side that Spark splits, so a key
+    of very many rows is no hot task.
     """
     narrow = stage(df.select(*keys, *position))
+    names = [f"_key_{i}" for i in range(len(keys))]
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    renamed = [F.col(k).alias(n) for k, n in zip(keys, names)]
+    repeated = narrow.groupBy(*keys).agg(F.count("*").alias("_rows")).where("_rows > 1").select(*renamed)
+    rows = narrow.join(repeated, same, "left_semi")
     place = F.struct(*position)
-    firsts = narrow.groupBy(*keys).agg(F.count("*").alias("_rows"), F.min(place).alias("_first")).where("_rows > 1")
-    firsts = firsts.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], "_first")
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
-    return narrow.join(firsts, same).where(place != F.col("_first")).select(*position)
+    firsts = rows.groupBy(*renamed).agg(F.min(place).alias("_first"))
+    return rows.join(firsts, same).where(place != F.col("_first")).select(position[-1])
 
 
-def without_rows(df: DataFrame, lost: DataFrame, position: Sequence[str]) -> DataFrame:
-    """Rows whose position is not among ``lost``, which is broadcast if its stored size allows: then no row is moved."""
-    return df.join(lost, list(position), "left_anti")
+def without_rows(df: DataFrame, lost: DataFrame) -> DataFrame:
+    """Rows whose value is not among ``lost``; that is broadcast if its stored size allows, and then no row is moved."""
+    return df.join(lost, lost.columns, "left_anti")
 
 
 def dedup_table(df: DataFrame, position: Sequence[str], stage: Stage = lazily) -> DataFrame:
     """One row per ``id``, first in source order, or distinct rows in a table without ``id``.
 
     Wide rows are not sorted by their id: the positions of rows to leave out are found on ids and positions alone.
-    ``position`` must be the same whenever ``df`` is read, as that of rows in files is.
+    The last column of ``position`` must name a row, and be the same whenever ``df`` is read, as that of rows in files is.
     """
     if "id" in df.columns:
-        lost = stage(lost_rows(df, ["id"], position, stage))
-        return without_rows(df, lost, position).drop(*position)
+        return without_rows(df, stage(lost_rows(df, ["id"], position, stage))).drop(*position)
     return distinct_rows(df.drop(*position))

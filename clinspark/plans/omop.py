@@ -123,8 +123,8 @@ def visit_tables(
 def event_table(events: DataFrame, target: str, staging: Staging) -> DataFrame:
     """One target's rows under the column names of its event table, numbered in the order of their columns.
 
-    ``events`` is stored first if it has no places yet, so that the ranges are sampled from rows and not from joins. The
-    place stands behind the columns: rows that are equal in all of them are dealt to many ranges.
+    Rows that are equal in all columns may take each other's numbers; nothing else depends on chance. If ``events`` has the
+    places of a stored table, these stand behind the columns, and equal rows are dealt to many ranges.
     """
     key, first, last = EVENT_LAYOUT[target]
     ends = []
@@ -143,11 +143,10 @@ def event_table(events: DataFrame, target: str, staging: Staging) -> DataFrame:
         "visit_occurrence_id",
         F.col("code").alias(f"{key}_source_value"),
         *sources,
-        *[c for c in events.columns if c == PLACE],
+        *[c for c in events.columns if c == PLACE],  # the last one
     )
     names = [c for c in rows.columns if c != PLACE]
-    stored = rows if PLACE in rows.columns else with_place(staging.table(rows))
-    return number_rows(stored, [*names, PLACE], f"{target}_id", staging).select(f"{target}_id", *names)
+    return number_rows(rows, rows.columns, f"{target}_id", staging).select(f"{target}_id", *names)
 
 
 #: Where a row lies in the stored table it was read from.
