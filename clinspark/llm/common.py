@@ -63,7 +63,7 @@ def _appended(
             made = own(part.column(text).to_pylist())
             if drop:
                 part = part.drop_columns([text])
-            columns = [pa.array(values, field.type) for values, field in zip(made, schema)]
+            columns = [v if isinstance(v, pa.Array) else pa.array(v, field.type) for v, field in zip(made, schema)]
             yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *schema.names])
 
 
