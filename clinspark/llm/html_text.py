@@ -3,8 +3,9 @@
 The page becomes a tree of elements (end tags that HTML lets writers leave out are supplied, stray ones are
 ignored). What is never main text goes first: scripts, styles, menus, headers, footers and sidebars. Forms, and elements
 whose class, id or role names a notice, advert, sidebar or reader comment, go too if they hold less than ``MUCH`` of
-the page's text that is no link, or if an article stands outside of them; else their children are judged. If nothing
-were left, no name counts. Each element that is left
+the page's text that is no link, or if an article stands outside of them; else their children are judged. A block of
+reader comments goes whatever its size; ``comments-open`` and the like name no such block. A header inside an article
+is the article's. If nothing were left, no name counts. Each element that is left
 gets a *density*: its characters per tag, corrected by the ratio of link to other text. The sum of the
 densities of an element's children is high where much text lies together. The subtree with the highest sum
 gives a threshold, the lowest density on its path to the body. The main text is the highest element on that path
@@ -22,6 +23,8 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import defaultdict
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -74,12 +77,17 @@ ASIDE_WORDS = frozenset(
     " cookie cookies consent gdpr notice notices alert popup modal overlay paywall newsletter subscribe signup"
     " comment comments commentlist disqus respond replies reply share sharing social login".split()
 )
+#: Of these, names that inside of an article are the article's own.
+HEADER_WORDS = frozenset(["header", "masthead"])
+#: First words of the name of a block of reader comments, and last words of a name that says how things stand.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies".split())
+STATE_WORDS = frozenset("open closed enabled disabled allowed on off none count".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|([^<]+|<)",
     re.S,
 )
-_NAMES = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"[ \t\n\r\f\v\xa0]+")
 
@@ -87,42 +95,56 @@ _SPACE = re.compile(r"[ \t\n\r\f\v\xa0]+")
 class Node:
     """An element; ``parts`` holds its texts and children in page order."""
 
-    __slots__ = ("tag", "parent", "parts", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "named", "comment", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, named: bool = False) -> None:
-        self.tag, self.parent, self.parts, self.named = tag, parent, [], named
+    def __init__(self, tag: str, parent: Node | None, named: bool = False, comment: bool = False) -> None:
+        self.tag, self.parent, self.parts, self.named, self.comment = tag, parent, [], named, comment
 
 
-def is_aside(tag: str, attributes: str) -> bool:
-    """Whether the element is never main text."""
+def attributes_of(text: str) -> dict[str, str]:
+    """Attributes of a start tag; of two with one name the first counts."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), value.strip("\"'"))
+    return found
+
+
+def is_aside(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether the element is never main text; a header inside of an article is the article's own."""
     if tag in NEVER:
-        return True
-    if tag in ("html", "body", "article", "main") or not attributes:
+        return tag != "header" or not in_article
+    if tag in ("html", "body", "article", "main"):
         return False
-    for name, value in _NAMES.findall(attributes):
-        if name.lower() == "hidden" or name.lower() == "aria-hidden" and value.strip("\"'").lower() == "true":
+    return "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
+
+
+def is_comment(attributes: dict[str, str]) -> bool:
+    """Whether a class or id names reader comments, and not whether comments are open."""
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = [w.lower() for w in _WORD.findall(name)]
+        if words and words[0] in COMMENT_WORDS and words[-1] not in STATE_WORDS:
             return True
     return False
 
 
-def is_named(tag: str, attributes: str) -> bool:
+def is_named(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     """Whether the element's name says that it is no main text."""
     if tag in ("html", "body", "article", "main"):
         return False
-    return tag == "form" or any(
-        w.lower() in ASIDE_WORDS for _, value in _NAMES.findall(attributes) for w in _WORD.findall(value))
+    words = {w.lower() for n in ("class", "id", "role") for w in _WORD.findall(attributes.get(n, ""))}
+    return tag == "form" or not words.isdisjoint(ASIDE_WORDS - HEADER_WORDS if in_article else ASIDE_WORDS)
 
 
 def drop_named(root: Node) -> None:
     """Takes out the elements that are judged by their names."""
     nodes = in_page_order(root)
-    if not any(n.named for n in nodes):
+    if not any(n.named or n.comment for n in nodes):
         return
     plain, articles, links, believed = {}, {}, {}, {}
     for node in nodes:
         above = node.parent
         links[node] = node.tag == "a" or above is not None and links[above]
-        believed[node] = node.named or above is not None and believed[above]
+        believed[node] = node.named or node.comment or above is not None and believed[above]
     for node in reversed(nodes):
         plain[node] = sum(plain[p] if isinstance(p, Node) else 0 if links[node] else len(_SPACE.sub("", p)) for p in node.parts)
         inside = sum(articles[p] for p in node.parts if isinstance(p, Node))
@@ -135,7 +157,8 @@ def drop_named(root: Node) -> None:
         if node.tag in ("article", "main") and not around:
             around = plain[node]
         outside = articles[root] - max(around, articles[node])
-        if node.named and (plain[node] < MUCH * total or outside >= total / 10):
+        if node.comment or node.named and (
+                plain[node] < MUCH * total or outside >= total / 10 or node.tag == "form" and outside):
             gone.add(node)
         else:
             todo += [(p, around) for p in node.parts if isinstance(p, Node)]
@@ -148,8 +171,18 @@ def drop_named(root: Node) -> None:
 def parse(page: str) -> Node:
     """The tree of the page without what is never main text."""
     root = Node("#", None)
-    node, at, dropped = root, 0, None  # dropped: the element whose content is being left out
+    node, at, dropped, dropped_at = root, 0, None, 0  # dropped: the element whose content is being left out, and its depth
     stack = [root]
+    depths: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements of each name
+
+    def deepest(tags: Iterable[str]) -> int:
+        return max((depths[t][-1] for t in tags if depths[t]), default=0)
+
+    def close(depth: int) -> None:
+        for gone in reversed(stack[depth:]):
+            depths[gone.tag].pop()
+        del stack[depth:]
+
     while at < len(page):
         token = _TOKEN.match(page, at)
         if token is None:  # an unfinished tag at the end
@@ -166,40 +199,40 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if end:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in FENCES and tag not in FENCES:
-                    break
+            depth = deepest([tag])
+            if depth and (tag in FENCES or depth > deepest(FENCES)):
+                close(depth)
         else:
-            if tag in ("html", "body") and any(n.tag == tag for n in stack):
+            if tag in ("html", "body") and depths[tag]:
                 continue
             ended, fence = CLOSES.get(tag, (frozenset(), frozenset()))
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in fence or not ended:
+            while (depth := deepest(ended)) > deepest(fence):
+                close(depth)
+                if tag in ("li", "p", "option", "body") or tag in BLOCK and ended == {"p"}:
                     break
-                if stack[depth].tag in ended:
-                    del stack[depth:]
-                    if tag in ("li", "p", "option", "body") or tag in BLOCK and ended == {"p"}:
-                        break
-            above = stack[-1]
-            aside = is_aside(tag, attributes)
-            made = Node(tag, above, dropped is None and not aside and is_named(tag, attributes))
+            if dropped is not None and (len(stack) <= dropped_at or stack[dropped_at] is not dropped):
+                dropped = None
+            above, names = stack[-1], attributes_of(attributes)
+            in_article = bool(depths["article"] or depths["main"])
+            aside = is_aside(tag, names, in_article)
+            seen = dropped is None and not aside
+            comment = seen and tag not in ("html", "body", "main") and is_comment(names)
+            made = Node(tag, above, seen and is_named(tag, names, in_article), comment)
             if tag in RAW and not attributes.rstrip().endswith("/"):
-                close = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
-                content = page[at:close.start()] if close else page[at:]
-                at = page.find(">", close.start()) + 1 or len(page) if close else len(page)
+                last = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
+                content = page[at:last.start()] if last else page[at:]
+                at = page.find(">", last.start()) + 1 or len(page) if last else len(page)
                 if dropped is None and not aside and not made.named:
                     above.parts.append(content)
                 continue
             if dropped is None and not aside:
                 above.parts.append(made)
             if tag not in VOID and not attributes.rstrip().endswith("/"):
+                depths[tag].append(len(stack))
                 stack.append(made)
                 if dropped is None and aside:
-                    dropped = made
-        if dropped is not None and dropped not in stack:
+                    dropped, dropped_at = made, len(stack) - 1
+        if dropped is not None and (len(stack) <= dropped_at or stack[dropped_at] is not dropped):
             dropped = None
         node = stack[-1]
     drop_named(root)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
@@ -80,6 +81,30 @@ def test_named_sections_and_comments():
     assert len(html_text.main_text(f"<body>{parts}</body>").split("\n")) == 8
 
 
+@pytest.mark.parametrize("page,first", [
+    ("<section data-title=\"a hidden gem\">{main}</section>", ["main"] * 4),
+    ("<article><header class='entry-header'><h1>Title</h1></header>{main}</article><header>Site</header>", ["Title"] + ["main"] * 4),
+    ("<div>{main}</div><div class='comment-section'>{comments}</div>", ["main"] * 4),
+    ("<div>{main}</div><div id='comments'><article class='comment'>{comments}</article></div>", ["main"] * 4),
+    ("<article>{main}<article class='comment-body'>{comments}</article></article>", ["main"] * 4),
+    ("<article><p>main text</p></article><form>{comments}</form>", ["main"]),
+    ("<article>{main}<p hidden>no</p></article>", ["main"] * 4),
+    ("<article><ul><li hidden>no<li>main a<li>main b</ul>{main}</article>", ["main"] * 6),
+])
+def test_names_headers_comments_forms(page, first):
+    got = html_text.main_text("<body>" + page.format(main=paragraphs("main", 4, 2), comments=paragraphs("c", 30)) + "</body>")
+    assert [x.split(" ")[0] for x in got.split("\n")] == first
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 20_000 + "deep", "<div><table>" + "<i>" * 20_000 + "</div>" * 20_000 + "deep",
+    "<span>" * 20_000 + "<p>" * 20_000 + "deep", "<div hidden>" + "<div>" * 20_000 + "</div>" * 20_001 + "deep"])
+def test_deep_nesting_is_linear(page):
+    begin = time.perf_counter()
+    assert html_text.main_text(page) == "deep"
+    assert time.perf_counter() - begin < 5
+
+
 def test_edges(spark):
     rows = [(1, None, None), (2, "u", ""), (None, "u", PAGE), (2, "u", PAGE), (2, "u", PAGE)]
     df = spark.createDataFrame(rows, "page_id long, text string, html string")
