@@ -110,7 +110,13 @@ def cosine(a: str, b: str) -> F.Column:
     def dot(x: F.Column, y: F.Column) -> F.Column:
         return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda total, p: total + p)
 
-    x, y = (F.transform(c, lambda v: v.cast("double")) for c in (a, b))
+    def scaled(c: str) -> F.Column:
+        """By the power of two of the largest component, which changes no digit: no square vanishes or overflows."""
+        largest = F.array_max(F.transform(c, lambda v: F.abs(v.cast("double"))))
+        power = F.pow(F.lit(2.0), F.floor(F.log2(largest)).cast("double"))
+        return F.transform(c, lambda v: v.cast("double") / power)
+
+    x, y = scaled(a), scaled(b)
     return dot(x, y) / (F.sqrt(dot(x, x)) * F.sqrt(dot(y, y)))
 
 

@@ -46,6 +46,15 @@ def test_lattice_points():
     assert (best <= ((x[:, None] - point[:, None] - around) ** 2).sum(axis=2).min(axis=1) + 1e-9).all()
 
 
+def test_tiny_and_huge_components(spark, staging):
+    """Squares of these vanish or overflow; links are those of the scaled vectors."""
+    rows = [(i, [f * x for x in v], 1) for i, (f, v) in enumerate(
+        [(1e-200, [1.0, 2.0]), (1e200, [1.0, 2.01]), (1e200, [-2.0, 1.0]), (5e-324, [1.0, 2.0]), (1.0, [2.0, -1.0])])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = lattice.near_vectors(df, staging)
+    assert sorted(map(tuple, found.collect())) == [(0, 2, 0), (1, 2, 0), (2, 0, 2), (3, 2, 0), (4, 0, 4)]
+
+
 def test_recall_at_the_threshold():
     random = np.random.default_rng(2)
     a = random.normal(size=(3000, 64))
