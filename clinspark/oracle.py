@@ -178,6 +178,8 @@ ORACLE_SQL = {
     DATE '1970-01-01' + p_size AS valid_start_date, DATE '2099-12-31' AS valid_end_date,
     CASE WHEN p_size = 1 THEN 'D' END AS invalid_reason FROM part""",
     "layout_roundtrip": "SELECT * FROM lineitem",
+    "layout_curve": "SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'",
+    "sink_append_new": "SELECT *, CASE WHEN o_orderkey % 3 < 2 THEN 'a' ELSE 'b' END AS run_id FROM orders",
     "load_table": """SELECT id, code, supplier, base_cost, description, start FROM (
     SELECT l_orderkey || '-' || l_linenumber AS id, CAST(l_partkey AS VARCHAR) AS code,
       l_suppkey AS supplier, l_extendedprice AS base_cost, l_returnflag AS description,

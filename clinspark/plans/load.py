@@ -15,9 +15,10 @@ from clinspark.operators.trim import launch_trim
 from clinspark.plans.audit import audit_dataset
 from clinspark.plans.relink import CHANGED, relink_tables
 from clinspark.sources.csv_tables import POSITION, CsvTable, read_table
+from clinspark.sources.curve import cluster_by_curve
 from clinspark.sources.notes import Notes, read_notes
 from clinspark.sources.sinks import replace_table
-from clinspark.spec import LAYOUT_DATES, LoadConfig, TableSpec
+from clinspark.spec import LAYOUT_DATES, LoadConfig, TableSpec, columns_present
 from clinspark.staging import Stage, Staging, lazily
 
 
@@ -79,6 +80,18 @@ def laid_out(df: DataFrame, layout: str | None) -> DataFrame:
     return df.repartitionByRange(column, F.xxhash64(*df.columns)).sortWithinPartitions(column)
 
 
+def _on_curve(df: DataFrame, staged: str, target: str) -> DataFrame:
+    """Rows stored once, and then along the curve through their first date, patient and encounter."""
+    spark = df.sparkSession
+    first_date = columns_present(LAYOUT_DATES, df.columns)[:1]
+    columns = first_date + columns_present(("patient", "encounter"), df.columns)
+    if not columns:
+        return _stored(df, target)
+    replace_table(df, staged)
+    cluster_by_curve(spark, staged, target, columns)
+    return spark.read.schema(df.schema).parquet(target)
+
+
 class KeyViolation(ValueError):
     """The loaded tables break a key that must hold."""
 
@@ -108,7 +121,9 @@ def load_dataset(spark: SparkSession, config: LoadConfig) -> dict[str, DataFrame
         result = {}
         for name, df in linked.items():
             changed = name == "patients" or (name in specs and specs[name].orphans in CHANGED)
-            if changed or config.layout:
+            if config.layout == "curve":
+                df = _on_curve(df, staging.path(f"wide-{name}"), f"{config.target_dir}/linked/{name}")
+            elif changed or config.layout:
                 df = _stored(laid_out(df, config.layout), f"{config.target_dir}/linked/{name}")
             result[name] = df
         reports = {}

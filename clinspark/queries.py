@@ -41,7 +41,8 @@ from clinspark.sources.csv_tables import read_table
 from clinspark.sources.notes import (
     NOTE_END, PATIENT_FOLDER_PATTERN, patient_of_file, read_notes, segment_notes, write_notes,
 )
-from clinspark.sources.sinks import append_table, cluster_table, replace_table, write_csv
+from clinspark.sources.curve import cluster_by_curve
+from clinspark.sources.sinks import append_new, append_table, cluster_table, replace_table, write_csv
 from clinspark.sources.vocab import load_vocabulary
 from clinspark.spec import TableSpec, select_tables
 from clinspark.staging import Staging
@@ -224,6 +225,24 @@ def layout_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(table(spark, sf_dir, "lineitem").schema).parquet(path)
 
 
+def layout_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows, laid out by three columns at once; the date window is read from the files that may hold it."""
+    path = Staging(spark).path("lineitem")
+    cluster_by_curve(spark, f"{sf_dir}/lineitem.parquet", path, ["l_shipdate", "l_partkey", "l_orderkey"])
+    stored = spark.read.schema(table(spark, sf_dir, "lineitem").schema).parquet(path)
+    return stored.where(F.col("l_shipdate") >= F.lit(LAUNCH).cast("timestamp_ntz"))
+
+
+def sink_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs of which each repeats some rows of the one before, the second of them twice."""
+    path = Staging(spark).path("orders")
+    source = table(spark, sf_dir, "orders")
+    third = F.col("o_orderkey") % 3
+    for run, rows in (("a", third < 2), ("b", third > 0), ("b", third > 0), ("c", F.lit(True))):
+        append_new(source.where(rows), path, "o_orderkey", run_id=run)
+    return spark.read.schema(source.withColumn("run_id", F.lit("")).schema).parquet(path)
+
+
 def load_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The CSV is written in a known order, so that the first row of an id is known."""
     staging = Staging(spark)
@@ -680,6 +699,8 @@ QUERIES = {
     "sink_append": sink_append,
     "vocab_load": vocab_load,
     "layout_roundtrip": layout_roundtrip,
+    "layout_curve": layout_curve,
+    "sink_append_new": sink_append_new,
     "load_table": load_table_query,
     "lower_columns": lower_columns_query,
     "launch_trim": launch_trim_query,

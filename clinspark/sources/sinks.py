@@ -18,9 +18,37 @@ def replace_table(df: DataFrame, path: str | None = None, *, table: str | None =
 def append_table(
     df: DataFrame, path: str | None = None, *, table: str | None = None, run_id: str | None = None
 ) -> None:
-    """Add rows; with ``run_id`` every run gets a partition of its own."""
-    writer = (df.withColumn("run_id", F.lit(run_id)) if run_id else df).write.mode("append")
-    _save(writer.partitionBy("run_id") if run_id else writer, path, table)
+    """Add rows; with ``run_id`` every run gets a partition of its own, and a repeated run replaces it.
+
+    A run's partition is replaced when its job commits, so one that failed may be repeated, too. A repeated run without
+    any row leaves what the earlier one wrote. Without ``run_id`` rows are added each time.
+    """
+    if not run_id:
+        return _save(df.write.mode("append"), path, table)
+    marked = df.withColumn("run_id", F.lit(run_id))
+    if table and df.sparkSession.catalog.tableExists(table):
+        columns = df.sparkSession.table(table).columns
+        writer = marked.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        return writer.insertInto(table)
+    writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    _save(writer.partitionBy("run_id"), path, table)
+
+
+def append_new(df: DataFrame, path: str, key: str, *, run_id: str) -> None:
+    """Add the rows whose ``key`` no other run has stored; a repeated run replaces its own rows.
+
+    Only the key column of stored rows between the batch's smallest and largest key is read; Parquet statistics skip
+    the files beyond. Rows with a null key are all added. Keys that the batch itself repeats are all added.
+    """
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        schema = df.select(key).withColumn("run_id", F.lit("")).schema
+        stored = spark.read.schema(schema).parquet(path).where(F.col("run_id") != run_id)
+        smallest, largest = df.agg(F.min(key).alias("k")).scalar(), df.agg(F.max(key).alias("k")).scalar()
+        stored = stored.where((F.col(key) >= smallest) & (F.col(key) <= largest))
+        df = df.join(stored.select(key), key, "left_anti").select(*df.columns)
+    append_table(df, path, run_id=run_id)
 
 
 def _save(writer, path: str | None, table: str | None) -> None:

@@ -118,7 +118,8 @@ class LoadConfig:
 
     ``open_ended`` decides about rows whose trim date is null: ``drop`` (a null never passes the
     comparison) or ``keep``. ``layout`` orders the tables that a run ends with by ``date`` (the first date column) or
-    by ``patient``, so that scans skip files; a table without such a column keeps its order. ``on_violation`` decides
+    by ``patient``, or by date, patient and encounter at once (``curve``), so that scans skip files; a table without such
+    a column keeps its order. ``on_violation`` decides
     about null or repeated ids and dangling references in the result: ``report`` or ``fail``, after the reports are
     written.
     """
@@ -136,8 +137,8 @@ class LoadConfig:
     on_violation: str = "report"
 
     def __post_init__(self) -> None:
-        if self.layout not in (None, "date", "patient"):
-            raise ValueError("layout must be None, 'date' or 'patient'")
+        if self.layout not in (None, "date", "patient", "curve"):
+            raise ValueError("layout must be None, 'date', 'patient' or 'curve'")
         if self.on_violation not in ("report", "fail"):
             raise ValueError("on_violation must be 'report' or 'fail'")
         if self.open_ended not in ("drop", "keep"):

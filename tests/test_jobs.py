@@ -93,6 +93,9 @@ def test_layout_and_refused_keys(spark, loaded):
         load_dataset(spark, config)
     again = spark.read.parquet(str(out.parent / "again" / "linked" / "conditions"))
     assert rows(again) == rows(tables["conditions"])
+    curved = load_dataset(spark, LoadConfig(str(out.parent), str(out.parent / "curve"), layout="curve"))
+    for name in ("conditions", "claims", "patients", "organizations"):
+        assert rows(curved[name]) == rows(tables[name]) and curved[name].schema == tables[name].schema
     with pytest.raises(ValueError):
         LoadConfig("x", "y", layout="encounter")
 

@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import glob
+
+import pyarrow.parquet as pq
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from clinspark.sources.curve import cluster_by_curve, range_starts
+from clinspark.sources.sinks import append_new, append_table, cluster_table
+
+
+def read_share(folder, column, value):
+    """Share of the files whose statistics don't exclude the value."""
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{folder}/*.parquet")]
+    hit = 0
+    for file in files:
+        at = [file.schema.column(i).name for i in range(file.num_columns)].index(column)
+        stats = [file.row_group(g).column(at).statistics for g in range(file.num_row_groups)]
+        hit += any(s.min <= value <= s.max for s in stats if s and s.has_min_max)
+    return hit / len(files)
+
+
+def points(spark, n=60_000):
+    return spark.range(n).select(
+        (F.hash("id") % 1000).alias("patient"), F.date_add(F.lit("2020-01-01").cast("date"), F.pmod(F.hash("id", F.lit(1)), F.lit(900))).alias("start"),
+        F.sha2(F.col("id").cast("string"), 256).alias("encounter"), "id")
+
+
+def test_files_are_skipped_for_each_column(spark, staging):
+    df = staging.table(points(spark), "points")
+    columns = ["start", "patient", "encounter"]
+    cluster_by_curve(spark, staging.path("points"), staging.path("curve"), columns, partitions=64)
+    cluster_table(spark, staging.path("points"), staging.path("plain"), columns, partitions=64)
+    back = spark.read.parquet(staging.path("curve"))
+    assert back.schema == df.schema and rows(back) == rows(df)
+    wanted = df.where("id = 777").first()
+    shares = {c: read_share(staging.path("curve"), c, wanted[c]) for c in columns}
+    assert max(shares.values()) <= 0.5, shares
+    plain = [read_share(staging.path("plain"), c, wanted[c]) for c in columns]
+    assert plain[0] < 0.1 and min(plain[1:]) > 0.9
+
+
+def test_hot_value_null_and_empty(spark, staging):
+    df = staging.table(points(spark).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("patient")).alias("patient"),
+        F.when(F.col("id") % 5 > 0, F.col("start")).alias("start"), F.col("id").alias("curve"), F.lit(None).cast("string").alias("encounter")),
+        "hot")
+    assert len(range_starts(df, "patient", 64)) < 64 and range_starts(df, "encounter", 64) == []
+    columns = ["start", "patient", "encounter"]
+    cluster_by_curve(spark, staging.path("hot"), staging.path("curve"), columns, partitions=16)
+    back = spark.read.parquet(staging.path("curve"))
+    assert rows(back) == rows(df)
+    assert max(r["count"] for r in back.groupBy("_metadata.file_name").count().collect()) < 3 * 60_000 / 16
+    staging.table(df.limit(0), "none")
+    cluster_by_curve(spark, staging.path("none"), staging.path("none_out"), columns)
+    assert spark.read.schema(df.schema).parquet(staging.path("none_out")).collect() == []
+    with pytest.raises(ValueError):
+        cluster_by_curve(spark, staging.path("hot"), staging.path("x"), [])
+
+
+def test_a_repeated_run_leaves_one_copy(spark, staging):
+    df = spark.range(10).selectExpr("id", "cast(id as string) as s")
+    for run in ("a", "b", "a"):
+        append_table(df, staging.path("t"), run_id=run)
+    assert spark.read.parquet(staging.path("t")).groupBy("run_id").count().collect() in (
+        [("a", 10), ("b", 10)], [("b", 10), ("a", 10)])
+    for run in ("a", "b", "a"):
+        append_table(df, table="run_table", run_id=run)
+    assert spark.table("run_table").count() == 20
+    spark.sql("DROP TABLE run_table")
+
+
+def test_only_new_keys_are_added(spark, staging):
+    def batch(*keys):
+        return spark.createDataFrame([(k, 1) for k in keys], "k string, v int")
+
+    path = staging.path("keys")
+    append_new(batch("a", "b", None), path, "k", run_id="1")
+    append_new(batch("b", "c", None), path, "k", run_id="2")
+    append_new(batch("b", "c", None), path, "k", run_id="2")
+    append_new(batch("a", "b"), path, "k", run_id="1")
+    found = sorted((r["k"] or "", str(r["run_id"])) for r in spark.read.parquet(path).collect())
+    assert found == [("", "2"), ("a", "1"), ("b", "1"), ("c", "2")]
