@@ -144,6 +144,7 @@ ORACLE_SQL = {
   UNION ALL
   SELECT *, 'delete' AS policy FROM c WHERE encounter IN (SELECT id FROM e)""",
     "csv_scan": "SELECT * FROM orders",
+    "csv_quoted_breaks": "SELECT doc_id, source, nullif(text, '') AS text, lang FROM documents",
     "manifest_counts": _COUNTS,
     "manifest_select": f"""WITH counts AS ({_COUNTS})
   SELECT 'include' AS selection, * FROM counts WHERE table_name IN ('orders', 'lineitem')

@@ -45,7 +45,7 @@ def load_tables(spark: SparkSession, config: LoadConfig, stage: Stage = lazily)
         seen = Observation()
         table = load_table(
             spark, f"{config.source_dir}/csv/{spec.name}.csv", spec, config.launch_date,
-            open_ended=config.open_ended, stage=stage, observation=seen,
+            open_ended=config.open_ended, stage=stage, observation=seen, quoted_breaks=config.quoted_breaks,
         )
         loaded[spec.name] = _stored_with_rejects(table, seen, spec.name, config)
     if config.include_notes:

@@ -110,6 +110,16 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, TableSpec("orders", ("o_orderdate",))).rows
 
 
+def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with line breaks, quotes and separators, through CSV files."""
+    path = Staging(spark).path("documents.csv")
+    source = table(spark, sf_dir, "documents").select("doc_id", "source", "text", "lang")
+    source.write.options(
+        header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    spec = TableSpec("documents", types=(("doc_id", "bigint"), ("source", "string"), ("text", "string"), ("lang", "string")))
+    return read_table(spark, path, spec, quoted_breaks=True).rows
+
+
 def manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.table_counts(tables(spark, sf_dir))
 
@@ -687,6 +697,7 @@ def codes_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "relink": relink,
     "csv_scan": csv_scan,
+    "csv_quoted_breaks": csv_quoted_breaks,
     "manifest_counts": manifest_counts,
     "manifest_select": manifest_select,
     "schema_probe": schema_probe,

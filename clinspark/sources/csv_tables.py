@@ -145,14 +145,18 @@ def read_table(
     spec: TableSpec,
     *,
     with_position: bool = False,
+    quoted_breaks: bool = False,
     **scan_options,
 ) -> CsvTable:
     """Scan, lower-case the names, parse the dates, keep codes as text, type the rest.
 
     Columns whose type the spec pins are not inferred; with all of them pinned there is no
-    inference pass over the data.
+    inference pass over the data. ``quoted_breaks`` reads values with line breaks by blocks (see ``csv_records``).
     """
-    table = scan_csv(spark, path, with_position=with_position, **scan_options)
+    scan = scan_csv
+    if quoted_breaks:
+        from clinspark.sources.csv_records import scan_quoted_csv as scan
+    table = scan(spark, path, with_position=with_position, **scan_options)
     rows = lower_columns(table.rows)
     pinned = dict(spec.types)
     open_columns = [

@@ -119,7 +119,7 @@ class LoadConfig:
     ``open_ended`` decides about rows whose trim date is null: ``drop`` (a null never passes the
     comparison) or ``keep``. ``layout`` orders the tables that a run ends with by ``date`` (the first date column) or
     by ``patient``, or by date, patient and encounter at once (``curve``), so that scans skip files; a table without such
-    a column keeps its order. ``on_violation`` decides
+    a column keeps its order. ``quoted_breaks`` reads CSV values with line breaks in quotes. ``on_violation`` decides
     about null or repeated ids and dangling references in the result: ``report`` or ``fail``, after the reports are
     written.
     """
@@ -135,6 +135,7 @@ class LoadConfig:
     exclude: tuple[str, ...] = ("patient_expenses.csv",)
     layout: str | None = None
     on_violation: str = "report"
+    quoted_breaks: bool = False
 
     def __post_init__(self) -> None:
         if self.layout not in (None, "date", "patient", "curve"):
