@@ -5,12 +5,14 @@ blocks, runs of neighbouring lines that stand together in both, are deleted from
 at least ``MIN_WORDS`` words. Lines are compared without the white space around them; blank lines are skipped and
 stay. The earlier document is the one of smaller id (null first), for equal ids of the smaller hash of its text.
 
-A document is aligned with the first holder of each rare line, not with all. What that leaves is found by *runs*: the
+A document is aligned with the first holder of each rare line, not with all. Its other partners are named by *runs*: the
 shortest runs of neighbouring lines with ``MIN_WORDS`` words, from each line on and up to each line. Any block of that
-many words is the union of such runs, so a line is deleted if it stands in a run that any earlier document has, however
-common the lines are and wherever they stand there. Each run has one first holder, so one that a third of all documents
-share only meets a table with one row for each run. Only hashes of lines and runs and numbers of words are shuffled, and
-the texts once, at the end.
+many words is the union of such runs, so whatever block any earlier document has, however common its lines are, names the
+first holders of its runs. With those a document is aligned on the stretches that their runs cover, once on all of them in
+order, and what is left then (blocks that were moved or repeated) stretch by stretch. Each run has one first holder, so one
+that a third of all documents share only meets a table with one row for each run, and an earlier document's stretches are
+known from the places of the runs: its lines are not sent to every later one. Only hashes of lines and runs, places and
+numbers of words are shuffled, and the texts once, at the end.
 
 Rows that repeat an id and a text are one document. Null and empty texts have no lines and stay as they are.
 """
@@ -166,15 +168,84 @@ def _runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBa
              pa.array(start, pa.int32()), pa.array(stop, pa.int32())], names=["doc_id", "version", "run", "start", "stop"])
 
 
+def _stretch(places: Sequence[int], keys: dict[int, int], side: str) -> tuple[list[int], list]:
+    """Places in order and their keys, with something that equals nothing else wherever places are missing."""
+    at: list[int] = []
+    row: list = []
+    for place in places:
+        if at and place != at[-1] + 1:
+            at.append(at[-1])
+            row.append((side, place))
+        at.append(place)
+        row.append(keys[place])
+    return at, row
+
+
+def _aligned_runs(hits: Sequence[tuple[int, int, int]], keys: Sequence[int], words: Sequence[int], least: int) -> list[int]:
+    """Places of the later document in blocks aligned with the earlier one that has its runs ``start .. stop`` at ``at``."""
+    theirs, own = {}, {}
+    for at, start, stop in hits:
+        for k in range(start, stop + 1):
+            theirs[at + k - start] = own[k] = keys[k]
+    first, a = _stretch(sorted(theirs), theirs, "earlier")
+    later, b = _stretch(sorted(own), own, "later")
+    return common_blocks([(first[i], later[j]) for i, j in patience(a, b)], words, least)
+
+
+def align_runs(hits: Sequence[tuple[int, int, int, int]], keys: Sequence[int], words: Sequence[int], least: int) -> set[int]:
+    """Places in the aligned blocks of a document with all earlier ones, from its runs ``(earlier, at, start, stop)``."""
+    by: dict[int, list[tuple[int, int, int]]] = {}
+    for earlier, at, start, stop in hits:
+        by.setdefault(earlier, []).append((at, start, stop))
+    gone: set[int] = set()
+    for own in by.values():
+        gone.update(_aligned_runs(own, keys, words, least))
+    for own in by.values():
+        # Blocks in another order or repeated: neighbouring runs that are as far apart in both, each for itself.
+        left = [hit for hit in own if any(k not in gone for k in range(hit[1], hit[2] + 1))]
+        stretch: list[tuple[int, int, int]] = []
+        for hit in [*sorted(left, key=lambda x: (x[0] - x[1], x[1])), None]:
+            if stretch and (hit is None or hit[0] - hit[1] != stretch[-1][0] - stretch[-1][1]
+                            or hit[1] > max(x[2] for x in stretch[-2:]) + 1):
+                gone.update(_aligned_runs(stretch, keys, words, least))
+                stretch = []
+            if hit:
+                stretch.append(hit)
+    return gone
+
+
 def _align(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        first, own, words, numbers = (batch.column(c).to_pylist() for c in ("first_keys", "keys", "words", "numbers"))
-        deleted = [
-            [n[j] for j in common_blocks(patience(a, b), w, least)] for a, b, w, n in zip(first, own, words, numbers)
-        ]
+        first, own, words = (batch.column(c).to_pylist() for c in ("first_keys", "keys", "words"))
+        aligned = [common_blocks(patience(a, b), w, least) for a, b, w in zip(first, own, words)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("version"), pa.array(deleted, pa.list_(pa.int32()))],
-            names=["doc_id", "version", "deleted"])
+            [batch.column("doc_id"), batch.column("version"), pa.array(aligned, pa.list_(pa.int32()))],
+            names=["doc_id", "version", "aligned"])
+
+
+FOUND = "doc_id bigint, version bigint, n_lines int, deleted array<int>, words_deleted bigint, cut array<boolean>"
+
+
+def _delete(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts, deleted, total, cuts = [], [], [], []
+        for row in range(batch.num_rows):
+            keys, words, numbers, aligned, hits = (
+                batch.column(c)[row].as_py() for c in ("keys", "words", "numbers", "aligned", "hits"))
+            places = align_runs(list(zip(hits[0::4], hits[1::4], hits[2::4], hits[3::4])), keys, words, least)
+            places.update(aligned)
+            gone = sorted(places)
+            cut = bytearray(numbers[gone[-1]] + 1) if gone else bytearray()
+            for place in gone:
+                cut[numbers[place]] = 1
+            counts.append(len(keys))
+            deleted.append([numbers[place] for place in gone])
+            total.append(sum(words[place] for place in gone))
+            cuts.append([x == 1 for x in cut])
+        made = [(counts, pa.int32()), (deleted, pa.list_(pa.int32())), (total, pa.int64()), (cuts, pa.list_(pa.bool_()))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("version"), *[pa.array(v, t) for v, t in made]],
+            names=["doc_id", "version", "n_lines", "deleted", "words_deleted", "cut"])
 
 
 def _same(a: str, b: str) -> F.Column:
@@ -186,7 +257,8 @@ def deleted_lines(
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """``doc_id``, ``version`` (hash of the text), ``n_lines`` (not blank), ``deleted`` (line numbers from 0, sorted) and
-    ``words_deleted`` of each document from which something is deleted."""
+    ``words_deleted`` of each document from which something is deleted, and ``cut``: for each line up to the last of them
+    whether it is."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     source = source.withColumn("version", F.coalesce(F.xxhash64("text"), F.lit(0)))
     lines = staging.table(append_columns(source, "text", LINES, _line_keys).drop("text").where(F.size("keys") > 0))
@@ -211,40 +283,36 @@ def deleted_lines(
     first = lines.select(F.col("doc_id").alias("x_id"), F.col("version").alias("x_version"), F.col("keys").alias("first_keys"))
     own = lines.withColumnsRenamed({"doc_id": "y_id", "version": "y_version"})
     aligned = pairs.join(first, _same("first", "x")).join(own, _same("own", "y")).select(
-        F.col("own_id").alias("doc_id"), F.col("own_version").alias("version"), "first_keys", "keys", "words", "numbers",
-    ).mapInArrow(partial(_align, least=min_words), "doc_id bigint, version bigint, deleted array<int>")
+        F.col("own_id").alias("doc_id"), F.col("own_version").alias("version"), "first_keys", "keys", "words",
+    ).mapInArrow(partial(_align, least=min_words), "doc_id bigint, version bigint, aligned array<int>")
 
     # Runs that an earlier document has.
     every = lines.mapInArrow(
         partial(_runs, least=min_words), "doc_id bigint, version bigint, run bigint, start int, stop int")
     holders = staging.table(
-        every.groupBy("run").agg(F.min(F.struct("doc_id", "version")).alias("first"), F.max(F.struct("doc_id", "version")).alias("last"))
+        every.groupBy("run").agg(F.min(F.struct("doc_id", "version", "start")).alias("first"), F.max(F.struct("doc_id", "version")).alias("last"))
         .where(~(F.col("first.doc_id").eqNullSafe(F.col("last.doc_id")) & (F.col("first.version") == F.col("last.version"))))
-        .select("run", F.col("first.doc_id").alias("first_id"), F.col("first.version").alias("first_version"))
+        .select("run", F.col("first.doc_id").alias("first_id"), F.col("first.version").alias("first_version"),
+                F.col("first.start").alias("first_start"))
     )
-    repeated = (
+    # Only places that the hash of an earlier document's name tells apart: two of one hash would be aligned as one.
+    hit = F.array(F.xxhash64("first_id", "first_version"), *[F.col(c).cast("bigint") for c in ("first_start", "start", "stop")])
+    runs = (
         every.withColumnsRenamed({"doc_id": "own_id", "version": "own_version"}).join(holders, "run").where(~_same("own", "first"))
-        .groupBy("own_id", "own_version").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-        .select(F.col("own_id").alias("x_id"), F.col("own_version").alias("x_version"), "spans")
+        .groupBy("own_id", "own_version").agg(F.flatten(F.collect_list(hit)).alias("hits"))
+        .select(F.col("own_id").alias("doc_id"), F.col("own_version").alias("version"),
+                F.lit(None).cast("array<int>").alias("aligned"), "hits")
     )
-    runs = repeated.join(lines, F.col("x_id").eqNullSafe(F.col("doc_id")) & (F.col("x_version") == F.col("version"))).select(
-        "doc_id", "version", F.flatten(F.transform("spans", lambda x: F.slice(
-            "numbers", x["start"] + 1, x["stop"] - x["start"] + 1))).alias("deleted"))
 
     found = (
-        aligned.union(runs).groupBy("doc_id", "version")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("deleted")))).alias("deleted"))
-        .where(F.size("deleted") > 0)
+        aligned.withColumn("hits", F.lit(None).cast("array<bigint>")).unionByName(runs).groupBy("doc_id", "version")
+        .agg(F.flatten(F.collect_list("aligned")).alias("aligned"), F.flatten(F.collect_list("hits")).alias("hits"))
+        .where((F.size("aligned") > 0) | (F.size("hits") > 0))
     )
-    # The words deleted and the lines of those documents.
-    one = found.select(F.col("doc_id").alias("own_id"), F.col("version").alias("own_version"), "deleted")
+    one = found.select(F.col("doc_id").alias("own_id"), F.col("version").alias("own_version"), "aligned", "hits")
     return one.join(own, _same("own", "y")).select(
-        F.col("own_id").alias("doc_id"), F.col("own_version").alias("version"), F.size("keys").alias("n_lines"), "deleted",
-        F.aggregate(
-            F.filter(F.arrays_zip("numbers", "words"), lambda x: F.array_contains("deleted", x["numbers"])),
-            F.lit(0).cast("bigint"), lambda total, x: total + x["words"],
-        ).alias("words_deleted"),
-    )
+        F.col("own_id").alias("doc_id"), F.col("own_version").alias("version"), "keys", "words", "numbers", "aligned", "hits",
+    ).mapInArrow(partial(_delete, least=min_words), FOUND).where(F.size("deleted") > 0)
 
 
 def dedup_lines(
@@ -254,12 +322,12 @@ def dedup_lines(
     ``words_deleted``, null where nothing was deleted."""
     found = staging.table(deleted_lines(docs, staging, doc_id=doc_id, text=text, **options))
     found = found.select(F.col("doc_id").alias("__later_id"), F.col("version").alias("__later_version"),
-                         F.struct("n_lines", "deleted", "words_deleted").alias(report))
+                         F.struct("n_lines", "deleted", "words_deleted").alias(report), F.col("cut").alias("__later_cut"))
     # The same join at every size: deletions grow with the documents.
     joined = docs.drop(report).join(
         found.hint("merge"), F.col(doc_id).eqNullSafe(F.col("__later_id")) & (F.xxhash64(text) == F.col("__later_version")), "left")
     left = F.array_join(F.filter(
-        F.split(text, "\n", -1), lambda line, n: ~F.array_contains(F.col(report)["deleted"], n)), "\n")
+        F.split(text, "\n", -1), lambda line, n: ~F.coalesce(F.get("__later_cut", n), F.lit(False))), "\n")
     columns = [F.when(F.col(report).isNull(), F.col(text)).otherwise(left).alias(text) if c == text else F.col(c)
                for c in docs.columns if c != report]
     return joined.select(*columns, report)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 
@@ -153,6 +154,34 @@ def test_blocks_of_all_earlier_documents(spark, staging, seed):
     assert found == repeated(docs, line_dedup.MIN_WORDS) and found[104] == [0, 2, 3]
 
 
+def test_lines_go_by_alignment_only(spark, staging, monkeypatch):
+    """What runs name is deleted because it is aligned: in order, moved, or repeated."""
+    source = random.Random(1)
+    a, b, c = ([" ".join(f"w{source.randrange(900)}" for _ in range(9)) for _ in range(3)] for _ in range(3))
+    docs = [(1, [*a, "one", *b, "two", *c]), (2, [*c, "three", *b, "four", *a]), (3, [*b, *b, "five", *a])]
+    docs = [(i, "\n".join(lines)) for i, lines in docs]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for rare in (0, line_dedup.RARE):
+        found = {r["doc_id"]: r["deleted"] for r in line_dedup.deleted_lines(df, staging, rare=rare).collect()}
+        assert found == repeated(docs, line_dedup.MIN_WORDS)
+        assert found == {2: [0, 1, 2, 4, 5, 6, 8, 9, 10], 3: [0, 1, 2, 3, 4, 5, 7, 8, 9]}
+    keys, words, _ = line_dedup.line_keys(docs[2][1])
+    firsts = {run: at for run, at, _ in reversed(line_dedup.shortest_runs(line_dedup.line_keys(docs[0][1])[0], [9] * 3 + [1] + [9] * 3 + [1] + [9] * 3, 20))}
+    hits = [(1, firsts[run], start, stop) for run, start, stop in line_dedup.shortest_runs(keys, words, 20) if run in firsts]
+    assert sorted(line_dedup.align_runs(hits, keys, words, 20)) == found[3]
+    monkeypatch.setattr(line_dedup, "patience", lambda a, b: [])
+    assert line_dedup.align_runs(hits, keys, words, 20) == set()
+
+
+@pytest.mark.parametrize("line", ["{} of seven words that stand in line", "the same seven words again and again"])
+def test_very_long_copies(spark, staging, line):
+    text = "\n".join(line.format(n) for n in range(100_000))
+    df = spark.createDataFrame([(1, text), (2, text + "\nend")], "doc_id long, text string")
+    start = time.monotonic()
+    assert [r["text"] for r in line_dedup.dedup_lines(df, staging).orderBy("doc_id").collect()] == [text, "end"]
+    assert time.monotonic() - start < 60
+
+
 def test_edges(spark, staging, edge_docs, no_docs):
     found = line_dedup.dedup_lines(edge_docs, staging, min_words=5, report="deleted")
     assert found.columns.count("deleted") == 1
