@@ -18,25 +18,20 @@ def _cell(start: str, gap_days: int) -> Column:
     return F.floor(F.datediff(F.col(start), F.lit("1970-01-01").cast("date")) / gap_days)
 
 
-def visit_cells(
+def reduce_to_cells(
     encounters: DataFrame, by: Sequence[str], *, start: str = "start", stop: str = "stop", gap_days: int = 1
 ) -> DataFrame:
-    """Which visit each cell of ``gap_days`` days belongs to, per ``by``.
-
-    Two encounters that start within one cell are less than the gap apart and so always share a
-    visit. Each task therefore first reduces its encounters to one row per cell, exactly. The window
-    that joins the cells to visits sees at most one row per ``gap_days`` of the covered time, however
-    many encounters a patient has.
-
-    An end before the start (or no end) counts as the start. Encounters without a start form one
-    visit without dates.
-    """
+    """One row per cell of ``gap_days`` days: first start, last end, number of encounters."""
     if gap_days < 1:
         raise ValueError("gap_days must be at least 1")
     end = F.when(F.col(start).isNotNull(), F.greatest(F.col(start), F.col(stop)))
-    cells = encounters.groupBy(*by, _cell(start, gap_days).alias(_CELL)).agg(
+    return encounters.groupBy(*by, _cell(start, gap_days).alias(_CELL)).agg(
         F.min(start).alias("_start"), F.max(end).alias("_end"), F.count("*").alias("_n")
     )
+
+
+def chain_cells(cells: DataFrame, by: Sequence[str], *, gap_days: int) -> DataFrame:
+    """Cells with the number of their visit: one that starts within the gap behind all before it goes on with their visit."""
     ordered = Window.partitionBy(*by).orderBy(F.asc_nulls_first(_CELL))
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     reach = F.col("_reach") + F.make_interval(days=F.lit(gap_days))
@@ -49,6 +44,23 @@ def visit_cells(
     )
 
 
+def visit_cells(
+    encounters: DataFrame, by: Sequence[str], *, start: str = "start", stop: str = "stop", gap_days: int = 1
+) -> DataFrame:
+    """Which visit each cell of ``gap_days`` days belongs to, per ``by``.
+
+    Two encounters that start within one cell are less than the gap apart and so always share a
+    visit. Each task therefore first reduces its encounters to one row per cell, exactly. The window
+    that joins the cells to visits sees at most one row per ``gap_days`` of the covered time, however
+    many encounters a patient has.
+
+    An end before the start (or no end) counts as the start. Encounters without a start form one
+    visit without dates.
+    """
+    return chain_cells(
+        reduce_to_cells(encounters, by, start=start, stop=stop, gap_days=gap_days), by, gap_days=gap_days)
+
+
 def visits_of_cells(cells: DataFrame, by: Sequence[str]) -> DataFrame:
     """One row per visit: its keys, first start, last end and number of encounters."""
     return cells.groupBy(*by, _VISIT).agg(

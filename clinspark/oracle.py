@@ -301,6 +301,9 @@ ORACLE_SQL = {
     procedure_source_concept_id) AS procedure_occurrence_id, * FROM rows""",
     "visit_rollup": f"""WITH {_roll_up("patient")}
   SELECT patient, min(start) AS visit_start, max(stop) AS visit_end, count(*) AS n_encounters
+  FROM g GROUP BY patient, visit""",
+    "visit_loads": f"""WITH {_roll_up("patient")}
+  SELECT patient, min(start) AS visit_start, max(stop) AS visit_end, count(*) AS n_encounters
   FROM g GROUP BY patient, visit""",
     "visit_assign": f"""WITH {_roll_up("patient, class")},
   v AS (SELECT patient, class, visit, row_number() OVER (ORDER BY patient, class, min(start))

@@ -29,6 +29,7 @@ from clinspark.operators.relink import (
 )
 from clinspark.operators.surrogate import KeyStore, surrogate_keys
 from clinspark.operators.trim import history_window, launch_trim
+from clinspark.operators.visit_store import VisitStore
 from clinspark.operators.visits import (
     assign_visits, number_visits, roll_up_visits, visit_cells, visit_of_encounter,
 )
@@ -522,6 +523,17 @@ def visit_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roll_up_visits(encounters(spark, sf_dir), ["patient"], gap_days=30)
 
 
+def visit_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits after two loads, the second of them repeated."""
+    staging, orders = Staging(spark), encounters(spark, sf_dir)
+    store = VisitStore(spark, staging.path("visits"), ["patient"], gap_days=30)
+    late = F.col("id") % 3 == 0
+    store.add("late", orders.where(late), staging)
+    for _ in range(2):
+        store.add("rest", orders.where(~late), staging)
+    return store.visits()
+
+
 def visit_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = ["patient", "class"]
     orders = encounters(spark, sf_dir)
@@ -746,6 +758,7 @@ QUERIES = {
     "surrogate_key": surrogate_key,
     "kept_keys": kept_keys,
     "visit_rollup": visit_rollup,
+    "visit_loads": visit_loads,
     "visit_assign": visit_assign,
     "concept_map": concept_map,
     "concept_closure": concept_closure,
