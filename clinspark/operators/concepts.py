@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -89,3 +89,41 @@ def event_rows(df: DataFrame, source: EventSource) -> DataFrame:
 def event_union(tables: Mapping[str, DataFrame], sources: Iterable[EventSource] = EVENT_SOURCES) -> DataFrame:
     """Events of all sources in one table; ``target`` says which event table a row belongs to."""
     return reduce(DataFrame.unionByName, [event_rows(tables[s.source], s) for s in sources])
+
+
+def shared_sources(tables: Mapping[str, DataFrame], sources: Iterable[EventSource]) -> list[list[EventSource]]:
+    """Sources in groups that take person, encounter and code from the same columns of one and the same DataFrame."""
+    groups = {}
+    for s in sources:
+        groups.setdefault((id(tables[s.source]), s.person, s.encounter, s.code), []).append(s)
+    return list(groups.values())
+
+
+def _times(group: Sequence[EventSource]) -> list[str]:
+    return list(dict.fromkeys(name for s in group for name in (s.start, s.stop or s.start)))
+
+
+def shared_rows(tables: Mapping[str, DataFrame], groups: Sequence[Sequence[EventSource]]) -> DataFrame:
+    """Each row of a group's table once, with all times its sources take, whatever number of sources it feeds."""
+    parts = []
+    for i, group in enumerate(groups):
+        df, s = tables[group[0].source], group[0]
+        encounter = F.col(s.encounter) if s.encounter else F.lit(None).cast(df.schema[s.person].dataType)
+        parts.append(df.select(
+            F.lit(i).alias("_group"), F.col(s.person).alias("person_source_value"), encounter.alias("encounter"),
+            F.col(s.code).cast("string").alias("code"),
+            *[F.col(name).alias(f"_time_{j}") for j, name in enumerate(_times(group))]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def events_of_rows(rows: DataFrame, groups: Sequence[Sequence[EventSource]]) -> DataFrame:
+    """``shared_rows`` as events: one row for each source of its group, with ``target``, ``vocab`` and its own times."""
+    each = None
+    for i, group in enumerate(groups):
+        at = {name: F.col(f"_time_{j}") for j, name in enumerate(_times(group))}
+        found = F.array(*[
+            F.struct(F.lit(s.target).alias("target"), F.lit(s.vocab).alias("vocab"), at[s.start].alias("start_datetime"),
+                     at[s.stop or s.start].alias("end_datetime")) for s in group])
+        each = F.when(F.col("_group") == i, found) if each is None else each.when(F.col("_group") == i, found)
+    kept = [c for c in rows.columns if c != "_group" and not c.startswith("_time_")]
+    return rows.select(*kept, F.inline(each))

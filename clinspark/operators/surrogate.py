@@ -15,20 +15,22 @@ _ROW_BITS = 33
 
 
 def number_rows(
-    df: DataFrame, order: Sequence[str], name: str, staging: Staging, *, partitions: int | None = None
+    df: DataFrame, order: Sequence[str], name: str, staging: Staging, *, partitions: int | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows numbered 1..n in ``order`` as column ``name``; ``order`` should be unique per row.
+    """Rows numbered 1..n in ``order`` as column ``name``; ``order`` should be unique per row. ``keep`` names the columns to store.
 
     The rows are sorted in ranges across the cluster and stored with their place; a range's first
     number is the size of all ranges before it. Only one count per range passes the driver. The
     stored table fixes the ranges, so a lost executor cannot change the numbering.
     """
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    kept = list(df.columns if keep is None else keep)
     placed = staging.table(
-        ranged.sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+        ranged.sortWithinPartitions(*order).select(*kept, F.monotonically_increasing_id().alias("_place"))
     )
     placed = placed.select(
-        *df.columns,
+        *kept,
         F.shiftright("_place", _ROW_BITS).alias("_range"),
         F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1).alias("_row"),
     )
@@ -40,7 +42,7 @@ def number_rows(
     # One row per range, so its size is that of the partition count and not of the data.
     offsets = F.broadcast(df.sparkSession.createDataFrame(starts, "_range bigint, _start bigint"))
     numbered = placed.join(offsets, "_range")
-    return numbered.select(*df.columns, (F.col("_start") + F.col("_row")).alias(name))
+    return numbered.select(*kept, (F.col("_start") + F.col("_row")).alias(name))
 
 
 def surrogate_keys(

@@ -89,14 +89,15 @@ def number_visits(
 
 def visit_of_encounter(
     encounters: DataFrame, numbered_cells: DataFrame, by: Sequence[str], *, id: str = "id",
-    start: str = "start", gap_days: int = 1, visit_id: str = "visit_occurrence_id",
+    start: str = "start", gap_days: int = 1, visit_id: str = "visit_occurrence_id", owner: str | None = None,
 ) -> DataFrame:
-    """Every encounter's id with the id of its visit, found through the encounter's cell."""
+    """Every encounter's id with the id of its visit, found through the encounter's cell; with ``owner``, also that column of ``by``."""
     rows = encounters.select(
         F.col(id).alias("id"), *[F.col(c).alias(f"_by_{c}") for c in by], _cell(start, gap_days).alias(_CELL)
     )
     cells = numbered_cells.select(*[F.col(c).alias(f"_by_{c}") for c in by], _CELL, visit_id)
-    return _add(rows, cells, [*[f"_by_{c}" for c in by], _CELL], visit_id).select("id", visit_id)
+    found = _add(rows, cells, [*[f"_by_{c}" for c in by], _CELL], visit_id)
+    return found.select("id", visit_id, *([F.col(f"_by_{owner}").alias(owner)] if owner else []))
 
 
 def _add(rows: DataFrame, values: DataFrame, keys: Sequence[str], column: str) -> DataFrame:

@@ -133,6 +133,27 @@ def map_to_standard(
         F.coalesce("concept_id", none).alias("concept_id"), "domain_id")
 
 
+def code_entries(rows: DataFrame, lookup: DataFrame, vocabs: Sequence[str], stage: Stage = lazily) -> DataFrame:
+    """``code, entries``: what the lookup knows of each code in use, under any of ``vocabs`` (one entry for each).
+
+    So rows that are events of several vocabularies meet the lookup once.
+    """
+    used = rows.where(F.col("code").isNotNull()).select(F.col("code").alias("_used")).distinct()
+    known = lookup.where(F.col("vocab").isin(*vocabs)).join(used, F.col("code") == F.col("_used"), "left_semi")
+    entry = F.struct("vocab", "source_concept_id", "concept_id", "domain_id")
+    return stage(known.groupBy("code").agg(F.collect_list(entry).alias("entries")))
+
+
+def with_entry(events: DataFrame) -> DataFrame:
+    """Events with the entry of their own vocabulary among ``entries``, as ``map_to_standard`` adds it."""
+    none = F.lit(NO_CONCEPT).cast("bigint")
+    own = F.get(F.filter("entries", lambda e: e["vocab"] == F.col("vocab")), F.lit(0))
+    found = events.withColumn("_own", own)
+    return found.select(
+        *[c for c in events.columns if c != "entries"], F.coalesce("_own.source_concept_id", none).alias("source_concept_id"),
+        F.coalesce("_own.concept_id", none).alias("concept_id"), F.col("_own.domain_id").alias("domain_id"))
+
+
 def route_by_domain(events: DataFrame, *, target: str = "target") -> DataFrame:
     """Events whose ``target`` follows their concept's domain; without a concept, or of another domain, they stay."""
     routed = F.coalesce(*[F.when(F.col("domain_id") == d, F.lit(t)) for d, t in DOMAIN_TARGETS.items()], F.col(target))

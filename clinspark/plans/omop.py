@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from clinspark.functions.columns import cast_codes, rename_back, rename_columns
 from clinspark.functions.dates import parse_instant
-from clinspark.operators.concepts import EVENT_SOURCES, event_union, map_concepts
+from clinspark.operators.concepts import (
+    EVENT_SOURCES, event_union, events_of_rows, map_concepts, shared_rows, shared_sources,
+)
 from clinspark.operators.surrogate import KeyStore, number_rows
 from clinspark.operators.visits import assign_visits, number_visits, visit_cells, visit_of_encounter
-from clinspark.operators.vocabulary import concept_lookup, concept_targets, map_to_standard, route_by_domain
+from clinspark.operators.vocabulary import code_entries, concept_lookup, concept_targets, route_by_domain, with_entry
 from clinspark.staging import Staging
 
 # Code columns widened to text, and the renamed columns of payer_transitions.
@@ -54,11 +56,15 @@ EVENT_LAYOUT = {
 
 def omop_prepare(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Views with text codes, parsed instants and the older column names; sources stay as they are."""
-    prepared = dict(tables)
+    prepared, cast = dict(tables), {}
     for name, columns in CODE_COLUMNS.items():
         if name in prepared:
-            present = [c for c in columns if c in prepared[name].columns]
-            prepared[name] = cast_codes(prepared[name], present) if present else prepared[name]
+            present = tuple(c for c in columns if c in prepared[name].columns)
+            # Names of one and the same DataFrame go on sharing it.
+            key = id(tables[name]), present
+            if present and key not in cast:
+                cast[key] = cast_codes(prepared[name], present)
+            prepared[name] = cast.get(key, prepared[name])
     for name, columns in INSTANT_COLUMNS.items():
         if name in prepared:
             present = [c for c in columns if c in prepared[name].columns]
@@ -100,7 +106,7 @@ def visit_tables(
     encounters: DataFrame, persons: DataFrame, staging: Staging, *, visit_class: str | None = "encounterclass",
     gap_days: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
-    """Visits with their ids, and the visit id of every encounter; the class is part of a visit's key."""
+    """Visits with their ids, and the visit id and the patient of every encounter; the class is part of a visit's key."""
     by = ["patient", visit_class] if visit_class else ["patient"]
     visits, cells = number_visits(visit_cells(encounters, by, gap_days=gap_days), by, staging)
     concept = F.lit(0)
@@ -117,7 +123,7 @@ def visit_tables(
         F.col("visit_end").cast("date").alias("visit_end_date"),
         F.col("visit_end").alias("visit_end_datetime"),
     )
-    return occurrences, visit_of_encounter(encounters, cells, by, gap_days=gap_days)
+    return occurrences, visit_of_encounter(encounters, cells, by, gap_days=gap_days, owner="patient")
 
 
 def event_table(events: DataFrame, target: str, staging: Staging) -> DataFrame:
@@ -127,14 +133,20 @@ def event_table(events: DataFrame, target: str, staging: Staging) -> DataFrame:
     places of a stored table, these stand behind the columns, and equal rows are dealt to many ranges.
     """
     key, first, last = EVENT_LAYOUT[target]
+    stored = ["person_id", "concept_id", "start_datetime", *(["end_datetime"] if last else []), "visit_occurrence_id", "code",
+              *[c for c in events.columns if c == "source_concept_id"]]
+    rows = events.where(F.col("target") == target).select(*stored, *[c for c in events.columns if c == PLACE])  # the last one
+    # Dates follow from their times, so they are in the same order and are made at the end.
+    numbered = number_rows(rows, rows.columns, f"{target}_id", staging, keep=stored)
     ends = []
     if last:
         ends = [
             F.col("end_datetime").cast("date").alias(f"{last}_date"),
             F.col("end_datetime").alias(f"{last}_datetime"),
         ]
-    sources = [F.col("source_concept_id").alias(f"{key}_source_concept_id")] if "source_concept_id" in events.columns else []
-    rows = events.where(F.col("target") == target).select(
+    sources = [F.col("source_concept_id").alias(f"{key}_source_concept_id")] if "source_concept_id" in stored else []
+    return numbered.select(
+        f"{target}_id",
         "person_id",
         F.col("concept_id").alias(f"{key}_concept_id"),
         F.col("start_datetime").cast("date").alias(f"{first}_date"),
@@ -143,18 +155,17 @@ def event_table(events: DataFrame, target: str, staging: Staging) -> DataFrame:
         "visit_occurrence_id",
         F.col("code").alias(f"{key}_source_value"),
         *sources,
-        *[c for c in events.columns if c == PLACE],  # the last one
     )
-    names = [c for c in rows.columns if c != PLACE]
-    return number_rows(rows, rows.columns, f"{target}_id", staging).select(f"{target}_id", *names)
 
 
-#: Where a row lies in the stored table it was read from.
+#: A small number from where a row lies in the stored table it was read from: equal rows are dealt by it.
 PLACE = "_source_place"
+_DEALT = 4096
 
 
 def with_place(stored: DataFrame) -> DataFrame:
-    return stored.withColumn(PLACE, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+    place = F.pmod(F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")), F.lit(_DEALT))
+    return stored.withColumn(PLACE, place.cast("smallint"))
 
 
 #: Targets that are no event table.
@@ -191,17 +202,23 @@ def omop_convert(
         visits, encounter_visits = visit_tables(prepared["encounters"], persons, staging, gap_days=gap_days)
         if "visit_occurrence" in chosen:
             result["visit_occurrence"] = visits
-        if wanted:
-            encounter_visits = staging.table(encounter_visits)
     if wanted and relationship is not None:
         lookup = staging.table(concept_lookup(concept, staging.table(concept_targets(concept, relationship, staging))))
-        routed = route_by_domain(map_to_standard(event_union(prepared, present), lookup, stage=staging))
-        # One scan and one set of joins for all targets; each target then reads its own folder.
-        routed = _placed(routed.where(F.col("target").isin(wanted)), encounter_visits, people).drop("domain_id")
+        # A table is read once and moved once for its encounters and once for its codes, whatever number of sources it
+        # feeds: rows become events where they have met both, and only events of wanted targets go on.
+        groups = shared_sources(prepared, present)
+        rows = shared_rows(prepared, groups)
+        entries = code_entries(rows, lookup, sorted({s.vocab for s in present}), staging)
+        placed = _with_owner(rows, encounter_visits, people, staging).drop("person_source_value", "encounter")
+        placed = placed.join(entries.withColumnRenamed("code", "_known"), F.col("code") == F.col("_known"), "left")
+        routed = route_by_domain(with_entry(events_of_rows(placed.drop("_known"), groups)))
+        routed = routed.where(F.col("target").isin(wanted)).drop("domain_id", "vocab")
         path = staging.path("events")
         routed.write.mode("overwrite").partitionBy("target").parquet(path)
         events = with_place(staging.spark.read.schema(routed.schema).parquet(path))
         return {**result, **{t: event_table(events, t, staging) for t in wanted}}
+    if wanted:
+        encounter_visits = staging.table(encounter_visits.drop("patient"))
     for target in wanted:
         events = map_concepts(event_union(prepared, fed[target]), concept, stage=staging)
         result[target] = event_table(_placed(events, encounter_visits, people), target, staging)
@@ -211,3 +228,23 @@ def omop_convert(
 def _placed(events: DataFrame, encounter_visits: DataFrame, people: DataFrame) -> DataFrame:
     """Events with their visit and their person."""
     return assign_visits(events, encounter_visits).join(people, "person_source_value", "left")
+
+
+def _with_owner(rows: DataFrame, encounter_visits: DataFrame, people: DataFrame, staging: Staging) -> DataFrame:
+    """Rows with their visit and their person, as ``_placed`` gives them.
+
+    An encounter brings its patient's person along. Only patients of rows without an encounter, or with that of another
+    patient, are looked up by themselves; their list is stored, so that its size is known before it meets the rows.
+    """
+    of_patient = people.select(F.col("person_source_value").alias("_patient"), F.col("person_id").alias("_owner_person"))
+    owners = staging.table(
+        encounter_visits.select(F.col("id").alias("_encounter_id"), "visit_occurrence_id", F.col("patient").alias("_owner"))
+        .join(of_patient, F.col("_owner") == F.col("_patient"), "left").drop("_patient"))
+    same = F.col("person_source_value").eqNullSafe(F.col("_owner"))
+    found = rows.join(owners, F.col("encounter") == F.col("_encounter_id"), "left")
+    others = found.where(~same).select(F.col("person_source_value").alias("_other")).distinct()
+    others = staging.table(others.join(people, F.col("_other") == F.col("person_source_value")).select(
+        "_other", F.col("person_id").alias("_other_person")))
+    found = found.join(others, ~same & (F.col("person_source_value") == F.col("_other")), "left")
+    person = F.when(same, F.col("_owner_person")).otherwise(F.col("_other_person"))
+    return found.select(*rows.columns, "visit_occurrence_id", person.alias("person_id"))
