@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, LongType
 
 from clinspark.functions.columns import storage_schema
 from clinspark.spec import FOREIGN_KEYS, columns_present, parent_table
@@ -41,38 +42,27 @@ def foreign_keys(tables: Mapping[str, DataFrame]) -> list[ForeignKey]:
     ]
 
 
-def _value_counts(df: DataFrame, own: Sequence[tuple[int, int, str]], kind) -> DataFrame:
-    """``parent, key, value, n`` of several columns of a table in one pass; ``own`` has their parents, keys and names."""
-    names = [f"_c{j}" for j in range(len(own))]
-    values = df.select(*[F.col(f"`{c}`").cast(kind).alias(n) for n, (_, _, c) in zip(names, own)])
-    if len(own) == 1:
-        sets = values.groupBy(*names).agg(F.count("*").alias("n")).withColumn("_set", F.lit(0))
-    else:
-        # A set's number has a bit for each column that it leaves out, the first column's being the highest.
-        sets = values.groupingSets([[F.col(n)] for n in names], *names).agg(
-            F.count("*").alias("n"), F.grouping_id().alias("_set"))
-    left_out = [((1 << len(own)) - 1) ^ (1 << (len(own) - 1 - j)) for j in range(len(own))]
-    of = lambda i: F.coalesce(*[F.when(F.col("_set") == g, F.lit(o[i])) for g, o in zip(left_out, own)])
-    return sets.select(of(0).alias("parent"), of(1).alias("key"), F.coalesce(*names).alias("value"), "n")
+def _values(df: DataFrame, own: Sequence[tuple[int, int, str]], kind) -> DataFrame:
+    """``parent, slot, value`` of several columns of a table in one pass; ``own`` has their parents, slots and names."""
+    entry = lambda p, j, c: F.struct(
+        F.lit(p).alias("parent"), F.lit(j).alias("slot"), F.col(f"`{c}`").cast(kind).alias("value"))
+    return df.select(F.inline(F.array(*[entry(*o) for o in own])))
 
 
 def reference_report(tables: Mapping[str, DataFrame], keys: Iterable[ForeignKey]) -> DataFrame:
     """One row per foreign key: number of rows, of nulls (allowed) and of dangling references.
 
-    Every table is read once, for all its references and for its own ids, as grouping sets of one column each. Values are counted before they are shuffled, so what moves is one row per task and distinct value, and a value
-    that is very frequent is one row, too. References to one parent then meet its ids in one place, whatever table they
-    come from. Values are compared in their type if all have one type, else as text.
+    Every table is read once, for all its references and for its own ids. All tables go through one aggregate of their
+    values: counted before they are shuffled, so what moves is one row per task and distinct value, and a value
+    that is very frequent is one row, too. References to one parent meet its ids there, whatever table they
+    come from. Whole numbers are compared as such, other values in their type if all have one type, else as text.
     """
     keys = list(keys)
     kinds = {tables[t].schema[c].dataType for fk in keys for t, c in ((fk.table, fk.column), (fk.parent, fk.parent_id))}
+    if all(isinstance(k, IntegralType) for k in kinds):
+        kinds = {LongType()}
     kind = kinds.pop() if len(kinds) == 1 else "string"
     parents = sorted({(fk.parent, fk.parent_id) for fk in keys})
-    counted = []
-    for name in sorted({t for fk in keys for t in (fk.table, fk.parent)}):
-        own = [(parents.index((fk.parent, fk.parent_id)), i, fk.column) for i, fk in enumerate(keys) if fk.table == name]
-        own += [(p, _PARENT, column) for p, (parent, column) in enumerate(parents) if parent == name]
-        counted.append(_value_counts(tables[name], own, kind))
-    counted = reduce(DataFrame.unionByName, counted)
     # References are numbered within their parent, so there are as many sums as one parent has references.
     slots, taken = [], [0] * len(parents)
     for fk in keys:
@@ -80,11 +70,15 @@ def reference_report(tables: Mapping[str, DataFrame], keys: Iterable[ForeignKey]
         slots.append((parent, taken[parent]))
         taken[parent] += 1
     width = range(max(taken))
-    slot = F.element_at(F.array(*[F.lit(j) for _, j in slots]), F.col("key") + 1)
-    counted = counted.withColumn("slot", F.when(F.col("key") != _PARENT, slot))
-    met = counted.groupBy("parent", "value").agg(
-        F.max(F.col("key") == _PARENT).alias("found"),
-        *[F.sum(F.when(F.col("slot") == j, F.col("n")).otherwise(0)).alias(f"n{j}") for j in width])
+    values = []
+    for name in sorted({t for fk in keys for t in (fk.table, fk.parent)}):
+        own = [(*slot, fk.column) for slot, fk in zip(slots, keys) if fk.table == name]
+        own += [(p, _PARENT, column) for p, (parent, column) in enumerate(parents) if parent == name]
+        values.append(_values(tables[name], own, kind))
+    values = reduce(DataFrame.unionByName, values)
+    met = values.groupBy("parent", "value").agg(
+        F.max(F.col("slot") == _PARENT).alias("found"),
+        *[F.count(F.when(F.col("slot") == j, F.lit(1))).alias(f"n{j}") for j in width])
     null, lost = F.col("value").isNull(), F.col("value").isNotNull() & ~F.col("found")
     sums = met.groupBy("parent").agg(
         *[F.sum(f"n{j}").alias(f"n{j}") for j in width],
@@ -93,7 +87,7 @@ def reference_report(tables: Mapping[str, DataFrame], keys: Iterable[ForeignKey]
     # One row for each parent and one line for each reference, also of tables without rows.
     entries = F.array(*[F.struct(*[F.col(f"{c}{j}").alias(c) for c in ("n", "null", "lost")]) for j in width])
     sums = sums.select(F.col("parent").alias("_parent"), F.posexplode(entries).alias("_slot", "_sums"))
-    lines = counted.sparkSession.createDataFrame(
+    lines = values.sparkSession.createDataFrame(
         [(*slot, fk.table, fk.column) for slot, fk in zip(slots, keys)],
         "parent int, slot int, table_name string, column_name string")
     found = lines.join(sums, (F.col("parent") == F.col("_parent")) & (F.col("slot") == F.col("_slot")), "left")
