@@ -60,12 +60,14 @@ def follow_to_end(links: DataFrame, staging: Staging) -> DataFrame:
     Every round each node takes over the pointer of the node it points to, so paths double and the number of rounds is
     the logarithm of the longest chain. Nodes whose pointer still leads on become fewer every round, as a chain holds
     nodes of all lengths up to its own; when their number stays, all that are left lead into cycles. Each round is a
-    stored table and one join, of which the side of the pointers has one row for a node.
+    stored table and one join, of which the side of the pointers has one row for a node; it is hashed where it was
+    shuffled, since as a broadcast all pointers would pass the driver in each round.
     """
     pointers = staging.table(links.select("node", "next", F.lit(1).cast("bigint").alias("n_steps")))
     done, before = [], -1
     while True:
         onward = pointers.select(F.col("node").alias("_at"), F.col("next").alias("_next"), F.col("n_steps").alias("_more"))
+        onward = onward.hint("shuffle_hash")
         stepped = staging.table(pointers.join(onward, F.col("next") == F.col("_at"), "left").select(
             "node", F.coalesce("_next", "next").alias("next"),
             (F.col("n_steps") + F.coalesce("_more", F.lit(0))).alias("n_steps"), F.col("_at").isNotNull().alias("_on")))
@@ -83,7 +85,7 @@ def concept_targets(
     ends = follow_to_end(next_concepts(concept, relationship, kinds), staging)
     flags = staging.table(concept.where(F.col("concept_id").isNotNull()).groupBy("concept_id").agg(
         F.max(_is_standard()).alias("_standard")))
-    followed = flags.join(ends, F.col("concept_id") == F.col("node"), "left")
+    followed = flags.join(ends.hint("shuffle_hash"), F.col("concept_id") == F.col("node"), "left")
     followed = followed.withColumn("_last", F.when(F.col("node").isNull(), F.col("concept_id")).otherwise(F.col("end")))
     good = flags.where("_standard").select(F.col("concept_id").alias("_good"))
     found = followed.join(good, F.col("_last") == F.col("_good"), "left")
