@@ -34,6 +34,8 @@ PROBES = 16
 SCALE = 0.7
 SIGNS = 18
 SEED = 20240607
+#: Components of pairs that a task works on at a time.
+BLOCK = 1 << 18
 
 
 def minimal_vectors() -> np.ndarray:
@@ -106,18 +108,33 @@ def _cell_rows(batches: Iterator[pa.RecordBatch], tables: int, probes: int, scal
             ], names=["cell", "own", "id", "sketch"])
 
 
-def cosine(a: str, b: str) -> F.Column:
-    def dot(x: F.Column, y: F.Column) -> F.Column:
-        return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda total, p: total + p)
-
-    def scaled(c: str) -> F.Column:
+def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of the rows of two matrices, in double precision."""
+    def scaled(v: np.ndarray) -> np.ndarray:
         """By the power of two of the largest component, which changes no digit: no square vanishes or overflows."""
-        largest = F.array_max(F.transform(c, lambda v: F.abs(v.cast("double"))))
-        power = F.pow(F.lit(2.0), F.floor(F.log2(largest)).cast("double"))
-        return F.transform(c, lambda v: v.cast("double") / power)
+        return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
+
+    def dot(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        return np.einsum("ij,ij->i", p, q)
+
+    x, y = scaled(x), scaled(y)
+    return dot(x, y) / (np.sqrt(dot(x, x)) * np.sqrt(dot(y, y)))
+
 
-    x, y = scaled(a), scaled(b)
-    return dot(x, y) / (F.sqrt(dot(x, x)) * F.sqrt(dot(y, y)))
+def _linked(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """The pairs of vectors of one length whose cosine reaches the threshold; some ``BLOCK`` numbers at a time."""
+    def matrix(lists: pa.Array, width: int) -> np.ndarray:
+        return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), width)
+
+    for batch in batches:
+        widths = batch.column("x").value_lengths().to_numpy(zero_copy_only=False)
+        for width in np.unique(widths).tolist():
+            mine = np.flatnonzero(widths == width)
+            rows = max(1, BLOCK // width)
+            for start in range(0, len(mine), rows):
+                part = batch.take(pa.array(mine[start:start + rows]))
+                near = cosines(matrix(part.column("x"), width), matrix(part.column("y"), width)) >= threshold
+                yield part.select(["a", "b"]).filter(pa.array(near))
 
 
 def near_vectors(
@@ -144,9 +161,9 @@ def near_vectors(
 
     left = classes.select(F.col("id").alias("a"), F.col("label").alias("a_label"), F.col("embedding").alias("x"))
     right = classes.select(F.col("id").alias("b"), F.col("label").alias("b_label"), F.col("embedding").alias("y"))
-    links = staging.table(
-        pairs.join(left, "a").join(right, "b").where(F.col("a_label") == F.col("b_label"))
-        .where(F.size("x") == F.size("y")).where(cosine("x", "y") >= threshold).select("a", "b"))
+    asked_pairs = pairs.join(left, "a").join(right, "b").where(F.col("a_label") == F.col("b_label")).where(
+        F.size("x") == F.size("y")).select("a", "b", "x", "y")
+    links = staging.table(asked_pairs.mapInArrow(partial(_linked, threshold=threshold), "a bigint, b bigint"))
 
     both = links.union(links.select("b", "a"))
     counts = both.join(classes.select(F.col("id").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import numpy as np
 
 from clinspark.llm import lattice
@@ -103,3 +105,15 @@ def test_query(spark):
     got = sum(r["n_links"] for r in found)
     assert all(r["n_links"] <= want[r["vec_id"]] for r in found) and got >= 0.99 * sum(want.values())
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found)
+
+
+def test_wide_near_copies_in_bounded_time(spark, staging):
+    """A pair costs as much as its vectors are long, not its square."""
+    random = np.random.default_rng(5)
+    centre = random.normal(size=1024)
+    rows = [(i, (centre + random.normal(size=1024) * 0.1).tolist(), 1, None) for i in range(90)]
+    df = spark.createDataFrame(rows, KIND)
+    start = time.monotonic()
+    found = lattice.near_vectors(df, staging).collect()
+    assert time.monotonic() - start < 20
+    assert sorted(map(tuple, found)) == [(i, 89, 0) for i in range(90)]
