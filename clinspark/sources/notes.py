@@ -16,6 +16,11 @@ DATE_PATTERN = r"[1-2][0-9]{3}-[0-9]{2}-[0-9]{2}"
 NOTE_PATTERN = r"(?d)[1-2][0-9]{3}-[0-9]{2}-[0-9]{2}.*\n\n(?s:.*?)\n\n\n\n"
 NOTE_END = "\n\n\n\n"
 HEADER_END = "\n\n"
+#: Folders that hold the patients' folders: Spark lists each in a task of its own, not each patient's.
+FOLDERS = 256
+#: What one task writes.
+FILES_PER_TASK = 250
+NOTES_PER_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -152,20 +157,33 @@ def write_notes(
     note_text: str = "note_text",
     max_notes_per_file: int = 10_000,
 ) -> None:
-    """Write notes in the note format, under one folder per patient.
+    """Write notes in the note format, under one folder per patient; patients' folders lie in ``FOLDERS`` others.
 
     A patient's notes are brought together to keep the number of files low, and streamed to them: no
     document is put together in memory. A patient with very many notes is spread over several tasks
-    by the rebalance, and over several files of a bounded size.
+    by a hash of the notes, and over several files of a bounded size. Tasks are as many as the files and the
+    notes need, not their bytes, since a small file costs as much as a larger one; each moves its files to their place
+    by itself (committer version 2), so that the driver does not move them one by one. Whoever reads the folder
+    waits for the end of the job, as a job that fails leaves some files.
     """
     note = F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit("\n\n"), F.col(note_text))
+    rows = df.select(F.col(patient).cast("string").alias("patient"), note.alias("value"))
+    counts = rows.groupBy("patient").agg(F.count("*").alias("n"))
+    files, total = counts.agg(F.sum(F.ceil(F.col("n") / max_notes_per_file)), F.sum("n")).first()
+    tasks = max(1, (files or 0) // FILES_PER_TASK, (total or 0) // NOTES_PER_TASK)
+    many = counts.where(F.col("n") > max_notes_per_file).select(
+        F.col("patient").alias("_patient"), F.ceil(F.col("n") / max_notes_per_file).alias("parts"))
+    part = F.coalesce(F.pmod(F.xxhash64("value"), F.col("parts")), F.lit(0))
     (
-        df.select(F.col(patient).cast("string").alias("patient"), note.alias("value"))
-        .hint("rebalance", "patient")
+        rows.join(many, F.col("patient").eqNullSafe(F.col("_patient")), "left")
+        .select("patient", "value", part.alias("part"))
+        .repartition(int(tasks), "patient", "part")
+        .select("value", F.pmod(F.xxhash64("patient"), F.lit(FOLDERS)).alias("folder"), "patient")
         .write.mode("overwrite")
         .option("lineSep", NOTE_END)
         .option("maxRecordsPerFile", max_notes_per_file)
-        .partitionBy("patient")
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        .partitionBy("folder", "patient")
         .text(path)
     )
 

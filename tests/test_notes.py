@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 import random
 
 import pytest
@@ -87,6 +88,20 @@ def test_written_notes_come_back(spark, staging):
     assert back.rejects.count() == 0
 
 
+def test_patients_lie_in_a_bounded_number_of_folders(spark, staging):
+    """Else Spark lists each patient's folder in a task of its own; and small files are written by few tasks."""
+    df = spark.range(600).selectExpr("'p' || id AS patient", "DATE '2020-01-01' AS date", "'note ' || id AS note_text").union(
+        spark.range(40).selectExpr("'many'", "DATE '2020-01-01'", "'note ' || id"))
+    write_notes(df, staging.path("n"), max_notes_per_file=7)
+    folders = {p.name for p in Path(staging.path("n")).iterdir() if p.is_dir()}
+    files = [p for p in Path(staging.path("n")).rglob("*.txt")]
+    assert len(folders) <= 256 and len({p.parent for p in files}) == 601
+    assert len({p.name.split("-")[1] for p in files}) > 1 and len({p.name for p in files if p.parent.name == "patient=many"}) > 5
+    back = read_notes(spark, staging.path("n"), pattern=PATIENT_FOLDER_PATTERN, group=1, match_path=True).rows
+    assert rows(back, *df.columns) == rows(df)
+    write_notes(df.where("false"), staging.path("none"))
+
+
 @pytest.fixture
 def blocks(spark):
     """Sets the size of a block; the old settings come back."""
