@@ -65,6 +65,19 @@ def bucket_of(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode()) % BUCKETS
 
 
+def known_and_rare(words: pa.Array, known: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.DictionaryArray]:
+    """The place of each word among the known ones (-1 without one), where the others stand, and these with a dictionary."""
+    number = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    rare = number < 0
+    return number, np.flatnonzero(rare), words.filter(pa.array(rare)).dictionary_encode()
+
+
+def word_hash(words: pa.Array) -> np.ndarray:
+    """The hash that names a word in joins; its remainder is the word's bucket."""
+    raw = words.cast(pa.large_binary()).to_pylist()
+    return np.fromiter(map(xxhash.xxh64_intdigest, raw), np.uint64, len(raw))
+
+
 @dataclass
 class Network:
     """Symbols of words and all weights as one vector of 32-bit numbers.
@@ -110,17 +123,14 @@ class Network:
     def symbols(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words per text; the symbols of all texts with two edges around each; the places of the words in them."""
         counts, words = split_words(texts)
-        coded = words.dictionary_encode()
-        number = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.words), -1).to_numpy(
-            zero_copy_only=False).astype(np.int64)
-        rare = np.flatnonzero(number < 0)
-        for i, word in zip(rare.tolist(), coded.dictionary.take(pa.array(rare)).to_pylist()):
-            number[i] = SYMBOLS - BUCKETS + bucket_of(word)
+        number, rare, coded = known_and_rare(words, self.words)
+        buckets = SYMBOLS - BUCKETS + (word_hash(coded.dictionary) % np.uint64(BUCKETS)).astype(np.int64)
+        number[rare] = buckets[coded.indices.to_numpy(zero_copy_only=False)]
         edges = 2 * (np.arange(len(texts)) + 1)
         places = np.arange(int(counts.sum())) + np.repeat(edges, counts)
         line = np.full(int(counts.sum()) + 2 * len(texts) + 2, _EDGE, np.int64)
         if len(places):
-            line[places] = number[coded.indices.to_numpy(zero_copy_only=False)]
+            line[places] = number
         return counts, line, places
 
     def hidden(self, around: np.ndarray, views: list[np.ndarray]) -> np.ndarray:
@@ -129,7 +139,7 @@ class Network:
             total += views[0][k][around[k]]
         return np.tanh(total)
 
-    def log_probabilities(self, line: np.ndarray, places: np.ndarray, block: int = 1 << 15) -> np.ndarray:
+    def log_probabilities(self, line: np.ndarray, places: np.ndarray, block: int = 1 << 13) -> np.ndarray:
         """Of the symbol at each place, given those around it."""
         out, views = np.zeros(len(places)), self.views()
         for start in range(0, len(places), block):
@@ -139,27 +149,42 @@ class Network:
             target = line[at]
             kind, inner = target // CLASSES, target % CLASSES
             h = self.hidden(np.stack([line[at + o] for o in OFFSETS]), views)
-            found = log_softmax_at(h @ views[2] + views[3], kind)
-            ends = np.cumsum(np.bincount(kind, minlength=CLASSES))
-            for c in range(CLASSES):
-                own = slice(ends[c - 1] if c else 0, ends[c])
-                if own.start < own.stop:
-                    found[own] += log_softmax_at(h[own] @ views[4][c] + views[5][c], inner[own])
-            out[start + order] = found
+            out[start + order] = log_softmax_at(h @ views[2] + views[3], kind) + log_softmax_at(
+                inner_logits(h, kind_slices(kind), views), inner)
         return out
 
 
+def kind_slices(kind: np.ndarray) -> list[tuple[int, slice]]:
+    """The classes among sorted ones, and their rows."""
+    ends = np.cumsum(np.bincount(kind, minlength=CLASSES)).tolist()
+    return [(c, slice(a, b)) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+
+
+def inner_logits(h: np.ndarray, classes: list[tuple[int, slice]], views: list[np.ndarray]) -> np.ndarray:
+    """Of the places in each row's class; one array, so that all that follows is done once and not by class."""
+    logits = np.empty((len(h), CLASSES), np.float32)
+    for c, own in classes:
+        np.matmul(h[own], views[4][c], out=logits[own])
+        logits[own] += views[5][c]
+    return logits
+
+
 def log_softmax_at(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
     top = logits.max(axis=1, keepdims=True)
-    chosen = np.take_along_axis(logits, target[:, None], 1)[:, 0] - top[:, 0]
-    return chosen - np.log(np.exp(logits - top).sum(axis=1))
+    chosen = logits[np.arange(len(target)), target] - top[:, 0]
+    logits -= top
+    np.exp(logits, out=logits)
+    return chosen - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
 
 def softmax_error(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
-    error = np.exp(logits - logits.max(axis=1, keepdims=True))
-    error /= error.sum(axis=1, keepdims=True)
-    error[np.arange(len(target)), target] -= 1
-    return error
+    """Mean over the rows of the loss, derived by the logits, in their place."""
+    n = np.float32(len(target))
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits *= 1 / (n * (logits @ np.ones((logits.shape[1], 1), logits.dtype)))
+    logits[np.arange(len(target)), target] -= 1 / n
+    return logits
 
 
 class Trainer:
@@ -171,28 +196,32 @@ class Trainer:
         self.squares = np.full(len(network.weights), 1e-3, np.float32)
         self.square_views = self.network.views(self.squares)
         self.rate, self.masked = rate, 0
+        self.inner = np.zeros_like(self.views[4]), np.zeros_like(self.views[5])
 
     def move(self, part: int, index, gradient: np.ndarray) -> None:
-        self.square_views[part][index] += gradient * gradient
-        self.views[part][index] -= self.rate * gradient / np.sqrt(self.square_views[part][index])
+        squares = self.square_views[part][index] + gradient * gradient
+        self.square_views[part][index] = squares
+        np.sqrt(squares, out=squares)
+        self.views[part][index] -= self.rate * gradient / squares
 
     def step(self, line: np.ndarray, at: np.ndarray) -> None:
         at = at[np.argsort((line[at] // CLASSES).astype(np.uint8), kind="stable")]
-        n = np.float32(len(at))
         target = line[at]
         kind, inner = target // CLASSES, target % CLASSES
         around = np.stack([line[at + o] for o in OFFSETS])
         h = self.network.hidden(around, self.views)
-        error = softmax_error(h @ self.views[2] + self.views[3], kind) / n
+        error = softmax_error(h @ self.views[2] + self.views[3], kind)
         back = error @ self.views[2].T
-        ends = np.cumsum(np.bincount(kind, minlength=CLASSES))
-        for c in range(CLASSES):
-            own = slice(ends[c - 1] if c else 0, ends[c])
-            if own.start < own.stop:
-                inside = softmax_error(h[own] @ self.views[4][c] + self.views[5][c], inner[own]) / n
-                back[own] += inside @ self.views[4][c].T
-                self.move(4, c, h[own].T @ inside)
-                self.move(5, c, inside.sum(axis=0))
+        classes = kind_slices(kind)
+        inside = softmax_error(inner_logits(h, classes, self.views), inner)
+        for gradient in self.inner:
+            gradient[:] = 0
+        self.inner[1][[c for c, _ in classes]] = np.add.reduceat(inside, [own.start for _, own in classes])
+        for c, own in classes:
+            back[own] += inside[own] @ self.views[4][c].T
+            np.matmul(h[own].T, inside[own], out=self.inner[0][c])
+        self.move(4, slice(None), self.inner[0])
+        self.move(5, slice(None), self.inner[1])
         self.move(2, slice(None), h.T @ error)
         self.move(3, slice(None), error.sum(axis=0))
         back *= 1 - h * h
@@ -218,11 +247,6 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [found.field("values").cast(pa.string()), found.field("counts")], names=["word", "n"])
 
 
-def word_hash(words: pa.Array) -> np.ndarray:
-    """The hash that names a word in joins; its remainder is the word's bucket."""
-    return np.fromiter((xxhash.xxh64_intdigest(w.encode()) for w in words.to_pylist()), np.uint64, len(words))
-
-
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = word_hash(batch.column("word"))
@@ -239,17 +263,16 @@ def _rare_words(batches: Iterator[pa.RecordBatch], sent: PerWorker) -> Iterator[
             counts, words = split_words(part.column("text").to_pylist())
             if not len(words):
                 continue
-            coded = words.dictionary_encode()
-            rare = pc.is_null(pc.index_in(coded.dictionary, value_set=network.words)).to_numpy(zero_copy_only=False)
-            number = coded.indices.to_numpy(zero_copy_only=False)
-            hashes = np.zeros(len(rare), np.uint64)
-            hashes[rare] = word_hash(coded.dictionary.filter(pa.array(rare)))
-            mine = rare[number]
+            _, rare, coded = known_and_rare(words, network.words)
+            if not len(rare):
+                continue
+            hashes, n = word_hash(coded.dictionary), len(coded.dictionary)
             own, times = np.unique(
-                np.repeat(np.arange(len(counts)), counts)[mine] * len(rare) + number[mine], return_counts=True)
-            row = pa.array(own // len(rare))
+                np.repeat(np.arange(len(counts)), counts)[rare] * n + coded.indices.to_numpy(zero_copy_only=False),
+                return_counts=True)
+            row = pa.array(own // n)
             yield pa.RecordBatch.from_arrays(
-                [part.column("h").take(row), part.column("g").take(row), pa.array(hashes[own % len(rare)].view(np.int64)),
+                [part.column("h").take(row), part.column("g").take(row), pa.array(hashes[own % n].view(np.int64)),
                  pa.array(times, pa.int64())], names=["h", "g", "word", "times"])
 
 

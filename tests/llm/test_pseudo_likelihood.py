@@ -65,6 +65,28 @@ def test_gradient(network):
     assert trainer.network.log_probabilities(line, places).mean() > before + 0.5 and trainer.masked == 30 * len(places)
 
 
+def test_one_softmax_for_all_classes(network, monkeypatch):
+    """A step takes two softmaxes, not one a class, and moves all weights as those of each class by themselves."""
+    _, line, places = network.symbols(["the cat sat on the mat some other words of many buckets " * 30])
+    trainer, views = pl.Trainer(network), [v.astype(float) for v in network.views()]
+    calls, error = [], pl.softmax_error
+    monkeypatch.setattr(pl, "softmax_error", lambda logits, target: calls.append(len(target)) or error(logits, target))
+    trainer.step(line, places)
+    assert calls == [len(places)] * 2
+    kind, inner = line[places] // pl.CLASSES, line[places] % pl.CLASSES
+    h = np.tanh(views[1] + sum(views[0][k][line[places + o]] for k, o in enumerate(pl.OFFSETS)))
+    for c in set(kind.tolist()):
+        own = kind == c
+        p = np.exp(h[own] @ views[4][c] + views[5][c])
+        p /= p.sum(axis=1, keepdims=True)
+        p[np.arange(own.sum()), inner[own]] -= 1
+        for part, gradient in ((4, h[own].T @ p / len(places)), (5, p.sum(axis=0) / len(places))):
+            want = views[part][c] - pl.RATE * gradient / np.sqrt(1e-3 + gradient ** 2)
+            assert trainer.views[part][c] == pytest.approx(want, abs=1e-4)
+    unmoved = [c for c in range(pl.CLASSES) if c not in kind]
+    assert unmoved and all((trainer.views[4][c] == network.views()[4][c]).all() for c in unmoved)
+
+
 def test_average_of_parts():
     a, b = np.arange(5, dtype=np.float32), np.ones(5, np.float32)
     rows = [*pl._parts(a, 1, 0), *pl._parts(b, 3, 0)]
