@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clinspark.llm.common import PerWorker, Work, append_columns, slices
+from clinspark.llm.common import SLICE_BYTES, PerWorker, Work, append_columns, slices
 from clinspark.staging import Staging
 
 CLASSES = 64
@@ -45,6 +45,14 @@ ROUNDS = 2
 RATE = 0.3
 BATCH = 4096
 _EDGE = SYMBOLS
+#: The column of stored symbols, two bytes a word, and how much of it is worked on at a time (words take some six bytes in texts).
+_STORED = "__symbols"
+_STORED_BYTES = SLICE_BYTES // 3
+_ONES = np.ones((CLASSES, 1), np.float32)
+#: Logits up to this size need no shift to be exponentiated in 32 bits.
+_SAFE = 60.0
+#: Rows of a key that are added without a reduction of its own.
+_FEW = 8
 #: Numbers of a network that are averaged together.
 _PART = 1 << 14
 #: Networks that the first level of averaging brings together.
@@ -96,23 +104,25 @@ class Network:
 
     @staticmethod
     def shapes() -> list[tuple[int, ...]]:
-        return [(len(OFFSETS), SYMBOLS + 1, WIDTH), (WIDTH,), (WIDTH, CLASSES), (CLASSES,),
-                (CLASSES, WIDTH, CLASSES), (CLASSES, CLASSES)]
+        """Of the blocks of the vector; the last row of a softmax holds its biases."""
+        return [(len(OFFSETS), SYMBOLS + 1, WIDTH), (WIDTH,), (WIDTH + 1, CLASSES), (CLASSES, WIDTH + 1, CLASSES)]
 
     @classmethod
     def start(cls, words: list[str], counts: list[int], total: int) -> Network:
         """Small random weights; the biases are the frequencies of the symbols."""
         random = np.random.default_rng(1)
-        parts = [np.zeros(s, np.float32) if len(s) == 1 or i == 5 else random.normal(0, 0.1, s).astype(np.float32)
-                 for i, s in enumerate(cls.shapes())]
+        network = cls(pa.array(words, pa.large_string()), np.zeros(sum(int(np.prod(s)) for s in cls.shapes()), np.float32))
+        parts = network.views()
+        for i in (0, 2, 4):
+            parts[i][:] = random.normal(0, 0.1, parts[i].shape).astype(np.float32)
         often = np.full(SYMBOLS, 0.5)
         often[:len(words)] += counts
         often[-BUCKETS:] += (total - sum(counts)) / BUCKETS
         often = often.reshape(CLASSES, CLASSES)
         parts[3][:], parts[5][:] = np.log(often.sum(axis=1) / often.sum()), np.log(often / often.sum(axis=1, keepdims=True))
-        return cls(pa.array(words, pa.large_string()), np.concatenate([p.ravel() for p in parts]))
+        return network
 
-    def views(self, weights: np.ndarray | None = None) -> list[np.ndarray]:
+    def blocks(self, weights: np.ndarray | None = None) -> list[np.ndarray]:
         weights, found, at = self.weights if weights is None else weights, [], 0
         for shape in self.shapes():
             size = int(np.prod(shape))
@@ -120,71 +130,147 @@ class Network:
             at += size
         return found
 
-    def symbols(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Words per text; the symbols of all texts with two edges around each; the places of the words in them."""
+    def views(self) -> list[np.ndarray]:
+        """Embeddings and their bias, the classes' weights and biases, and those of the places in each class."""
+        embed, bias, kinds, places = self.blocks()
+        return [embed, bias, kinds[:-1], kinds[-1], places[:, :-1], places[:, -1]]
+
+    def numbers(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Words per text, and the symbols of the words of all texts."""
         counts, words = split_words(texts)
         number, rare, coded = known_and_rare(words, self.words)
         buckets = SYMBOLS - BUCKETS + (word_hash(coded.dictionary) % np.uint64(BUCKETS)).astype(np.int64)
         number[rare] = buckets[coded.indices.to_numpy(zero_copy_only=False)]
-        edges = 2 * (np.arange(len(texts)) + 1)
-        places = np.arange(int(counts.sum())) + np.repeat(edges, counts)
-        line = np.full(int(counts.sum()) + 2 * len(texts) + 2, _EDGE, np.int64)
-        if len(places):
-            line[places] = number
-        return counts, line, places
-
-    def hidden(self, around: np.ndarray, views: list[np.ndarray]) -> np.ndarray:
-        total = views[0][0][around[0]] + views[1]
-        for k in range(1, len(OFFSETS)):
-            total += views[0][k][around[k]]
-        return np.tanh(total)
+        return counts, number
 
-    def log_probabilities(self, line: np.ndarray, places: np.ndarray, block: int = 1 << 13) -> np.ndarray:
+    def symbols(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words per text; the symbols of all texts with two edges around each; the places of the words in them."""
+        return with_edges(*self.numbers(texts))
+
+    def log_probabilities(self, line: np.ndarray, places: np.ndarray, block: int = BATCH) -> np.ndarray:
         """Of the symbol at each place, given those around it."""
-        out, views = np.zeros(len(places)), self.views()
+        out, forward = np.zeros(len(places)), Forward(self, block)
         for start in range(0, len(places), block):
             at = places[start:start + block]
-            order = np.argsort((line[at] // CLASSES).astype(np.uint8), kind="stable")  # classes together, for whole products
-            at = at[order]
-            target = line[at]
-            kind, inner = target // CLASSES, target % CLASSES
-            h = self.hidden(np.stack([line[at + o] for o in OFFSETS]), views)
-            out[start + order] = log_softmax_at(h @ views[2] + views[3], kind) + log_softmax_at(
-                inner_logits(h, kind_slices(kind), views), inner)
+            order = by_class(line, at)
+            kind, _, inner, _ = forward.run(line, at[order])
+            out[start + order] = log_softmax_at(forward.outer, kind) + log_softmax_at(forward.inner, inner)
         return out
 
 
+def with_edges(counts: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    places = np.arange(len(number)) + np.repeat(2 * (np.arange(len(counts)) + 1), counts)
+    line = np.full(len(number) + 2 * len(counts) + 2, _EDGE, np.int64)
+    if len(places):
+        line[places] = number
+    return counts, line, places
+
+
+def stored_symbols(stored: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``Network.symbols``, from what ``encode`` made of the texts."""
+    counts = np.fromiter(map(len, stored), np.int64, len(stored)) // 2
+    return with_edges(counts, np.frombuffer(b"".join(stored), "<u2"))
+
+
+def by_class(line: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Order that brings classes together, for whole products."""
+    return np.argsort((line.take(at) // CLASSES).astype(np.uint8), kind="stable")
+
+
 def kind_slices(kind: np.ndarray) -> list[tuple[int, slice]]:
     """The classes among sorted ones, and their rows."""
     ends = np.cumsum(np.bincount(kind, minlength=CLASSES)).tolist()
     return [(c, slice(a, b)) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
 
 
-def inner_logits(h: np.ndarray, classes: list[tuple[int, slice]], views: list[np.ndarray]) -> np.ndarray:
-    """Of the places in each row's class; one array, so that all that follows is done once and not by class."""
-    logits = np.empty((len(h), CLASSES), np.float32)
-    for c, own in classes:
-        np.matmul(h[own], views[4][c], out=logits[own])
-        logits[own] += views[5][c]
-    return logits
+class Forward:
+    """From places to the logits of both softmaxes, in arrays that are used again and again.
+
+    Fresh arrays of this size cost more than what is computed in them, since their pages come from the system each time.
+    """
+
+    def __init__(self, network: Network, rows: int) -> None:
+        self.blocks = network.blocks()
+        self.held: dict[str, np.ndarray] = {}
+        self.rows = rows
+
+    def array(self, name: str, rows: int, width: int, kind: type = np.float32) -> np.ndarray:
+        held = self.held.get(name)
+        if held is None or len(held) < rows:
+            held = self.held[name] = np.empty((max(rows, self.rows), width), kind)
+        return held[:rows]
+
+    def run(self, line: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+        """Classes, symbols around (by offset), places in the classes, and rows of each class; ``at`` is sorted by class."""
+        embed, bias, kinds, places = self.blocks
+        n, target = len(at), line.take(at)
+        kind = target // CLASSES
+        around = np.stack([line.take(at + o) for o in OFFSETS])
+        total, more = self.array("total", n, WIDTH), self.array("more", n, WIDTH)
+        embed[0].take(around[0], axis=0, out=total, mode="clip")
+        total += bias
+        for k in range(1, len(OFFSETS)):
+            embed[k].take(around[k], axis=0, out=more, mode="clip")
+            total += more
+        self.h = self.array("h", n, WIDTH + 1)  # with a 1 for the biases
+        np.tanh(total, out=self.h[:, :-1])
+        self.h[:, -1] = 1
+        self.outer, self.inner = self.array("outer", n, CLASSES), self.array("inner", n, CLASSES)
+        np.matmul(self.h, kinds, out=self.outer)
+        classes = kind_slices(kind)
+        for c, own in classes:
+            np.matmul(self.h[own], places[c], out=self.inner[own])
+        bounded(self.outer, kinds)
+        bounded(self.inner, places)
+        return kind, around, target % CLASSES, classes
+
+
+def bounded(logits: np.ndarray, weights: np.ndarray) -> None:
+    """Shifts rows, in place, unless the weights tell that no power overflows: hidden values are at most 1."""
+    if not np.abs(weights).sum(axis=-2).max() <= _SAFE:
+        logits -= logits.max(axis=1, keepdims=True)
 
 
 def log_softmax_at(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
-    top = logits.max(axis=1, keepdims=True)
-    chosen = logits[np.arange(len(target)), target] - top[:, 0]
-    logits -= top
+    chosen = logits[np.arange(len(target)), target]
     np.exp(logits, out=logits)
-    return chosen - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
+    return chosen - np.log(logits @ _ONES)[:, 0]
 
 
 def softmax_error(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Mean over the rows of the loss, derived by the logits, in their place."""
-    n = np.float32(len(target))
-    logits -= logits.max(axis=1, keepdims=True)
+    """Mean over the rows of the loss, derived by the logits, in their place but for the factors of rows that it returns."""
     np.exp(logits, out=logits)
-    logits *= 1 / (n * (logits @ np.ones((logits.shape[1], 1), logits.dtype)))
-    logits[np.arange(len(target)), target] -= 1 / n
-    return logits
+    sums = logits @ _ONES
+    logits[np.arange(len(target)), target] -= sums[:, 0]
+    return 1 / (np.float32(len(target)) * sums)
+
+
+def sums_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, and the sum of its rows of ``values``, which are repeated for every ``len(values)`` keys.
+
+    Few rows are added one place at a time for all keys together, since a reduction by itself for a key takes longer than they do.
+    """
+    order = np.argsort(keys.astype(np.uint16), kind="stable")
+    keys = keys.take(order)
+    order %= len(values)
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    lengths = np.diff(starts, append=len(keys))
+    by = np.argsort(np.minimum(lengths, _FEW + 1).astype(np.uint8), kind="stable")[::-1]
+    starts, lengths = starts.take(by), lengths.take(by)
+    many = int(np.count_nonzero(lengths > _FEW))
+    found = np.empty((len(starts), values.shape[1]), values.dtype)
+    if many:
+        ends = np.cumsum(lengths[:many])
+        at = np.arange(ends[-1]) + np.repeat(starts[:many] - ends + lengths[:many], lengths[:many])
+        # Pairs of numbers are added as one complex number: half as many reductions.
+        rows = values.take(order.take(at), axis=0).view(np.complex64)
+        found[:many] = np.add.reduceat(rows, ends - lengths[:many]).view(values.dtype)
+    few, at = found[many:], starts[many:]
+    few[:] = values.take(order.take(at), axis=0)
+    for place in range(1, _FEW):
+        more = int(np.count_nonzero(lengths[many:] > place))
+        few[:more] += values.take(order.take(at[:more] + place), axis=0)
+    return keys.take(starts), found
 
 
 class Trainer:
@@ -192,46 +278,60 @@ class Trainer:
 
     def __init__(self, network: Network, rate: float = RATE) -> None:
         self.network = Network(network.words, network.weights.copy())
-        self.views = self.network.views()
-        self.squares = np.full(len(network.weights), 1e-3, np.float32)
-        self.square_views = self.network.views(self.squares)
-        self.rate, self.masked = rate, 0
-        self.inner = np.zeros_like(self.views[4]), np.zeros_like(self.views[5])
-
-    def move(self, part: int, index, gradient: np.ndarray) -> None:
-        squares = self.square_views[part][index] + gradient * gradient
-        self.square_views[part][index] = squares
-        np.sqrt(squares, out=squares)
-        self.views[part][index] -= self.rate * gradient / squares
+        self.views, self.blocks = self.network.views(), self.network.blocks()
+        self.square_blocks = self.network.blocks(np.full(len(network.weights), 1e-3, np.float32))
+        self.rate, self.masked = np.float32(rate), 0
+        self.forward = Forward(self.network, BATCH)
+        self.inner, self.spare = np.zeros_like(self.blocks[3]), np.empty_like(self.blocks[3])
+
+    def move(self, block: int, gradient: np.ndarray) -> None:
+        squares, spare = self.square_blocks[block], self.spare.reshape(-1)[:gradient.size].reshape(gradient.shape)
+        np.multiply(gradient, gradient, out=spare)
+        squares += spare
+        np.sqrt(squares, out=spare)
+        np.divide(gradient, spare, out=spare)
+        spare *= self.rate
+        self.blocks[block] -= spare
+
+    def move_rows(self, rows: np.ndarray, gradient: np.ndarray) -> None:
+        """Of the embeddings, those of all offsets counted on."""
+        weights, squares = (b[0].reshape(-1, WIDTH) for b in (self.blocks, self.square_blocks))
+        own = squares.take(rows, axis=0)
+        own += gradient * gradient
+        squares[rows] = own
+        np.sqrt(own, out=own)
+        np.divide(gradient, own, out=own)
+        own *= self.rate
+        weights[rows] = weights.take(rows, axis=0) - own
 
     def step(self, line: np.ndarray, at: np.ndarray) -> None:
-        at = at[np.argsort((line[at] // CLASSES).astype(np.uint8), kind="stable")]
-        target = line[at]
-        kind, inner = target // CLASSES, target % CLASSES
-        around = np.stack([line[at + o] for o in OFFSETS])
-        h = self.network.hidden(around, self.views)
-        error = softmax_error(h @ self.views[2] + self.views[3], kind)
-        back = error @ self.views[2].T
-        classes = kind_slices(kind)
-        inside = softmax_error(inner_logits(h, classes, self.views), inner)
-        for gradient in self.inner:
-            gradient[:] = 0
-        self.inner[1][[c for c, _ in classes]] = np.add.reduceat(inside, [own.start for _, own in classes])
+        at, forward = at[by_class(line, at)], self.forward
+        kind, around, inner, classes = forward.run(line, at)
+        n, h, outside, inside = len(at), forward.h, forward.outer, forward.inner
+        scaled, back, more = forward.array("scaled", n, WIDTH + 1), forward.array("back", n, WIDTH), forward.array("more", n, WIDTH)
+        factor = softmax_error(outside, kind)
+        np.matmul(outside, self.blocks[2][:-1].T, out=back)
+        back *= factor
+        np.multiply(h, factor, out=scaled)
+        outer_gradient = scaled.T @ outside
+        factor = softmax_error(inside, inner)
+        np.multiply(h, factor, out=scaled)
+        if len(classes) < CLASSES:
+            self.inner[:] = 0
         for c, own in classes:
-            back[own] += inside[own] @ self.views[4][c].T
-            np.matmul(h[own].T, inside[own], out=self.inner[0][c])
-        self.move(4, slice(None), self.inner[0])
-        self.move(5, slice(None), self.inner[1])
-        self.move(2, slice(None), h.T @ error)
-        self.move(3, slice(None), error.sum(axis=0))
-        back *= 1 - h * h
-        self.move(1, slice(None), back.sum(axis=0))
-        for k in range(len(OFFSETS)):
-            order = np.argsort(around[k].astype(np.uint16), kind="stable")
-            sorted_ = around[k][order]
-            starts = np.flatnonzero(np.diff(sorted_, prepend=-1))
-            self.move(0, (k, sorted_[starts]), np.add.reduceat(back[order], starts))
-        self.masked += len(at)
+            np.matmul(inside[own], self.blocks[3][c, :-1].T, out=more[own])
+            np.matmul(scaled[own].T, inside[own], out=self.inner[c])
+        more *= factor
+        back += more
+        self.move(3, self.inner)
+        self.move(2, outer_gradient)
+        np.multiply(h[:, :-1], h[:, :-1], out=more)
+        np.subtract(1, more, out=more)
+        back *= more
+        self.move(1, np.ones(n, np.float32) @ back)
+        around += (np.arange(len(OFFSETS)) * (SYMBOLS + 1))[:, None]
+        self.move_rows(*sums_by(around.ravel(), back))
+        self.masked += n
 
     def learn(self, line: np.ndarray, places: np.ndarray, batch: int = BATCH) -> None:
         for start in range(0, len(places), batch):
@@ -284,8 +384,10 @@ def offsets_of(turn: int, rounds: int) -> range:
 def _train(batches: Iterator[pa.RecordBatch], sent: PerWorker, offsets: range) -> Iterator[pa.RecordBatch]:
     trainer = Trainer(sent())
     for batch in batches:
-        for part in slices(batch, "text"):
-            _, line, places = trainer.network.symbols(part.column("text").to_pylist())
+        column, limit, read = ("text", SLICE_BYTES, trainer.network.symbols) if "text" in batch.schema.names else (
+            _STORED, _STORED_BYTES, stored_symbols)
+        for part in slices(batch, column, limit):
+            _, line, places = read(part.column(column).to_pylist())
             for offset in offsets:
                 trainer.learn(line, places[offset::MASK])
     if trainer.masked:
@@ -326,10 +428,10 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _PARTS = "level bigint, part bigint, masked double, weights binary"
 
 
-def train(docs: DataFrame, staging: Staging, *, text: str = "text", rounds: int = ROUNDS) -> Network:
-    """The network after ``rounds`` passes over all documents, which together predict each word at least once."""
-    texts = docs.select(F.col(text).alias("text"))
-    counts = texts.mapInArrow(_count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+def vocabulary(docs: DataFrame, staging: Staging, *, text: str = "text") -> Network:
+    """The network before training: its symbols, and the counts of all words."""
+    counts = docs.select(F.col(text).alias("text")).mapInArrow(_count, "word string, n bigint").groupBy("word").agg(
+        F.sum("n").alias("n"))
     counts = staging.table(counts)
     # A vocabulary of fixed size.
     known = counts.orderBy(F.desc("n"), "word").limit(SYMBOLS - BUCKETS).collect()
@@ -342,9 +444,33 @@ def train(docs: DataFrame, staging: Staging, *, text: str = "text", rounds: int
     shares = staging.table(rest.mapInArrow(_hashed, "word bigint, bucket bigint, n bigint"))
     totals = shares.groupBy("bucket").agg(F.sum("n").alias("total"))
     totals = {r["bucket"]: r["total"] for r in totals.collect()}  # at most BUCKETS rows
+    return Network(network.words, network.weights, shares, totals)
+
+
+def _encoded(sent: PerWorker) -> Work:
+    network = sent()
+
+    def work(texts: list[str | None]) -> list[list[bytes]]:
+        counts, number = network.numbers(texts)
+        raw, ends = number.astype("<u2").tobytes(), (2 * np.cumsum(counts)).tolist()
+        return [[raw[a:b] for a, b in zip([0, *ends], ends)]]
+
+    return work
+
+
+def encode(docs: DataFrame, network: Network, *, text: str = "text") -> DataFrame:
+    """``docs`` with the symbols of each text in its place, two bytes a word, so that words are looked up once for all rounds."""
+    sent = PerWorker(docs.sparkSession, network.alone(), _same)
+    fields = [T.StructField(text, T.BinaryType())]
+    return append_columns(docs, text, fields, partial(_encoded, sent)).withColumnRenamed(text, _STORED)
+
+
+def learn(encoded: DataFrame, network: Network, staging: Staging, rounds: int = ROUNDS) -> Network:
+    """The network after ``rounds`` passes over all stored symbols."""
+    shares, totals, lines = network.shares, network.totals, encoded.select(_STORED)
     for turn in range(rounds):
-        sent = PerWorker(docs.sparkSession, network.alone(), _same)
-        found = texts.mapInArrow(partial(_train, sent=sent, offsets=offsets_of(turn, rounds)), _PARTS)
+        sent = PerWorker(encoded.sparkSession, network.alone(), _same)
+        found = lines.mapInArrow(partial(_train, sent=sent, offsets=offsets_of(turn, rounds)), _PARTS)
         for level in ("group", "all"):
             key = F.col("level") if level == "group" else F.lit(0)
             found = found.withColumn("level", key).repartition("level", "part").sortWithinPartitions(
@@ -356,15 +482,30 @@ def train(docs: DataFrame, staging: Staging, *, text: str = "text", rounds: int
     return Network(network.words, network.weights, shares, totals)
 
 
+def train(docs: DataFrame, staging: Staging, *, text: str = "text", rounds: int = ROUNDS) -> Network:
+    """The network after ``rounds`` passes over all documents, which together predict each word at least once."""
+    network = vocabulary(docs, staging, text=text)
+    return learn(staging.table(encode(docs.select(text), network, text=text)), network, staging, rounds)
+
+
+def train_and_score(docs: DataFrame, staging: Staging, *, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+    """``score`` of the documents that the network is trained on, but without their texts; both read the same stored symbols."""
+    network = vocabulary(docs, staging, text=text)
+    h, g = (c.alias(n) for c, n in zip(_hashes(text), _KEYS))
+    encoded = staging.table(encode(docs.select("*", h, g), network, text=text))
+    network = learn(encoded, network, staging, rounds)
+    return _with_shares(_scored(encoded, _STORED, network).drop(_STORED), word_shares(docs, network, text=text))
+
+
 def _same(network: Network) -> Network:
     return network
 
 
-def _scores(sent: PerWorker) -> Work:
+def _scores(sent: PerWorker, stored: bool) -> Work:
     network = sent()
 
-    def work(texts: list[str | None]) -> list[list]:
-        counts, line, places = network.symbols(texts)
+    def work(texts: list[str | None] | list[bytes]) -> list[list]:
+        counts, line, places = (stored_symbols if stored else network.symbols)(texts)
         sums, rare = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         full = np.flatnonzero(counts)
         if len(full):
@@ -396,23 +537,35 @@ def word_shares(docs: DataFrame, network: Network, *, text: str = "text") -> Dat
         F.sum(F.col("times") * F.coalesce("log_share", -F.col("log_more"), F.lit(0.0))) / F.sum("times")).alias("share"))
 
 
+#: The columns that hold the hashes of a text.
+_KEYS = ("__text_h", "__text_g")
+
+
 def _hashes(text: str) -> list[F.Column]:
     return [F.xxhash64(text).alias("h"), F.xxhash64(F.lit("g"), F.col(text)).alias("g")]
 
 
-def score(docs: DataFrame, network: Network, *, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_tokens``, ``log_likelihood`` (the sum) and ``mean_log_likelihood`` (null without words)."""
+def _scored(docs: DataFrame, text: str, network: Network) -> DataFrame:
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType()),
               T.StructField("__n_rare", T.LongType())]
     sent = PerWorker(docs.sparkSession, network.alone(), _same)
-    source = docs.drop("mean_log_likelihood")
-    if network.shares is None:
-        found = append_columns(source, text, fields, partial(_scores, sent)).drop("__n_rare")
-    else:
-        h, g = (c.alias(n) for c, n in zip(_hashes(text), ("__text_h", "__text_g")))
-        shares = word_shares(docs, network, text=text).withColumnsRenamed({"h": "__text_h", "g": "__text_g", "share": "__share"})
-        found = append_columns(source.select("*", h, g), text, fields, partial(_scores, sent)).join(
-            shares, ["__text_h", "__text_g"], "left").withColumn(
-            "log_likelihood", F.col("log_likelihood") + F.col("__n_rare") * F.coalesce("__share", F.lit(0.0))
-        ).drop("__text_h", "__text_g", "__n_rare", "__share")
+    return append_columns(docs.drop("mean_log_likelihood"), text, fields, partial(_scores, sent, text == _STORED))
+
+
+def _with_shares(scored: DataFrame, shares: DataFrame) -> DataFrame:
+    shares = shares.withColumnsRenamed({"h": _KEYS[0], "g": _KEYS[1], "share": "__share"})
+    return _with_mean(scored.join(shares, list(_KEYS), "left").withColumn(
+        "log_likelihood", F.col("log_likelihood") + F.col("__n_rare") * F.coalesce("__share", F.lit(0.0))
+    ).drop(*_KEYS, "__n_rare", "__share"))
+
+
+def _with_mean(found: DataFrame) -> DataFrame:
     return found.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
+
+
+def score(docs: DataFrame, network: Network, *, text: str = "text") -> DataFrame:
+    """``docs`` with ``n_tokens``, ``log_likelihood`` (the sum) and ``mean_log_likelihood`` (null without words)."""
+    if network.shares is None:
+        return _with_mean(_scored(docs, text, network).drop("__n_rare"))
+    h, g = (c.alias(n) for c, n in zip(_hashes(text), _KEYS))
+    return _with_shares(_scored(docs.select("*", h, g), text, network), word_shares(docs, network, text=text))

@@ -60,8 +60,7 @@ def op6_patience_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_masked_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-likelihood of every whole document under a network trained on all of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    network = pseudo_likelihood.train(docs, Staging(spark))
-    return pseudo_likelihood.score(docs, network).select("doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood")
+    return pseudo_likelihood.train_and_score(docs, Staging(spark)).select("doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood")
 
 
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
