@@ -47,6 +47,7 @@ BATCH = 4096
 _EDGE = SYMBOLS
 #: The column of stored symbols, two bytes a word, and how much of it is worked on at a time (words take some six bytes in texts).
 _STORED = "__symbols"
+_RARE = "__rare"
 _STORED_BYTES = SLICE_BYTES // 3
 _ONES = np.ones((CLASSES, 1), np.float32)
 #: Logits up to this size need no shift to be exponentiated in 32 bits.
@@ -61,12 +62,15 @@ _FAN = 64
 
 def split_words(texts: list[str | None]) -> tuple[np.ndarray, pa.Array]:
     """Words per text, and the words of all texts in one array."""
-    raw = [b" ".join((t or "").lower().encode("utf-8", "replace").split()) for t in texts]
-    counts = np.zeros(len(texts), np.int64)
-    full = [i for i, r in enumerate(raw) if r]
-    lists = pc.ascii_split_whitespace(pa.array([raw[i] for i in full], pa.large_binary()).cast(pa.large_string()))
-    counts[full] = lists.value_lengths().to_numpy(zero_copy_only=False) if full else 0
-    return counts, lists.flatten()
+    raw = [(t or "").lower().encode("utf-8", "replace") for t in texts]
+    joined = np.frombuffer(b" ".join([b"", *raw, b""]), np.uint8)
+    space = (joined == 32) | (joined - np.uint8(9) < 5)
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    firsts = np.cumsum([1, *(len(r) + 1 for r in raw)])
+    words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined[~space])])
+    return np.diff(np.searchsorted(starts, firsts)), words
 
 
 def bucket_of(word: str) -> int:
@@ -82,8 +86,12 @@ def known_and_rare(words: pa.Array, known: pa.Array) -> tuple[np.ndarray, np.nda
 
 def word_hash(words: pa.Array) -> np.ndarray:
     """The hash that names a word in joins; its remainder is the word's bucket."""
-    raw = words.cast(pa.large_binary()).to_pylist()
-    return np.fromiter(map(xxhash.xxh64_intdigest, raw), np.uint64, len(raw))
+    words = words.cast(pa.large_string())
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1].tolist()
+    raw = memoryview(words.buffers()[2] or b"")
+    return np.fromiter((xxhash.xxh64_intdigest(raw[a:b]) for a, b in zip(ends, ends[1:])), np.uint64, len(words))
 
 
 @dataclass
@@ -135,17 +143,17 @@ class Network:
         embed, bias, kinds, places = self.blocks()
         return [embed, bias, kinds[:-1], kinds[-1], places[:, :-1], places[:, -1]]
 
-    def numbers(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Words per text, and the symbols of the words of all texts."""
+    def numbers(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words per text, the symbols of the words of all texts, and the hashes of those words that share buckets."""
         counts, words = split_words(texts)
         number, rare, coded = known_and_rare(words, self.words)
-        buckets = SYMBOLS - BUCKETS + (word_hash(coded.dictionary) % np.uint64(BUCKETS)).astype(np.int64)
-        number[rare] = buckets[coded.indices.to_numpy(zero_copy_only=False)]
-        return counts, number
+        hashes = word_hash(coded.dictionary).take(coded.indices.to_numpy(zero_copy_only=False))
+        number[rare] = SYMBOLS - BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
+        return counts, number, hashes
 
     def symbols(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words per text; the symbols of all texts with two edges around each; the places of the words in them."""
-        return with_edges(*self.numbers(texts))
+        return with_edges(*self.numbers(texts)[:2])
 
     def log_probabilities(self, line: np.ndarray, places: np.ndarray, block: int = BATCH) -> np.ndarray:
         """Of the symbol at each place, given those around it."""
@@ -355,27 +363,6 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["word", "bucket", "n"])
 
 
-def _rare_words(batches: Iterator[pa.RecordBatch], sent: PerWorker) -> Iterator[pa.RecordBatch]:
-    """For each text the hashes of the words that share buckets, and how often it has them."""
-    network = sent()
-    for batch in batches:
-        for part in slices(batch, "text"):
-            counts, words = split_words(part.column("text").to_pylist())
-            if not len(words):
-                continue
-            _, rare, coded = known_and_rare(words, network.words)
-            if not len(rare):
-                continue
-            hashes, n = word_hash(coded.dictionary), len(coded.dictionary)
-            own, times = np.unique(
-                np.repeat(np.arange(len(counts)), counts)[rare] * n + coded.indices.to_numpy(zero_copy_only=False),
-                return_counts=True)
-            row = pa.array(own // n)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("h").take(row), part.column("g").take(row), pa.array(hashes[own % n].view(np.int64)),
-                 pa.array(times, pa.int64())], names=["h", "g", "word", "times"])
-
-
 def offsets_of(turn: int, rounds: int) -> range:
     """What a round masks; the rounds mask each offset once, or again if there are more rounds than offsets."""
     return range(turn % MASK, MASK, rounds)
@@ -450,18 +437,20 @@ def vocabulary(docs: DataFrame, staging: Staging, *, text: str = "text") -> Netw
 def _encoded(sent: PerWorker) -> Work:
     network = sent()
 
-    def work(texts: list[str | None]) -> list[list[bytes]]:
-        counts, number = network.numbers(texts)
-        raw, ends = number.astype("<u2").tobytes(), (2 * np.cumsum(counts)).tolist()
-        return [[raw[a:b] for a, b in zip([0, *ends], ends)]]
+    def work(texts: list[str | None]) -> list:
+        counts, number, hashes = network.numbers(texts)
+        raw, ends = number.astype("<u2").tobytes(), np.cumsum(counts)
+        rare = np.concatenate([[0], np.cumsum(number >= SYMBOLS - BUCKETS)])[np.concatenate([[0], ends])]
+        return [[raw[2 * a:2 * b] for a, b in zip([0, *ends.tolist()], ends.tolist())],
+                pa.ListArray.from_arrays(pa.array(rare, pa.int32()), pa.array(hashes.view(np.int64)))]
 
     return work
 
 
 def encode(docs: DataFrame, network: Network, *, text: str = "text") -> DataFrame:
-    """``docs`` with the symbols of each text in its place, two bytes a word, so that words are looked up once for all rounds."""
+    """``docs`` with two columns in the place of the text: its symbols, two bytes a word, and the hashes of its words in buckets."""
     sent = PerWorker(docs.sparkSession, network.alone(), _same)
-    fields = [T.StructField(text, T.BinaryType())]
+    fields = [T.StructField(text, T.BinaryType()), T.StructField(_RARE, T.ArrayType(T.LongType(), False))]
     return append_columns(docs, text, fields, partial(_encoded, sent)).withColumnRenamed(text, _STORED)
 
 
@@ -485,16 +474,16 @@ def learn(encoded: DataFrame, network: Network, staging: Staging, rounds: int =
 def train(docs: DataFrame, staging: Staging, *, text: str = "text", rounds: int = ROUNDS) -> Network:
     """The network after ``rounds`` passes over all documents, which together predict each word at least once."""
     network = vocabulary(docs, staging, text=text)
-    return learn(staging.table(encode(docs.select(text), network, text=text)), network, staging, rounds)
+    return learn(staging.table(encode(docs.select(text), network, text=text).select(_STORED)), network, staging, rounds)
 
 
 def train_and_score(docs: DataFrame, staging: Staging, *, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """``score`` of the documents that the network is trained on, but without their texts; both read the same stored symbols."""
+    """``score`` of the documents that the network is trained on, but without their texts: words are looked up once and stored."""
     network = vocabulary(docs, staging, text=text)
-    h, g = (c.alias(n) for c, n in zip(_hashes(text), _KEYS))
-    encoded = staging.table(encode(docs.select("*", h, g), network, text=text))
+    # The numbers of rows are stored with them, so that they stay.
+    encoded = staging.table(encode(docs.withColumn("__row", F.monotonically_increasing_id()), network, text=text))
     network = learn(encoded, network, staging, rounds)
-    return _with_shares(_scored(encoded, _STORED, network).drop(_STORED), word_shares(docs, network, text=text))
+    return _with_shares(_scored(encoded.drop(_RARE), _STORED, network).drop(_STORED), word_shares(encoded, network, ["__row"]))
 
 
 def _same(network: Network) -> Network:
@@ -517,32 +506,18 @@ def _scores(sent: PerWorker, stored: bool) -> Work:
     return work
 
 
-def word_shares(docs: DataFrame, network: Network, *, text: str = "text") -> DataFrame:
-    """``h, g`` (hashes of a text) and ``share``: the mean, over its words in buckets, of the logarithm of their shares.
-
-    It depends on the text alone, and as a mean it is the same for any number of copies of the text.
-    """
-    spark = docs.sparkSession
-    sent = PerWorker(spark, network.alone(), _same)
-    rare = docs.select(*_hashes(text), F.col(text).alias("text")).where("text is not null").mapInArrow(
-        partial(_rare_words, sent=sent), "h bigint, g bigint, word bigint, times bigint")
+def word_shares(encoded: DataFrame, network: Network, keys: list[str]) -> DataFrame:
+    """``keys`` and ``__share``: the mean, over the words in buckets of the rows with these keys, of the logarithm of their shares."""
     # One row a bucket: a bounded table.
-    logs = F.broadcast(spark.createDataFrame(
+    logs = F.broadcast(encoded.sparkSession.createDataFrame(
         [(b, float(np.log(n)), float(np.log(n + 1))) for b, n in sorted(network.totals.items())],
         "bucket bigint, log_total double, log_more double"))
     known = network.shares.join(logs, "bucket").select("word", (F.log("n") - F.col("log_total")).alias("log_share"))
-    # BUCKETS divides 2 ** 64, so the remainder of the signed hash is the bucket too.
-    joined = rare.join(known, "word", "left").withColumn("bucket", F.pmod("word", F.lit(BUCKETS))).join(logs, "bucket", "left")
-    return joined.groupBy("h", "g").agg((
-        F.sum(F.col("times") * F.coalesce("log_share", -F.col("log_more"), F.lit(0.0))) / F.sum("times")).alias("share"))
-
-
-#: The columns that hold the hashes of a text.
-_KEYS = ("__text_h", "__text_g")
-
-
-def _hashes(text: str) -> list[F.Column]:
-    return [F.xxhash64(text).alias("h"), F.xxhash64(F.lit("g"), F.col(text)).alias("g")]
+    # Each word is known once, so a partition of them is hashed and the many rows are not sorted. BUCKETS divides 2 ** 64,
+    # so the remainder of the signed hash is the bucket too.
+    joined = encoded.select(*keys, F.explode(_RARE).alias("word")).join(known.hint("shuffle_hash"), "word", "left").withColumn(
+        "bucket", F.pmod("word", F.lit(BUCKETS))).join(logs, "bucket", "left")
+    return joined.groupBy(*keys).agg(F.avg(F.coalesce("log_share", -F.col("log_more"), F.lit(0.0))).alias("__share"))
 
 
 def _scored(docs: DataFrame, text: str, network: Network) -> DataFrame:
@@ -553,10 +528,10 @@ def _scored(docs: DataFrame, text: str, network: Network) -> DataFrame:
 
 
 def _with_shares(scored: DataFrame, shares: DataFrame) -> DataFrame:
-    shares = shares.withColumnsRenamed({"h": _KEYS[0], "g": _KEYS[1], "share": "__share"})
-    return _with_mean(scored.join(shares, list(_KEYS), "left").withColumn(
+    keys = shares.columns[:-1]
+    return _with_mean(scored.join(shares, keys, "left").withColumn(
         "log_likelihood", F.col("log_likelihood") + F.col("__n_rare") * F.coalesce("__share", F.lit(0.0))
-    ).drop(*_KEYS, "__n_rare", "__share"))
+    ).drop(*keys, "__n_rare", "__share"))
 
 
 def _with_mean(found: DataFrame) -> DataFrame:
@@ -567,5 +542,7 @@ def score(docs: DataFrame, network: Network, *, text: str = "text") -> DataFrame
     """``docs`` with ``n_tokens``, ``log_likelihood`` (the sum) and ``mean_log_likelihood`` (null without words)."""
     if network.shares is None:
         return _with_mean(_scored(docs, text, network).drop("__n_rare"))
-    h, g = (c.alias(n) for c, n in zip(_hashes(text), _KEYS))
-    return _with_shares(_scored(docs.select("*", h, g), text, network), word_shares(docs, network, text=text))
+    # The hashes of a text stand for it: copies have the same mean.
+    hashes = [F.xxhash64(text).alias("__text_h"), F.xxhash64(F.lit("g"), F.col(text)).alias("__text_g")]
+    encoded = encode(docs.where(F.col(text).isNotNull()).select(*hashes, text), network, text=text)
+    return _with_shares(_scored(docs.select("*", *hashes), text, network), word_shares(encoded, network, ["__text_h", "__text_g"]))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -87,6 +89,65 @@ def test_one_softmax_for_all_classes(network, monkeypatch):
     assert unmoved and all((trainer.views[4][c] == network.views()[4][c]).all() for c in unmoved)
 
 
+def test_steps_use_kept_arrays(network):
+    """Neither a step nor a score takes new memory of the size of its softmaxes."""
+    _, line, places = network.symbols(["the cat sat on the mat some other words of many buckets " * 400])
+    places = places[:pl.BATCH]
+    trainer, size = pl.Trainer(network), 4 * pl.CLASSES * pl.BATCH
+    trainer.step(line, places)
+    tracemalloc.start()
+    trainer.step(line, places)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(places) == pl.BATCH and peak < 3 * size
+
+
+def test_large_weights(network):
+    """Logits that overflow as powers are shifted."""
+    large = pl.Network(network.words, network.weights * 20)
+    counts, line, places = large.symbols(["the cat sat on the mat"])
+    found = large.log_probabilities(line, places)
+    assert found.sum() == pytest.approx(plain(large, "the cat sat on the mat")[1], rel=1e-4)
+    trainer = pl.Trainer(large)
+    trainer.step(line, places)
+    assert np.isfinite(trainer.network.weights).all()
+
+
+@pytest.mark.parametrize("most", [1, 5, 400])
+def test_sums_by(most):
+    random = np.random.default_rng(most)
+    values = random.normal(size=(1000, pl.WIDTH)).astype(np.float32)
+    keys = random.integers(0, 4000 // most, 4000)
+    found, sums = pl.sums_by(keys.copy(), values)
+    want = np.zeros((4000, pl.WIDTH))
+    np.add.at(want, keys, np.tile(values, (4, 1)))
+    assert sorted(found) == sorted(set(keys.tolist())) and sums == pytest.approx(want[found], abs=1e-4)
+
+
+def test_split_words():
+    texts = [None, "", " \t ", "a", "  A\x0bb\x0cc\r\nd ", "\u00c9a\u00a0b \u3000", "x" * 9, "\ud800 q", "\x1c y\x85z"]
+    counts, words = pl.split_words(texts)
+    plainly = [(t or "").lower().encode("utf-8", "replace").split() for t in texts]
+    assert counts.tolist() == [len(p) for p in plainly]
+    assert words.to_pylist() == [w.decode() for p in plainly for w in p]
+    assert pl.word_hash(words.slice(1)).tolist() == [pl.xxhash.xxh64_intdigest(w) for p in plainly for w in p][1:]
+    assert pl.split_words([])[0].tolist() == [] and not len(pl.split_words([None])[1])
+
+
+def test_words_are_looked_up_once(spark, staging, tmp_path):
+    """Training and scoring together read stored symbols, not the texts, and give what they give one after the other."""
+    texts = [*TEXTS, *(f"r{i} a b c r{i % 50} d" for i in range(5000)), "r1 a b c r1 d"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    found = pl.train_and_score(docs, staging)
+    assert not [f for f in found.inputFiles() if str(tmp_path / "docs") in f]
+    assert found.columns == ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"]
+    one = {r["doc_id"]: tuple(r)[1:] for r in found.collect()}
+    other = {r["doc_id"]: tuple(r)[2:] for r in pl.score(docs, pl.train(docs, staging)).collect()}
+    assert len(one) == len(texts) and one.keys() == other.keys()
+    assert all(one[i] == pytest.approx(other[i], abs=1e-6) for i in one)
+
+
 def test_average_of_parts():
     a, b = np.arange(5, dtype=np.float32), np.ones(5, np.float32)
     rows = [*pl._parts(a, 1, 0), *pl._parts(b, 3, 0)]
