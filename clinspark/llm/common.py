@@ -45,8 +45,11 @@ class PerWorker:
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch with at most ``limit`` bytes of text, or one row."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+    """Consecutive parts of a batch with at most ``limit`` bytes of text, or one row; ``text`` may hold sizes of texts instead."""
+    sizes = batch.column(text)
+    if not pa.types.is_integer(sizes.type):
+        sizes = pc.binary_length(sizes)
+    ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False))
     start, done = 0, 0
     while start < batch.num_rows:
         stop = max(start + 1, int(np.searchsorted(ends, done + limit, side="right")))

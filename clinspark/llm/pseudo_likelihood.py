@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clinspark.llm.common import SLICE_BYTES, PerWorker, Work, append_columns, slices
+from clinspark.llm.common import PerWorker, Work, append_columns, slices
 from clinspark.staging import Staging
 
 CLASSES = 64
@@ -45,10 +45,8 @@ ROUNDS = 2
 RATE = 0.3
 BATCH = 4096
 _EDGE = SYMBOLS
-#: The column of stored symbols, two bytes a word, and how much of it is worked on at a time (words take some six bytes in texts).
-_STORED = "__symbols"
-_RARE = "__rare"
-_STORED_BYTES = SLICE_BYTES // 3
+#: The columns of stored symbols (two bytes a word), of the hashes of words in buckets, and of the bytes of the text.
+_STORED, _RARE, _SIZE = "__symbols", "__rare", "__size"
 _ONES = np.ones((CLASSES, 1), np.float32)
 #: Logits up to this size need no shift to be exponentiated in 32 bits.
 _SAFE = 60.0
@@ -371,9 +369,10 @@ def offsets_of(turn: int, rounds: int) -> range:
 def _train(batches: Iterator[pa.RecordBatch], sent: PerWorker, offsets: range) -> Iterator[pa.RecordBatch]:
     trainer = Trainer(sent())
     for batch in batches:
-        column, limit, read = ("text", SLICE_BYTES, trainer.network.symbols) if "text" in batch.schema.names else (
-            _STORED, _STORED_BYTES, stored_symbols)
-        for part in slices(batch, column, limit):
+        # Steps come in the same order from texts and from what is stored of them.
+        column, size, read = ("text", "text", trainer.network.symbols) if "text" in batch.schema.names else (
+            _STORED, _SIZE, stored_symbols)
+        for part in slices(batch, size):
             _, line, places = read(part.column(column).to_pylist())
             for offset in offsets:
                 trainer.learn(line, places[offset::MASK])
@@ -448,15 +447,16 @@ def _encoded(sent: PerWorker) -> Work:
 
 
 def encode(docs: DataFrame, network: Network, *, text: str = "text") -> DataFrame:
-    """``docs`` with two columns in the place of the text: its symbols, two bytes a word, and the hashes of its words in buckets."""
+    """``docs`` with three columns in the place of the text: its symbols, the hashes of its words in buckets, and its size."""
     sent = PerWorker(docs.sparkSession, network.alone(), _same)
     fields = [T.StructField(text, T.BinaryType()), T.StructField(_RARE, T.ArrayType(T.LongType(), False))]
-    return append_columns(docs, text, fields, partial(_encoded, sent)).withColumnRenamed(text, _STORED)
+    sized = docs.withColumn(_SIZE, F.octet_length(text).cast("long"))
+    return append_columns(sized, text, fields, partial(_encoded, sent)).withColumnRenamed(text, _STORED)
 
 
 def learn(encoded: DataFrame, network: Network, staging: Staging, rounds: int = ROUNDS) -> Network:
     """The network after ``rounds`` passes over all stored symbols."""
-    shares, totals, lines = network.shares, network.totals, encoded.select(_STORED)
+    shares, totals, lines = network.shares, network.totals, encoded.select(_STORED, _SIZE)
     for turn in range(rounds):
         sent = PerWorker(encoded.sparkSession, network.alone(), _same)
         found = lines.mapInArrow(partial(_train, sent=sent, offsets=offsets_of(turn, rounds)), _PARTS)
@@ -474,7 +474,7 @@ def learn(encoded: DataFrame, network: Network, staging: Staging, rounds: int =
 def train(docs: DataFrame, staging: Staging, *, text: str = "text", rounds: int = ROUNDS) -> Network:
     """The network after ``rounds`` passes over all documents, which together predict each word at least once."""
     network = vocabulary(docs, staging, text=text)
-    return learn(staging.table(encode(docs.select(text), network, text=text).select(_STORED)), network, staging, rounds)
+    return learn(staging.table(encode(docs.select(text), network, text=text).drop(_RARE)), network, staging, rounds)
 
 
 def train_and_score(docs: DataFrame, staging: Staging, *, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -483,7 +483,7 @@ def train_and_score(docs: DataFrame, staging: Staging, *, text: str = "text", ro
     # The numbers of rows are stored with them, so that they stay.
     encoded = staging.table(encode(docs.withColumn("__row", F.monotonically_increasing_id()), network, text=text))
     network = learn(encoded, network, staging, rounds)
-    return _with_shares(_scored(encoded.drop(_RARE), _STORED, network).drop(_STORED), word_shares(encoded, network, ["__row"]))
+    return _with_shares(_scored(encoded.drop(_RARE, _SIZE), _STORED, network).drop(_STORED), word_shares(encoded, network, ["__row"]))
 
 
 def _same(network: Network) -> Network:
