@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -57,10 +57,11 @@ class Memo:
         """Place of each of some distinct pieces; those not yet known are encoded."""
         if self.places and len(self.places) + len(pieces) > self.limit:
             self._forget()
-        known = self.places
-        if new := [p for p in pieces if p not in known]:
-            self._add(new)
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        places = np.fromiter(map(self.places.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(places < 0)
+        places[new] = len(self.places) + np.arange(len(new))
+        self._add([pieces[i] for i in new.tolist()])
+        return places
 
     def _add(self, pieces: list[str]) -> None:
         for start in range(0, len(pieces), AT_ONCE):
@@ -78,7 +79,8 @@ class Memo:
     def __call__(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, one after another, and how many each has."""
         found = pieces.dictionary_encode()
-        places = self.places_of(found.dictionary.to_pylist())
+        # Strings made all at once; ``to_pylist`` makes a scalar of each first.
+        places = self.places_of(found.dictionary.to_numpy(zero_copy_only=False).tolist())
         self.uses[places] += 1
         places = places[found.indices.to_numpy(zero_copy_only=False)] if len(found) else np.zeros(0, np.int64)
         counts = self.counts[places]

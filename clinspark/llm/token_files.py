@@ -52,6 +52,7 @@ class WordEncoder:
 
     # Kinds of ASCII bytes, and the contractions that are runs of their own.
     SPACE, LETTER, DIGIT, SIGN, OTHER = range(5)
+    SPACES = b"\t\n\v\f\r "
     CONTRACTIONS = ("s", "t", "m", "d", "re", "ve", "ll")
     SPECIAL = "<|"
     PLAIN = re.compile(r"'(?:s|t|m|d|re|ve|ll)|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
@@ -60,45 +61,50 @@ class WordEncoder:
     REMEMBERED = 350_000
 
     def __init__(self, model: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_str(model)
+        self.tokenizer, self.merger = Tokenizer.from_str(model), Tokenizer.from_str(model)
+        # Plain runs are normalized and cut already: what is left are the spaces between them, their bytes and the merges.
+        self.merger.normalizer = None
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith(self.WORD_END)]] = True
         self.runs = Memo(self._encode, self.REMEMBERED)
-        self.kinds = np.full(256, self.OTHER, np.uint8)
-        self.kinds[0x21:0x7F] = self.SIGN
-        for chars, kind in (("\t\n\v\f\r ", self.SPACE), ("0123456789", self.DIGIT)):
-            self.kinds[[ord(c) for c in chars]] = kind
-        self.kinds[ord("A"):ord("Z") + 1] = self.kinds[ord("a"):ord("z") + 1] = self.LETTER
+        kinds = np.full(256, self.OTHER, np.uint8)
+        kinds[0x21:0x7F] = self.SIGN
+        for chars, kind in ((self.SPACES, self.SPACE), (b"0123456789", self.DIGIT)):
+            kinds[list(chars)] = kind
+        kinds[ord("A"):ord("Z") + 1] = kinds[ord("a"):ord("z") + 1] = self.LETTER
+        self.kinds = kinds.tobytes()
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Plain runs go in rows of ``JOINED``, with a space between, as a call costs more than a run: a run's last id ends it."""
         plain = np.fromiter((bool(self.PLAIN.fullmatch(t)) and self.SPECIAL not in t for t in texts), bool, len(texts))
         some = [t for t, joined in zip(texts, plain.tolist()) if joined]
         rows = [" ".join(some[i:i + self.JOINED]) for i in range(0, len(some), self.JOINED)]
-        ids, _ = flat(self._ids(rows))
+        ids, _ = flat(self._ids(self.merger, rows))
         stops = np.flatnonzero(self.ends[ids])
         if len(stops) != len(some):
             raise ValueError("the vocabulary's words don't end as stated")
-        own, lengths = flat(self._ids([t for t, joined in zip(texts, plain.tolist()) if not joined]))
+        own, lengths = flat(self._ids(self.tokenizer, [t for t, joined in zip(texts, plain.tolist()) if not joined]))
         counts, starts = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         counts[plain], counts[~plain] = np.diff(stops, prepend=-1), lengths
         starts[plain] = stops + 1 - counts[plain]
         starts[~plain] = len(ids) + np.cumsum(lengths) - lengths
         return gather(np.concatenate([ids, own]), starts, counts), counts
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts, "")
-        if not len(texts):
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        if not pc.any(pc.greater(pc.binary_length(texts), 0)).as_py():
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
-        buffer = texts.buffers()[2]
-        data = np.frombuffer(buffer, np.uint8)[offsets[0]:offsets[-1]] if buffer else np.zeros(0, np.uint8)
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
         offsets = offsets - offsets[0]
         data, starts, kept = self._runs(data, offsets)
         ids, counts = self.runs(string_array(data, starts))
@@ -112,26 +118,32 @@ class WordEncoder:
         begins[offsets] = True
         begins = begins[:n]
         # Letters of two bytes in the Latin-1 range; all other bytes beyond ASCII make a word odd.
-        after = np.append(data[1:], 0)
+        after = np.append(data[1:], np.uint8(0))
         lead = (data == 0xC3) & (after >= 0x80) & (after != 0x97) & (after != 0xB7)
-        kind = self.kinds[data]
+        kind = np.frombuffer(bytearray(data).translate(self.kinds), np.uint8)
         kind[lead] = self.LETTER
         trail = np.append(False, lead[:-1])
         kind[trail] = self.LETTER
         space = kind == self.SPACE
         word = ~space & (np.append(True, space[:-1]) | begins)
         odd = (kind == self.OTHER) | ((data == ord("<")) & (after == ord("|")))
-        words = np.cumsum(word, dtype=np.int32)
-        strange = np.zeros(int(words[-1]) + 1 if n else 1, bool)
-        strange[words[odd]] = True
-        plain = ~strange[words]
-        lower = data | (0x20 * (plain & (((data >= 0x41) & (data <= 0x5A)) | (trail & (data < 0x9F))))).astype(np.uint8)
+        plain = np.ones(n, bool)
+        if odd.any():
+            words = np.cumsum(word, dtype=np.int32)
+            strange = np.zeros(int(words[-1]) + 1, bool)
+            strange[words[odd]] = True
+            plain = ~strange[words]
+        capital = plain & (((data >= 0x41) & (data <= 0x5A)) | (trail & (data < 0x9F)))
+        lower = data | (capital.view(np.uint8) << np.uint8(5))
         before = np.append(np.uint8(self.SPACE), kind[:-1])
         change = (kind != before) | (kind == self.DIGIT) | begins
         cut = word | (plain & ~space & change)
         self._contractions(lower, cut, plain & (kind == self.SIGN) & change & (data == ord("'")), kind, begins)
-        kept = np.concatenate([[0], np.cumsum(~space, dtype=np.int32)])
-        return lower[~space], np.flatnonzero(cut[~space]), kept
+        kept = np.zeros(n + 1, np.int32)
+        np.cumsum(~space, dtype=np.int32, out=kept[1:])
+        # Runs start at bytes that are kept, so that their places follow from how many are.
+        left = np.frombuffer(lower.tobytes().translate(None, self.SPACES), np.uint8)
+        return left, kept[np.flatnonzero(cut)], kept
 
     def _contractions(
         self, data: np.ndarray, cut: np.ndarray, opens: np.ndarray, kind: np.ndarray, begins: np.ndarray

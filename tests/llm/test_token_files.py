@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -67,6 +68,47 @@ def test_a_small_memory_forgets_and_still_encodes(library):
         assert len(counts) == len(words)
 
 
+@pytest.mark.parametrize("texts", [[], [""], [None], ["", None, ""], [" "], [None, " \n", ""]])
+def test_texts_without_words(encoder, texts):
+    ids, counts = encoder()(pa.array(texts, pa.string()))
+    assert ids.tolist() == [] and counts.tolist() == [0] * len(texts)
+
+
+def test_plain_runs_are_not_normalized_and_cut_again(library):
+    own = token_files.WordEncoder(open(PATH, encoding="utf-8").read())
+    texts = ["Ångström's naïve façade, ÀÉÍÕÜ ßþÿ ÷× don't", "plain WORDS 1234 'll ... x's"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    given, whole = [], own.tokenizer
+
+    class Watched:
+        def encode_batch_fast(self, some, **options):
+            given.extend(some)
+            return whole.encode_batch_fast(some, **options)
+
+    own.tokenizer = Watched()
+    ids, counts = own(pa.array(texts, pa.string()))
+    assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+    assert given == ["÷×"]
+
+
+def test_known_pieces_cost_less_than_a_scalar_each():
+    from clinspark.llm.pieces import Memo
+
+    words = pa.array([f"word{i:x}" for i in range(100_000)])
+    memo = Memo(lambda texts: (np.arange(len(texts), dtype=np.int32), np.ones(len(texts), np.int64)), limit=300_000)
+    memo(words)
+
+    def least(work) -> float:
+        times = []
+        for _ in range(5):
+            start = time.process_time()
+            work()
+            times.append(time.process_time() - start)
+        return min(times)
+
+    assert least(lambda: memo(words)) < least(words.to_pylist)
+
+
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])
 def test_files(spark, staging, sf_dir, encoder, encoding):
     path = staging.path("tokens")
