@@ -41,16 +41,19 @@ def next_concepts(concept: DataFrame, relationship: DataFrame, kinds: Sequence[s
     """``node, next``: the one valid relationship that a concept is followed by.
 
     Earlier ``kinds`` come first, then targets that are standard, then the smallest target. A valid standard concept is an
-    end and has no next; relationships of a concept with itself lead nowhere.
+    end and has no next; relationships of a concept with itself lead nowhere. Ends are merged, never a broadcast: their size
+    is guessed from the files, and they may be millions.
     """
     rank = F.coalesce(*[F.when(F.col("relationship_id") == kind, i) for i, kind in enumerate(kinds)])
     links = relationship.where(is_valid() & F.col("relationship_id").isin(*kinds)).select(
         F.col("concept_id_1").alias("node"), F.col("concept_id_2").alias("next"), rank.alias("_rank"))
     links = links.where(F.col("node") != F.col("next"))  # nulls go, too
-    ends = concept.where(_is_standard()).select(F.col("concept_id").alias("_end")).distinct()
+    ends = concept.where(_is_standard()).select(F.col("concept_id").alias("_end")).distinct().hint("merge")
+    links = links.join(ends, F.col("next") == F.col("_end"), "left").select(
+        "node", "next", "_rank", F.col("_end").isNull().alias("_other"))
+    # Nodes come last, so that the aggregate finds its rows where they are.
     links = links.join(ends, F.col("node") == F.col("_end"), "left_anti")
-    links = links.join(ends, F.col("next") == F.col("_end"), "left")
-    best = F.min(F.struct("_rank", F.col("_end").isNull().alias("_other"), "next"))
+    best = F.min(F.struct("_rank", "_other", "next"))
     return links.groupBy("node").agg(best.alias("_best")).select("node", F.col("_best.next").alias("next"))
 
 
@@ -88,7 +91,7 @@ def concept_targets(
     followed = flags.join(ends.hint("shuffle_hash"), F.col("concept_id") == F.col("node"), "left")
     followed = followed.withColumn("_last", F.when(F.col("node").isNull(), F.col("concept_id")).otherwise(F.col("end")))
     good = flags.where("_standard").select(F.col("concept_id").alias("_good"))
-    found = followed.join(good, F.col("_last") == F.col("_good"), "left")
+    found = followed.join(good.hint("merge"), F.col("_last") == F.col("_good"), "left")
     state = (
         F.when(F.col("node").isNotNull() & F.col("end").isNull(), "cycle").when(F.col("_good").isNull(), "no standard")
         .when(F.col("node").isNull(), "standard").otherwise("mapped")
@@ -101,18 +104,20 @@ def concept_lookup(concept: DataFrame, targets: DataFrame) -> DataFrame:
     """One row per (vocabulary, code): its own concept, the standard one (0 if none) and that one's domain.
 
     Of several concepts with one code the valid ones come first, then those that lead to a standard concept, then the
-    smallest id.
+    smallest id. A target's domain joins the narrow targets, not the codes; both sides of either join have a row for a
+    concept and are merged, since as a broadcast the vocabulary would pass the driver.
     """
     codes = concept.where(F.col("concept_id").isNotNull()).select(
         F.col("vocabulary_id").alias("vocab"), F.col("concept_code").alias("code"), "concept_id", (~is_valid()).alias("_invalid"))
-    reached = targets.select(F.col("concept_id").alias("_of"), "target_id")
-    ranked = codes.join(reached, F.col("concept_id") == F.col("_of"), "left")
-    best = F.min(F.struct("_invalid", F.col("target_id").isNull().alias("_open"), "concept_id", "target_id"))
-    chosen = ranked.groupBy("vocab", "code").agg(best.alias("_best"))
     domains = concept.groupBy(F.col("concept_id").alias("_target")).agg(F.min("domain_id").alias("domain_id"))
-    return chosen.join(domains, F.col("_best.target_id") == F.col("_target"), "left").select(
+    reached = targets.select(F.col("concept_id").alias("_of"), "target_id").join(
+        domains.hint("merge"), F.col("target_id") == F.col("_target"), "left").drop("_target")
+    ranked = codes.join(reached.hint("merge"), F.col("concept_id") == F.col("_of"), "left")
+    best = F.min(F.struct("_invalid", F.col("target_id").isNull().alias("_open"), "concept_id", "target_id", "domain_id"))
+    return ranked.groupBy("vocab", "code").agg(best.alias("_best")).select(
         "vocab", "code", F.col("_best.concept_id").alias("source_concept_id"),
-        F.coalesce("_best.target_id", F.lit(NO_CONCEPT)).cast("bigint").alias("concept_id"), "domain_id")
+        F.coalesce("_best.target_id", F.lit(NO_CONCEPT)).cast("bigint").alias("concept_id"),
+        F.col("_best.domain_id").alias("domain_id"))
 
 
 def map_to_standard(

@@ -168,6 +168,9 @@ def with_place(stored: DataFrame) -> DataFrame:
     return stored.withColumn(PLACE, place.cast("smallint"))
 
 
+#: What a code takes on the driver for each vocabulary, if ``code_entries`` are a broadcast (measured: 590 for three).
+ENTRY_BYTES = 200
+
 #: Targets that are no event table.
 PLAIN_TARGETS = ("person", "death", "visit_occurrence")
 
@@ -208,7 +211,8 @@ def omop_convert(
         # feeds: rows become events where they have met both, and only events of wanted targets go on.
         groups = shared_sources(prepared, present)
         rows = shared_rows(prepared, groups)
-        entries = code_entries(rows, lookup, sorted({s.vocab for s in present}), staging)
+        vocabs = sorted({s.vocab for s in present})
+        entries = staging.side(code_entries(rows, lookup, vocabs, staging), ENTRY_BYTES * len(vocabs))
         placed = _with_owner(rows, encounter_visits, people, staging).drop("person_source_value", "encounter")
         placed = placed.join(entries.withColumnRenamed("code", "_known"), F.col("code") == F.col("_known"), "left")
         routed = route_by_domain(with_entry(events_of_rows(placed.drop("_known"), groups)))
@@ -236,6 +240,7 @@ def _with_owner(rows: DataFrame, encounter_visits: DataFrame, people: DataFrame,
     An encounter brings its patient's person along. Only patients of rows without an encounter, or with that of another
     patient, are looked up by themselves; their list is stored, so that its size is known before it meets the rows.
     """
+    people = staging.side(people)
     of_patient = people.select(F.col("person_source_value").alias("_patient"), F.col("person_id").alias("_owner_person"))
     owners = staging.table(
         encounter_visits.select(F.col("id").alias("_encounter_id"), "visit_occurrence_id", F.col("patient").alias("_owner"))
@@ -243,8 +248,8 @@ def _with_owner(rows: DataFrame, encounter_visits: DataFrame, people: DataFrame,
     same = F.col("person_source_value").eqNullSafe(F.col("_owner"))
     found = rows.join(owners, F.col("encounter") == F.col("_encounter_id"), "left")
     others = found.where(~same).select(F.col("person_source_value").alias("_other")).distinct()
-    others = staging.table(others.join(people, F.col("_other") == F.col("person_source_value")).select(
-        "_other", F.col("person_id").alias("_other_person")))
+    others = staging.side(staging.table(others.join(people, F.col("_other") == F.col("person_source_value")).select(
+        "_other", F.col("person_id").alias("_other_person"))))
     found = found.join(others, ~same & (F.col("person_source_value") == F.col("_other")), "left")
     person = F.when(same, F.col("_owner_person")).otherwise(F.col("_other_person"))
     return found.select(*rows.columns, "visit_occurrence_id", person.alias("person_id"))
