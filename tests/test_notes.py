@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 from pathlib import Path
 import random
 
@@ -152,3 +153,45 @@ def test_a_file_is_many_tasks_and_few_seams(spark, tmp_path, blocks):
     assert 5900 < chunks.count() <= 6000 and chunks.agg(F.max(F.length("text"))).first()[0] < 120
     assert spark.read.text(path).rdd.getNumPartitions() > 20
     assert read_notes(spark, path).rows.count() == 6000
+
+
+def test_small_files_are_read_whole_by_few_tasks(spark, tmp_path):
+    path = folder(tmp_path, {f"a_{i}.txt": ONE + TWO for i in range(200)})
+    found = read_notes(spark, path).rows
+    text = plan(found)
+    # No lines are shuffled to their blocks, and no file is opened by the scan for the others.
+    assert "Window" not in text and "Scan binaryFile" in text and "Scan text" not in text and "Coalesce" in text
+    assert rows(found.groupBy("note_text").count(), "count") == [(200,), (200,)]
+
+
+@pytest.mark.parametrize("keep", [False, True])
+def test_files_read_whole_and_by_lines_give_the_same(spark, tmp_path, keep, monkeypatch):
+    """Marks at the begin, bytes that are no text, empty files, and files without an id, with a note's end or without."""
+    path = folder(tmp_path, {
+        "a_1.txt": "﻿" + ONE + "2013-01-01\n\nopen", "a_2.txt": "", "a_3.txt": ONE + "2013-01-01\n\n", "a_4.txt": TWO + "2013-01-01",
+        "noname.txt": ONE + "x" + END + "﻿" + TWO, "none2.txt": "﻿x", "a_5.txt": ONE.replace("\n", "\r") + TWO[:-1],
+        "a_6.text": ONE, "a_7.txt_old": TWO})
+    (tmp_path / "a_8.txt").write_bytes(ONE.encode().replace(b"first", b"\xff\xc3 \x80\n\xe2\x82") + b"\xc3")
+    (tmp_path / "a_9.txt.gz").write_bytes(gzip.compress(ONE.encode()))
+
+    def found():
+        notes = read_notes(spark, path, keep_unterminated=keep)
+        return rows(notes.rows), rows(notes.rejects)
+
+    at_once = found()
+    monkeypatch.setattr("clinspark.sources.notes.WHOLE_BYTES", -1)
+    assert found() == at_once
+    assert len(at_once[0]) == (10 if keep else 7) and len(at_once[1]) == 5
+
+
+def test_a_folder_is_written_by_one_task(spark, staging):
+    df = spark.range(1500).selectExpr(
+        "if(id < 3, null, 'p' || id) AS patient", "DATE '2020-01-01' AS date", "if(id % 9 = 0, null, 'note ' || id) AS note_text")
+    write_notes(df, staging.path("n"))
+    tasks = {}
+    for p in Path(staging.path("n")).rglob("*.txt"):
+        tasks.setdefault(p.parent.parent.name, set()).add(p.name.split("-")[1])
+    assert len(tasks) > 200 and all(len(t) == 1 for t in tasks.values()) and len(set.union(*tasks.values())) > 4
+    back = read_notes(spark, staging.path("n"), pattern=PATIENT_FOLDER_PATTERN, group=1, match_path=True).rows
+    want = df.where("note_text IS NOT NULL").selectExpr("coalesce(patient, '__HIVE_DEFAULT_PARTITION__') AS patient", "date", "note_text")
+    assert rows(back, *df.columns) == rows(want)
