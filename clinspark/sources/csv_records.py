csv_quoted_breaks: one scan and shuffle of the lines for records of one and of several lines

Symptom: csv_quoted_breaks read its CSV lines three times and shuffled all of them twice.
Evidence: the plan had two exchanges of the whole lines by block that differed only in the file's name, a grouping key of records over several lines that the branch of one-line records doesn't have, so Spark couldn't reuse one.
Fix: the name is an aggregate in the two groupings (it follows from the file), so it is pruned in all branches, or kept in all, and the exchange is reused.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 488 -> 449 s, shuffle 2.58 -> 1.30 GB, spill 0.00 -> 0.00 GB, read 5.82 -> 4.20 GB, longest task 8 -> 9 s, most memory of a task 352 -> 319 MB; at 6 GB of input CPU 2134 -> 1950 s, shuffle 15.89 -> 8.02 GB, spill 11.05 -> 6.33 GB, read 35.38 -> 25.55 GB, longest task 31 -> 31 s, most memory of a task 940 -> 906 MB; with hot keys, at 1 GB of input CPU 271 -> 317 s, shuffle 0.50 -> 0.25 GB, spill 0.00 -> 0.00 GB, read 1.21 -> 0.87 GB, longest task 4 -> 5 s, most memory of a task 138 -> 138 MB.

@@ -100,14 +100,16 @@ def csv_records(spark: SparkSession, path: str | list[str], *, sep: str = ",") -
         ((F.col("state") == 0) & (_behind(F.col("state")) == 0)).alias("single"))
     header = (F.col("block") == 0) & (F.col("number") == 1)
 
-    several = placed.where(~F.col("single") & ~F.col("open")).groupBy("file", "name", "block", "number").agg(
-        F.min("row").alias("row"), F.max("ends").alias("ends"),
+    # The name is no key: where nobody asks for it no branch has it, and Spark shuffles the lines once for all of them.
+    name = F.first("name").alias("name")
+    several = placed.where(~F.col("single") & ~F.col("open")).groupBy("file", "block", "number").agg(
+        name, F.min("row").alias("row"), F.max("ends").alias("ends"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("row", "value"))), lambda x: x["value"]), "\n").alias("value"))
     whole = F.col("ends") & (F.col("number") > 0)
     order = Window.partitionBy("file").orderBy("block", "number")
     seams = several.where(~whole).withColumn("seam", F.sum((F.col("number") > 0).cast("int")).over(order))
     piece = F.sort_array(F.collect_list(F.struct("block", "number", "row", "value")))
-    joined = seams.groupBy("file", "name", "seam").agg(piece.alias("pieces")).select(
+    joined = seams.groupBy("file", "seam").agg(name, piece.alias("pieces")).select(
         "file", "name", F.col("pieces")[0]["block"].alias("block"), F.col("pieces")[0]["number"].alias("number"),
         F.col("pieces")[0]["row"].alias("row"),
         F.array_join(F.transform("pieces", lambda x: x["value"]), "\n").alias("value"))

@@ -132,3 +132,21 @@ def test_load_with_quoted_breaks(spark, tmp_path):
     (folder / "patients.csv").write_text('ID,BIRTHDATE,ADDRESS\np1,1950-01-01,"12 Main St\nFlat 4"\np1,1950-01-01,again\n')
     config = LoadConfig(str(tmp_path / "in"), str(tmp_path / "out"), tables=(TableSpec("patients", ("birthdate",)),), quoted_breaks=True)
     assert rows(load_dataset(spark, config)["patients"], "id", "address") == [("p1", "12 Main St\nFlat 4")]
+
+
+@pytest.mark.parametrize("with_position", [False, True])
+def test_lines_are_read_once_for_states_and_once_for_records(spark, tmp_path, small_blocks, with_position):
+    folder = tmp_path / "f"
+    folder.mkdir()
+    texts = ["a,b\n" + 'k,"x\ny"\n\nz,1\n' * 30 + "q\n", 'a,b\n1,"\n\n2"\n3,\n4,"open\n5\n', "a,b\n", ""]
+    for i, text in enumerate(texts):
+        (folder / f"part {i}.csv").write_text(text)
+    small_blocks(50)
+    found = scan_quoted_csv(spark, str(folder), with_position=with_position).rows
+    values = found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString()
+    final = final[:final.index("== Initial Plan ==")]
+    assert final.count("FileScan text") == 2 and "ReusedExchange" in final
+    assert sorted((r["a"], r["b"] or "") for r in values) == sorted([("k", "x\ny"), ("z", "1")] * 30 + [("q", ""), ("1", "\n\n2"), ("3", "")])
+    if with_position:
+        assert {r[POSITION[0]] for r in values} == {"part%200.csv", "part%201.csv"} and len({tuple(r)[2:] for r in values}) == len(values)
