@@ -29,14 +29,17 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def lost_rows(df: DataFrame, keys: Sequence[str], position: Sequence[str], stage: Stage = lazily) -> DataFrame:
+def lost_rows(
+    df: DataFrame, keys: Sequence[str], position: Sequence[str], stage: Stage = lazily, narrow: DataFrame | None = None
+) -> DataFrame:
     """The last column of the positions of rows that another row of their key comes before; null keys are one key.
 
-    Only keys and positions are read. Keys are counted by a hash aggregate; only rows whose key occurs more than once
+    Only keys and positions are read, from ``narrow`` if they are stored there. Keys are counted by a hash aggregate; only rows whose key occurs more than once
     are looked at again, for the first position of each. Both joins have the rows as the side that Spark splits, so a key
     of very many rows is no hot task.
     """
-    narrow = stage(df.select(*keys, *position))
+    if narrow is None:
+        narrow = stage(df.select(*keys, *position))
     names = [f"_key_{i}" for i in range(len(keys))]
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
     renamed = [F.col(k).alias(n) for k, n in zip(keys, names)]
@@ -52,12 +55,14 @@ def without_rows(df: DataFrame, lost: DataFrame) -> DataFrame:
     return df.join(lost, lost.columns, "left_anti")
 
 
-def dedup_table(df: DataFrame, position: Sequence[str], stage: Stage = lazily) -> DataFrame:
+def dedup_table(
+    df: DataFrame, position: Sequence[str], stage: Stage = lazily, narrow: DataFrame | None = None
+) -> DataFrame:
     """One row per ``id``, first in source order, or distinct rows in a table without ``id``.
 
     Wide rows are not sorted by their id: the positions of rows to leave out are found on ids and positions alone.
     The last column of ``position`` must name a row, and be the same whenever ``df`` is read, as that of rows in files is.
     """
     if "id" in df.columns:
-        return without_rows(df, stage(lost_rows(df, ["id"], position, stage))).drop(*position)
+        return without_rows(df, stage(lost_rows(df, ["id"], position, stage, narrow))).drop(*position)
     return distinct_rows(df.drop(*position))

@@ -29,13 +29,26 @@ def load_table(
     """Read, trim, remove duplicates, cast to storage types.
 
     The trim comes before the duplicate removal: with copies of different dates the order shows. What runs at once is the
-    type inference and, with a ``stage``, the search for duplicate ids, whose ids and positions it stores.
+    type inference and, with a ``stage``, the search for duplicate ids, whose ids and positions it stores. With ``Staging``
+    one job does both, and the files are read once for them.
     """
-    table = read_table(spark, path, spec, with_position=True, **scan_options)
-    rows = table.rows
-    if spec.trim_column:
-        rows = launch_trim(rows, spec.trim_column, launch_date, open_ended=open_ended)
-    return CsvTable(to_storage(dedup_table(rows, POSITION, stage)), table.rejects)
+
+    def trimmed(rows: DataFrame) -> DataFrame:
+        if not spec.trim_column:
+            return rows
+        return launch_trim(rows, spec.trim_column, launch_date, open_ended=open_ended)
+
+    stored: list[DataFrame] = []
+
+    def store_ids(rows: DataFrame) -> bool:
+        if "id" in rows.columns:
+            stored.append(stage(trimmed(rows).select("id", *POSITION)))
+        return bool(stored)
+
+    # Other stages may store later, or nothing.
+    first_pass = store_ids if isinstance(stage, Staging) else None
+    table = read_table(spark, path, spec, with_position=True, first_pass=first_pass, **scan_options)
+    return CsvTable(to_storage(dedup_table(trimmed(table.rows), POSITION, stage, *stored)), table.rejects)
 
 
 def load_tables(spark: SparkSession, config: LoadConfig, stage: Stage = lazily) -> dict[str, DataFrame]:

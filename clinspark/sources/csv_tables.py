@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -99,28 +99,39 @@ def _position() -> list[Column]:
     ]
 
 
-def infer_types(df: DataFrame, columns: Iterable[str]) -> dict[str, str]:
+def _kind(value: Column) -> Column:
+    # Patterns come before the cast, since a failing try_cast costs far more than a pattern. A whole
+    # number too long for bigint would lose digits as a double, so it stays text.
+    return (
+        F.when(value.rlike(_SHORT_WHOLE), _WHOLE)
+        .when(value.rlike(_LONG_WHOLE), F.when(value.try_cast("bigint").isNotNull(), _WHOLE).otherwise(_TEXT))
+        .when(value.rlike(_NUMBER), _FRACTION)
+        .when(value.rlike(_TRUTH), _BOOLEAN)
+        .otherwise(_TEXT)
+    )
+
+
+def infer_types(
+    df: DataFrame, columns: Iterable[str], first_pass: Callable[[DataFrame], bool] | None = None
+) -> dict[str, str]:
     """Narrowest of bigint, double, boolean and string that holds every value of a text column.
 
     One aggregation over all rows and columns: no sample, and what is shuffled is one row per task
     and column. The columns are turned into rows first, because one aggregate per column would make
-    generated code too long for the JVM to compile.
+    generated code too long for the JVM to compile. A ``first_pass`` that runs a job over all rows it is given, and
+    says so, saves that: the types are observed in its job.
     """
     columns = list(columns)
     if not columns:
         return {}
+    if first_pass:
+        seen = Observation()
+        kinds = [F.bit_or(F.when(F.col(f"`{c}`").isNotNull(), _kind(F.col(f"`{c}`")))).alias(f"kinds_{i}") for i, c in enumerate(columns)]
+        if first_pass(df.observe(seen, *kinds)):
+            return {c: _type_of(seen.get[f"kinds_{i}"] or 0) for i, c in enumerate(columns)}
     value = F.col("value")
-    # Patterns come before the cast, since a failing try_cast costs far more than a pattern. A whole
-    # number too long for bigint would lose digits as a double, so it stays text.
-    kind = (
-        F.when(value.rlike(_SHORT_WHOLE), _WHOLE)
-        .when(value.rlike(_LONG_WHOLE), F.when(value.try_cast("bigint").isNotNull(), _WHOLE).otherwise(_TEXT))
-        .when(value.rlike(_NUMBER), _FRACTION)
-        .when(value.rlike(_TRUTH), _BOOLEAN)
-        .otherwise(_TEXT)
-    )
     values = df.select(F.posexplode(F.array(*[F.col(f"`{c}`") for c in columns])).alias("column", "value"))
-    found = values.where(value.isNotNull()).groupBy("column").agg(F.bit_or(kind).alias("kinds"))
+    found = values.where(value.isNotNull()).groupBy("column").agg(F.bit_or(_kind(value)).alias("kinds"))
     kinds = {row["column"]: row["kinds"] for row in found.collect()}
     return {c: _type_of(kinds.get(i, 0)) for i, c in enumerate(columns)}
 
@@ -146,12 +157,14 @@ def read_table(
     *,
     with_position: bool = False,
     quoted_breaks: bool = False,
+    first_pass: Callable[[DataFrame], bool] | None = None,
     **scan_options,
 ) -> CsvTable:
     """Scan, lower-case the names, parse the dates, keep codes as text, type the rest.
 
     Columns whose type the spec pins are not inferred; with all of them pinned there is no
     inference pass over the data. ``quoted_breaks`` reads values with line breaks by blocks (see ``csv_records``).
+    ``first_pass`` gets the rows while inferred columns are still text (see ``infer_types``); it isn't called if there are none.
     """
     scan = scan_csv
     if quoted_breaks:
@@ -163,9 +176,13 @@ def read_table(
         c for c in rows.columns
         if c not in spec.date_columns and c not in pinned and c not in POSITION and not is_code_column(c)
     ]
-    types = infer_types(rows, open_columns)
-    rows = apply_types(rows, {**types, **{c: t for c, t in pinned.items() if c in rows.columns}})
-    return CsvTable(parse_dates(rows, spec.date_columns), table.rejects)
+    present = {c: t for c, t in pinned.items() if c in rows.columns}
+
+    def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+        return parse_dates(apply_types(df, {**types, **present}), spec.date_columns)
+
+    types = infer_types(rows, open_columns, first_pass and (lambda df: first_pass(typed(df, {}))))
+    return CsvTable(typed(rows, types), table.rejects)
 
 
 def read_fixed_csv(

@@ -179,3 +179,46 @@ def test_bad_vocabulary_lines_are_no_null_keys(spark, tmp_path):
     found = scan_vocabulary(spark, str(tmp_path), ["concept_synonym"])["concept_synonym"]
     assert rows(found.rows) == [(1, "one", 5), (3, "three", None)]
     assert rows(found.rejects, "line") == [("x\ttwo\t5",)]
+
+
+def test_types_are_learnt_where_ids_are_stored(spark, tmp_path):
+    """One job reads the file for both; tables without an id, empty ones and those without a stage are as before."""
+    from clinspark.staging import Staging
+    from helpers import plan
+
+    plans = []
+
+    class Watched(Staging):
+        def table(self, df, name=None):
+            plans.append(plan(df))
+            return super().table(df, name)
+
+        __call__ = table
+
+    many = [f"C{i}" for i in range(60)]
+    texts = {
+        "rows.csv": "ID,START,STOP,N,F,B,T,E,L\nx,2011-01-01,2011-01-02,1,1,True,a,,123456789012345678901\n"
+                    "x,2011-01-01,2011-01-02,,2.5,false,1,NA,1\n,2011-01-01,2011-01-02,3,4,TRUE,2,,1\n,2011-01-01,2011-01-02,3,4,TRUE,2,,1\n"
+                    "z,2001-01-01,2001-01-02,text,4,true,2,,1\n\"broken\n",
+        "plain.csv": "START,STOP,N\n2011-01-01,2011-01-02,1\n2011-01-01,2011-01-02,1\n",
+        "none.csv": "ID,START,STOP,N\n",
+        "wide.csv": ",".join(["ID", "START", "STOP", *many]) + "\n" + "".join(
+            f"k{i % 7},2011-01-01,2011-01-02," + ",".join(str(i + j) if j % 3 else f"{j}.{i}" for j in range(60)) + "\n" for i in range(50)),
+        "typed.csv": "ID,START,STOP,DESCRIPTION\nx,2011-01-01,2011-01-02,a\nx,2011-01-01,2011-01-02,b\n",
+    }
+    learnt = {}
+    for name, text in texts.items():
+        path, spec = write(tmp_path, text, name), SPEC
+        if name == "typed.csv":
+            spec = TableSpec("t", SPEC.date_columns, trimmed=True, types=(("description", "string"),))
+        plans.clear()
+        at_once = load_table(spark, path, spec, dt.date(2010, 1, 1), stage=Watched(spark))
+        learnt[name] = ["kinds_0" in p for p in plans]
+        apart = load_table(spark, path, spec, dt.date(2010, 1, 1))
+        assert at_once.rows.dtypes == apart.rows.dtypes
+        assert rows(at_once.rows) == rows(apart.rows) and rows(at_once.rejects) == rows(apart.rejects)
+    assert learnt == {
+        "rows.csv": [True, False], "plain.csv": [], "none.csv": [True, False], "wide.csv": [True, False], "typed.csv": [False, False]}
+    assert dict(load_table(spark, str(tmp_path / "rows.csv"), SPEC, dt.date(2010, 1, 1), stage=Staging(spark)).rows.dtypes) == {
+        "id": "string", "start": "timestamp_ntz", "stop": "timestamp_ntz", "n": "string", "f": "double", "b": "boolean",
+        "t": "string", "e": "double", "l": "string"}
